@@ -1,6 +1,9 @@
 """The queries of the training-data operators."""
 
-from . import near_dedup
+from . import near_dedup, suffix_dedup
 
-QUERIES = {"op3_minhash_near_dedup": near_dedup.op3_minhash_near_dedup}
+QUERIES = {
+    "op3_minhash_near_dedup": near_dedup.op3_minhash_near_dedup,
+    "op7_suffix_array_dedup": suffix_dedup.op7_suffix_array_dedup,
+}
 ORACLES: dict[str, str] = {}
