@@ -3,10 +3,11 @@
 A byte goes if it lies in a 200-byte string that starts at two places of the corpus or more. Three steps find these
 strings without a suffix array of the whole corpus:
 
-1. Anchors. Of the hashes of 80-byte strings, each run of 121 gives up its least one. A 200-byte string holds such a run,
-   so all its occurrences share an anchor. Anchors are dealt by hash; those that occur once are dropped.
-2. Contexts. All 200-byte strings that hold an anchor lie within 120 bytes of it. Where two occurrences have equal
-   contexts, these bytes are repeated. Each anchor with several contexts hands on one occurrence of each.
+1. Anchors. A 200-byte string holds 137 strings of 64 bytes; the one with the least hash is its anchor, so equal strings
+   have equal anchors. Anchors are dealt by hash; those that occur once are dropped.
+2. Contexts. The 200-byte strings of an anchor start next to each other; what they cover is its context. Where two
+   occurrences have equal contexts, these bytes are repeated. Each anchor with several contexts hands on one occurrence
+   of each.
 3. Shards. The contexts of an anchor meet in one shard. Its suffix array is made by induced sorting; permuted common
    prefixes of 200 bytes or more between neighbours tell the strings that repeat.
 
@@ -28,11 +29,12 @@ from pyspark.sql import functions as F
 from .common import batch, pieces, stored, table
 from .induced import common_prefixes, suffix_array
 
-LENGTH, GRAM = 200, 80
+LENGTH, GRAM = 200, 64
 REACH = LENGTH - GRAM
 SHARD_BYTES, GROUP_MOST = 1 << 20, 2048
 #: A text is looked at in slices of so many bytes, which overlap by a window.
 SLICE = 1 << 22
+_PLACE = np.uint64((1 << 23) - 1)
 
 _P = np.uint64(0x9E3779B97F4A7C15 | 1)
 _P_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15 | 1, -1, 1 << 64))
@@ -65,47 +67,39 @@ def gram_hashes(data: np.ndarray, powers: _Powers) -> np.ndarray:
     return h
 
 
-def anchors(data: np.ndarray, powers: _Powers) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and hashes of the anchors: of each REACH + 1 grams in a row, one with the least hash."""
+def anchors(data: np.ndarray, powers: _Powers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the anchors; starts and ends of what their LENGTH-byte strings cover."""
     if len(data) > SLICE + LENGTH:
-        parts = [anchors(data[s : s + SLICE + LENGTH - 1], powers) for s in range(0, len(data) - LENGTH + 1, SLICE)]
-        at = np.concatenate([p + s for (p, _), s in zip(parts, range(0, len(data) - LENGTH + 1, SLICE))])
-        at, first = np.unique(at, return_index=True)
-        return at, np.concatenate([h for _, h in parts])[first]
+        parts = [(s, anchors(data[s : s + SLICE + LENGTH - 1], powers)) for s in range(0, len(data) - LENGTH + 1, SLICE)]
+        return tuple(np.concatenate([x[k] + (s if k else np.uint64(0)) for s, x in parts]) for k in range(3))
     if len(data) < LENGTH:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     h, w = gram_hashes(data, powers), REACH + 1
-    least, have = h, 1
+    # a hash with its place in the lowest bits: of equal ones the first is least
+    least, have = (h & ~_PLACE) | np.arange(len(h), dtype=np.uint64), 1
     while have < w:
         step = min(have, w - have)
         least = np.minimum(least[:-step], least[step:])
         have += step
-    # the least hash of any window that holds a place
-    highest = np.full(w - 1, np.iinfo(np.uint64).max)
-    wide, have = np.concatenate([highest, least, highest]), 1
-    most = np.where(wide == np.iinfo(np.uint64).max, np.uint64(0), wide)
-    while have < w:
-        step = min(have, w - have)
-        most = np.maximum(most[:-step], most[step:])
-        have += step
-    at = np.flatnonzero(most == h)
-    ties = np.flatnonzero((np.diff(at) <= w // 2) & (h[at[1:]] == h[at[:-1]])) if len(at) > 1 else []
-    if len(ties):  # in periodic text the same hash is least again and again; one in each window is enough
-        keep, values, last = np.ones(len(at), bool), h[at], 0
-        for k in range(1, len(at) - 1):
-            if values[k] == values[last] == values[k + 1] and at[k + 1] - at[last] <= w:
-                keep[k] = False
-            else:
-                last = k
-        at = at[keep]
-    return at, h[at]
+    first = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
+    last = np.append(first[1:], len(least)) - 1
+    return h[least[first] & _PLACE], first, last + LENGTH
 
 
 def _row_key(data: bytes, doc_id: int | None) -> int:
     return xxhash.xxh3_64_intdigest(data, seed=doc_id is None) - (1 << 63)
 
 
-_ANCHORS = pa.schema([("f", pa.int64()), ("ctx", pa.int64()), ("did", pa.int64()), ("rk", pa.int64()), ("pos", pa.int32())])
+_ANCHORS = pa.schema([("f", pa.int64()), ("ctx", pa.int64()), ("did", pa.int64()), ("rk", pa.int64()), ("s", pa.int32()), ("e", pa.int32())])
+
+
+def _anchor_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    powers = _Powers()
+    for given in batches:
+        texts = given.column(1).to_pylist()
+        for start, end in pieces(texts):
+            found = [anchors(np.frombuffer(t.encode(), np.uint8), powers)[0] for t in texts[start:end]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["f"])
 
 
 def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,19 +108,18 @@ def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for given in batches:
         ids, texts = given.column(0).to_pylist(), given.column(1).to_pylist()
         for start, end in pieces(texts):
-            fs, ctxs, pos, dids, rks, counts = [], [], [], [], [], []
+            fs, ctxs, froms, tos, dids, rks, counts = [], [], [], [], [], [], []
             for i in range(start, end):
                 data = (texts[i] or "").encode()
-                at, h = anchors(np.frombuffer(data, np.uint8), powers)
-                if not len(at):
+                h, s, e = anchors(np.frombuffer(data, np.uint8), powers)
+                if not len(h):
                     continue
                 view = memoryview(data)
-                for p in at.tolist():
-                    ctxs.append(digest(view[max(0, p - REACH) : p + LENGTH], min(p, REACH)))
-                fs.append(h), pos.append(at)
-                dids.append(ids[i] or 0), rks.append(_row_key(data, ids[i])), counts.append(len(at))
+                ctxs += [digest(view[a:b]) for a, b in zip(s.tolist(), e.tolist())]
+                fs.append(h), froms.append(s), tos.append(e)
+                dids.append(ids[i] or 0), rks.append(_row_key(data, ids[i])), counts.append(len(h))
             if fs:
-                yield batch(_ANCHORS, {"f": np.concatenate(fs).view(np.int64), "ctx": np.array(ctxs, np.uint64).view(np.int64), "did": np.repeat(dids, counts), "rk": np.repeat(np.array(rks, np.int64), counts), "pos": np.concatenate(pos).astype(np.int32)})
+                yield batch(_ANCHORS, {"f": np.concatenate(fs).view(np.int64), "ctx": np.array(ctxs, np.uint64).view(np.int64), "did": np.repeat(dids, counts), "rk": np.repeat(np.array(rks, np.int64), counts), "s": np.concatenate(froms).astype(np.int32), "e": np.concatenate(tos).astype(np.int32)})
 
 
 _CONTEXTS = pa.schema([("f", pa.int64()), ("many", pa.bool_()), ("did", pa.int64()), ("rk", pa.int64()), ("start", pa.int32()), ("bytes", pa.binary())])
@@ -143,9 +136,7 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 rk = _row_key(data, None if is_null else did)
                 for x in wanted:
                     if x["rk"] == rk:
-                        p = x["pos"]
-                        s = max(0, p - REACH)
-                        for name, value in (("f", x["f"]), ("many", x["many"]), ("did", did), ("rk", rk), ("start", s), ("bytes", data[s : p + LENGTH])):
+                        for name, value in (("f", x["f"]), ("many", x["many"]), ("did", did), ("rk", rk), ("start", x["s"]), ("bytes", data[x["s"] : x["e"]])):
                             out[name].append(value)
             if out["f"]:
                 yield batch(_CONTEXTS, out)
@@ -248,14 +239,15 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 
     did: doc_id, 0 for null; rk: hash of the text."""
     texts = docs.select(F.col("doc_id").cast("long"), "text")
-    found = texts.where(F.octet_length("text") >= LENGTH).mapInArrow(_anchored, "f long, ctx long, did long, rk long, pos int")
-    again = found.groupBy("f").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("f")
+    long = texts.where(F.octet_length("text") >= LENGTH)
+    found = long.mapInArrow(_anchored, "f long, ctx long, did long, rk long, s int, e int")
+    again = long.mapInArrow(_anchor_hashes, "f long").groupBy("f").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("f")
     places = stored(found.join(again, "f"), "anchors")
-    contexts = stored(places.groupBy("f", "ctx").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("did", "rk", "pos")).alias("at")), "contexts")
-    whole = places.join(contexts.where("n > 1").select("f", "ctx"), ["f", "ctx"]).select("did", "rk", F.greatest(F.lit(0), F.col("pos") - REACH).cast("int").alias("s"), (F.col("pos") + LENGTH).alias("e"))
+    contexts = stored(places.groupBy("f", "ctx").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("did", "rk", "s", "e")).alias("at")), "contexts")
+    whole = places.join(contexts.where("n > 1").select("f", "ctx"), ["f", "ctx"]).select("did", "rk", "s", "e")
     kinds = contexts.groupBy("f").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
     wanted = contexts.join(kinds, "f").select("f", "kinds", (F.col("n") > 1).alias("many"), "at.*")
-    by_text = wanted.groupBy("did").agg(F.collect_list(F.struct("rk", "pos", "f", (F.col("kinds") > GROUP_MOST).alias("huge"), "many")).alias("wanted"))
+    by_text = wanted.groupBy("did").agg(F.collect_list(F.struct("rk", "s", "e", "f", (F.col("kinds") > GROUP_MOST).alias("huge"), "many")).alias("wanted"))
     sides = texts.select(F.coalesce("doc_id", F.lit(0)).alias("did"), "text", F.col("doc_id").isNull().alias("no_id")).join(by_text, "did")
     spans = whole
     for huge in (False, True):
