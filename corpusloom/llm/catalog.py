@@ -1,9 +1,11 @@
 """The queries of the training-data operators."""
 
-from . import near_dedup, suffix_dedup
+from . import near_dedup, packing, suffix_dedup, token_counts
 
 QUERIES = {
+    "op2_token_counts": token_counts.op2_token_counts,
     "op3_minhash_near_dedup": near_dedup.op3_minhash_near_dedup,
+    "op6_shortest_pack_first": packing.op6_shortest_pack_first,
     "op7_suffix_array_dedup": suffix_dedup.op7_suffix_array_dedup,
 }
 ORACLES: dict[str, str] = {}
