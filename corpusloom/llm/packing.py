@@ -17,12 +17,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from .common import batch, pieces, stored, table
-from .pretokens import BYTES, Pieces, Plain, vocabulary_path
+from .pretokens import BYTES, Plain, byte_characters, vocabulary_path
 
 LENGTH, END_ID = 2048, 1
 if array("I").itemsize != 4 or sys.byteorder != "little":
@@ -34,7 +35,11 @@ _PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", p
 
 
 class Ids:
-    """Ids of texts, as little-endian unsigned 32-bit bytes; made once in each Python worker."""
+    """Ids of texts, as little-endian unsigned 32-bit bytes; made once in each Python worker.
+
+    The vocabulary file's ids rise in the order of its merges, so they serve as ranks to tiktoken, which gives the same
+    ids as the tokenizers library twice to five times as fast. Texts outside the characters that both were compared for
+    (pretokens.py), or with special strings, go to the library itself."""
 
     _made: dict = {}
 
@@ -43,11 +48,9 @@ class Ids:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.plain = Plain(path)
-        self.known = Pieces(self.tokenizer, self.packed)
-
-    @staticmethod
-    def packed(ids: list[int]) -> bytes:
-        return array("I", ids).tobytes()
+        back = byte_characters()
+        ranks = {bytes(back[c] for c in entry): k for entry, k in self.tokenizer.get_vocab(with_added_tokens=False).items() if entry not in self.plain.special}
+        self.encode = tiktoken.Encoding("ranks", pat_str=BYTES, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     @classmethod
     def made(cls, path: str) -> Ids:
@@ -55,12 +58,9 @@ class Ids:
             cls._made[path] = cls(path)
         return cls._made[path]
 
-    def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        split = [BYTES.findall(t) if self.plain(t) else None for t in texts]
-        self.known.learn([x for x in split if x is not None])
-        packed = self.known.__getitem__
-        for t, x in zip(texts, split):
-            yield b"".join(map(packed, x)) if x is not None else self.packed(self.tokenizer.encode(t, add_special_tokens=False).ids)
+    def __call__(self, text: str) -> bytes:
+        ids = self.encode(text) if self.plain(text) else self.tokenizer.encode(text, add_special_tokens=False).ids
+        return array("I", ids).tobytes()
 
 
 def cut(docs: DataFrame, path: str, length: int = LENGTH) -> DataFrame:
@@ -73,8 +73,8 @@ def cut(docs: DataFrame, path: str, length: int = LENGTH) -> DataFrame:
             ids, texts = given.column(0).to_pylist(), given.column(1).to_pylist()
             for a, b in pieces(texts):
                 out: dict = {f.name: [] for f in _PIECES}
-                for i, made in zip(range(a, b), ids_of([t or "" for t in texts[a:b]])):
-                    data = memoryview(made + end)
+                for i in range(a, b):
+                    data = memoryview(ids_of(texts[i] or "") + end)
                     total = len(data) // 4
                     for s in range(0, total, length):
                         part = data[4 * s : 4 * (s + length)]

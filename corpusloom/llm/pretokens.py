@@ -40,7 +40,7 @@ _L, _N = _classes()
 #: The split of word_bpe_49k.json, over lower-cased text; spaces are dropped.
 WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^{_SPACE}{_L}{_N}]+")
 #: The split of byte_bpe_50k.json; every character is in one piece.
-BYTES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_SPACE}{_L}{_N}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+BYTES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _OTHER = re.compile(f"[^{re.escape(plain_characters())}]")
 
 
@@ -49,6 +49,13 @@ def special_strings(path: str) -> list[str]:
         return [x["content"] for x in json.load(f)["added_tokens"]]
 
 
+def byte_characters() -> dict[str, int]:
+    """The characters that byte-level vocabularies write bytes with."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(rest)}
+
+
 class Plain:
     """Tells whether a text may be split here."""
 

@@ -14,22 +14,15 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from .common import batch, pieces, table
-from .pretokens import WORDS, Pieces, Plain, vocabulary_path
+from .pretokens import WORDS, Pieces, Plain, byte_characters, vocabulary_path
 
 LIMIT = 2048
 END_OF_WORD = "</w>"
 
 
-def _byte_characters() -> dict[str, int]:
-    """The characters that byte-level vocabularies write bytes with."""
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in shown]
-    return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(rest)}
-
-
 def whole_tokens(tokenizer: Tokenizer) -> list[str]:
     """The pieces, as split, that the library encodes alone as one token: every vocabulary string is tried."""
-    back = _byte_characters()
+    back = byte_characters()
     found = []
     for entry in tokenizer.get_vocab(with_added_tokens=False):
         body = entry.removesuffix(END_OF_WORD)
