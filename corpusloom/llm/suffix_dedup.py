@@ -31,7 +31,7 @@ from .induced import common_prefixes, suffix_array
 
 LENGTH, GRAM = 200, 64
 REACH = LENGTH - GRAM
-SHARD_BYTES, GROUP_MOST = 1 << 20, 2048
+SHARD_BYTES, GROUP_MOST = 1 << 19, 1024
 #: A text is looked at in slices of so many bytes, which overlap by a window.
 SLICE = 1 << 22
 _PLACE = np.uint64((1 << 23) - 1)
@@ -90,7 +90,7 @@ def _row_key(data: bytes, doc_id: int | None) -> int:
     return xxhash.xxh3_64_intdigest(data, seed=doc_id is None) - (1 << 63)
 
 
-_ANCHORS = pa.schema([("f", pa.int64()), ("ctx", pa.int64()), ("did", pa.int64()), ("rk", pa.int64()), ("s", pa.int32()), ("e", pa.int32())])
+_ANCHORS = pa.schema([("f", pa.int64()), ("ctx", pa.int64()), ("did", pa.int64()), ("rk", pa.int64()), ("s", pa.int32()), ("e", pa.int32()), ("more", pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())])))])
 
 
 def _anchor_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,28 +98,60 @@ def _anchor_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for given in batches:
         texts = given.column(1).to_pylist()
         for start, end in pieces(texts):
-            found = [anchors(np.frombuffer(t.encode(), np.uint8), powers)[0] for t in texts[start:end]]
+            found = []
+            for t in texts[start:end]:
+                values, counts = np.unique(anchors(np.frombuffer(t.encode(), np.uint8), powers)[0], return_counts=True)
+                found += [values, values[counts > 1]]  # twice at most
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["f"])
 
 
+def _thinned(ctxs: list[int], s: list[int], e: list[int]) -> tuple[list[int], list]:
+    """Of equal contexts in one text, the first two stand for all: their places, and on the second what the others cover."""
+    seen: dict[int, int] = {}
+    keep: list[int] = []
+    more: list = []
+    for k, c in enumerate(ctxs):
+        first = seen.get(c)
+        if first is None:
+            seen[c] = -1
+        elif first < 0:
+            seen[c] = len(keep)
+        else:
+            spans = more[first] = more[first] or []
+            if spans and s[k] <= spans[-1]["e"]:
+                spans[-1]["e"] = max(e[k], spans[-1]["e"])
+            else:
+                spans.append({"s": s[k], "e": e[k]})
+            continue
+        keep.append(k)
+        more.append(None)
+    return keep, more
+
+
 def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     powers = _Powers()
     digest = xxhash.xxh3_64_intdigest
     for given in batches:
         ids, texts = given.column(0).to_pylist(), given.column(1).to_pylist()
         for start, end in pieces(texts):
-            fs, ctxs, froms, tos, dids, rks, counts = [], [], [], [], [], [], []
+            fs, ctxs, froms, tos, mores, dids, rks, counts = [], [], [], [], [], [], [], []
             for i in range(start, end):
                 data = (texts[i] or "").encode()
                 h, s, e = anchors(np.frombuffer(data, np.uint8), powers)
                 if not len(h):
                     continue
                 view = memoryview(data)
-                ctxs += [digest(view[a:b]) for a, b in zip(s.tolist(), e.tolist())]
+                froms_, tos_ = s.tolist(), e.tolist()
+                mine, more = [digest(view[a:b]) for a, b in zip(froms_, tos_)], [None] * len(h)
+                if len(set(mine)) < len(mine):
+                    keep, more = _thinned(mine, froms_, tos_)
+                    mine, h, s, e = [mine[k] for k in keep], h[keep], s[keep], e[keep]
+                ctxs += mine
+                mores += more
                 fs.append(h), froms.append(s), tos.append(e)
                 dids.append(ids[i] or 0), rks.append(_row_key(data, ids[i])), counts.append(len(h))
             if fs:
-                yield batch(_ANCHORS, {"f": np.concatenate(fs).view(np.int64), "ctx": np.array(ctxs, np.uint64).view(np.int64), "did": np.repeat(dids, counts), "rk": np.repeat(np.array(rks, np.int64), counts), "s": np.concatenate(froms).astype(np.int32), "e": np.concatenate(tos).astype(np.int32)})
+                yield batch(_ANCHORS, {"f": np.concatenate(fs).view(np.int64), "ctx": np.array(ctxs, np.uint64).view(np.int64), "did": np.repeat(dids, counts), "rk": np.repeat(np.array(rks, np.int64), counts), "s": np.concatenate(froms).astype(np.int32), "e": np.concatenate(tos).astype(np.int32), "more": mores})
 
 
 _CONTEXTS = pa.schema([("f", pa.int64()), ("many", pa.bool_()), ("did", pa.int64()), ("rk", pa.int64()), ("start", pa.int32()), ("bytes", pa.binary())])
@@ -240,11 +272,11 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     did: doc_id, 0 for null; rk: hash of the text."""
     texts = docs.select(F.col("doc_id").cast("long"), "text")
     long = texts.where(F.octet_length("text") >= LENGTH)
-    found = long.mapInArrow(_anchored, "f long, ctx long, did long, rk long, s int, e int")
+    found = long.mapInArrow(_anchored, "f long, ctx long, did long, rk long, s int, e int, more array<struct<s:int,e:int>>")
     again = long.mapInArrow(_anchor_hashes, "f long").groupBy("f").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("f")
     places = stored(found.join(again, "f"), "anchors")
     contexts = stored(places.groupBy("f", "ctx").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("did", "rk", "s", "e")).alias("at")), "contexts")
-    whole = places.join(contexts.where("n > 1").select("f", "ctx"), ["f", "ctx"]).select("did", "rk", "s", "e")
+    whole = places.join(contexts.where("n > 1").select("f", "ctx"), ["f", "ctx"]).select("did", "rk", F.explode(F.concat(F.array(F.struct("s", "e")), F.coalesce("more", F.array().cast("array<struct<s:int,e:int>>")))).alias("span")).select("did", "rk", "span.*")
     kinds = contexts.groupBy("f").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
     wanted = contexts.join(kinds, "f").select("f", "kinds", (F.col("n") > 1).alias("many"), "at.*")
     by_text = wanted.groupBy("did").agg(F.collect_list(F.struct("rk", "s", "e", "f", (F.col("kinds") > GROUP_MOST).alias("huge"), "many")).alias("wanted"))
@@ -266,6 +298,22 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 _RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())])
 
 
+def _without(text: str | None, spans: list | None) -> tuple[bytes, bytes, int]:
+    """The text's bytes, what is left of them, and the number of maximal runs that go."""
+    data = (text or "").encode()
+    if not spans:
+        return data, data, 0
+    own = {_row_key(data, 0), _row_key(data, None)}
+    rest, done, runs, reach = [], 0, 0, -1
+    for s, e in sorted((x["s"], x["e"]) for x in spans if x["rk"] in own):
+        if s > reach:
+            runs += 1
+            rest.append(data[done:s])
+        reach = done = max(e, reach)
+    rest.append(data[done:])
+    return data, b"".join(rest), runs
+
+
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for given in batches:
         texts = given.column(1).to_pylist()
@@ -273,40 +321,42 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out: dict = {f.name: [] for f in _RESULT}
             out["doc_id"] = given.column(0).slice(at, end - at)
             for text, spans in zip(texts[at:end], given.column(2).slice(at, end - at).to_pylist()):
-                data = (text or "").encode()
-                rest, done, removed, runs = [], 0, 0, 0
-                mine = [(x["s"], x["e"]) for x in spans or () if x["rk"] is not None]
-                if mine:
-                    keys = {x["rk"] for x in spans}
-                    own = {xxhash.xxh3_64_intdigest(data, seed=k) - (1 << 63) for k in (0, 1)} & keys
-                    mine = sorted((min(x["s"], len(data)), min(x["e"], len(data))) for x in spans if x["rk"] in own)
-                reach = -1
-                for s, e in mine:
-                    if s > reach:
-                        runs += 1
-                        rest.append(data[done:s])
-                        removed += e - s
-                        done = reach = e
-                    elif e > reach:
-                        removed += e - reach
-                        done = reach = e
-                rest.append(data[done:])
-                kept = b"".join(rest)
-                for name, value in (("n_bytes", len(data)), ("n_removed", removed), ("n_spans", runs), ("kept_sha256", hashlib.sha256(kept).hexdigest()), ("kept", kept)):
+                data, kept, runs = _without(text, spans)
+                for name, value in (("n_bytes", len(data)), ("n_removed", len(data) - len(kept)), ("n_spans", runs), ("kept_sha256", hashlib.sha256(kept).hexdigest()), ("kept", kept)):
                     out[name].append(value)
             yield batch(_RESULT, out)
 
 
+def _with_spans(docs: DataFrame) -> DataFrame:
+    """docs with a last column, the repeated spans of each text."""
+    per = repeated_spans(docs).groupBy("did", "rk").agg(F.collect_set(F.struct("s", "e")).alias("of")).groupBy("did").agg(F.flatten(F.collect_list(F.transform("of", lambda x: F.struct(F.col("rk"), x.s.alias("s"), x.e.alias("e"))))).alias("_spans"))
+    per = stored(per, "spans")
+    return docs.join(per, F.coalesce(docs["doc_id"].cast("long"), F.lit(0)) == per["did"], "left").drop(per["did"])
+
+
 def without_repeats(docs: DataFrame) -> DataFrame:
     """docs(doc_id, text, ...) -> doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the bytes left).
 
     One row per row of docs. A null text is an empty one; texts below 200 bytes lose nothing. Rows that repeat an id or
     have none are told apart by their texts; a repeated row repeats all its strings. Other columns are not looked at."""
-    spans = repeated_spans(docs)
-    per = spans.groupBy("did", "rk").agg(F.collect_set(F.struct("s", "e")).alias("spans")).groupBy("did").agg(F.flatten(F.collect_list(F.transform("spans", lambda x: F.struct(F.col("rk"), x.s.alias("s"), x.e.alias("e"))))).alias("spans"))
-    per = stored(per, "spans")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("did"))
-    return texts.join(per, "did", "left").select("doc_id", "text", "spans").mapInArrow(_kept, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    spans = _with_spans(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    return spans.mapInArrow(_kept, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+
+
+def cleaned(docs: DataFrame) -> DataFrame:
+    """The rows of docs with their repeated passages cut out of the texts, all other columns as they are.
+
+    A character of which only some bytes are repeated goes as a whole. Null texts stay null."""
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for given in batches:
+            texts, spans = given.column(at).to_pylist(), given.column(given.num_columns - 1).to_pylist()
+            new = [None if t is None else _without(t, s)[1].decode(errors="ignore") if s else t for t, s in zip(texts, spans)]
+            columns = [pa.array(new, pa.string()) if k == at else given.column(k) for k in range(given.num_columns - 1)]
+            yield pa.RecordBatch.from_arrays(columns, names=given.schema.names[:-1])
+
+    return _with_spans(docs).mapInArrow(run, docs.schema)
 
 
 def op7_suffix_array_dedup(spark, sf_dir):
