@@ -1,11 +1,13 @@
 """The queries of the training-data operators."""
 
-from . import near_dedup, packing, suffix_dedup, token_counts
+from . import decontaminate, near_dedup, packing, suffix_dedup, token_counts, toxicity
 
 QUERIES = {
+    "op1_ordinal_toxicity": toxicity.op1_ordinal_toxicity,
     "op2_token_counts": token_counts.op2_token_counts,
     "op3_minhash_near_dedup": near_dedup.op3_minhash_near_dedup,
     "op6_shortest_pack_first": packing.op6_shortest_pack_first,
     "op7_suffix_array_dedup": suffix_dedup.op7_suffix_array_dedup,
+    "op10_template_decontamination": decontaminate.op10_template_decontamination,
 }
 ORACLES: dict[str, str] = {}

@@ -70,3 +70,16 @@ def batch(schema: pa.Schema, columns: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for f, c in ((f, columns[f.name]) for f in schema)], schema=schema)
 
 
+
+
+def rows_where(docs: DataFrame, decide) -> DataFrame:
+    """The rows of docs that decide() keeps, all columns as they are. decide() gives a worker a function of a list of texts."""
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep = decide()
+        for given in batches:
+            texts = given.column(at).to_pylist()
+            yield given.filter(pa.array([x for a, b in pieces(texts) for x in keep(texts[a:b])], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
