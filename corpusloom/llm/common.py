@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import atexit
-import os
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -53,6 +54,36 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def mapped(df: DataFrame, f, schema) -> DataFrame:
+    """df.mapInArrow(f, schema), with batches of bounded size, whatever the length of texts.
+
+    Python workers are used again by later stages; at its end a task gives its memory back to the system."""
+    conf = df.sparkSession.conf
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", 4000), ("spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20)):
+        if not 0 < _number(conf.get(key)) <= most:
+            conf.set(key, str(most))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from f(batches)
+        _give_back()
+
+    return df.mapInArrow(run, schema)
+
+
+def _number(value: str) -> int:
+    value = value.removesuffix("b")
+    return int(value) if value.isdigit() else 0
+
+
+def _give_back() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def pieces(texts: list, limit: int = 4 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of texts that hold about limit characters; a longer text stands alone."""
     start, held = 0, 0
@@ -82,4 +113,4 @@ def rows_where(docs: DataFrame, decide) -> DataFrame:
             texts = given.column(at).to_pylist()
             yield given.filter(pa.array([x for a, b in pieces(texts) for x in keep(texts[a:b])], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return mapped(docs, run, docs.schema)

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch, pieces, rows_where, table
+from .common import batch, mapped, pieces, rows_where, table
 from .shingles import windows
 
 #: Words in a window; least share of an item's windows that a document must hold; least share of its slots that must
@@ -44,7 +44,7 @@ _UNITS = frozenset(u.encode() for u in UNITS)
 class Words(dict):
     """Word to its hash with flags in the lowest bits, remembered; emptied when it holds most entries."""
 
-    most = 300_000
+    most = 150_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.most:
@@ -183,7 +183,7 @@ def _joined(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     sizes = items.select(F.least(F.size(F.split(F.trim("text"), r"\s+")), F.lit(WINDOW)).alias("z")).distinct()
     sizes = sorted({r.z for r in sizes.collect()} | set(range(1, WINDOW + 1)))  # at most WINDOW numbers
     ours = docs.select(F.col("doc_id").cast("long").alias("id"), "text").where("id IS NOT NULL")
-    with_sizes = lambda df, z: df.select("id", "text", F.lit(z).cast("array<int>").alias("z")).mapInArrow(_window_rows, "id long, h long")
+    with_sizes = lambda df, z: df.select("id", "text", F.lit(z).cast("array<int>").alias("z")).transform(mapped, _window_rows, "id long, h long")
     left = with_sizes(ours, F.array(*map(F.lit, sizes)))
     right = with_sizes(items.select(F.col("item_id").alias("id"), "text"), F.lit(None)).withColumnRenamed("id", "item_id")
     pairs = left.join(right, "h").select("id", "item_id").distinct()
@@ -195,7 +195,7 @@ def _joined(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             out = [(d, *m) for d, t, i, x in zip(*(given.column(k).to_pylist() for k in range(4))) for m in Items([(i, x)]).matches(t, seen)]
             yield batch(_MATCHES, dict(zip(_MATCHES.names, zip(*out))) if out else {n: [] for n in _MATCHES.names})
 
-    return both.mapInArrow(run, _MATCHES_DDL)
+    return both.transform(mapped, run, _MATCHES_DDL)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, most: int = BROADCAST) -> DataFrame:
@@ -215,7 +215,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, most: int = BROADCAST) -
             out = [(d, *m) for d, t in zip(given.column(0).to_pylist(), given.column(1).to_pylist()) for m in items.matches(t, seen)]
             yield batch(_MATCHES, dict(zip(_MATCHES.names, zip(*out))) if out else {n: [] for n in _MATCHES.names})
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, _MATCHES_DDL)
+    return docs.select(F.col("doc_id").cast("long"), "text").transform(mapped, run, _MATCHES_DDL)
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, most: int = BROADCAST) -> DataFrame:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch, pieces, table
+from .common import batch, mapped, pieces, table
 
 SAMPLE = 2000
 
@@ -192,7 +192,7 @@ def _kind_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fitted_weights(pages: DataFrame, sample: int = SAMPLE) -> dict[str, float]:
     """Weights of the kinds of items, from at most so many pages; DEFAULT where none labels itself."""
     ids = pages.where("page_id IS NOT NULL").select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(sample)
-    counts = pages.join(F.broadcast(ids), "page_id").select("html").mapInArrow(_kind_counts, "kind string, inside long, outside long").groupBy("kind").agg(F.sum("inside").alias("i"), F.sum("outside").alias("o")).collect()
+    counts = pages.join(F.broadcast(ids), "page_id").select("html").transform(mapped, _kind_counts, "kind string, inside long, outside long").groupBy("kind").agg(F.sum("inside").alias("i"), F.sum("outside").alias("o")).collect()
     total_in, total_out = sum(r.i for r in counts), sum(r.o for r in counts)
     if not total_in:
         return DEFAULT
@@ -218,7 +218,7 @@ def page_texts(pages: DataFrame, weights: dict[str, float]) -> DataFrame:
                 texts = [main_text(h, weights) for h in htmls[a:b]]
                 yield batch(_RESULT, {"page_id": given.column(0).slice(a, b - a), "url": given.column(1).slice(a, b - a), "text": texts, "n_chars": [len(t) for t in texts]})
 
-    return pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), "html").mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), "html").transform(mapped, run, "page_id long, url string, text string, n_chars long")
 
 
 def op9_main_text(spark, sf_dir):

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch, pieces, stored, table
+from .common import batch, mapped, pieces, stored, table
 from .components import components
 from .shingles import WordHashes, shingle_set
 
@@ -80,7 +80,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def features(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, key of the shingle set, band hashes, odd sketch of the samples, parity bitmap of the set."""
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_features, _FEATURES_DDL)
+    return docs.select(F.col("doc_id").cast("long"), "text").transform(mapped, _features, _FEATURES_DDL)
 
 
 def _apart(x: str, y: str) -> Column:
@@ -116,7 +116,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     need = pairs.select("a").unionAll(pairs.select("b")).distinct().withColumnRenamed("a", "id")
     some = stored(texts.join(need, "id", "left_semi"), "texts")
     both = pairs.join(some.select(F.col("id").alias("b"), F.col("text").alias("y")), "b").join(some.select(F.col("id").alias("a"), F.col("text").alias("x")), "a")
-    return both.select("a", "b", "x", "y").mapInArrow(_linked, "a long, b long")
+    return both.select("a", "b", "x", "y").transform(mapped, _linked, "a long, b long")
 
 
 _CROSS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -182,7 +182,7 @@ def _crossing(members: DataFrame, comp: DataFrame, sketches: DataFrame) -> DataF
     rows = rows.select("bucket", "doc_id", "comp", "minor", F.explode(keys).alias("key")).select("bucket", "key.i", "key.j", "doc_id", "comp", "minor")
     rows = rows.join(sketches.select("doc_id", "n_shingles", "odd", "parity"), "doc_id")
     dealt = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    return dealt.mapInArrow(_across, "a long, b long").distinct()
+    return dealt.transform(mapped, _across, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import batch, pieces, stored, table
+from .common import batch, mapped, pieces, stored, table
 from .pretokens import BYTES, Plain, byte_characters, vocabulary_path
 
 LENGTH, END_ID = 2048, 1
@@ -82,7 +82,7 @@ def cut(docs: DataFrame, path: str, length: int = LENGTH) -> DataFrame:
                             out[name].append(value)
                 yield batch(_PIECES, out)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
+    return docs.select(F.col("doc_id").cast("long"), "text").transform(mapped, run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
 
 
 def packed_patterns(histogram: dict[int, int], length: int = LENGTH) -> list[tuple[int, list[tuple[int, int]]]]:
@@ -166,7 +166,7 @@ def packed(docs: DataFrame, path: str | None = None, length: int = LENGTH) -> Da
                 offset[rows] = offsets[k] + within // packs[k] * value
             yield batch(_PLACED, {f.name: t[f.name].combine_chunks() for f in _PIECES} | {"sequence_id": sequence, "offset": offset})
 
-    return ranked.select(*_PIECES.names, "rank").mapInArrow(placed, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    return ranked.select(*_PIECES.names, "rank").transform(mapped, placed, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
 def op6_shortest_pack_first(spark, sf_dir):

@@ -69,7 +69,7 @@ class Plain:
 class Pieces(dict):
     """Piece to whatever value(ids) makes of its ids, remembered; emptied when it holds most entries."""
 
-    most = 400_000
+    most = 250_000
 
     def __init__(self, tokenizer: Tokenizer, value, known=()) -> None:
         super().__init__(known)

@@ -17,7 +17,7 @@ _S = np.uint64(32)
 class WordHashes(dict):
     """Word to hash, remembered; emptied when it holds most entries."""
 
-    most = 300_000
+    most = 150_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.most:

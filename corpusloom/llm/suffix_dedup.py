@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch, pieces, stored, table
+from .common import batch, mapped, pieces, stored, table
 from .induced import common_prefixes, suffix_array
 
 LENGTH, GRAM = 200, 64
@@ -272,8 +272,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     did: doc_id, 0 for null; rk: hash of the text."""
     texts = docs.select(F.col("doc_id").cast("long"), "text")
     long = texts.where(F.octet_length("text") >= LENGTH)
-    found = long.mapInArrow(_anchored, "f long, ctx long, did long, rk long, s int, e int, more array<struct<s:int,e:int>>")
-    again = long.mapInArrow(_anchor_hashes, "f long").groupBy("f").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("f")
+    found = long.transform(mapped, _anchored, "f long, ctx long, did long, rk long, s int, e int, more array<struct<s:int,e:int>>")
+    again = long.transform(mapped, _anchor_hashes, "f long").groupBy("f").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("f")
     places = stored(found.join(again, "f"), "anchors")
     contexts = stored(places.groupBy("f", "ctx").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("did", "rk", "s", "e")).alias("at")), "contexts")
     whole = places.join(contexts.where("n > 1").select("f", "ctx"), ["f", "ctx"]).select("did", "rk", F.explode(F.concat(F.array(F.struct("s", "e")), F.coalesce("more", F.array().cast("array<struct<s:int,e:int>>")))).alias("span")).select("did", "rk", "span.*")
@@ -284,14 +284,14 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     spans = whole
     for huge in (False, True):
         some = sides.select("did", "text", F.filter("wanted", lambda x: x.huge if huge else ~x.huge).alias("wanted"), "no_id").where(F.size("wanted") > 0)
-        cut = some.mapInArrow(_cut_out, "f long, many boolean, did long, rk long, start int, bytes binary")
+        cut = some.transform(mapped, _cut_out, "f long, many boolean, did long, rk long, start int, bytes binary")
         if huge:
-            strings = cut.mapInArrow(_strings, "h binary, did long, rk long, s int, many boolean").distinct()
+            strings = cut.transform(mapped, _strings, "h binary, did long, rk long, s int, many boolean").distinct()
             bad = strings.groupBy("h").agg((F.count(F.lit(1)) + F.max(F.col("many").cast("int"))).alias("n")).where("n > 1").select("h")
             spans = spans.unionAll(strings.join(bad, "h").select("did", "rk", "s", (F.col("s") + LENGTH).cast("int").alias("e")))
         else:
             dealt = cut.repartition("f").sortWithinPartitions("f")
-            spans = spans.unionAll(dealt.mapInArrow(_sharded, "did long, rk long, s int, e int"))
+            spans = spans.unionAll(dealt.transform(mapped, _sharded, "did long, rk long, s int, e int"))
     return spans
 
 
@@ -340,7 +340,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     One row per row of docs. A null text is an empty one; texts below 200 bytes lose nothing. Rows that repeat an id or
     have none are told apart by their texts; a repeated row repeats all its strings. Other columns are not looked at."""
     spans = _with_spans(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    return spans.mapInArrow(_kept, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return spans.transform(mapped, _kept, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
 
 def cleaned(docs: DataFrame) -> DataFrame:
@@ -356,7 +356,7 @@ def cleaned(docs: DataFrame) -> DataFrame:
             columns = [pa.array(new, pa.string()) if k == at else given.column(k) for k in range(given.num_columns - 1)]
             yield pa.RecordBatch.from_arrays(columns, names=given.schema.names[:-1])
 
-    return _with_spans(docs).mapInArrow(run, docs.schema)
+    return _with_spans(docs).transform(mapped, run, docs.schema)
 
 
 def op7_suffix_array_dedup(spark, sf_dir):

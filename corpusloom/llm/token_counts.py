@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import batch, pieces, table
+from .common import batch, mapped, pieces, table
 from .pretokens import WORDS, Pieces, Plain, byte_characters, vocabulary_path
 
 LIMIT = 2048
@@ -80,7 +80,7 @@ def token_counts(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -
                 some = [t or "" for t in texts[at:end]]
                 yield batch(_RESULT, {"doc_id": given.column(0).slice(at, end - at), "n_bytes": [len(t) if t.isascii() else len(t.encode()) for t in some], "n_tokens": count(some)})
 
-    out = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(counted, "doc_id long, n_bytes long, n_tokens long")
+    out = docs.select(F.col("doc_id").cast("long"), "text").transform(mapped, counted, "doc_id long, n_bytes long, n_tokens long")
     return out.withColumn("over_limit", F.col("n_tokens") > limit)
 
 

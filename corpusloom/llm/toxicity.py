@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch, pieces, rows_where, stored, table
+from .common import batch, mapped, pieces, rows_where, stored, table
 
 #: Most labelled rows that are fitted on, the most features kept, the fewest texts of the sample a feature must be in.
 SAMPLE, FEATURES, LEAST_TEXTS = 8000, 1 << 14, 4
@@ -52,7 +52,7 @@ class Model:
 
 
 class _Weights(dict):
-    most = 400_000
+    most = 200_000
 
     def __init__(self, model: Model) -> None:
         super().__init__()
@@ -131,7 +131,7 @@ def telling_features(sample: DataFrame, most: int = FEATURES) -> list[bytes]:
     n, n1 = (int(x or 0) for x in sample.agg(F.count(F.lit(1)), F.sum((F.col("grade") > 0).cast("int"))).first())
     if n1 in (0, n):
         return []
-    counts = sample.select("doc_id", "text", "grade").mapInArrow(_feature_counts, "feature binary, texts long, hot long").groupBy("feature").agg(F.sum("texts").alias("k"), F.sum("hot").alias("h"))
+    counts = sample.select("doc_id", "text", "grade").transform(mapped, _feature_counts, "feature binary, texts long, hot long").groupBy("feature").agg(F.sum("texts").alias("k"), F.sum("hot").alias("h"))
     part = lambda x, of: F.when(x > 0, x * F.log(x / of)).otherwise(0.0)
     k, h, all_, toxic = F.col("k"), F.col("h"), F.lit(float(n)), F.lit(float(n1))
     gain = 2 * (part(h, k) + part(k - h, k) + part(toxic - h, all_ - k) + part(all_ - toxic - k + h, all_ - k) - part(toxic, all_) - part(all_ - toxic, all_))
@@ -159,7 +159,7 @@ def fitted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
                 cols.append(sorted(x)), values.append([100 * x[k] / len(ws) for k in sorted(x)])
             yield pa.RecordBatch.from_arrays([given.column(0), given.column(2), pa.array(cols, pa.list_(pa.int64())), pa.array(values, pa.list_(pa.float64()))], names=["doc_id", "grade", "cols", "vals"])
 
-    rows = some.select("doc_id", "text", "grade").mapInArrow(vectors, "doc_id long, grade int, cols array<long>, vals array<double>").toPandas()
+    rows = some.select("doc_id", "text", "grade").transform(mapped, vectors, "doc_id long, grade int, cols array<long>, vals array<double>").toPandas()
     rows = rows.sort_values(["doc_id", "grade"], kind="stable") if len(rows) else rows
     sizes = [len(c) for c in rows["cols"]]
     flat = lambda c, kind: np.concatenate([np.zeros(0, kind), *(np.asarray(x, kind) for x in rows[c])])
@@ -199,7 +199,7 @@ def severity(docs: DataFrame, model: Model) -> DataFrame:
             for a, b in pieces(texts):
                 yield batch(_SCORES, {"doc_id": given.column(0).slice(a, b - a), "score": score_texts(texts[a:b], weight)})
 
-    out = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(scored, "doc_id long, score double")
+    out = docs.select(F.col("doc_id").cast("long"), "text").transform(mapped, scored, "doc_id long, score double")
     return _graded(out, model.thresholds, model.reject)
 
 

@@ -25,7 +25,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch, scratch, stored, table
+from .common import batch, mapped, scratch, stored, table
 
 #: Fixed values of the format.
 DICTIONARY_MAGIC, FRAME_MAGIC, SKIPPABLE = 0x184D2A5D, 0xFD2FB528, range(0x184D2A50, 0x184D2A60)
@@ -216,7 +216,7 @@ def write_archives(pages: DataFrame, folder: str, least: int = 0) -> DataFrame:
         if held:
             yield written()
 
-    return stored(typed.mapInArrow(run, "archive string, records long, bytes long"), "archives")
+    return stored(typed.transform(mapped, run, "archive string, records long, bytes long"), "archives")
 
 
 _RECORDS = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("url", pa.string()), ("payload", pa.binary())])
@@ -243,7 +243,7 @@ def read_archives(archives: DataFrame, payloads: bool = True) -> DataFrame:
                 yield batch(_RECORDS, out)
 
     parts = max(1, int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return archives.select("archive").repartition(parts, "archive").mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary")
+    return archives.select("archive").repartition(parts, "archive").transform(mapped, run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary")
 
 
 def op4_warc_round_trip(spark, sf_dir):
