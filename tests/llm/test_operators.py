@@ -1,0 +1,373 @@
+"""Small tests of the training-data operators: brute force, round trips, and the cases named in their docstrings."""
+
+import base64
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+from conftest import SF
+from pyspark.sql import functions as F
+
+from corpusloom.llm import collision_search, decontaminate, html_text, near_dedup, packing, pretokens, shingles, suffix_dedup, token_counts, toxicity, url_filter, warc
+from corpusloom.llm.components import components
+from corpusloom.llm.induced import common_prefixes, suffix_array
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon phi chi psi omega".split()
+
+
+def prose(seed, n):
+    rng = random.Random(seed)
+    return " ".join(rng.choice(WORDS) + str(rng.randrange(40)) for _ in range(n))
+
+
+def docs_of(spark, rows):
+    """Rows of documents with a null in every column, empty texts, repeated rows and a column whose name clashes."""
+    more = [(900, "", "en", "s", 0), (901, None, None, None, None), (None, "no id here", "en", "s", 3), (902, "one", "en", "s", 3), (902, "one", "en", "s", 3)]
+    return spark.createDataFrame([(i, t, "en", "src0", len(t or "")) for i, t in rows] + more, DOCS).withColumn("component_id", F.lit("clash")).withColumn("_spans_", F.lit(1))
+
+
+def empty(spark, schema=DOCS):
+    return spark.createDataFrame([], schema)
+
+
+# ---- operator 1
+
+
+def test_toxicity_held_out(spark):
+    rng = random.Random(1)
+    rows, labels = [], []
+    for i in range(600):
+        bad = i % 4 == 0
+        words = [rng.choice(WORDS) + str(rng.randrange(9)) for _ in range(60)]
+        if bad:
+            for k in rng.sample(range(60), 5):
+                words[k] = rng.choice(["vileword", "nastything", "cruelsay"])
+        rows.append((i, " ".join(words)))
+        if i < 400:
+            labels.append((i, i % 3 % 2, int(bad)))
+    docs = docs_of(spark, rows)
+    model = toxicity.fitted(docs, spark.createDataFrame([*labels, (None, 1, 1), (5000, None, 1), (7, 1, None)], "doc_id long, quality int, toxic int"))
+    got = toxicity.severity(docs, model).collect()
+    assert len(got) == 605
+    held = [r for r in got if r.doc_id is not None and 400 <= r.doc_id < 600]
+    assert sum(r.toxic == (r.doc_id % 4 == 0) for r in held) >= 196
+    assert all(0 <= r.p_toxic <= r.expected_severity <= 2 for r in got)
+    kept = toxicity.not_toxic(docs, model)
+    assert kept.columns == docs.columns
+    assert kept.count() == sum(not r.toxic for r in got)
+
+
+def test_toxicity_without_labels(spark):
+    model = toxicity.fitted(docs_of(spark, [(1, "a b")]), spark.createDataFrame([], "doc_id long, quality int, toxic int"))
+    assert toxicity.not_toxic(docs_of(spark, [(1, "a b")]), model).count() == 6
+    assert toxicity.severity(empty(spark), model).count() == 0
+
+
+def test_thresholds_rise_and_share_weights():
+    y = np.array([0, 0, 1, 1, 2, 2] * 20)
+    model = toxicity.fit(np.arange(120), np.zeros(120, np.int64), y.astype(float), y, [b"f"])
+    assert model.thresholds[0] < model.thresholds[1] and model.weights[b"f"] > 0
+
+
+# ---- operator 2 and 6
+
+
+@pytest.fixture(scope="module")
+def tokenizers():
+    from tokenizers import Tokenizer
+
+    return {n: Tokenizer.from_file(pretokens.vocabulary_path(n)) for n in ("word_bpe_49k.json", "byte_bpe_50k.json")}
+
+
+def test_counts_and_ids_are_the_librarys(tokenizers):
+    rng = random.Random(2)
+    parts = [*pretokens.plain_characters(), *" \n\tabc'st" * 30, "<|endoftext|>", "<|startoftext|>", "日本", "é", "İ", " ", "😀", "the", " don't", "12"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(40))) for _ in range(4000)] + ["", "a" * 100_000, " " * 5000 + "x"]
+    count = token_counts.Counter(pretokens.vocabulary_path("word_bpe_49k.json"), token_counts.whole_tokens(tokenizers["word_bpe_49k.json"]))
+    assert count(texts) == [len(tokenizers["word_bpe_49k.json"].encode(t, add_special_tokens=False).ids) for t in texts]
+    ids = packing.Ids(pretokens.vocabulary_path("byte_bpe_50k.json"))
+    for t in texts:
+        assert ids(t) == np.array(tokenizers["byte_bpe_50k.json"].encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_token_counts(spark):
+    got = token_counts.token_counts(docs_of(spark, [(1, "hello world"), (2, "é" * 5000)])).collect()
+    by = {r.doc_id: r for r in got}
+    assert len(got) == 7 and by[1].n_tokens == 2 and by[1].n_bytes == 11 and by[2].n_bytes == 10_000 and by[2].over_limit and by[901].n_tokens == 0
+    assert token_counts.token_counts(empty(spark)).count() == 0
+
+
+def packed_ok(rows, tokenizer, texts):
+    full = {i: np.append(np.array(tokenizer.encode(t or "", add_special_tokens=False).ids, "<u4"), np.uint32(1)).astype("<u4") for i, t in texts.items()}
+    by: dict = {}
+    for r in rows:
+        by.setdefault(r.sequence_id, []).append((r.offset, r.length))
+        if r.doc_id in full:
+            part = full[r.doc_id][r.start : r.start + r.length]
+            assert len(part) == r.length and zlib.crc32(part.tobytes()) == r.ids_crc32 and r.doc_tokens == len(full[r.doc_id])
+    for parts in by.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= packing.LENGTH
+    return by
+
+
+def test_packing(spark, tokenizers):
+    texts = {i: prose(i, [3, 30, 300, 1500][i % 4]) for i in range(40)}
+    rows = packing.packed(docs_of(spark, list(texts.items()))).collect()
+    by = packed_ok(rows, tokenizers["byte_bpe_50k.json"], texts)
+    assert sorted(by) == list(range(len(by)))
+    assert sum(r.length for r in rows if r.doc_id == 902) == 4 and sum(r.length for r in rows if r.doc_id == 901) == 1
+    assert packing.packed(empty(spark)).count() == 0
+
+
+def test_patterns_hold_the_histogram():
+    rng = random.Random(3)
+    for _ in range(30):
+        histogram = {rng.randrange(1, 2049): rng.randrange(1, 500) for _ in range(rng.randrange(1, 60))}
+        patterns = packing.packed_patterns(histogram)
+        held: dict = {}
+        for packs, pattern in patterns:
+            assert sum(s * c for s, c in pattern) <= 2048
+            for s, c in pattern:
+                held[s] = held.get(s, 0) + packs * c
+        assert held == histogram
+
+
+# ---- operator 3
+
+
+def brute_components(texts, least=(75, 100)):
+    seen = shingles.WordHashes()
+    sets = {i: set(shingles.shingle_set(t, seen).tolist()) for i, t in texts.items() if i is not None}
+    comp = {i: i for i in sets}
+
+    def find(x):
+        while comp[x] != x:
+            x = comp[x]
+        return x
+
+    ids = sorted(sets)
+    for n, i in enumerate(ids):
+        for j in ids[:n]:
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+                a, b = find(i), find(j)
+                comp[max(a, b)] = min(a, b)
+    return {i: find(i) for i in ids}, {i: len(s) for i, s in sets.items()}
+
+
+def test_near_duplicates_are_the_brute_force_ones(spark):
+    rng = random.Random(4)
+    texts = {}
+    for g in range(12):
+        base = prose(100 + g, 120).split()
+        for k in range(6):
+            words = base[:]
+            for _ in range(rng.randrange(0, 7)):
+                words[rng.randrange(120)] = f"edit{rng.randrange(999)}"
+            texts[g * 10 + k] = " ".join(words).upper() if k == 2 else "\n".join(words)
+    texts |= {500: "a b", 501: "A  b", 502: "a c", 503: "a b a b a b a b", 504: "x" * 200_000}
+    truth, sizes = brute_components(texts | {900: "", 901: None, 902: "one"})
+    got = near_dedup.near_duplicates(docs_of(spark, list(texts.items()))).collect()
+    assert len(got) == len(texts) + 5
+    for r in got:
+        if r.doc_id is None:
+            assert r.component_id is None and r.kept
+        else:
+            assert (r.component_id, r.n_shingles, r.kept) == (truth[r.doc_id], sizes[r.doc_id], truth[r.doc_id] == r.doc_id), r
+    assert near_dedup.near_duplicates(empty(spark)).count() == 0
+
+
+def test_components(spark):
+    rng = random.Random(5)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(k, k + 1) for k in range(1000, 1040)] + [(1, None), (7, 7)]
+    comp: dict = {}
+
+    def find(x):
+        while comp.setdefault(x, x) != x:
+            x = comp[x]
+        return x
+
+    for a, b in edges:
+        if b is not None and a != b:
+            x, y = find(a), find(b)
+            comp[max(x, y)] = min(x, y)
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {x: find(x) for x in comp}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+# ---- operator 4
+
+
+def test_warc_round_trip(spark, tmp_path):
+    pages = [(i, f"http://h{i}.org/é x", prose(i % 50, 300)) for i in range(120)] + [(200, None, None), (201, "u", ""), (None, "u", prose(3, 300)), (5, "again", prose(5, 300))]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("payload", F.lit(1))
+    archives = warc.write_archives(df, str(tmp_path))
+    assert archives.agg(F.sum("records")).first()[0] == len(pages)
+    got = warc.read_archives(archives).collect()
+    assert len(got) == len(pages)
+    last: dict = {}
+    for i, _, h in pages:
+        if i is not None:
+            last[h or ""] = max(i, last.get(h or "", -1))
+    for r in got:
+        html = next((h or "" for i, _, h in pages if i == r.page_id), None)
+        assert r.payload_bytes == len(html.encode()) and r.payload_digest == base64.b32encode(hashlib.sha1(html.encode()).digest()).decode()
+        if r.page_id is not None and r.page_id != last[html]:
+            assert (r.record_type, r.refers_to, r.payload) == ("revisit", last[html], None)
+        else:
+            assert (r.record_type, r.refers_to, bytes(r.payload)) == ("response", None, html.encode())
+    assert warc.read_archives(warc.write_archives(df.limit(0), str(tmp_path))).count() == 0
+
+
+def test_corrupt_archives_are_refused():
+    records = [warc.record(i, "u", prose(i, 400).encode(), None) for i in range(80)]
+    data = warc.archive(records)
+    assert data[:4] == b"\x5d\x2a\x4d\x18" and list(warc.frames(data)) == records
+    assert list(warc.frames(warc.archive(records[:1]))) == records[:1]
+    for bad in (data[:-3], data + b"xx", data[: len(data) // 2] + bytes([data[len(data) // 2] ^ 255]) + data[len(data) // 2 + 1 :]):
+        with pytest.raises(warc.CorruptArchive):
+            [warc.read_record(c) for c in warc.frames(bad)]
+    good = records[0]
+    for bad in (good[:-1], good.replace(b"WARC/1.1", b"WARX/1.1"), good.replace(b"WARC-Date", b"WARC-Dxte"), good.replace(b"alpha", b"alphx"), good.replace(b"Content-Length: ", b"Content-Length: 9")):
+        with pytest.raises(warc.CorruptArchive):
+            warc.read_record(bad)
+
+
+# ---- operator 5
+
+
+def test_url_filter(spark):
+    link = '<LINK rel="canonical" href="%s">'
+    rows = [(1, "http://a.net/x", link % "http://b.org/de/y"), (2, "http://b.org/de/y", ""), (3, "https://C.org/z?q#f", '<meta http-equiv=refresh content="0; url=/w">'), (4, "http://c.org/w", link % "//example.com/de/1"), (5, None, None), (6, "none", ""), (7, "http://d.org/a", link % "http://e.org/fr/1"), (8, "http://d.org/a", link % "http://q.net/1"), (9, "http://x.EXAMPLE.net/en/1", link % "http://q.net/1"), (None, "http://net", "")]
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_filter.filtered(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("rule", F.lit(1)), url_filter.rules_frame(spark)).collect()}
+    assert got == {1: ("a.net", "/x", "net/", "block"), 2: ("b.org", "/de/y", None, "block"), 3: ("c.org", "/z", None, "block"), 4: ("c.org", "/w", None, "block"), 5: ("", "", None, "allow"), 6: ("", "", None, "allow"), 7: ("d.org", "/a", None, "allow"), 8: ("d.org", "/a", None, "allow"), 9: ("x.example.net", "/en/1", "example.net/en/", "allow"), None: ("net", "", None, "allow")}
+
+
+# ---- operator 7
+
+
+def test_suffix_arrays():
+    rng = np.random.default_rng(6)
+    for k in range(150):
+        a = rng.integers(0, rng.integers(1, 5) + 1, rng.integers(1, 120)).astype(np.uint8)
+        a = np.tile(a, 3) if k % 3 == 0 else a
+        b = a.tobytes()
+        sa = suffix_array(a)
+        assert sa.tolist() == sorted(range(len(b)), key=lambda i: b[i:])
+        lcp = common_prefixes(a, sa)
+        for i in range(1, len(sa)):
+            x, y = b[sa[i - 1] :], b[sa[i] :]
+            assert lcp[i] == next((n for n, (p, q) in enumerate(zip(x, y)) if p != q), min(len(x), len(y)))
+
+
+def brute_repeats(rows):
+    seen: dict = {}
+    for n, (_, t) in enumerate(rows):
+        b = (t or "").encode()
+        for s in range(len(b) - 199):
+            seen.setdefault(b[s : s + 200], []).append((n, s))
+    cover = [np.zeros(len((t or "").encode()) + 1, int) for _, t in rows]
+    for places in seen.values():
+        if len(places) > 1:
+            for n, s in places:
+                cover[n][s : s + 200] = 1
+    return cover
+
+
+@pytest.mark.parametrize("most", [1024, 2])
+def test_repeats_are_the_brute_force_ones(spark, monkeypatch, most):
+    monkeypatch.setattr(suffix_dedup, "GROUP_MOST", most)
+    shared = prose(1, 60)
+    rows = [(i, f"{prose(50 + i, 40)} {shared[i : 260 + i * 3]} é{prose(90 + i, 30)}") for i in range(30)]
+    rows += [(100, "ab" * 700), (101, "q" * 900), (102, (prose(3, 30) + "\n") * 3), (103, shared), (103, shared), (104, prose(9, 80)), (None, prose(9, 80)), (105, "é" * 150 + "x"), (106, "y" + "é" * 150)]
+    given = spark.createDataFrame([(i, t, None, None, None) for i, t in rows] + [(901, None, None, None, None)], DOCS).withColumn("s", F.lit(1)).withColumn("did", F.lit(2))
+    got = sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.without_repeats(given).collect())
+    want = []
+    for (i, t), c in zip([*rows, (901, None)], brute_repeats([*rows, (901, None)])):
+        b, c = (t or "").encode(), c[:-1]
+        left = bytes(np.frombuffer(b, np.uint8)[c == 0])
+        want.append((str(i), len(b), int(c.sum()), int((np.diff(np.append(0, c)) == 1).sum()), hashlib.sha256(left).hexdigest()))
+    assert got == sorted(want)
+    cut = suffix_dedup.cleaned(given)
+    assert cut.columns == given.columns and cut.count() == len(rows) + 1
+    assert suffix_dedup.without_repeats(given.limit(0)).count() == 0
+
+
+# ---- operator 8
+
+
+def test_search_recall_and_cases(spark):
+    rng = np.random.default_rng(7)
+    x = rng.standard_normal((6000, 32)) * rng.uniform(0.5, 2, (6000, 1))
+    x[100:140] = x[100]
+    rows = [(i, [float(v) for v in r]) for i, r in enumerate(x)] + [(7000, None), (7001, [0.0] * 32), (7002, [float("nan")] * 32), (7003, [None] * 32), (7004, [1.0] * 3), (None, [1.0] * 32), (11, [float(v) for v in x[11]])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("rank", F.lit(0))
+    got: dict = {}
+    for r in collision_search.search(df, F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+        assert r.rank == len(got[r.query_id])
+    assert sorted(got) == list(range(0, 6000, 20))
+    hits = 0
+    for q, found in got.items():
+        scores = (x * x[q]).sum(1)
+        order = [i for i in np.lexsort((np.arange(6000), -scores)) if i != q][:20]
+        hits += len({i for i, _ in found} & set(order))
+        assert all(abs(s - scores[i]) < 1e-12 for i, s in found) and len(found) == 20
+        assert found == sorted(found, key=lambda f: (-f[1], f[0]))
+    assert hits >= 0.9 * 20 * len(got)
+    assert collision_search.search(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+    few = collision_search.search(df.where("vec_id < 5"), F.col("vec_id") == 0)
+    assert few.count() == 4
+
+
+# ---- operator 9
+
+
+def test_main_text(spark):
+    page = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body class="has-sidebar"><header><h1>Site</h1><nav><ul><li><a href=x>Home</a></ul></nav></header>
+    <div class="cookie-notice">We use cookies and many more words than you like</div><div id=main><div class="post"><h2>Title &amp; more</h2><p>First para\n with&nbsp;words in it.<p>Second one has many words<br>line two.
+    <div class="ad">Buy now</div><script>var t="</p>";</script><ul><li>point one is long enough<li>point two as well</ul><p>Third closes it with more words.</div><div class="comments"><p>I think this is great said a reader</p></div></div><aside>side</aside><form><p>Name</form><footer>c 2020</footer>"""
+    want = "Title & more\n\nFirst para with words in it.\n\nSecond one has many words line two.\n\npoint one is long enough\n\npoint two as well\n\nThird closes it with more words."
+    pages = spark.createDataFrame([(1, "u", page), (2, None, None), (None, "v", ""), (3, "w", "1 < 2 and <b>bold"), (4, "x", "<p>a<script>x<"), (5, "y", "<!-- " * 3000 + "<p>end</p>")], "page_id long, url string, html string").withColumn("text", F.lit(1))
+    got = {r.page_id: r for r in html_text.page_texts(pages, html_text.fitted_weights(pages)).collect()}
+    assert got[1].text == want and got[1].n_chars == len(want)
+    assert (got[2].text, got[None].text, got[3].text, got[4].text) == ("", "", "1 < 2 and bold", "a")
+
+
+def test_main_text_on_labelled_pages(spark):
+    import html
+    import re
+
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    got = {r.page_id: r.text for r in html_text.page_texts(pages, html_text.fitted_weights(pages)).collect()}
+    for r in pages.collect():
+        article = re.search(r"<article>(.*?)</article>", r.html, re.S)[1]
+        blocks = (" ".join(html.unescape(re.sub(r"</?b>", "", b).replace("<br>", " ")).split()) for b in re.split(r"</?(?:p|h1)>", article))
+        assert got[r.page_id] == "\n\n".join(b for b in blocks if b)
+
+
+# ---- operator 10
+
+
+def test_decontamination(spark):
+    item = "If Alice buys 12 apples at 3 dollars each and gives 5 of them to Bob, how many apples does she have left now in total?"
+    other = item.replace("Alice", "Carol").replace("12", "40").replace("Bob", "Dave").replace("5", "9")
+    mixed_up = "If Carol buys 12 apples at 3 dollars each and gives 5 of them to Bob. If Erin buys 13 apples at 4 dollars each and gives 6 of them to Fay, how many"
+    docs = docs_of(spark, [(1, f"{prose(1, 50)} {item} {prose(2, 50)}"), (2, f"Intro. {other} {prose(3, 20)}"), (3, prose(4, 200)), (4, item.upper()), (5, prose(5, 3) + " six words here"), (6, mixed_up[:0] + prose(6, 90))])
+    bench = spark.createDataFrame([(10, item), (11, "six words here"), (12, None), (None, item), (10, item)], "item_id long, text string").withColumn("doc_id", F.lit(1))
+    want = {(1, 10), (2, 10), (5, 11)}
+    for most in (1000, 0):
+        got = decontaminate.contaminated(docs, bench, most).collect()
+        assert {(r.doc_id, r.item_id) for r in got} - {(4, 10)} == want
+        assert {r.doc_id: r.changed_slots > 0 for r in got if r.item_id == 10 and r.doc_id != 4} == {1: False, 2: True}
+        left = decontaminate.decontaminated(docs, bench, most)
+        assert left.columns == docs.columns and {3, 6, 900, 901, 902} <= {r.doc_id for r in left.collect()} and not {1, 2, 5} & {r.doc_id for r in left.collect()}
+    assert decontaminate.contaminated(empty(spark), bench).count() == 0
+    assert decontaminate.contaminated(docs, bench.limit(0)).count() == 0
