@@ -40,8 +40,8 @@ def without_controls(c: Column) -> Column:
 
 
 def slug(c: Column, most: int = 90) -> Column:
-    """File-name form: reserved and control characters and runs of white space become _, the rest is trimmed and cut."""
-    s = F.regexp_replace(c, r'[<>:"/\\|?*\x00-\x1f]+', "_")
+    """File-name form: each reserved or control character and each run of white space becomes _, the rest is trimmed and cut."""
+    s = F.regexp_replace(c, r'[<>:"/\\|?*\x00-\x1f]', "_")
     s = F.regexp_replace(F.regexp_replace(s, rf"{WS}+", "_"), r"^[._ ]+|[._ ]+$", "")
     s = F.substring(s, 1, most)
     return F.when(F.length(s) > 0, s).otherwise("document")

@@ -101,7 +101,7 @@ def doc_ids(spark, sf_dir):
     return load(spark, sf_dir, "documents").select("doc_id", T.hash_id(F.concat_ws("|", "source", "doc_id")).alias("file_id"))
 
 
-@query(r"""WITH s AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(url, '[<>:"/\\|?*\x00-\x1f]+', '_', 'g'), '\s+', '_', 'g'), '^[._ ]+|[._ ]+$', '', 'g')[1:90] AS s FROM pages) SELECT page_id, CASE WHEN s = '' THEN 'document' ELSE s END AS slug FROM s""")
+@query(r"""WITH s AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(url, '[<>:"/\\|?*\x00-\x1f]', '_', 'g'), '\s+', '_', 'g'), '^[._ ]+|[._ ]+$', '', 'g')[1:90] AS s FROM pages) SELECT page_id, CASE WHEN s = '' THEN 'document' ELSE s END AS slug FROM s""")
 def slugs(spark, sf_dir):
     return load(spark, sf_dir, "pages").select("page_id", T.slug(F.col("url")).alias("slug"))
 

@@ -65,7 +65,7 @@ def test_cleaning_is_idempotent(spark):
 def test_functions(spark):
     df = spark.createDataFrame([("a/b: c  d.", "3, 1;3，x 2", 10, 4)], "s string, p string, n long, m long")
     r = one(df.select(T.slug(F.col("s")).alias("slug"), T.page_numbers(F.col("p")).alias("pages"), T.sample_indexes(F.col("n"), F.col("m")).alias("at")))
-    assert (r.slug, r.pages, r.at) == ("a_b_c_d", [1, 2, 3], [0, 3, 6, 9])
+    assert (r.slug, r.pages, r.at) == ("a_b__c_d", [1, 2, 3], [0, 3, 6, 9])
     answers = spark.createDataFrame([("```markdown\n# A\n```",), ('{"text": "t", "content": "c"}',), ("  ",)], "a string")
     assert [r.x for r in answers.select(ocr.answer(F.col("a")).alias("x")).collect()] == ["# A", "t", "[blank page]"]
 
