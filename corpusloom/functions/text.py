@@ -36,7 +36,7 @@ def lines(c: Column) -> Column:
 
 def without_controls(c: Column) -> Column:
     """Control characters but tab and LF go; no-break spaces become spaces."""
-    return F.translate(F.regexp_replace(c, r"[\x00-\x08\x0b\x0c\x0e-\x1f]", ""), " ", " ")
+    return F.translate(F.regexp_replace(c, r"[\x00-\x08\x0b\x0c\x0e-\x1f]", ""), "\u00a0", " ")
 
 
 def slug(c: Column, most: int = 90) -> Column:
