@@ -78,3 +78,13 @@ def coverage(documents: DataFrame, chunks: DataFrame) -> DataFrame:
     """doc_id, side of ids that only documents or only chunks have."""
     d, c = documents.select("doc_id").distinct(), chunks.select("doc_id").distinct()
     return d.join(c, "doc_id", "left_anti").withColumn("side", F.lit("without_chunks")).unionByName(c.join(d, "doc_id", "left_anti").withColumn("side", F.lit("without_document")))
+
+
+def exact_cell_rate(cells: DataFrame, targets: DataFrame, key: str) -> DataFrame:
+    """cells(key, cell), targets(key, text) -> key, cells, exact_cell_rate: share of cells whose letters and digits the
+    target holds, after normalisation; 1.0 for none. Short cells match almost anywhere: this isn't cell-exact."""
+    plain = lambda c: F.regexp_replace(c, r"[^\p{L}\p{N}]", "")
+    wanted = cells.select(key, plain(F.col("cell")).alias("c")).where("c <> ''")
+    both = targets.select(key, plain(F.col("text")).alias("t")).join(wanted, key, "left")
+    each = both.groupBy(key).agg(F.count("c").alias("cells"), F.avg(F.contains("t", "c").cast("int")).alias("r"))
+    return each.select(key, "cells", F.round(F.coalesce("r", F.lit(1.0)), 6).alias("exact_cell_rate"))

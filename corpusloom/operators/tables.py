@@ -101,3 +101,26 @@ def outside_boxes(texts: DataFrame, boxes: DataFrame, page: list[str], most: flo
     area = F.greatest(F.lit(1.0), (F.col("t.x1") - F.col("t.x0")) * (F.col("t.y1") - F.col("t.y0")))
     on = [F.col(f"t.{k}") == F.col(f"b.{k}") for k in page] + [wide * high / area > most]
     return t.join(b, on, "left_anti")
+
+
+def file_levels(found: DataFrame, expected: DataFrame, key: str) -> DataFrame:
+    """found(key, page, level), expected(key, page, tables) -> key, expected_tables, markdown_tables, missing_pages, level.
+
+    A count that differs or pages without their tables are red; several tables on a page or ten in a document are yellow
+    at least; a document that no table is expected of is green."""
+    rank = F.when(F.col("level") == "red", 2).when(F.col("level") == "yellow", 1).otherwise(0)
+    pages = found.groupBy(key, "page").agg(F.count(F.lit(1)).alias("n"), F.max(rank).alias("worst"))
+    both = expected.withColumnRenamed("tables", "e").join(pages, [key, "page"], "full_outer")
+    each = both.groupBy(key).agg(F.coalesce(F.sum("e"), F.lit(0)).alias("expected_tables"), F.coalesce(F.sum("n"), F.lit(0)).alias("markdown_tables"), F.count_if((F.col("e") > 0) & F.col("n").isNull()).alias("missing_pages"), F.coalesce(F.max("worst"), F.lit(0)).alias("w"), F.coalesce(F.max("n"), F.lit(0)).alias("crowd"))
+    red = (F.col("expected_tables") != F.col("markdown_tables")) | (F.col("missing_pages") > 0) | (F.col("w") == 2)
+    level = F.when(F.col("expected_tables") == 0, "green").when(red, "red").when((F.col("w") == 1) | (F.col("crowd") > 1) | (F.col("expected_tables") >= 10), "yellow").otherwise("green")
+    return each.withColumn("level", level).drop("w", "crowd")
+
+
+def repaired(original: DataFrame, enhanced: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, table_no, rows) of a document's tables and of the enhanced ones -> keys, table_no, status, original_rows,
+    enhanced_rows: the k-th table of a page is replaced by the k-th enhanced one."""
+    ranked = lambda d: d.withColumn("k", F.row_number().over(Window.partitionBy(*keys).orderBy("table_no")))
+    side = ranked(enhanced).select(*keys, "k", F.col("rows").alias("enhanced_rows"))
+    both = ranked(original).join(side, [*keys, "k"], "left")
+    return both.select(*keys, "table_no", F.when(F.col("enhanced_rows").isNull(), "kept_missing_enhanced_table").otherwise("replaced").alias("status"), F.col("rows").alias("original_rows"), F.coalesce("enhanced_rows", F.lit(0)).alias("enhanced_rows"))
