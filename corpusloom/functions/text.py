@@ -60,11 +60,15 @@ def is_noise(line: Column) -> Column:
     return line.rlike(PAGE_NOISE)
 
 
+def is_chapter(s: Column) -> Column:
+    """A stripped line that reads like a chapter's title."""
+    return (F.length(s) > 0) & ~s.startswith("#") & ~s.contains("|") & (F.length(s) <= 140) & s.rlike(CHAPTER)
+
+
 def promoted(line: Column) -> Column:
     """Chapter-like lines become second-level headings."""
     s = strip(line)
-    fits = (F.length(s) > 0) & ~s.startswith("#") & ~s.contains("|") & (F.length(s) <= 140) & s.rlike(CHAPTER)
-    return F.when(fits, F.concat(F.lit("## "), s)).otherwise(line)
+    return F.when(is_chapter(s), F.concat(F.lit("## "), s)).otherwise(line)
 
 
 def relaxed(c: Column) -> Column:

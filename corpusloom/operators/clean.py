@@ -1,9 +1,11 @@
-"""Cleaning and chunking of Markdown bodies. Lines stay in arrays within their row: no operator here shuffles."""
+"""Cleaning and chunking of Markdown bodies. Lines stay in arrays within their row: cleaning and chunking don't shuffle."""
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 from ..functions import text as T
 
@@ -12,48 +14,56 @@ SHORT, OFTEN = 80, 4
 CHUNK, LEAST_CUT = 2200, 800
 
 
-def repeated_short(lines: str, sorted_short: str) -> Column:
+def repeated_short(sorted_short: str) -> Column:
     """The distinct lines that occur OFTEN times: in sorted_short, each stands OFTEN - 1 places before its equal."""
     return F.array_distinct(F.filter(sorted_short, lambda x, i: F.get(F.col(sorted_short), i + OFTEN - 1) == x))
 
 
 def with_lines(docs: DataFrame, body: str = "body") -> DataFrame:
-    """docs with lines (right-trimmed) and short (their stripped short lines, sorted)."""
+    """docs with rows, an array of (line, its stripped form, whether it is page noise), and short, the sorted short lines.
+
+    Each line is stripped and matched once; later steps read the array."""
     text = T.without_controls(T.newlines(F.col(body)))
-    docs = docs.withColumn("lines", F.transform(F.split(text, "\n"), T.rstrip))
-    short = F.filter(F.transform("lines", T.strip), lambda s: (F.length(s) > 0) & (F.length(s) <= SHORT) & ~T.is_noise(s))
-    return docs.withColumn("short", F.array_sort(short))
+    docs = docs.withColumn("rows", F.transform(F.split(text, "\n"), lambda x: F.struct(T.rstrip(x).alias("line"), T.strip(x).alias("s"))))
+    docs = docs.withColumn("rows", F.transform("rows", lambda r: F.struct(r["line"].alias("line"), r["s"].alias("s"), T.is_noise(r["s"]).alias("noise"))))
+    short = F.filter("rows", lambda r: (F.length(r["s"]) > 0) & (F.length(r["s"]) <= SHORT) & ~r["noise"])
+    return docs.withColumn("short", F.array_sort(F.transform(short, lambda r: r["s"])))
 
 
 def clean_lines(docs: DataFrame, body: str = "body") -> DataFrame:
     """docs with cleaned: noise and repeated short lines go, chapter lines become headings, blank runs collapse."""
-    docs = with_lines(docs, body).withColumn("repeats", repeated_short("lines", "short"))
-    kept = F.filter("lines", lambda x: ~T.is_noise(T.strip(x)) & ~F.array_contains("repeats", T.strip(x)))
-    joined = F.concat(T.strip(F.array_join(F.transform(kept, T.promoted), "\n")), F.lit("\n"))
-    return docs.withColumn("cleaned", F.regexp_replace(joined, r"\n{3,}", "\n\n")).drop("lines", "short", "repeats")
-
-
-def chunks_of(c: Column) -> Column:
-    """Text cut into parts of at most CHUNK characters, at the last newline after LEAST_CUT if there is one.
-
-    The fold has a step for every LEAST_CUT characters, the fewest that a cut consumes."""
-    empty = F.struct(F.array().cast("array<string>").alias("parts"), T.strip(c).alias("rest"))
-
-    def step(state: Column, _: Column) -> Column:
-        rest = state["rest"]
-        prefix = F.substring(rest, 1, CHUNK)
-        last = F.when(F.instr(F.reverse(prefix), "\n") > 0, CHUNK - F.instr(F.reverse(prefix), "\n")).otherwise(-1)
-        at = F.when(last < LEAST_CUT, CHUNK).otherwise(last)
-        cut = F.struct(F.concat(state["parts"], F.array(T.strip(rest.substr(F.lit(1), at)))).alias("parts"), T.strip(rest.substr(at + 1, F.length(rest))).alias("rest"))
-        return F.when(F.length(rest) > CHUNK, cut).otherwise(state)
-
-    steps = F.sequence(F.lit(1), F.floor(F.length(c) / LEAST_CUT).cast("int") + 1)
-    return F.aggregate(steps, empty, step, lambda s: F.filter(F.concat(s["parts"], F.array(s["rest"])), lambda x: F.length(x) > 0))
+    docs = with_lines(docs, body).withColumn("repeats", repeated_short("short"))
+    kept = F.filter("rows", lambda r: ~r["noise"] & ~F.array_contains("repeats", r["s"]))
+    lines = F.transform(kept, lambda r: F.when(T.is_chapter(r["s"]), F.concat(F.lit("## "), r["s"])).otherwise(r["line"]))
+    joined = F.concat(T.strip(F.array_join(lines, "\n")), F.lit("\n"))
+    return docs.withColumn("cleaned", F.regexp_replace(joined, r"\n{3,}", "\n\n")).drop("rows", "short", "repeats")
+
+
+def parts_of(text: str | None) -> list[str]:
+    """Text cut into parts of at most CHUNK characters, at the last newline after LEAST_CUT if there is one."""
+    rest, out, at = (text or "").strip(), [], 0
+    end = len(rest)
+    while end - at > CHUNK:
+        cut = rest.rfind("\n", at, at + CHUNK)
+        cut = at + CHUNK if cut < at + LEAST_CUT else cut
+        out.append(rest[at:cut].strip())
+        at = cut
+        while at < end and rest[at].isspace():
+            at += 1
+    out.append(rest[at:])
+    return [x for x in out if x]
+
+
+@F.pandas_udf(ArrayType(StringType()))
+def chunks_of(texts: pd.Series) -> pd.Series:
+    """Arrow batches, as a fold over built-in expressions copies the rest of the text at every cut: it is quadratic in a
+    document's length, this is linear."""
+    return texts.map(parts_of)
 
 
 def chunk(docs: DataFrame, key: str = "doc_id", body: str = "text") -> DataFrame:
     """key, seq (from 1), chunk: one row per chunk."""
-    return docs.select(key, F.posexplode(chunks_of(F.col(body))).alias("seq", "chunk")).withColumn("seq", F.col("seq").cast("long") + 1)
+    return docs.select(key, chunks_of(F.col(body)).alias("parts")).select(key, F.posexplode("parts").alias("seq", "chunk")).withColumn("seq", F.col("seq").cast("long") + 1)
 
 
 def sections(docs: DataFrame, key: str = "doc_id", body: str = "body") -> DataFrame:

@@ -78,7 +78,7 @@ def page_noise_lines(spark, sf_dir):
 @query(f"WITH {_MD}, {_LINES}, t AS (SELECT doc_id, {_STRIP('line')} AS s FROM ls) SELECT doc_id, s AS line FROM t WHERE s <> '' AND length(s) <= 80 AND NOT regexp_matches(s, '{_NOISE}') GROUP BY 1, 2 HAVING count(*) >= 4")
 def repeated_lines(spark, sf_dir):
     docs = clean.with_lines(md_documents(spark, sf_dir))
-    return docs.select("doc_id", F.explode(clean.repeated_short("lines", "short")).alias("line"))
+    return docs.select("doc_id", F.explode(clean.repeated_short("short")).alias("line"))
 
 
 @query(f"WITH {_MD}, {_LINES}, t AS (SELECT doc_id, n, {_STRIP('line')} AS s FROM ls) SELECT doc_id, n AS line_no, '## ' || s AS heading FROM t WHERE s <> '' AND NOT starts_with(s, '#') AND NOT contains(s, '|') AND length(s) <= 140 AND regexp_matches(s, '{_CHAPTER}')")
