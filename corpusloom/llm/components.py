@@ -1,8 +1,8 @@
 """Connected components by DataFrame operations: alternating large and small stars.
 
 Each round is two aggregations and joins on the node, so no component is gathered anywhere: a hub's neighbours are
-pre-aggregated to their minimum, and the join back is one that adaptive execution can split. Rounds end when a round
-changes nothing; their number grows with the logarithm of the longest path."""
+pre-aggregated to their minimum. The minima are written before they are joined back: both sides of the join are then
+exchanges of its own, which adaptive execution can split at a hub. Rounds end when a round changes nothing; their number grows with the logarithm of the longest path."""
 
 from __future__ import annotations
 
@@ -14,13 +14,13 @@ from .common import stored
 
 def _large(edges: DataFrame) -> DataFrame:
     both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    least = stored(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
     return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
+    least = stored(down.groupBy("a").agg(F.min("b").alias("m")), "least")
     return down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(least.select("a", F.col("m").alias("b"))).where("a <> b")
 
 
