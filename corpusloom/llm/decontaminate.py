@@ -1,7 +1,8 @@
 """Operator 10, benchmark decontamination by template canonicalisation.
 
 Words become template words: numbers, names and units are replaced by typed placeholders, other words are lower-cased
-and lose their outer punctuation. Windows of so many template words, of benchmark items and of documents, meet by hash.
+and lose their outer punctuation. Windows of so many template words, of benchmark items and of documents, meet by hash, and so
+do windows of the lower-cased words themselves, as a copy in other case has no names; a hit on either counts.
 For a document and an item that share windows, each item window counts once. The slots of matched windows are then
 checked for consistency: each value that stands in an item's slot must stand against one value in the document. A copy
 has equal values throughout; a re-parameterised question has others, but consistently.
@@ -13,7 +14,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import batch, mapped, pieces, rows_where, table
-from .shingles import windows
+from .shingles import mixed
 
 #: Words in a window; least share of an item's windows that a document must hold; least share of its slots that must
 #: stand against one value each.
@@ -37,6 +38,7 @@ _OUTER = bytes(c for c in range(128) if not chr(c).isalnum())
 _ENDS = (b".", b"!", b"?", b":")
 _IS_NUMBER, _IS_NAME, _ENDS_SENTENCE, _IS_UNIT, _IS_EMPTY = 1, 2, 4, 8, 16
 _FLAGS = np.uint64(31)
+_M, _HALF, _NEAR = np.uint64(0x9E3779B97F4A7C15), np.uint64(32), 1 << 19
 _PLACEHOLDER = {k: np.uint64(xxhash.xxh3_64_intdigest(k) & ~31) for k in ("number", "name", "unit")}
 _UNITS = frozenset(u.encode() for u in UNITS)
 
@@ -64,7 +66,8 @@ class Words(dict):
 
 
 def template(words: list[bytes], seen: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words -> template word hashes, whether each is a slot, and its place among the words; bare punctuation is left out."""
+    """Words -> rows of word hashes (literal, template), whether each is a slot, and its place among the words; bare
+    punctuation is left out."""
     h = np.fromiter(map(seen.__getitem__, words), np.uint64, len(words))
     at = np.flatnonzero((h & np.uint64(_IS_EMPTY)) == 0)
     ends = np.append(True, (h[:-1] & np.uint64(_ENDS_SENTENCE)) > 0)[at] if len(h) else np.zeros(0, bool)
@@ -72,20 +75,28 @@ def template(words: list[bytes], seen: Words) -> tuple[np.ndarray, np.ndarray, n
     number = (h & np.uint64(_IS_NUMBER)) > 0
     name = ((h & np.uint64(_IS_NAME)) > 0) & ~ends
     unit = ((h & np.uint64(_IS_UNIT)) > 0) & np.append(False, number[:-1]) if len(h) else number
-    out = h & ~_FLAGS
+    out = np.stack([h & ~_FLAGS] * 2)
     for mask, k in ((number, "number"), (name, "name"), (unit, "unit")):
-        out[mask] = _PLACEHOLDER[k]
-    return out, number | name | unit, at
-
-
-def template_windows(out: np.ndarray, slot: np.ndarray, width: int) -> np.ndarray:
-    """Hashes of the windows of so many template words; 0 where more than half are slots."""
-    if len(out) < width:
-        return np.zeros(0, np.uint64)
-    w = windows(out, width)
-    filled = np.concatenate([[0], np.cumsum(slot)])
-    w[(filled[width:] - filled[:-width]) * 2 > width] = 0
-    return w
+        out[1, mask] = _PLACEHOLDER[k]
+    slot = np.stack([np.zeros(len(h), bool), number | name | unit])
+    return out, slot, at
+
+
+def template_windows(out: np.ndarray, slot: np.ndarray, sizes: Iterable[int]) -> Iterator[tuple[int, np.ndarray]]:
+    """Each of the rising sizes with the hashes of the windows of so many words, by rows; 0 where more than half are slots."""
+    n = out.shape[1]
+    w, k = out, 1
+    filled = np.concatenate([np.zeros((len(slot), 1), np.int64), np.cumsum(slot, 1)], 1)
+    for size in sizes:
+        if size > n:
+            return
+        for k in range(k, size):
+            w = (w[:, : n - k] ^ (w[:, : n - k] >> _HALF)) * _M + out[:, k:]
+        k = size
+        found = mixed(w)
+        heavy = (filled[:, size:] - filled[:, :-size]) * 2 > size
+        found[heavy | heavy[1]] = 0
+        yield size, found
 
 
 class Items:
@@ -94,57 +105,68 @@ class Items:
     def __init__(self, rows: list[tuple[int, str]], width: int = WINDOW) -> None:
         seen = Words()
         self.words, self.templates, self.windows = {}, {}, {}
-        found: dict[int, dict[int, list]] = defaultdict(lambda: defaultdict(list))
+        found: dict[int, dict[int, set]] = defaultdict(lambda: defaultdict(set))
         for k, (item, text) in enumerate(rows):
             ws = (text or "").encode().split()
             t = template(ws, seen)
-            size = min(width, len(t[0]))
+            size = min(width, len(t[2]))
             if not size:
                 continue
             self.words[k], self.templates[k] = ws, t
-            own = template_windows(t[0], t[1], size)
-            self.windows[k] = max(1, len(set(own.tolist()) - {0}))
-            for p, h in enumerate(own.tolist()):
-                if h:
-                    found[size][h].append((k, p))
+            ((_, own),) = template_windows(t[0], t[1], [size])
+            self.windows[k] = max(1, len(set(own[1].tolist()) - {0}))
+            for row in own.tolist():
+                for p, h in enumerate(row):
+                    if h:
+                        found[size][h].add((k, p))
         self.ids = [r[0] for r in rows]
-        self.tables = {size: (np.array(sorted(t), np.uint64), dict(t)) for size, t in found.items()}
-        for size, (keys, _) in list(self.tables.items()):
-            near = np.zeros(1 << 16, bool)
-            near[(keys & np.uint64(0xFFFF)).astype(np.int64)] = True
-            self.tables[size] += (near,)
+        self.tables = {}
+        for size, t in sorted(found.items()):
+            keys = np.array(sorted(t), np.uint64)
+            near = np.zeros(_NEAR, bool)
+            near[(keys & np.uint64(_NEAR - 1)).astype(np.int64)] = True
+            self.tables[size] = (keys, {h: sorted(places) for h, places in t.items()}, near)
 
     def matches(self, text: str | None, seen: Words, only: set[int] | None = None) -> list[tuple[int, float, int, int]]:
         """(item, share of its windows, slots compared, slots with another value) of each item found in text."""
         ws = (text or "").encode().split()
         out, slot, at = template(ws, seen)
-        hits: dict[int, list] = defaultdict(list)
-        for size, (keys, where, near) in self.tables.items():
-            w = template_windows(out, slot, size)
-            p = np.flatnonzero(near[(w & np.uint64(0xFFFF)).astype(np.int64)])
-            if len(p):
-                k = np.searchsorted(keys, w[p])
-                p = p[(k < len(keys)) & (keys[np.minimum(k, len(keys) - 1)] == w[p])]
-            for d in p.tolist():
-                for k, q in where[int(w[d])]:
-                    if only is None or k in only:
-                        hits[k].append((d, q, size))
+        hits: dict[int, set] = defaultdict(set)
+        for size, rows in template_windows(out, slot, self.tables):
+            keys, where, near = self.tables[size]
+            for w in rows:
+                p = np.flatnonzero(near[(w & np.uint64(_NEAR - 1)).astype(np.int64)])
+                if len(p):
+                    k = np.searchsorted(keys, w[p])
+                    p = p[(k < len(keys)) & (keys[np.minimum(k, len(keys) - 1)] == w[p])]
+                for d in p.tolist():
+                    for k, q in where[int(w[d])]:
+                        if only is None or k in only:
+                            hits[k].add((d, q, size))
         found = []
         for k, places in hits.items():
-            theirs, their_slots, their_at = self.templates[k]
-            share = min(1.0, len({theirs[q : q + z].tobytes() for _, q, z in places}) / self.windows[k])
-            if share < LEAST_SHARE:
-                continue
-            against: dict[bytes, set[bytes]] = defaultdict(set)
-            pairs = {(q + j, d + j) for d, q, z in places for j in range(z) if their_slots[q + j]}
-            for q, d in pairs:
-                against[self.words[k][their_at[q]].strip(_OUTER).lower()].add(ws[at[d]].strip(_OUTER).lower())
-            consistent = sum(len(v) == 1 or key in v for key, v in against.items())
-            if against and consistent < LEAST_CONSISTENT * len(against):
-                continue
-            found.append((self.ids[k], share, len(against), sum(key not in v for key, v in against.items())))
+            share = self._share(k, places)
+            if share >= LEAST_SHARE and (compared := self._compared(k, places, ws, at)):
+                found.append((self.ids[k], share, *compared))
         return found
 
+    def _share(self, k: int, places: set) -> float:
+        """Share of the item's windows among the places; each counts once."""
+        theirs = self.templates[k][0][1]
+        return min(1.0, len({theirs[q : q + z].tobytes() for _, q, z in places}) / self.windows[k])
+
+    def _compared(self, k: int, places: Iterable[tuple], ws: list[bytes], at: np.ndarray) -> tuple[int, int] | None:
+        """Slots compared and slots with another value; None if too few stand against one value each."""
+        _, slots, their_at = self.templates[k]
+        against: dict[bytes, set[bytes]] = defaultdict(set)
+        pairs = {(q + j, d + j) for d, q, z in places for j in range(z) if slots[1][q + j]}
+        for q, d in pairs:
+            against[self.words[k][their_at[q]].strip(_OUTER).lower()].add(ws[at[d]].strip(_OUTER).lower())
+        consistent = sum(len(v) == 1 or key in v for key, v in against.items())
+        if against and consistent < LEAST_CONSISTENT * len(against):
+            return None
+        return len(against), sum(key not in v for key, v in against.items())
+
 
 _MATCHES = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("share", pa.float64()), ("slots", pa.int64()), ("changed_slots", pa.int64())])
 _MATCHES_DDL = "doc_id long, item_id long, share double, slots long, changed_slots long"
@@ -168,11 +190,11 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b in pieces(texts, 1 << 19):
             key, hs = [], []
             for i in range(a, b):
-                out, slot, _ = template((texts[i] or "").encode().split(), seen)
-                for size in sizes[i] or [min(WINDOW, len(out))]:
-                    w = np.unique(template_windows(out, slot, size)) if size else np.zeros(0, np.uint64)
-                    w = w[w > 0]
-                    hs.append(w), key.append(np.full(len(w), ids[i]))
+                out, slot, at = template((texts[i] or "").encode().split(), seen)
+                own = [w.ravel() for _, w in template_windows(out, slot, sizes[i] or [min(WINDOW, len(at))])] if len(at) else []
+                w = np.unique(np.concatenate([np.zeros(0, np.uint64), *own]))
+                w = w[w > 0]
+                hs.append(w), key.append(np.full(len(w), ids[i]))
             if hs:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(key), pa.int64()), pa.array(np.concatenate(hs).view(np.int64))], names=["id", "h"])
 
