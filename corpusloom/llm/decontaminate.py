@@ -3,7 +3,8 @@
 Words become template words: numbers, names and units are replaced by typed placeholders, other words are lower-cased
 and lose their outer punctuation. Windows of so many template words, of benchmark items and of documents, meet by hash, and so
 do windows of the lower-cased words themselves, as a copy in other case has no names; a hit on either counts.
-For a document and an item that share windows, each item window counts once. The slots of matched windows are then
+For a document and an item that share windows, each item window counts once; or else the item's words count that matched
+windows cover within a stretch of the document, by shorter windows if the item is short. The slots of matched windows are then
 checked for consistency: each value that stands in an item's slot must stand against one value in the document. A copy
 has equal values throughout; a re-parameterised question has others, but consistently.
 
@@ -13,7 +14,7 @@ no document moves. Beyond that the windows of both sides meet in a shuffled join
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -25,9 +26,14 @@ from pyspark.sql import functions as F
 from .common import batch, mapped, pieces, rows_where, table
 from .shingles import mixed
 
-#: Words in a window; least share of an item's windows that a document must hold; least share of its slots that must
-#: stand against one value each.
+#: Words in a window; least share of an item's windows, or of its words, that a document must hold; least share of its
+#: slots that must stand against one value each.
 WINDOW, LEAST_SHARE, LEAST_CONSISTENT = 8, 0.5, 0.8
+#: Words in the windows of shorter items: (most words of the item, words in its windows). With items of four times as many
+#: words or more, any two changed words leave half of the words in windows.
+SEEDS = ((15, 3), (31, 4))
+#: Matched words count together within so many times the item's length in the document.
+SPAN = 2
 BROADCAST = 2_000_000
 
 #: Units that are replaced by a placeholder when they follow a number.
@@ -99,6 +105,13 @@ def template_windows(out: np.ndarray, slot: np.ndarray, sizes: Iterable[int]) ->
         yield size, found
 
 
+def window_sizes(n: int, width: int = WINDOW) -> list[int]:
+    """Sizes of the windows of an item of so many words, rising; items up to a window's length are one window."""
+    if n <= width:
+        return [n] * (n > 0)
+    return [*[z for most, z in SEEDS if n <= most and z < width][:1], width]
+
+
 class Items:
     """Benchmark items by the hashes of their windows."""
 
@@ -109,16 +122,16 @@ class Items:
         for k, (item, text) in enumerate(rows):
             ws = (text or "").encode().split()
             t = template(ws, seen)
-            size = min(width, len(t[2]))
-            if not size:
+            sizes = window_sizes(len(t[2]), width)
+            if not sizes:
                 continue
             self.words[k], self.templates[k] = ws, t
-            ((_, own),) = template_windows(t[0], t[1], [size])
-            self.windows[k] = max(1, len(set(own[1].tolist()) - {0}))
-            for row in own.tolist():
-                for p, h in enumerate(row):
-                    if h:
-                        found[size][h].add((k, p))
+            for size, own in template_windows(t[0], t[1], sizes):
+                for row in own.tolist():
+                    for p, h in enumerate(row):
+                        if h:
+                            found[size][h].add((k, p))
+            self.windows[k] = sizes[-1], max(1, len(set(own[1].tolist()) - {0}))
         self.ids = [r[0] for r in rows]
         self.tables = {}
         for size, t in sorted(found.items()):
@@ -128,7 +141,7 @@ class Items:
             self.tables[size] = (keys, {h: sorted(places) for h, places in t.items()}, near)
 
     def matches(self, text: str | None, seen: Words, only: set[int] | None = None) -> list[tuple[int, float, int, int]]:
-        """(item, share of its windows, slots compared, slots with another value) of each item found in text."""
+        """(item, share of its windows or words, slots compared, slots with another value) of each item found in text."""
         ws = (text or "").encode().split()
         out, slot, at = template(ws, seen)
         hits: dict[int, set] = defaultdict(set)
@@ -145,15 +158,38 @@ class Items:
                             hits[k].add((d, q, size))
         found = []
         for k, places in hits.items():
-            share = self._share(k, places)
-            if share >= LEAST_SHARE and (compared := self._compared(k, places, ws, at)):
-                found.append((self.ids[k], share, *compared))
+            for share, some in self._shares(k, places):
+                if compared := self._compared(k, some, ws, at):
+                    found.append((self.ids[k], share, *compared))
+                    break
         return found
 
+    def _shares(self, k: int, places: set) -> Iterator[tuple[float, Iterable[tuple]]]:
+        """The shares that suffice, each with its places: of the item's windows, wherever they are, then of its words, by
+        stretches of the document, the fullest first."""
+        whole = {x for x in places if x[2] == self.windows[k][0]}
+        if whole and (share := self._share(k, whole)) >= LEAST_SHARE:
+            yield share, whole
+        n = len(self.templates[k][2])
+        need = max(LEAST_SHARE * n, min(n, WINDOW))
+        if len({q + j for _, q, z in places for j in range(z)}) < need:
+            return
+        order, held, first, stretches = sorted(places), Counter(), 0, []
+        for last, (d, q, z) in enumerate(order):
+            held.update(range(q, q + z))
+            while order[first][0] + SPAN * n < d + z:
+                _, p, y = order[first]
+                held.subtract(range(p, p + y))
+                first += 1
+            if (covered := sum(c > 0 for c in held.values())) >= need:
+                stretches.append((-covered, first, last))
+        for covered, a, b in sorted(stretches):
+            yield -covered / n, order[a : b + 1]
+
     def _share(self, k: int, places: set) -> float:
         """Share of the item's windows among the places; each counts once."""
         theirs = self.templates[k][0][1]
-        return min(1.0, len({theirs[q : q + z].tobytes() for _, q, z in places}) / self.windows[k])
+        return min(1.0, len({theirs[q : q + z].tobytes() for _, q, z in places}) / self.windows[k][1])
 
     def _compared(self, k: int, places: Iterable[tuple], ws: list[bytes], at: np.ndarray) -> tuple[int, int] | None:
         """Slots compared and slots with another value; None if too few stand against one value each."""
@@ -191,7 +227,7 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             key, hs = [], []
             for i in range(a, b):
                 out, slot, at = template((texts[i] or "").encode().split(), seen)
-                own = [w.ravel() for _, w in template_windows(out, slot, sizes[i] or [min(WINDOW, len(at))])] if len(at) else []
+                own = [w.ravel() for _, w in template_windows(out, slot, sizes[i] or window_sizes(len(at)))]
                 w = np.unique(np.concatenate([np.zeros(0, np.uint64), *own]))
                 w = w[w > 0]
                 hs.append(w), key.append(np.full(len(w), ids[i]))
@@ -202,8 +238,7 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _joined(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The same matches where the items are too many to be sent out: windows meet in a shuffled join, then the pairs' texts."""
     items = _item_rows(benchmark)
-    sizes = items.select(F.least(F.size(F.split(F.trim("text"), r"\s+")), F.lit(WINDOW)).alias("z")).distinct()
-    sizes = sorted({r.z for r in sizes.collect()} | set(range(1, WINDOW + 1)))  # at most WINDOW numbers
+    sizes = sorted({*range(1, WINDOW + 1), *(z for _, z in SEEDS)})  # at most so many; an item's own are among them
     ours = docs.select(F.col("doc_id").cast("long").alias("id"), "text").where("id IS NOT NULL")
     with_sizes = lambda df, z: df.select("id", "text", F.lit(z).cast("array<int>").alias("z")).transform(mapped, _window_rows, "id long, h long")
     left = with_sizes(ours, F.array(*map(F.lit, sizes)))

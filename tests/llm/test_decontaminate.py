@@ -17,3 +17,15 @@ def found(spark, docs, items, most):
 @BOTH
 def test_copies_in_other_case(spark, most):
     assert found(spark, [(4, ITEM.upper()), (5, ITEM.lower())], [(10, ITEM)], most) == {(4, 10), (5, 10)}
+
+
+@BOTH
+def test_one_and_two_changed_words(spark, most):
+    docs, items = [], []
+    for n in (15, 37):
+        words = [f"w{n}x{k}" for k in range(n)]
+        items.append((n, " ".join(words)))
+        edits = [(k,) for k in range(n)] + [(a, b) for a in range(n) for b in range(a)]
+        docs += [(n * 10_000 + at, "before it " + " ".join("other" if k in e else w for k, w in enumerate(words)) + " after it") for at, e in enumerate(edits)]
+        docs += [(n * 10_000 + 9999, " ".join(words[: n // 3]))]
+    assert found(spark, docs, items, most) == {(i, i // 10_000) for i, _ in docs if i % 10_000 != 9999}
