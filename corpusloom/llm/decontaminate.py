@@ -2,7 +2,8 @@
 
 Words become template words: numbers, names and units are replaced by typed placeholders, other words are lower-cased
 and lose their outer punctuation. Windows of so many template words, of benchmark items and of documents, meet by hash, and so
-do windows of the lower-cased words themselves, as a copy in other case has no names; a hit on either counts.
+do windows of the lower-cased words themselves, as a copy in other case has no names; a hit on either counts. Template
+windows of mostly slots would meet anything and are left out; such passages are found by their words.
 For a document and an item that share windows, each item window counts once; or else the item's words count that matched
 windows cover within a stretch of the document, by shorter windows if the item is short. The slots of matched windows are then
 checked for consistency: each value that stands in an item's slot must stand against one value in the document. A copy
@@ -101,7 +102,7 @@ def template_windows(out: np.ndarray, slot: np.ndarray, sizes: Iterable[int]) ->
         k = size
         found = mixed(w)
         heavy = (filled[:, size:] - filled[:, :-size]) * 2 > size
-        found[heavy | heavy[1]] = 0
+        found[heavy] = 0
         yield size, found
 
 
@@ -131,7 +132,7 @@ class Items:
                     for p, h in enumerate(row):
                         if h:
                             found[size][h].add((k, p))
-            self.windows[k] = sizes[-1], max(1, len(set(own[1].tolist()) - {0}))
+            self.windows[k] = sizes[-1], own[1]
         self.ids = [r[0] for r in rows]
         self.tables = {}
         for size, t in sorted(found.items()):
@@ -187,9 +188,9 @@ class Items:
             yield -covered / n, order[a : b + 1]
 
     def _share(self, k: int, places: set) -> float:
-        """Share of the item's windows among the places; each counts once."""
-        theirs = self.templates[k][0][1]
-        return min(1.0, len({theirs[q : q + z].tobytes() for _, q, z in places}) / self.windows[k][1])
+        """Share of the item's template windows among the places; each counts once, those of mostly slots not at all."""
+        own = self.windows[k][1]
+        return len({own[q] for _, q, _ in places} - {0}) / max(1, len(set(own.tolist()) - {0}))
 
     def _compared(self, k: int, places: Iterable[tuple], ws: list[bytes], at: np.ndarray) -> tuple[int, int] | None:
         """Slots compared and slots with another value; None if too few stand against one value each."""

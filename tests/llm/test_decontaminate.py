@@ -29,3 +29,10 @@ def test_one_and_two_changed_words(spark, most):
         docs += [(n * 10_000 + at, "before it " + " ".join("other" if k in e else w for k, w in enumerate(words)) + " after it") for at, e in enumerate(edits)]
         docs += [(n * 10_000 + 9999, " ".join(words[: n // 3]))]
     assert found(spark, docs, items, most) == {(i, i // 10_000) for i, _ in docs if i % 10_000 != 9999}
+
+
+@BOTH
+def test_items_of_mostly_slots(spark, most):
+    items = ["12 + 7 = 19, 30 - 4 = ?", "7 kg", "Anna, Berta, Carla, Dora, Emil, Fritz, Gustav, Hans, Ida, Jan, Karl, Lena"]
+    docs = [(k, f"words before {t} and words after") for k, t in enumerate(items)] + [(10, "words 13 + 8 = 21, 31 - 5 = ? and 8 kg"), (11, "the names Anna, Berta, Carla and Dora"), (12, "Olga, Paul, Quirin, Rosa, Sven, Tina, Udo, Vera, Willi, Xaver, Yves, Zoe")]
+    assert found(spark, docs, list(enumerate(items)), most) == {(0, 0), (1, 1), (2, 2)}
