@@ -1,7 +1,8 @@
 """Operator 10, benchmark decontamination by template canonicalisation.
 
 Words become template words: numbers, names and units are replaced by typed placeholders, other words are lower-cased
-and lose their outer punctuation. Windows of so many template words, of benchmark items and of documents, meet by hash, and so
+and lose their outer punctuation. A capitalised word that begins a
+sentence may be a name or not; its windows are made both ways. Windows of so many template words, of benchmark items and of documents, meet by hash, and so
 do windows of the lower-cased words themselves, as a copy in other case has no names; a hit on either counts. Template
 windows of mostly slots would meet anything and are left out; such passages are found by their words.
 For a document and an item that share windows, each item window counts once; or else the item's words count that matched
@@ -73,19 +74,21 @@ class Words(dict):
 
 
 def template(words: list[bytes], seen: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words -> rows of word hashes (literal, template), whether each is a slot, and its place among the words; bare
-    punctuation is left out."""
+    """Words -> rows of word hashes (literal, template, and if they differ, template with capitalised words that begin a
+    sentence as names), whether each is a slot, and its place among the words; bare punctuation is left out."""
     h = np.fromiter(map(seen.__getitem__, words), np.uint64, len(words))
     at = np.flatnonzero((h & np.uint64(_IS_EMPTY)) == 0)
     ends = np.append(True, (h[:-1] & np.uint64(_ENDS_SENTENCE)) > 0)[at] if len(h) else np.zeros(0, bool)
     h = h[at]
     number = (h & np.uint64(_IS_NUMBER)) > 0
-    name = ((h & np.uint64(_IS_NAME)) > 0) & ~ends
+    name = (h & np.uint64(_IS_NAME)) > 0
     unit = ((h & np.uint64(_IS_UNIT)) > 0) & np.append(False, number[:-1]) if len(h) else number
-    out = np.stack([h & ~_FLAGS] * 2)
-    for mask, k in ((number, "number"), (name, "name"), (unit, "unit")):
-        out[1, mask] = _PLACEHOLDER[k]
-    slot = np.stack([np.zeros(len(h), bool), number | name | unit])
+    names = [name & ~ends, name] if (name & ends).any() else [name]
+    out = np.stack([h & ~_FLAGS] * (1 + len(names)))
+    slot = np.stack([np.zeros(len(h), bool), *(number | x | unit for x in names)])
+    for row, x in enumerate(names, 1):
+        for mask, k in ((number, "number"), (x, "name"), (unit, "unit")):
+            out[row, mask] = _PLACEHOLDER[k]
     return out, slot, at
 
 
@@ -119,7 +122,7 @@ class Items:
     def __init__(self, rows: list[tuple[int, str]], width: int = WINDOW) -> None:
         seen = Words()
         self.words, self.templates, self.windows = {}, {}, {}
-        found: dict[int, dict[int, set]] = defaultdict(lambda: defaultdict(set))
+        found: dict[int, dict[int, dict]] = defaultdict(lambda: defaultdict(dict))
         for k, (item, text) in enumerate(rows):
             ws = (text or "").encode().split()
             t = template(ws, seen)
@@ -128,10 +131,10 @@ class Items:
                 continue
             self.words[k], self.templates[k] = ws, t
             for size, own in template_windows(t[0], t[1], sizes):
-                for row in own.tolist():
-                    for p, h in enumerate(row):
+                for row, hs in enumerate(own.tolist()):
+                    for p, h in enumerate(hs):
                         if h:
-                            found[size][h].add((k, p))
+                            found[size][h].setdefault((k, p), row)
             self.windows[k] = sizes[-1], own[1]
         self.ids = [r[0] for r in rows]
         self.tables = {}
@@ -139,33 +142,40 @@ class Items:
             keys = np.array(sorted(t), np.uint64)
             near = np.zeros(_NEAR, bool)
             near[(keys & np.uint64(_NEAR - 1)).astype(np.int64)] = True
-            self.tables[size] = (keys, {h: sorted(places) for h, places in t.items()}, near)
+            self.tables[size] = (keys, {h: [(*at, row) for at, row in places.items()] for h, places in t.items()}, near)
 
     def matches(self, text: str | None, seen: Words, only: set[int] | None = None) -> list[tuple[int, float, int, int]]:
         """(item, share of its windows or words, slots compared, slots with another value) of each item found in text."""
         ws = (text or "").encode().split()
         out, slot, at = template(ws, seen)
-        hits: dict[int, set] = defaultdict(set)
+        hits: dict[int, dict] = defaultdict(dict)
         for size, rows in template_windows(out, slot, self.tables):
             keys, where, near = self.tables[size]
-            for w in rows:
+            for row, w in enumerate(rows):
                 p = np.flatnonzero(near[(w & np.uint64(_NEAR - 1)).astype(np.int64)])
                 if len(p):
                     k = np.searchsorted(keys, w[p])
                     p = p[(k < len(keys)) & (keys[np.minimum(k, len(keys) - 1)] == w[p])]
                 for d in p.tolist():
-                    for k, q in where[int(w[d])]:
+                    for k, q, theirs in where[int(w[d])]:
                         if only is None or k in only:
-                            hits[k].add((d, q, size))
+                            hits[k].setdefault((d, q, size), max(row, theirs, 1))
         found = []
         for k, places in hits.items():
-            for share, some in self._shares(k, places):
-                if compared := self._compared(k, some, ws, at):
-                    found.append((self.ids[k], share, *compared))
+            plain = {x for x, row in places.items() if row == 1}
+            for some in (plain, places)[len(plain) == len(places) :]:  # words that begin sentences are taken for names only if needed
+                if best := self._best(k, places, some, ws, at):
+                    found.append((self.ids[k], *best))
                     break
         return found
 
-    def _shares(self, k: int, places: set) -> Iterator[tuple[float, Iterable[tuple]]]:
+    def _best(self, k: int, rows: dict, places: Iterable[tuple], ws: list[bytes], at: np.ndarray) -> tuple[float, int, int] | None:
+        for share, some in self._shares(k, places):
+            if compared := self._compared(k, [(*x, rows[x]) for x in some], ws, at):
+                return share, *compared
+        return None
+
+    def _shares(self, k: int, places: Iterable[tuple]) -> Iterator[tuple[float, Iterable[tuple]]]:
         """The shares that suffice, each with its places: of the item's windows, wherever they are, then of its words, by
         stretches of the document, the fullest first."""
         whole = {x for x in places if x[2] == self.windows[k][0]}
@@ -189,14 +199,14 @@ class Items:
 
     def _share(self, k: int, places: set) -> float:
         """Share of the item's template windows among the places; each counts once, those of mostly slots not at all."""
-        own = self.windows[k][1]
-        return len({own[q] for _, q, _ in places} - {0}) / max(1, len(set(own.tolist()) - {0}))
+        found, own = {q for _, q, _ in places}, self.windows[k][1].tolist()
+        return len({own[q] for q in found} - {0}) / max(1, len({*own} - {0}))
 
     def _compared(self, k: int, places: Iterable[tuple], ws: list[bytes], at: np.ndarray) -> tuple[int, int] | None:
         """Slots compared and slots with another value; None if too few stand against one value each."""
         _, slots, their_at = self.templates[k]
         against: dict[bytes, set[bytes]] = defaultdict(set)
-        pairs = {(q + j, d + j) for d, q, z in places for j in range(z) if slots[1][q + j]}
+        pairs = {(q + j, d + j) for d, q, z, row in places for j in range(z) if slots[min(row, len(slots) - 1), q + j]}
         for q, d in pairs:
             against[self.words[k][their_at[q]].strip(_OUTER).lower()].add(ws[at[d]].strip(_OUTER).lower())
         consistent = sum(len(v) == 1 or key in v for key, v in against.items())

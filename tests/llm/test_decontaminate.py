@@ -36,3 +36,15 @@ def test_items_of_mostly_slots(spark, most):
     items = ["12 + 7 = 19, 30 - 4 = ?", "7 kg", "Anna, Berta, Carla, Dora, Emil, Fritz, Gustav, Hans, Ida, Jan, Karl, Lena"]
     docs = [(k, f"words before {t} and words after") for k, t in enumerate(items)] + [(10, "words 13 + 8 = 21, 31 - 5 = ? and 8 kg"), (11, "the names Anna, Berta, Carla and Dora"), (12, "Olga, Paul, Quirin, Rosa, Sven, Tina, Udo, Vera, Willi, Xaver, Yves, Zoe")]
     assert found(spark, docs, list(enumerate(items)), most) == {(0, 0), (1, 1), (2, 2)}
+
+
+@BOTH
+def test_names_that_begin_sentences(spark, most):
+    items = ["Tom has 12 red apples. Tom gives 5 to Ann. How many apples does Tom have left?", "Tom ate 3 pears. Ann ate 4 figs. Bob ate 5 plums. Eve ate 6 nuts. Who ate most?"]
+    names = {"Tom": "Sam", "Ann": "Lea", "Bob": "Max", "Eve": "Ina"}
+    docs = []
+    for k, text in enumerate(items):
+        for a, b in names.items():
+            text = text.replace(a, b)
+        docs += [(k, f"before it. {text} After it."), (k + 10, items[k])]
+    assert found(spark, docs, list(enumerate(items)), most) == {(0, 0), (1, 1), (10, 0), (11, 1)}
