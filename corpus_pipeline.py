@@ -18,9 +18,8 @@ def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near-duplicates the document with the least id stays; rows without an id stay."""
-    gone = near_dedup.near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+    """Of each component of near-duplicates one row stays, with the least id; rows without an id take part, as the last."""
+    return near_dedup.without_near_duplicates(docs)
 
 
 def repeats_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -28,6 +28,7 @@ from .shingles import WordHashes, shingle_set
 SAMPLES, BAND_ROWS, ODD_BITS, PARITY_BITS, BLOCK = 128, 4, 512, 1024, 1024
 #: At similarity 0.75 a pair's odd sketches differ in about 57 bits, with a deviation of 9; 110 is over five deviations away.
 ODD_MOST = 110
+_NODE = "_near_dedup_node_"
 
 _FEATURES = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("bands", pa.list_(pa.int64())), ("odd", pa.list_(pa.int64())), ("parity", pa.list_(pa.int64()))])
 _FEATURES_DDL = "doc_id long, n_shingles long, set_key binary, bands array<long>, odd array<long>, parity array<long>"
@@ -209,5 +210,25 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_shingles", whole.alias("component_id"), F.coalesce(F.col("doc_id") == whole, F.lit(True)).alias("kept"), "class_id")
 
 
+def without_near_duplicates(docs: DataFrame) -> DataFrame:
+    """One row of each component of near-duplicates, all columns as they are: one with the least id, rows without an id last.
+
+    Nodes are pairs of id and text by a 63-bit hash, so an id that has several texts loses only those that are copies. Of
+    rows that repeat id and text one stays, also of those without shingles."""
+    node = F.xxhash64(F.col("doc_id").cast("long"), "text").bitwiseAND(F.lit((1 << 63) - 1))
+    found = near_duplicates(docs.select(node.alias("doc_id"), "text")).select(F.col("doc_id").alias("node"), "component_id")
+    found = stored(found.groupBy("node").agg(F.first("component_id").alias("component"), F.count(F.lit(1)).alias("n")), "nodes")
+    groups = found.groupBy("component").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("component")
+    some = found.select("node", "component").join(groups, "component", "left_semi")
+    ids = docs.select(node.alias("node"), F.col("doc_id").cast("long").alias("id"))
+    best = some.join(ids, "node").groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node")).alias("first"))
+    gone = some.join(best.select(F.col("first.node").alias("node")), "node", "left_anti").select("node")
+    again = found.where("n > 1").select("node").join(gone, "node", "left_anti")
+    left = docs.withColumn(_NODE, node)
+    among = lambda df, how: left.join(df.withColumnRenamed("node", _NODE), _NODE, how)
+    once = among(stored(gone.unionAll(again), "gone"), "left_anti").unionByName(among(again, "left_semi").dropDuplicates([_NODE]))
+    return once.select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
 def op3_minhash_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
