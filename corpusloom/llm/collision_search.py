@@ -6,7 +6,7 @@ query's projection a window grows, from radius to radius (virtual rehashing: no
 that enters it gains a collision. Vectors with COLLISIONS or more are candidates; when there are enough for the block,
 they are verified by their exact inner products, in double precision.
 
-Rows are dealt to blocks of about BLOCK vectors and the queries to chunks of about CHUNK; each block meets each chunk in
+Rows that repeat an id are folded first. They are dealt to blocks of about BLOCK vectors and the queries to chunks of about CHUNK; each block meets each chunk in
 one task of bounded size, which hands on its nearest only. All rows are indexed, none is dropped for a full bucket."""
 
 from __future__ import annotations
@@ -122,13 +122,13 @@ def search(vectors: DataFrame, queries: Column, k: int = NEAREST, vector: str =
 
     Each query's k nearest by inner product among all other ids, ties to the smaller id; all of them, if fewer. Vectors
     that are null, zero, of another length than most, or hold null or non-finite components take no part, neither do
-    null ids. An id that repeats is one vector. Without queries or vectors the result is empty."""
+    null ids. An id that repeats is one vector, the least of its own. Without queries or vectors the result is empty."""
     rows = vectors.select(F.col("vec_id").cast("long"), F.col(vector).cast("array<double>").alias("v"), F.coalesce(queries, F.lit(False)).alias("is_query")).where("vec_id IS NOT NULL AND v IS NOT NULL")
-    sizes = rows.groupBy(F.size("v").alias("z")).agg(F.count(F.lit(1)).alias("n"), F.count_if("is_query").alias("q")).orderBy(F.desc("n"), "z").limit(1).collect()
+    sizes = rows.groupBy("vec_id", F.size("v").alias("z")).agg(F.max("is_query").alias("is_query")).groupBy("z").agg(F.count(F.lit(1)).alias("n"), F.count_if("is_query").alias("q")).orderBy(F.desc("n"), "z").limit(1).collect()
     if not sizes:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     blocks, chunks = max(1, -(-sizes[0].n // block)), max(1, -(-sizes[0].q // chunk))
-    rows = rows.where(usable("v", sizes[0].z))
+    rows = rows.where(usable("v", sizes[0].z)).groupBy("vec_id").agg(F.min("v").alias("v"), F.max("is_query").alias("is_query"))
     of = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
     all_of = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     dealt = rows.select("vec_id", "v", F.lit(False).alias("is_query"), of(blocks).alias("b"), all_of(chunks).alias("c"))

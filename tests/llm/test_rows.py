@@ -23,3 +23,20 @@ def test_near_copies_are_dropped_by_row(spark):
     got = corpus_pipeline.near_copies_out(spark, docs, "")
     assert got.columns == docs.columns
     assert sorted(map(str, ((r.doc_id, r.text) for r in got.collect()))) == sorted(map(str, [(1, a), (5, b), (7, c), (None, d), (8, None), (None, None), (9, "")]))
+
+
+def test_repeated_vectors_count_once(spark):
+    x = np.random.default_rng(3).standard_normal((3000, 16))
+    rows = [(i, [float(v) for v in x[i]]) for i in range(len(x)) for _ in range(60 if i == 7 else 3)]
+    rows += [(9000, [float(v) for v in x[0] * 3])] * 60
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got: dict = {}
+    for r in collision_search.search(df, F.col("vec_id") % 300 == 0).collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    y, ids = np.concatenate([x, x[:1] * 3]), np.append(np.arange(3000), 9000)
+    hits = 0
+    for q, found in got.items():
+        order = np.argsort(-(y * y[ids == q]).sum(1))
+        assert len(set(found)) == len(found) == 20
+        hits += len(set(found) & set([i for i in ids[order].tolist() if i != q][:20]))
+    assert sorted(got) == [*range(0, 3000, 300), 9000] and hits >= 0.9 * 20 * len(got)
