@@ -5,7 +5,8 @@ features serves all thresholds: P(grade > k) = sigmoid(score - threshold_k), thr
 shares, among a text's words, of words and of their beginnings and inner parts of 4 to 6 characters; so a word adds the
 weights of its own features, which are summed once for each word met. The expected severity is the sum of P(grade > k).
 
-The model is fitted on the driver on a bounded sample of labelled rows (at most SAMPLE); every document is scored."""
+The model is fitted on the driver on a bounded sample of labelled rows (at most SAMPLE), weighted to the classes' shares
+among all labels; every document is scored."""
 
 from __future__ import annotations
 
@@ -69,13 +70,15 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
-def fit(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, y: np.ndarray, names: list[bytes], grades_n: int = GRADES, rounds: int = 300, ridge: float = 3e-4) -> Model:
+def fit(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, y: np.ndarray, names: list[bytes], grades_n: int = GRADES, rounds: int = 300, ridge: float = 3e-4, weights: np.ndarray | None = None) -> Model:
     """Cumulative-link fit of sparse rows by full-batch Adam with a ridge penalty; the same input gives the same model.
+    weights: how many rows each row stands for, all alike if not given.
 
     Without rows, or with one grade only, the model rejects nothing."""
     n = len(y)
     if n == 0 or y.min() == y.max():
         return Model({}, [10.0 + k for k in range(grades_n - 1)], 0.5)
+    each = np.ones(n) if weights is None else weights * (n / weights.sum())
     w, first, gaps = np.zeros(len(names)), 1.0, np.zeros(grades_n - 2)
     above = y[:, None] > np.arange(grades_n - 1)
     state = [np.zeros(len(names) + grades_n - 1) for _ in range(2)]
@@ -86,7 +89,7 @@ def fit(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, y: np.ndarray, n
         edge = np.concatenate([np.ones((n, 1)), p, np.zeros((n, 1))], 1)
         mass = np.maximum(1e-12, edge[np.arange(n), y] - edge[np.arange(n), y + 1])
         slope = np.concatenate([np.zeros((n, 1)), p * (1 - p), np.zeros((n, 1))], 1)
-        upper, lower = slope[np.arange(n), y] / mass, slope[np.arange(n), y + 1] / mass  # d log mass / d score = upper - lower
+        upper, lower = each * slope[np.arange(n), y] / mass, each * slope[np.arange(n), y + 1] / mass  # d log mass / d score = upper - lower
         g_score = -(upper - lower) / n
         g_theta = np.zeros(grades_n - 1)
         for k in range(grades_n - 1):
@@ -102,11 +105,22 @@ def fit(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, y: np.ndarray, n
     return Model({f: float(v) for f, v in zip(names, w) if abs(v) > 1e-9}, theta.tolist(), 0.5)
 
 
+def _grades(labels: DataFrame) -> DataFrame:
+    return labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.when(F.col("toxic") > 0, F.when(F.col("quality") > 0, 1).otherwise(2)).otherwise(0)).alias("grade"))
+
+
+def class_weights(labels: DataFrame, sample: int = SAMPLE) -> tuple[float, float]:
+    """How many labelled documents one of the sample stands for, of those not toxic and of the toxic ones."""
+    toxic = F.col("grade") > 0
+    other, hot = _grades(labels).agg(F.count_if(~toxic), F.count_if(toxic)).first()
+    return max(1.0, other / (sample - sample // 2)), max(1.0, hot / (sample // 2))
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """doc_id, text, grade of at most so many labelled documents: half of them toxic, if there are enough, chosen by hash.
 
     Labels with null columns are left out; of labels that repeat an id the most severe counts."""
-    grades = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.when(F.col("toxic") > 0, F.when(F.col("quality") > 0, 1).otherwise(2)).otherwise(0)).alias("grade"))
+    grades = _grades(labels)
     order = [F.xxhash64("doc_id"), "doc_id"]
     some = grades.where("grade > 0").orderBy(*order).limit(sample // 2).unionAll(grades.where("grade = 0").orderBy(*order).limit(sample - sample // 2))
     return docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(some), "doc_id")  # bounded by sample
@@ -163,7 +177,9 @@ def fitted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     rows = rows.sort_values(["doc_id", "grade"], kind="stable") if len(rows) else rows
     sizes = [len(c) for c in rows["cols"]]
     flat = lambda c, kind: np.concatenate([np.zeros(0, kind), *(np.asarray(x, kind) for x in rows[c])])
-    return fit(np.repeat(np.arange(len(rows)), sizes).astype(np.int64), flat("cols", np.int64), flat("vals", np.float64), rows["grade"].to_numpy(np.int64), names)
+    y = rows["grade"].to_numpy(np.int64)
+    weights = np.array(class_weights(labels, sample))[(y > 0).astype(np.int64)]
+    return fit(np.repeat(np.arange(len(rows)), sizes).astype(np.int64), flat("cols", np.int64), flat("vals", np.float64), y, names, weights=weights)
 
 
 _SCORES = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
