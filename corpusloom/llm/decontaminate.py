@@ -22,7 +22,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import batch, mapped, pieces, rows_where, table
@@ -216,6 +216,7 @@ class Items:
 
 
 _MATCHES = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("share", pa.float64()), ("slots", pa.int64()), ("changed_slots", pa.int64())])
+_KEYED = pa.schema([("text_key", pa.string()), *list(_MATCHES)[1:]])
 _MATCHES_DDL = "doc_id long, item_id long, share double, slots long, changed_slots long"
 
 
@@ -246,35 +247,40 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(key), pa.int64()), pa.array(np.concatenate(hs).view(np.int64))], names=["id", "h"])
 
 
+def _text_key() -> Column:
+    return F.sha2(F.col("text").cast("binary"), 256)
+
+
 def _joined(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The same matches where the items are too many to be sent out: windows meet in a shuffled join, then the pairs' texts."""
+    """text_key, item_id, share, ... of each text of docs: the same matches where the items are too many to be sent out: windows meet in a shuffled join, then the pairs' texts."""
     items = _item_rows(benchmark)
     sizes = sorted({*range(1, WINDOW + 1), *(z for _, z in SEEDS)})  # at most so many; an item's own are among them
-    ours = docs.select(F.col("doc_id").cast("long").alias("id"), "text").where("id IS NOT NULL")
+    ours = docs.select(_text_key().alias("text_key"), "text").where("text IS NOT NULL").dropDuplicates(["text_key"])
+    ours = ours.select(F.xxhash64("text_key").alias("id"), "text_key", "text")
     with_sizes = lambda df, z: df.select("id", "text", F.lit(z).cast("array<int>").alias("z")).transform(mapped, _window_rows, "id long, h long")
     left = with_sizes(ours, F.array(*map(F.lit, sizes)))
     right = with_sizes(items.select(F.col("item_id").alias("id"), "text"), F.lit(None)).withColumnRenamed("id", "item_id")
     pairs = left.join(right, "h").select("id", "item_id").distinct()
-    both = pairs.join(ours, "id").join(items.select("item_id", F.col("text").alias("item")), "item_id").select("id", "text", "item_id", "item")
+    both = pairs.join(ours, "id").join(items.select("item_id", F.col("text").alias("item")), "item_id").select("text_key", "text", "item_id", "item")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = Words()
         for given in batches:
             out = [(d, *m) for d, t, i, x in zip(*(given.column(k).to_pylist() for k in range(4))) for m in Items([(i, x)]).matches(t, seen)]
-            yield batch(_MATCHES, dict(zip(_MATCHES.names, zip(*out))) if out else {n: [] for n in _MATCHES.names})
+            yield batch(_KEYED, dict(zip(_KEYED.names, zip(*out))) if out else {n: [] for n in _KEYED.names})
 
-    return both.transform(mapped, run, _MATCHES_DDL)
+    return both.transform(mapped, run, _MATCHES_DDL.replace("doc_id long", "text_key string"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, most: int = BROADCAST) -> DataFrame:
     """docs(doc_id, text, ...), benchmark(item_id, text) -> doc_id, item_id, share, slots, changed_slots of each match.
 
-    Null or empty texts match nothing. Rows of docs that repeat give repeated matches; null ids stay null, but where the
-    items exceed the bound rows without an id are left out. Items that repeat count once. Other columns are not looked
+    Null or empty texts match nothing. Rows of docs that repeat give repeated matches; null ids stay null. Items that repeat count once. Other columns are not looked
     at; without rows on either side the result is empty."""
     known = small_items(benchmark, most)
     if known is None:
-        return _joined(docs, benchmark)
+        ids = docs.select(F.col("doc_id").cast("long"), _text_key().alias("text_key"))
+        return ids.join(_joined(docs, benchmark), "text_key").drop("text_key")
     sent = docs.sparkSession.sparkContext.broadcast(known)  # bounded by most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,8 +296,8 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, most: int = BROADCAST)
     """The rows of docs that match no item, all columns as they are."""
     known = small_items(benchmark, most)
     if known is None:
-        found = _joined(docs, benchmark).select("doc_id").distinct()
-        return docs.join(found, docs["doc_id"].cast("long") == found["doc_id"], "left_anti")
+        found = _joined(docs, benchmark).select("text_key").distinct()
+        return docs.join(found, F.sha2(docs["text"].cast("binary"), 256) == found["text_key"], "left_anti")
     sent = docs.sparkSession.sparkContext.broadcast(known)
 
     def decide():

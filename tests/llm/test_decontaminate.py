@@ -48,3 +48,14 @@ def test_names_that_begin_sentences(spark, most):
             text = text.replace(a, b)
         docs += [(k, f"before it. {text} After it."), (k + 10, items[k])]
     assert found(spark, docs, list(enumerate(items)), most) == {(0, 0), (1, 1), (10, 0), (11, 1)}
+
+
+def test_both_ways_decide_by_row(spark):
+    rows = [(1, ITEM), (1, "a clean text"), (None, ITEM), (None, "another clean text"), (2, ITEM), (2, ITEM), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(10, ITEM)], "item_id long, text string")
+    for most in (1000, 0):
+        got = [(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, bench, most).collect()]
+        assert sorted(got, key=str) == sorted([(1, 10), (None, 10), (2, 10), (2, 10)], key=str)
+        left = decontaminate.decontaminated(docs, bench, most)
+        assert left.columns == docs.columns and {tuple(r) for r in left.collect()} == {(1, "a clean text"), (None, "another clean text"), (3, None)}
