@@ -1,12 +1,18 @@
 """Operator 9, main text by the maximum-scoring subsequence.
 
-A page is a sequence of tags and words. Each kind of item has a weight, the logarithm of how much more often it occurs
-inside the content of labelled pages than outside; words come out positive, most tags negative. One linear scan finds
-the contiguous region with the largest sum. What lies in elements that are never article text (menus, headers, footers,
-sidebars, notices, adverts, forms, scripts, styles, reader comments) scores zero and is left out.
+A page is a sequence of tags and words. Words score positive and tags negative; one linear scan finds the contiguous
+region with the largest sum, of equal ones the first and shortest. The weights are learned from pages that label themselves, by one article element or
+one main element, as log-odds of words and tags inside against outside:
 
-Pages label themselves where they can: those with one article or main element. At most SAMPLE of these, chosen by hash,
-give the weights; counts are made on the executors, and the driver gets one row for each kind of item."""
+- a word's weight, another one for words of links, and one for each tag;
+- the weight of a surrounding: an element's name or a part of its class, id or role. Words whose surroundings weigh less
+  than OFF (an advert's class, a menu's element) are no article text: they are left out, and cost the scan COST;
+- the weight of words inside and outside the labelling element, on pages that have one.
+
+What a name means where the pages tell little comes from a prior, in the form of words seen before: PRIOR_NAMES and
+PRIOR_CLASSES have been outside for PRIOR words. Evidence outweighs it. Nothing else is left out of the region.
+
+At most SAMPLE pages, chosen by hash, give the weights; counts are made on the executors, and the driver gets at most KINDS rows."""
 
 from __future__ import annotations
 
@@ -22,28 +28,36 @@ from pyspark.sql import functions as F
 
 from .common import batch, mapped, pieces, table
 
-SAMPLE = 2000
+SAMPLE, KINDS = 2000, 20_000
+#: Surroundings below this weight are no article text; what such an element costs the scan; words that a prior stands for.
+OFF, COST, PRIOR = -1.5, 0.5, 60.0
+#: Weights stay between these.
+LEAST_WORD, MOST_WORD, LEAST_TAG, MOST_TAG, INSIDE = 0.25, 1.5, -3.25, -0.02, 5.0
 
 # HTML element names by their role.
 RAW = frozenset("script style textarea title noscript template iframe noembed noframes xmp".split())
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul".split())
-CONTAINERS = frozenset("article aside body div dialog fieldset figure footer form head header main menu nav section select button table ul ol dl svg canvas object details".split())
-NEVER = frozenset("nav aside footer form head menu dialog fieldset select button svg canvas object".split())
+SECTIONS = frozenset("nav aside header footer form head menu dialog fieldset select button svg canvas object".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var br".split())
-# Words in class, id or role that mark what is not article text.
-MARKS = frozenset("ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs byline comment comments commentlist complementary consent contentinfo cookie cookies copyright discussion disqus footer gdpr login masthead menu menubar modal nav navbar navigation newsletter notice overlay pager pagination paywall popup promo promoted promotion related replies reply respond search share sharebar sharing sidebar signup skip social sponsor sponsored subscribe subscription tags toolbar topbar widget".split())
+# Elements that end when one of the same group begins, and what the search for them doesn't leave.
+ENDED_BY = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+SCOPES = frozenset("article aside body div main section nav header footer form table ul ol dl td th blockquote figure fieldset button select object html".split())
+
+# Names that the prior takes for menus, headers, footers, sidebars, notices, adverts, forms and reader comments.
+PRIOR_NAMES = SECTIONS
+PRIOR_CLASSES = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo banner nav navbar navigation menu menubar breadcrumb breadcrumbs masthead header footer sidebar notice cookie cookies consent gdpr popup modal paywall newsletter login signup subscribe form comment comments commentlist replies disqus discussion complementary contentinfo".split())
+#: Words of a class that says what an element goes with, not what it is; and those that an article's own parts bear.
+_WITHOUT = frozenset("has with no non without".split())
+_OWN = frozenset("article post entry content story main".split())
 
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>")
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
-_MARKED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-_HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none|visibility\s*:\s*hidden""", re.I)
+_MARKED = re.compile(r"""(?:^|[\s"'])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _WORD = re.compile(r"[A-Za-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
-#: Used where no page labels itself.
-DEFAULT = {"word": 0.5, "linked": -0.5, "<other": -1.0, "<a": -1.0, "<li": -1.5, "<div": -2.0, "<p": 1.0, "<h1": 2.0, "<h2": 0.5, "<h3": 0.0, "<td": -0.5, "<tr": -0.5, "<article": 0.0, "<br": 0.0, "<b": 0.0, "<i": 0.0, "<em": 0.0, "<strong": 0.0, "<span": -0.3, "<blockquote": 0.5, "<pre": 0.5}
-_NAMES = BLOCKS | INLINE | VOID | RAW
+#: Weights before any page is seen; the names of all other tags weigh as "<".
+DEFAULT = {"word": 1.0, "linked": -1.0, "<": -0.1, "<a": -0.2, "<li": -1.0, "<ul": -1.0, "<div": -2.0, "<section": -1.0, "<table": -1.0, "<tr": -0.5, "<td": -0.5, "<p": -0.05, "<h1": -0.05, "<h2": -0.05, "<h3": -0.1}
 
 
 def items(html: str) -> Iterator[tuple[str, str, str]]:
@@ -93,71 +107,157 @@ def items(html: str) -> Iterator[tuple[str, str, str]]:
         yield "", "text", html[at:]
 
 
-def _boiler(name: str, attributes: str, in_content: bool) -> bool:
-    if name in NEVER:
-        return True
-    if name == "header":
-        return not in_content
-    if not attributes:
-        return False
-    if _HIDDEN.search(attributes):
-        return True
-    marks = {w.lower() for m in _MARKED.finditer(attributes) for v in m.groups() if v for w in _WORD.findall(_CAMEL.sub(" ", v))}
-    if name in ("article", "main", "body"):
-        return name == "article" and bool(marks & {"comment", "comments", "reply"})
-    return bool(marks & MARKS)
-
-
-def scored_items(html: str) -> list[tuple[str, str, str, bool, bool]]:
-    """(kind, name, text, boilerplate, in content element) of each item."""
-    out = []
-    stack: list[tuple[str, bool]] = []
-    off = content = links = 0
-    for name, what, value in items(html):
+def _surroundings(name: str, attributes: str, content: bool) -> list[str]:
+    """What an element is, for all that it holds: its name, if it names a part of a page, and words of class, id and role."""
+    found = [f"<{name}>"] if name in SECTIONS and not (name == "header" and content) else []
+    if not attributes or name in ("html", "body"):
+        return found
+    for m in _MARKED.finditer(attributes):
+        for token in (m[2] or m[3] or m[4] or "").split():
+            parts = [w.lower() for w in _WORD.findall(_CAMEL.sub(" ", token))]
+            if not parts or _WITHOUT & {*parts}:
+                continue
+            of_article = bool(_OWN & {*parts})
+            for w in {parts[0], parts[-1]}:
+                if w in _OWN or w in ("header", "banner") and (of_article or content or name[0] == "h" and name[1:].isdigit()):
+                    continue
+                found.append(f".{w}")
+    return found
+
+
+class Item:
+    """A text or a tag: its kind, its name, its text, the surroundings in force, and whether it is inside the labelling element."""
+
+    __slots__ = ("inside", "kind", "name", "off", "text")
+
+    def __init__(self, kind: str, name: str, text: str, off: frozenset, inside: bool) -> None:
+        self.kind, self.name, self.text, self.off, self.inside = kind, name, text, off, inside
+
+
+_NONE: frozenset = frozenset()
+
+
+def _is_comment(attributes: str) -> bool:
+    return bool({".comment", ".comments", ".reply", ".replies"} & {*_surroundings("", attributes, False)})
+
+
+def read(html: str) -> tuple[list[Item], int]:
+    """The page's items, and how many labelling elements it has: articles that are no comments, else main elements.
+
+    p, li, dt, dd, tr, td, th and option end where HTML lets them end without a tag; what an end tag closes doesn't reach
+    out of the block it stands in, but for blocks themselves."""
+    found = list(items(html))
+    articles = [k for k, (name, what, value) in enumerate(found) if what == "open" and name == "article" and not _is_comment(value)]
+    mains = [k for k, (name, what, _) in enumerate(found) if what == "open" and name == "main"]
+    labels = {*articles} or {*mains}
+    out: list[Item] = []
+    stack: list[tuple[str, frozenset, bool, bool]] = []  # name; surroundings, inside, content up to and with it
+    open_ = Counter()
+    off, inside, content, links, n_labels = _NONE, False, False, False, 0
+
+    def pop() -> str:
+        nonlocal off, inside, content
+        name = stack.pop()[0]
+        open_[name] -= 1
+        _, off, inside, content = stack[-1] if stack else ("", _NONE, False, False)
+        return name
+
+    def close(names: tuple, reach: bool) -> None:
+        if not any(open_[x] for x in names):
+            return
+        for k in range(len(stack) - 1, -1, -1):
+            if stack[k][0] in names:
+                while len(stack) > k:
+                    pop()
+                return
+            if not reach and stack[k][0] in SCOPES:
+                return
+
+    for k, (name, what, value) in enumerate(found):
         if what == "text":
-            out.append(("linked" if links else "word", "", value, off > 0, content > 0))
+            out.append(Item("linked" if links else "word", "", value, off, inside))
             continue
         if what == "raw":
-            out.append((f"<{name}", name, "", True, content > 0))
             continue
         if name == "a":
-            links = 1 if what == "open" else 0
+            links = what == "open"
         elif name in BLOCKS:
-            links = 0
-        if what == "open":
-            if name in ("article", "main") and off and not content:  # menus and the like that were never closed
+            links = False
+        if what == "close":
+            close((name,), name in BLOCKS and name not in ("p", "li", "dt", "dd", "option"))
+            out.append(Item(f"<{name}", name, "", off, inside))
+            continue
+        if name in BLOCKS:
+            close(("p",), False)
+        if name in ENDED_BY:
+            close(ENDED_BY[name], False)
+        if k in labels:
+            n_labels += not inside
+            if off and not inside:  # menus and the like that were never closed
                 while stack and stack[-1][0] not in ("body", "div", "section", "article", "main"):
-                    off -= stack.pop()[1]
-            if name in CONTAINERS or (value and name in BLOCKS and _boiler(name, value, content > 0)):
-                bad = _boiler(name, value, content > 0)
-                stack.append((name, bad))
-                off += bad
-                content += name in ("article", "main")
-        elif any(x[0] == name for x in stack):
-            while True:
-                top, bad = stack.pop()
-                off -= bad
-                content -= top in ("article", "main")
-                if top == name:
-                    break
-        kind = f"<{name}" if name in _NAMES else "<other"
-        out.append((kind, name, "", off > 0, content > 0))
-    return out
-
-
-def main_text(html: str | None, weights: dict[str, float]) -> str:
-    """Blocks of the best region, joined by blank lines."""
-    found = scored_items(html or "")
-    get = weights.get
-    other = weights.get("<other", -1.0)
-    best, best_at, total, start = 0.0, (0, 0), 0.0, 0
-    for k, (kind, _, text, bad, _) in enumerate(found):
-        if not bad:
-            total += len(text.split()) * get(kind, 0.0) if text else 0.0 if kind in ("word", "linked") else get(kind, other)
+                    pop()
+        marks = _surroundings(name, value, content)
+        own = bool(value) and name not in ("html", "body") and bool(_OWN & {w.lower() for m in _MARKED.finditer(value) for w in _WORD.findall(m[2] or m[3] or m[4] or "")})
+        if name not in VOID and (name in BLOCKS or marks):
+            off = off.union(marks) if marks else off
+            inside, content = inside or k in labels, content or own or name in ("article", "main")
+            stack.append((name, off, inside, content))
+            open_[name] += 1
+        out.append(Item(f"<{name}", name, "", off, inside))
+    return out, n_labels
+
+
+class Weights:
+    """Weights of words, tags and surroundings; those of sets of surroundings are remembered."""
+
+    def __init__(self, known: dict[str, float]) -> None:
+        self.known = DEFAULT | known
+        self._off: dict[frozenset, bool] = {_NONE: False}
+
+    def surrounding(self, name: str) -> float:
+        found = self.known.get(name)
+        return found if found is not None else _log_odds(0, 0, name)
+
+    def off(self, names: frozenset) -> bool:
+        found = self._off.get(names)
+        if found is None:
+            if len(self._off) > 50_000:
+                self._off = {_NONE: False}
+            found = self._off[names] = any(self.surrounding(x) < OFF for x in names)
+        return found
+
+
+def _log_odds(inside: int, outside: int, name: str) -> float:
+    """Of a surrounding: words inside against outside, with the prior's. Without either it weighs nothing."""
+    prior = PRIOR if name[1:].rstrip(">") in (PRIOR_CLASSES if name[0] == "." else PRIOR_NAMES) else 0.0
+    return math.log((inside + 5.0) / (outside + prior + 5.0))
+
+
+def region(found: list[Item], labels: int, weights: Weights) -> tuple[int, int]:
+    """The best contiguous region. A word that is left out costs nothing where the label says that it is inside."""
+    get, other = weights.known.get, weights.known["<"]
+    bonus = (get("inside", 0.0), get("outside", 0.0)) if labels else (0.0, 0.0)
+    best, best_at, total, start, before = 0.0, (0, 0), 0.0, 0, False
+    for k, x in enumerate(found):
+        bad = weights.off(x.off)
+        if bad:
+            total -= COST if not before and not (labels and x.inside) else 0.0
+        elif x.text:
+            n = len(x.text.split())
+            total += n * (get(x.kind, 0.0) + bonus[not x.inside]) if n else 0.0
+        elif not (labels and x.inside):
+            total += get(x.kind, other)
+        before = bad
         if total > best:
             best, best_at = total, (start, k + 1)
         elif total <= 0:
             total, start = 0.0, k + 1
+    return best_at
+
+
+def main_text(html: str | None, weights: Weights, scan: bool = True) -> str:
+    """Blocks of the best region, joined by blank lines; with scan=False, of the whole page."""
+    found, labels = read(html or "")
     blocks: list[str] = []
     parts: list[str] = []
 
@@ -166,56 +266,82 @@ def main_text(html: str | None, weights: dict[str, float]) -> str:
             blocks.append(block)
         parts.clear()
 
-    for _, name, text, bad, _ in found[slice(*best_at)]:
-        if name in BLOCKS:
+    for x in found[slice(*region(found, labels, weights))] if scan else found:
+        if x.name in BLOCKS:
             close()
-        elif not bad:
-            parts.append(unescape(text) if text else " " if name == "br" else "")
+        elif not weights.off(x.off):
+            parts.append(unescape(x.text) if x.text else " " if x.name == "br" else "")
     close()
     return "\n\n".join(blocks)
 
 
-def _kind_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for given in batches:
-        inside, outside = Counter(), Counter()
-        for html in given.column(0).to_pylist():
-            found = scored_items(html or "")
-            if sum(name in ("article", "main") and inner for _, name, _, _, inner in found) != 1:
-                continue
-            for kind, _, text, bad, inner in found:
-                if not bad:
-                    (inside if inner else outside)[kind] += len(text.split()) if kind in ("word", "linked") else 1
-        kinds = sorted({*inside, *outside})
-        yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array([inside[k] for k in kinds], pa.int64()), pa.array([outside[k] for k in kinds], pa.int64())], names=["kind", "inside", "outside"])
+def _counts(of_kinds):
+    """A map over pages with one label: inside and outside counts of what of_kinds(item, n) yields."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for given in batches:
+            inside, outside = Counter(), Counter()
+            for html in given.column(0).to_pylist():
+                found, labels = read(html or "")
+                if labels != 1:
+                    continue
+                for x in found:
+                    n = len(x.text.split()) if x.text else 1
+                    for kind in of_kinds(x):
+                        (inside if x.inside else outside)[kind] += n
+            kinds = sorted({*inside, *outside})
+            yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array([inside[k] for k in kinds], pa.int64()), pa.array([outside[k] for k in kinds], pa.int64())], names=["kind", "inside", "outside"])
+
+    return run
 
 
-def fitted_weights(pages: DataFrame, sample: int = SAMPLE) -> dict[str, float]:
-    """Weights of the kinds of items, from at most so many pages; DEFAULT where none labels itself."""
+def _counted(pages: DataFrame, of_kinds) -> list:
+    counts = pages.select("html").transform(mapped, _counts(of_kinds), "kind string, inside long, outside long").groupBy("kind").agg(F.sum("inside").alias("i"), F.sum("outside").alias("o"))
+    return counts.orderBy(F.desc(F.col("i") + F.col("o")), "kind").limit(KINDS).collect()
+
+
+def fitted_weights(pages: DataFrame, sample: int = SAMPLE) -> Weights:
+    """Weights from at most so many pages; the defaults and priors alone where none labels itself.
+
+    Surroundings are weighed first; tags and words are then counted where no surrounding explains them already."""
     ids = pages.where("page_id IS NOT NULL").select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(sample)
-    counts = pages.join(F.broadcast(ids), "page_id").select("html").transform(mapped, _kind_counts, "kind string, inside long, outside long").groupBy("kind").agg(F.sum("inside").alias("i"), F.sum("outside").alias("o")).collect()
-    total_in, total_out = sum(r.i for r in counts), sum(r.o for r in counts)
-    if not total_in:
-        return DEFAULT
-    n = len(counts)
-    found = {r.kind: math.log((r.i + 0.5) / (total_in + 0.5 * n)) - math.log((r.o + 0.5) / (total_out + 0.5 * n)) for r in counts}
-    found["word"] = max(0.1, found.get("word", 0.5))
-    return DEFAULT | found
+    some = pages.join(F.broadcast(ids), "page_id")  # bounded by sample
+    around = {r.kind: _log_odds(r.i, r.o, r.kind) for r in _counted(some, lambda x: x.off if x.text else ())}
+    first = Weights(around)
+    known = first.known
+
+    def plain(x: Item) -> tuple:
+        return () if first.off(x.off) else (x.kind,)
+
+    for r in _counted(some, plain):
+        prior = 1 / (1 + math.exp(-known.get(r.kind, known["<"])))
+        odds = math.log((r.i + PRIOR * prior) / (r.o + PRIOR * (1 - prior)))
+        if r.kind == "word":
+            known["word"] = min(MOST_WORD, max(LEAST_WORD, odds))
+            known["inside"], known["outside"] = min(INSIDE, math.log(r.i + 1)), max(-INSIDE, -math.log(r.i + 1))
+        elif r.kind == "linked":
+            known["linked"] = min(MOST_WORD, max(-MOST_WORD, odds))
+        else:
+            known[r.kind] = min(MOST_TAG, max(LEAST_TAG, odds))
+    return Weights(known)
 
 
 _RESULT = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
 
-def page_texts(pages: DataFrame, weights: dict[str, float]) -> DataFrame:
+def page_texts(pages: DataFrame, weights: Weights) -> DataFrame:
     """pages(page_id, url, html, ...) -> page_id, url, text, n_chars; one row per row of pages.
 
-    A null or empty page has an empty text. Null ids and urls stay null, rows that repeat are read each, very long
-    pages whole, other columns are not looked at."""
+    A null or empty page has an empty text; without pages the result is empty. Null ids and urls stay null, rows that
+    repeat are read each, very long pages whole, other columns are not looked at."""
+    sent = pages.sparkSession.sparkContext.broadcast(weights.known)  # bounded by KINDS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Weights(sent.value)
         for given in batches:
             htmls = given.column(2).to_pylist()
             for a, b in pieces(htmls):
-                texts = [main_text(h, weights) for h in htmls[a:b]]
+                texts = [main_text(h, own) for h in htmls[a:b]]
                 yield batch(_RESULT, {"page_id": given.column(0).slice(a, b - a), "url": given.column(1).slice(a, b - a), "text": texts, "n_chars": [len(t) for t in texts]})
 
     return pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), "html").transform(mapped, run, "page_id long, url string, text string, n_chars long")

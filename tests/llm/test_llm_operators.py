@@ -341,12 +341,64 @@ def test_main_text(spark):
     assert (got[2].text, got[None].text, got[3].text, got[4].text) == ("", "", "1 < 2 and bold", "a")
 
 
-def test_main_text_on_labelled_pages(spark):
+PLAIN = {
+    "unmarked edges": ("""<body><div><a href=1>Home</a> <a href=2>About us</a> <a href=3>Contact</a></div><div><h1>A title</h1><p>One paragraph of plain words, long enough to count.<p>Another one <a href=x>with a link</a> in it, and more words.</div><ul><li><a href=4>Next thing</a><li><a href=5>Other thing</a></ul></body>""",
+                       "A title\n\nOne paragraph of plain words, long enough to count.\n\nAnother one with a link in it, and more words."),
+    "implied ends": ("<div><p>Words before the advert are many here.<p class='ad'>Buy now<p>Real text follows it, as it should.<p>The end.</div>", "Words before the advert are many here.\n\nReal text follows it, as it should.\n\nThe end."),
+    "inline adverts": ("<div><p>Some text with <span class=ad>a sold word</span> an advert in the line.</p></div>", "Some text with an advert in the line."),
+    "an article's own parts": ("<article><header><h1>Title</h1><p class=byline>By A. Writer</p></header><p>Text of it.</p><section class='related-work'><h2>Related work</h2><p>Others did so.</p></section><p class=copyright>Rights of the text.</p><p class='tags search social'>x y</p></article>",
+                               "Title\n\nBy A. Writer\n\nText of it.\n\nRelated work\n\nOthers did so.\n\nRights of the text.\n\nx y"),
+    "no label": ("<header class=masthead>Site</header><nav><a href=1>x</a></nav><div class='post has-sidebar'><h2>Head</h2><p>Body of the post in words.</p><form><label>Name</label></form><p>Last.</p></div><div id=comments><p>Nice one, I liked reading it a lot.</p></div><div class=sidebar>Popular now and then</div>", "Head\n\nBody of the post in words.\n\nLast."),
+}
+
+
+def labelled_pages(spark):
+    return spark.read.parquet(f"{SF}/pages.parquet")
+
+
+@pytest.fixture(scope="module")
+def learned(spark):
+    return html_text.fitted_weights(labelled_pages(spark))
+
+
+@pytest.mark.parametrize("name", PLAIN)
+def test_main_text_of_pages_without_labels(learned, name):
+    html, want = PLAIN[name]
+    assert html_text.main_text(html, html_text.Weights({})) == want
+    assert html_text.main_text(html, learned) == want
+
+
+def test_scan_and_weights_decide(spark, learned):
+    html, want = PLAIN["unmarked edges"]
+    assert html_text.main_text(html, learned, scan=False) != want
+    assert learned.known["word"] > 0 and all(v < 0 for k, v in learned.known.items() if k.startswith("<") and not k.endswith(">"))
+    flat = html_text.Weights({k: 1.0 if k == "word" else -1.0 if k.startswith("<") and not k.endswith(">") else 0.0 for k in learned.known})
+    pages = [r.html for r in labelled_pages(spark).collect()]
+    assert sum(html_text.main_text(h, flat) != html_text.main_text(h, learned) for h in pages) > 0.9 * len(pages)
+    assert learned.known[".ad"] < html_text.Weights({}).surrounding(".ad") - 1
+
+
+def test_surroundings_are_learned(spark):
+    page = "<div class=qq>Words of an unknown kind of part, {} times</div><article><p>The text of page {}, with more words.</p><p class=notice>A notice that belongs to the text.</p></article>"
+    pages = spark.createDataFrame([(k, "u", page.format(k, k)) for k in range(60)] + [(100, "u", "<div><p>A text without a label.</p><div class=qq>Unknown part</div><p class=notice>Its own notice.</p></div>")], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.page_texts(pages, html_text.fitted_weights(pages)).collect()}
+    assert got[7] == "The text of page 7, with more words.\n\nA notice that belongs to the text."
+    assert got[100] == "A text without a label.\n\nIts own notice."
+
+
+def test_main_text_of_no_pages_and_of_long_ones(spark, learned):
+    empty_pages = spark.createDataFrame([], "page_id long, url string, html string")
+    assert html_text.page_texts(empty_pages, html_text.fitted_weights(empty_pages)).count() == 0
+    long = "<p>" + "word " * 300_000 + "</p>" + "<div>" * 50_000 + "</b>" * 50_000 + "<p>end"
+    assert len(html_text.main_text(long, learned)) > 1_400_000
+
+
+def test_main_text_on_labelled_pages(spark, learned):
     import html
     import re
 
-    pages = spark.read.parquet(f"{SF}/pages.parquet")
-    got = {r.page_id: r.text for r in html_text.page_texts(pages, html_text.fitted_weights(pages)).collect()}
+    pages = labelled_pages(spark)
+    got = {r.page_id: r.text for r in html_text.page_texts(pages, learned).collect()}
     for r in pages.collect():
         article = re.search(r"<article>(.*?)</article>", r.html, re.S)[1]
         blocks = (" ".join(html.unescape(re.sub(r"</?b>", "", b).replace("<br>", " ")).split()) for b in re.split(r"</?(?:p|h1)>", article))
