@@ -1,42 +1,53 @@
 """Operator 10, benchmark decontamination by template canonicalisation.
 
 Words become template words: numbers, names and units are replaced by typed placeholders, other words are lower-cased
-and lose their outer punctuation. A capitalised word that begins a
-sentence may be a name or not; its windows are made both ways. Windows of so many template words, of benchmark items and of documents, meet by hash, and so
-do windows of the lower-cased words themselves, as a copy in other case has no names; a hit on either counts. Template
-windows of mostly slots would meet anything and are left out; such passages are found by their words.
-For a document and an item that share windows, each item window counts once; or else the item's words count that matched
-windows cover within a stretch of the document, by shorter windows if the item is short. The slots of matched windows are then
-checked for consistency: each value that stands in an item's slot must stand against one value in the document. A copy
-has equal values throughout; a re-parameterised question has others, but consistently.
-
-Benchmarks are small beside the corpus; while their windows are fewer than BROADCAST they are sent to all executors and
-no document moves. Beyond that the windows of both sides meet in a shuffled join, which is slower but has no bound."""
+and lose their outer punctuation; a character of scripts without spaces is a word. A capitalised word that begins a
+sentence may be a name or not; its windows are made both ways. Windows of so many template words, of benchmark items
+and of documents, meet by hash, and so do windows of the lower-cased words themselves.
+
+An item is found in a document in one of three ways:
+
+- as a passage: windows of WINDOW of its own words, or the whole of a shorter item, cover LEAST_COPY of its words or more within a stretch of SPAN times
+  its length;
+- as an edited copy: windows of its own words, shorter ones too if the item is short, cover LEAST_COPY of its words along one diagonal;
+- with other parameters: template windows cover LEAST_TEMPLATE of its words along one diagonal.
+
+The latter two need slots that are consistent throughout: each value of the item stands against one value, and different
+ones against different ones, also in gaps between windows that are shifted alike. A diagonal takes in places whose
+shift differs by a few words.
+
+Template windows of mostly slots would meet any list of numbers; they don't count, and such passages are found as
+copies. Nothing else is left out.
+
+Items go to the executors in blocks of at most BLOCK_BYTES of text; all of the documents meet each block, by the hashes
+of its windows: first in a bitmap, then in a sorted table. A benchmark of usual size is one block. No document moves,
+and no key is dealt, so a window that a third of all documents hold costs no more than any other."""
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch, mapped, pieces, rows_where, table
+from .common import batch, mapped, pieces, rows_where, stored, table
 from .shingles import mixed
 
-#: Words in a window; least share of an item's windows, or of its words, that a document must hold; least share of its
-#: slots that must stand against one value each.
-WINDOW, LEAST_SHARE, LEAST_CONSISTENT = 8, 0.5, 0.8
-#: Words in the windows of shorter items: (most words of the item, words in its windows). With items of four times as many
-#: words or more, any two changed words leave half of the words in windows.
-SEEDS = ((15, 3), (31, 4))
+#: Words in a window; least shares of an item's words that its own words' windows and template windows cover.
+WINDOW, LEAST_COPY, LEAST_TEMPLATE = 8, 0.6, 0.75
+#: Words in the further windows of shorter items: (most words of the item, words in its windows). From 15 words on, any two
+#: changed words leave LEAST_COPY of the words in windows.
+SEEDS = ((23, 3), (47, 4))
 #: Matched words count together within so many times the item's length in the document.
 SPAN = 2
-BROADCAST = 2_000_000
+#: Bytes of items' texts in a block; a larger item is a block of its own.
+BLOCK_BYTES = 4 << 20
 
 #: Units that are replaced by a placeholder when they follow a number.
 UNITS = frozenset("mm cm m km in ft yd mi g kg mg lb oz l ml s sec min h hr hour hours minute minutes second seconds day days week weeks month months year years metre metres meter meters kilometre kilometres kilometer kilometers mile miles gram grams kilogram kilograms litre litres liter liters dollar dollars euro euros cent cents percent".split())
@@ -46,7 +57,9 @@ _OUTER = bytes(c for c in range(128) if not chr(c).isalnum())
 _ENDS = (b".", b"!", b"?", b":")
 _IS_NUMBER, _IS_NAME, _ENDS_SENTENCE, _IS_UNIT, _IS_EMPTY = 1, 2, 4, 8, 16
 _FLAGS = np.uint64(31)
-_M, _HALF, _NEAR = np.uint64(0x9E3779B97F4A7C15), np.uint64(32), 1 << 19
+_M, _HALF = np.uint64(0x9E3779B97F4A7C15), np.uint64(32)
+#: Characters that are words of their own, and spaces beyond ASCII.
+_ALONE = re.compile("([\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff])|[\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _PLACEHOLDER = {k: np.uint64(xxhash.xxh3_64_intdigest(k) & ~31) for k in ("number", "name", "unit")}
 _UNITS = frozenset(u.encode() for u in UNITS)
 
@@ -73,30 +86,42 @@ class Words(dict):
         return found
 
 
-def template(words: list[bytes], seen: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words -> rows of word hashes (literal, template, and if they differ, template with capitalised words that begin a
-    sentence as names), whether each is a slot, and its place among the words; bare punctuation is left out."""
-    h = np.fromiter(map(seen.__getitem__, words), np.uint64, len(words))
+def words_of(text: str | None) -> list[bytes]:
+    if not text:
+        return []
+    if not text.isascii():
+        text = _ALONE.sub(r" \1 ", text)
+    return text.encode().split()
+
+
+def template(texts: list[list[bytes]], seen: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Texts as words -> rows of word hashes (literal; template; template with capitalised words that begin a sentence as
+    names), whether each is a slot, its place among the words of its text, and its text; bare punctuation is left out."""
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    n = int(sizes.sum())
+    h = np.fromiter((seen[w] for ws in texts for w in ws), np.uint64, n)
+    of = np.repeat(np.arange(len(texts)), sizes)
+    place = np.arange(n) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     at = np.flatnonzero((h & np.uint64(_IS_EMPTY)) == 0)
-    ends = np.append(True, (h[:-1] & np.uint64(_ENDS_SENTENCE)) > 0)[at] if len(h) else np.zeros(0, bool)
-    h = h[at]
+    begins = (np.append(True, (h[:-1] & np.uint64(_ENDS_SENTENCE)) > 0) | (place == 0))[at] if n else np.zeros(0, bool)
+    h, of, place = h[at], of[at], place[at]
     number = (h & np.uint64(_IS_NUMBER)) > 0
     name = (h & np.uint64(_IS_NAME)) > 0
-    unit = ((h & np.uint64(_IS_UNIT)) > 0) & np.append(False, number[:-1]) if len(h) else number
-    names = [name & ~ends, name] if (name & ends).any() else [name]
-    out = np.stack([h & ~_FLAGS] * (1 + len(names)))
-    slot = np.stack([np.zeros(len(h), bool), *(number | x | unit for x in names)])
-    for row, x in enumerate(names, 1):
+    unit = ((h & np.uint64(_IS_UNIT)) > 0) & np.append(False, number[:-1] & (of[1:] == of[:-1])) if len(h) else number
+    out = np.stack([h & ~_FLAGS] * 3)
+    slot = np.stack([np.zeros(len(h), bool), number | (name & ~begins) | unit, number | name | unit])
+    for row, x in ((1, name & ~begins), (2, name)):
         for mask, k in ((number, "number"), (x, "name"), (unit, "unit")):
             out[row, mask] = _PLACEHOLDER[k]
-    return out, slot, at
+    return out, slot, place, of
 
 
-def template_windows(out: np.ndarray, slot: np.ndarray, sizes: Iterable[int]) -> Iterator[tuple[int, np.ndarray]]:
-    """Each of the rising sizes with the hashes of the windows of so many words, by rows; 0 where more than half are slots."""
+def template_windows(out: np.ndarray, slot: np.ndarray, of: np.ndarray, sizes: Iterable[int]) -> Iterator[tuple[int, np.ndarray]]:
+    """Each of the rising sizes with the hashes of the windows of so many words, by rows; 0 where a window spans two
+    texts, and in template rows where it has no slot (it is in the row before) or more than half of it is slots."""
     n = out.shape[1]
     w, k = out, 1
-    filled = np.concatenate([np.zeros((len(slot), 1), np.int64), np.cumsum(slot, 1)], 1)
+    filled = np.concatenate([np.zeros((3, 1), np.int64), np.cumsum(slot, 1)], 1)
     for size in sizes:
         if size > n:
             return
@@ -104,8 +129,9 @@ def template_windows(out: np.ndarray, slot: np.ndarray, sizes: Iterable[int]) ->
             w = (w[:, : n - k] ^ (w[:, : n - k] >> _HALF)) * _M + out[:, k:]
         k = size
         found = mixed(w)
-        heavy = (filled[:, size:] - filled[:, :-size]) * 2 > size
-        found[heavy] = 0
+        slots = filled[:, size:] - filled[:, :-size]
+        found[1:][(slots[1:] == slots[:-1]) | (slots[1:] * 2 > size)] = 0
+        found[:, of[size - 1 :] != of[: n - size + 1]] = 0
         yield size, found
 
 
@@ -121,190 +147,194 @@ class Items:
 
     def __init__(self, rows: list[tuple[int, str]], width: int = WINDOW) -> None:
         seen = Words()
-        self.words, self.templates, self.windows = {}, {}, {}
-        found: dict[int, dict[int, dict]] = defaultdict(lambda: defaultdict(dict))
-        for k, (item, text) in enumerate(rows):
-            ws = (text or "").encode().split()
-            t = template(ws, seen)
-            sizes = window_sizes(len(t[2]), width)
+        self.ids, self.words, self.slots, self.places = [], [], [], []
+        found: dict[int, list] = defaultdict(list)
+        for item, text in rows:
+            ws = words_of(text)
+            out, slot, place, of = template([ws], seen)
+            sizes = window_sizes(len(place), width)
             if not sizes:
                 continue
-            self.words[k], self.templates[k] = ws, t
-            for size, own in template_windows(t[0], t[1], sizes):
-                for row, hs in enumerate(own.tolist()):
-                    for p, h in enumerate(hs):
-                        if h:
-                            found[size][h].setdefault((k, p), row)
-            self.windows[k] = sizes[-1], own[1]
-        self.ids = [r[0] for r in rows]
+            k = len(self.ids)
+            self.ids.append(item), self.slots.append(slot), self.words.append([ws[p].strip(_OUTER).lower() for p in place])
+            for size, own in template_windows(out, slot, of, sizes):
+                row, q = np.nonzero(own)
+                found[size].append((own[row, q], np.full(len(q), k), q, row))
+        self.lengths = np.array([len(w) for w in self.words], np.int64)
+        self.longest = np.array([window_sizes(n, width)[-1] for n in self.lengths.tolist()], np.int64)
         self.tables = {}
+        bits = 1 << max(16, int(4 * sum(len(x[0]) for t in found.values() for x in t)).bit_length())
+        self.mask = np.uint64(bits - 1)
         for size, t in sorted(found.items()):
-            keys = np.array(sorted(t), np.uint64)
-            near = np.zeros(_NEAR, bool)
-            near[(keys & np.uint64(_NEAR - 1)).astype(np.int64)] = True
-            self.tables[size] = (keys, {h: [(*at, row) for at, row in places.items()] for h, places in t.items()}, near)
-
-    def matches(self, text: str | None, seen: Words, only: set[int] | None = None) -> list[tuple[int, float, int, int]]:
-        """(item, share of its windows or words, slots compared, slots with another value) of each item found in text."""
-        ws = (text or "").encode().split()
-        out, slot, at = template(ws, seen)
-        hits: dict[int, dict] = defaultdict(dict)
-        for size, rows in template_windows(out, slot, self.tables):
-            keys, where, near = self.tables[size]
-            for row, w in enumerate(rows):
-                p = np.flatnonzero(near[(w & np.uint64(_NEAR - 1)).astype(np.int64)])
-                if len(p):
-                    k = np.searchsorted(keys, w[p])
-                    p = p[(k < len(keys)) & (keys[np.minimum(k, len(keys) - 1)] == w[p])]
-                for d in p.tolist():
-                    for k, q, theirs in where[int(w[d])]:
-                        if only is None or k in only:
-                            hits[k].setdefault((d, q, size), max(row, theirs, 1))
-        found = []
-        for k, places in hits.items():
-            plain = {x for x, row in places.items() if row == 1}
-            for some in (plain, places)[len(plain) == len(places) :]:  # words that begin sentences are taken for names only if needed
-                if best := self._best(k, places, some, ws, at):
-                    found.append((self.ids[k], *best))
-                    break
-        return found
-
-    def _best(self, k: int, rows: dict, places: Iterable[tuple], ws: list[bytes], at: np.ndarray) -> tuple[float, int, int] | None:
-        for share, some in self._shares(k, places):
-            if compared := self._compared(k, [(*x, rows[x]) for x in some], ws, at):
-                return share, *compared
+            h, k, q, row = (np.concatenate(x) for x in zip(*t))
+            order = np.argsort(h, kind="stable")
+            near = np.zeros(bits, bool)
+            near[(h & self.mask).astype(np.int64)] = True
+            self.tables[size] = (h[order], k[order], q[order], row[order], near)
+
+    def matches(self, texts: list[str | None], seen: Words) -> list[list[tuple[int, float, int, int]]]:
+        """(item, share of its words, slots compared, slots with another value) of each item found, for each text."""
+        ws = [words_of(t) for t in texts]
+        out, slot, place, of = template(ws, seen)
+        first = np.searchsorted(of, np.arange(len(texts)))
+        hits = []
+        for size, rows in template_windows(out, slot, of, self.tables):
+            keys, items, qs, theirs, near = self.tables[size]
+            row, d = np.nonzero(near[(rows & self.mask).astype(np.int64)] & (rows != 0))
+            h = rows[row, d]
+            lo, hi = np.searchsorted(keys, h, "left"), np.searchsorted(keys, h, "right")
+            n = hi - lo
+            if not n.any():
+                continue
+            at = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            d, row = np.repeat(d, n), np.repeat(row, n)
+            hits.append(np.stack([of[d], items[at], d - first[of[d]], qs[at], np.full(len(d), size), np.maximum(row, theirs[at]), theirs[at]]))
+        result: list[list] = [[] for _ in texts]
+        if not hits:
+            return result
+        hits = np.concatenate(hits, 1)
+        hits = hits[:, np.lexsort((hits[2], hits[1], hits[0]))]
+        cuts = np.flatnonzero(np.append(True, (hits[:2, 1:] != hits[:2, :-1]).any(0)))
+        ends = np.append(cuts[1:], hits.shape[1])
+        # three rows may give a window thrice; fewer windows than this can't cover LEAST_COPY of the item
+        enough = (ends - cuts) * self.longest[hits[1, cuts]] >= LEAST_COPY * self.lengths[hits[1, cuts]]
+        for s, e in zip(cuts[enough].tolist(), ends[enough].tolist()):
+            t, k = hits[:2, s].tolist()
+            of_text = place[first[t] : first[t + 1] if t + 1 < len(first) else len(place)]
+            if best := self._best(k, list(map(tuple, hits[2:, s:e].T.tolist())), ws[t], of_text):
+                result[t].append((self.ids[k], *best))
+        return result
+
+    def _best(self, k: int, places: list[tuple], ws: list[bytes], at: np.ndarray) -> tuple[float, int, int] | None:
+        """places: (document word, item word, size, row, the item's row), by document word."""
+        n, longest = int(self.lengths[k]), int(self.longest[k])
+        own = [x for x in places if x[3] == 0]
+        if covered := self._passage(n, [x for x in own if x[2] == longest]):
+            return covered / n, int(self.slots[k][1].sum()), 0
+        for least, some in ((LEAST_COPY, own), *((LEAST_TEMPLATE, [x for x in places if x[3] <= most]) for most in (1, 2))):  # words that begin sentences are taken for names only if needed
+            for covered, stretch in self._diagonals(n, some, least):
+                if compared := self._compared(k, stretch, ws, at):
+                    return covered / n, *compared
         return None
 
-    def _shares(self, k: int, places: Iterable[tuple]) -> Iterator[tuple[float, Iterable[tuple]]]:
-        """The shares that suffice, each with its places: of the item's windows, wherever they are, then of its words, by
-        stretches of the document, the fullest first."""
-        whole = {x for x in places if x[2] == self.windows[k][0]}
-        if whole and (share := self._share(k, whole)) >= LEAST_SHARE:
-            yield share, whole
-        n = len(self.templates[k][2])
-        need = max(LEAST_SHARE * n, min(n, WINDOW))
-        if len({q + j for _, q, z in places for j in range(z)}) < need:
-            return
-        order, held, first, stretches = sorted(places), Counter(), 0, []
-        for last, (d, q, z) in enumerate(order):
-            held.update(range(q, q + z))
-            while order[first][0] + SPAN * n < d + z:
-                _, p, y = order[first]
-                held.subtract(range(p, p + y))
+    @staticmethod
+    def _passage(n: int, places: list[tuple]) -> int:
+        """The most words of the item that are covered within a stretch of SPAN * n words; 0 if too few."""
+        held, first, best = Counter(), 0, 0
+        covered = 0
+        for d, q, z, *_ in places:
+            for j in range(q, q + z):
+                covered += not held[j]
+                held[j] += 1
+            while places[first][0] + max(SPAN * n, z) < d + z:
+                _, p, y, *_ = places[first]
+                for j in range(p, p + y):
+                    held[j] -= 1
+                    covered -= not held[j]
                 first += 1
-            if (covered := sum(c > 0 for c in held.values())) >= need:
-                stretches.append((-covered, first, last))
-        for covered, a, b in sorted(stretches):
-            yield -covered / n, order[a : b + 1]
-
-    def _share(self, k: int, places: set) -> float:
-        """Share of the item's template windows among the places; each counts once, those of mostly slots not at all."""
-        found, own = {q for _, q, _ in places}, self.windows[k][1].tolist()
-        return len({own[q] for q in found} - {0}) / max(1, len({*own} - {0}))
-
-    def _compared(self, k: int, places: Iterable[tuple], ws: list[bytes], at: np.ndarray) -> tuple[int, int] | None:
-        """Slots compared and slots with another value; None if too few stand against one value each."""
-        _, slots, their_at = self.templates[k]
-        against: dict[bytes, set[bytes]] = defaultdict(set)
-        pairs = {(q + j, d + j) for d, q, z, row in places for j in range(z) if slots[min(row, len(slots) - 1), q + j]}
-        for q, d in pairs:
-            against[self.words[k][their_at[q]].strip(_OUTER).lower()].add(ws[at[d]].strip(_OUTER).lower())
-        consistent = sum(len(v) == 1 or key in v for key, v in against.items())
-        if against and consistent < LEAST_CONSISTENT * len(against):
-            return None
-        return len(against), sum(key not in v for key, v in against.items())
+            best = max(best, covered)
+        return best if best >= LEAST_COPY * n else 0
+
+    @staticmethod
+    def _diagonals(n: int, places: list[tuple], least: float) -> list[tuple[int, list[tuple]]]:
+        """Places by how far they are shifted, within a few words; those that cover enough of the item, the fullest first."""
+        order = sorted(places, key=lambda x: (x[0] - x[1], x[0]))
+        shift = [x[0] - x[1] for x in order]
+        slack = max(2, n // 8)
+        found, first = [], 0
+        held: Counter = Counter()
+        covered = 0
+        for last, (_, q, z, *_) in enumerate(order):
+            for j in range(q, q + z):
+                covered += not held[j]
+                held[j] += 1
+            while shift[first] < shift[last] - slack:
+                _, p, y, *_ = order[first]
+                for j in range(p, p + y):
+                    held[j] -= 1
+                    covered -= not held[j]
+                first += 1
+            if covered >= least * n and (last + 1 == len(order) or shift[last + 1] > shift[last]):
+                found.append((-covered, first, last))
+        return [(-c, order[a : b + 1]) for c, a, b in sorted(found)]
+
+    def _compared(self, k: int, places: list[tuple], ws: list[bytes], at: np.ndarray) -> tuple[int, int] | None:
+        """Slots compared and slots with another value; None unless values stand against each other one to one."""
+        slots, theirs = self.slots[k], self.words[k]
+        votes: dict[int, Counter] = defaultdict(Counter)
+        for d, q, z, _, row in places:
+            use = slots[row or 2]
+            for j in range(z):
+                if use[q + j]:
+                    votes[q + j][d + j] += 1
+        middle = sorted(x[0] - x[1] for x in places)[len(places) // 2]
+        # a slot in a gap stands where both neighbours put it
+        ends = sorted((q, d - q) for d, q, *_ in places), sorted((q + z, d - q) for d, q, z, *_ in places)
+        for q in np.flatnonzero(slots[1]).tolist():
+            if q not in votes:
+                before, after = bisect_right(ends[1], (q, len(ws))) - 1, bisect_left(ends[0], (q, -len(ws)))
+                if before >= 0 and after < len(ends[0]) and ends[1][before][1] == ends[0][after][1]:
+                    votes[q][q + ends[0][after][1]] += 1
+        against: dict[bytes, bytes] = {}
+        back: dict[bytes, bytes] = {}
+        for q, of in votes.items():
+            d = min(of, key=lambda d: (-of[d], abs(d - q - middle), d))
+            mine, value = theirs[q], ws[at[d]].strip(_OUTER).lower()
+            if against.setdefault(mine, value) != value or back.setdefault(value, mine) != mine:
+                return None
+        return len(against), sum(a != b for a, b in against.items())
 
 
 _MATCHES = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("share", pa.float64()), ("slots", pa.int64()), ("changed_slots", pa.int64())])
-_KEYED = pa.schema([("text_key", pa.string()), *list(_MATCHES)[1:]])
 _MATCHES_DDL = "doc_id long, item_id long, share double, slots long, changed_slots long"
 
 
-def _item_rows(benchmark: DataFrame) -> DataFrame:
-    return benchmark.select(F.col("item_id").cast("long"), "text").where("item_id IS NOT NULL").dropDuplicates()
-
-
-def small_items(benchmark: DataFrame, most: int = BROADCAST) -> Items | None:
-    """The items, if they have at most so many words."""
-    rows = _item_rows(benchmark)
-    n = rows.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
-    return Items(sorted(((r.item_id, r.text or "") for r in rows.collect()), key=str)) if n <= most else None
+def item_blocks(benchmark: DataFrame, most: int = BLOCK_BYTES) -> Iterator[Items]:
+    """The items in blocks of about so many bytes, told by hash; the driver holds one block at a time."""
+    rows = benchmark.select(F.col("item_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).where("item_id IS NOT NULL").dropDuplicates()
+    blocks = -(-(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // most)
+    for k in range(blocks):
+        yield Items(sorted(map(tuple, rows.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == k).collect())))
 
 
-def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen = Words()
-    for given in batches:
-        ids, texts, sizes = (given.column(k).to_pylist() for k in range(3))
-        for a, b in pieces(texts, 1 << 19):
-            key, hs = [], []
-            for i in range(a, b):
-                out, slot, at = template((texts[i] or "").encode().split(), seen)
-                own = [w.ravel() for _, w in template_windows(out, slot, sizes[i] or window_sizes(len(at)))]
-                w = np.unique(np.concatenate([np.zeros(0, np.uint64), *own]))
-                w = w[w > 0]
-                hs.append(w), key.append(np.full(len(w), ids[i]))
-            if hs:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(key), pa.int64()), pa.array(np.concatenate(hs).view(np.int64))], names=["id", "h"])
-
-
-def _text_key() -> Column:
-    return F.sha2(F.col("text").cast("binary"), 256)
-
-
-def _joined(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """text_key, item_id, share, ... of each text of docs: the same matches where the items are too many to be sent out: windows meet in a shuffled join, then the pairs' texts."""
-    items = _item_rows(benchmark)
-    sizes = sorted({*range(1, WINDOW + 1), *(z for _, z in SEEDS)})  # at most so many; an item's own are among them
-    ours = docs.select(_text_key().alias("text_key"), "text").where("text IS NOT NULL").dropDuplicates(["text_key"])
-    ours = ours.select(F.xxhash64("text_key").alias("id"), "text_key", "text")
-    with_sizes = lambda df, z: df.select("id", "text", F.lit(z).cast("array<int>").alias("z")).transform(mapped, _window_rows, "id long, h long")
-    left = with_sizes(ours, F.array(*map(F.lit, sizes)))
-    right = with_sizes(items.select(F.col("item_id").alias("id"), "text"), F.lit(None)).withColumnRenamed("id", "item_id")
-    pairs = left.join(right, "h").select("id", "item_id").distinct()
-    both = pairs.join(ours, "id").join(items.select("item_id", F.col("text").alias("item")), "item_id").select("text_key", "text", "item_id", "item")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = Words()
-        for given in batches:
-            out = [(d, *m) for d, t, i, x in zip(*(given.column(k).to_pylist() for k in range(4))) for m in Items([(i, x)]).matches(t, seen)]
-            yield batch(_KEYED, dict(zip(_KEYED.names, zip(*out))) if out else {n: [] for n in _KEYED.names})
-
-    return both.transform(mapped, run, _MATCHES_DDL.replace("doc_id long", "text_key string"))
-
-
-def contaminated(docs: DataFrame, benchmark: DataFrame, most: int = BROADCAST) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, most: int = BLOCK_BYTES) -> DataFrame:
     """docs(doc_id, text, ...), benchmark(item_id, text) -> doc_id, item_id, share, slots, changed_slots of each match.
 
-    Null or empty texts match nothing. Rows of docs that repeat give repeated matches; null ids stay null. Items that repeat count once. Other columns are not looked
-    at; without rows on either side the result is empty."""
-    known = small_items(benchmark, most)
-    if known is None:
-        ids = docs.select(F.col("doc_id").cast("long"), _text_key().alias("text_key"))
-        return ids.join(_joined(docs, benchmark), "text_key").drop("text_key")
-    sent = docs.sparkSession.sparkContext.broadcast(known)  # bounded by most
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, items = Words(), sent.value
-        for given in batches:
-            out = [(d, *m) for d, t in zip(given.column(0).to_pylist(), given.column(1).to_pylist()) for m in items.matches(t, seen)]
-            yield batch(_MATCHES, dict(zip(_MATCHES.names, zip(*out))) if out else {n: [] for n in _MATCHES.names})
-
-    return docs.select(F.col("doc_id").cast("long"), "text").transform(mapped, run, _MATCHES_DDL)
-
-
-def decontaminated(docs: DataFrame, benchmark: DataFrame, most: int = BROADCAST) -> DataFrame:
+    Null or empty texts match nothing. Rows of docs that repeat give repeated matches; null ids stay null. Items that
+    repeat count once, items without an id or a word match nothing. Texts of any length are read whole. Of several
+    stretches that hold an item the fullest counts, of equal ones the first. Other columns are not looked at; without
+    rows on either side the result is empty."""
+    spark, found = docs.sparkSession, None
+    for known in item_blocks(benchmark, most):
+        sent = spark.sparkContext.broadcast(known)  # bounded by most
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            seen, items = Words(), sent.value
+            for given in batches:
+                ids, texts = given.column(0).to_pylist(), given.column(1).to_pylist()
+                for a, b in pieces(texts, 1 << 19):
+                    out = [(ids[a + i], *m) for i, ms in enumerate(items.matches(texts[a:b], seen)) for m in ms]
+                    if out:
+                        yield batch(_MATCHES, dict(zip(_MATCHES.names, zip(*out))))
+
+        some = docs.select(F.col("doc_id").cast("long"), "text").transform(mapped, run, _MATCHES_DDL)
+        found = some if found is None else stored(found, "matches").unionAll(some)
+    return spark.createDataFrame([], _MATCHES_DDL) if found is None else found
+
+
+def decontaminated(docs: DataFrame, benchmark: DataFrame, most: int = BLOCK_BYTES) -> DataFrame:
     """The rows of docs that match no item, all columns as they are."""
-    known = small_items(benchmark, most)
-    if known is None:
-        found = _joined(docs, benchmark).select("text_key").distinct()
-        return docs.join(found, F.sha2(docs["text"].cast("binary"), 256) == found["text_key"], "left_anti")
-    sent = docs.sparkSession.sparkContext.broadcast(known)
+    left, first = docs, True
+    for known in item_blocks(benchmark, most):
+        sent = docs.sparkSession.sparkContext.broadcast(known)  # bounded by most
 
-    def decide():
-        seen, items = Words(), sent.value
-        return lambda texts: [not items.matches(t, seen) for t in texts]
+        def decide(sent=sent):
+            seen, items = Words(), sent.value
+            return lambda texts: [not m for a, b in pieces(texts, 1 << 19) for m in items.matches(texts[a:b], seen)]
 
-    return rows_where(docs, decide)
+        left = rows_where(left if first else stored(left, "left"), decide)
+        first = False
+    return left
 
 
 def op10_template_decontamination(spark, sf_dir):
