@@ -14,4 +14,4 @@ QUERIES = {
     "op9_main_text": html_text.op9_main_text,
     "op10_template_decontamination": decontaminate.op10_template_decontamination,
 }
-ORACLES: dict[str, str] = {"op5_redirect_equivalence": url_filter.ORACLE}
+ORACLES: dict[str, str] = {"op3_minhash_near_dedup": near_dedup.ORACLE, "op4_warc_round_trip": warc.ORACLE, "op5_redirect_equivalence": url_filter.ORACLE}

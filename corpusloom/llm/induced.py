@@ -144,8 +144,8 @@ def _sorted(t: np.ndarray, k: int) -> np.ndarray:
 
 
 def suffix_array(data: np.ndarray) -> np.ndarray:
-    """data: bytes -> start of each suffix, in order; a suffix that ends is smaller than its continuations."""
-    return _sorted(np.append(data.astype(np.int32) + 1, 0).astype(np.int32), 258)[1:]
+    """data: symbols from 0 to 256 -> start of each suffix, in order; a suffix that ends is smaller than its continuations."""
+    return _sorted(np.append(data.astype(np.int32) + 1, 0).astype(np.int32), 259)[1:]
 
 
 def common_prefixes(data: np.ndarray, sa: np.ndarray) -> np.ndarray:
@@ -163,7 +163,7 @@ def common_prefixes(data: np.ndarray, sa: np.ndarray) -> np.ndarray:
     bare[~bare] = data[here[~bare] - 1] != data[phi[~bare] - 1]
     at = np.flatnonzero(bare)
     length = np.zeros(len(at), np.int64)
-    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    padded = np.concatenate([data, np.zeros(8, data.dtype)])
     eight = np.lib.stride_tricks.sliding_window_view(padded, 8)
     left = np.flatnonzero(phi[at] >= 0)
     while len(left):

@@ -7,9 +7,14 @@ for high similarities. A second bitmap folds the whole set; its XOR count never
 (|A| + |B|) / 7 a pair is surely below 0.75. Pairs that pass both are confirmed on full sets.
 
 Texts with equal sets are one class and only the least id goes on. A bucket is first linked as a star to its most
-central member (the one whose buckets are largest). Where the confirmed links leave a bucket with several components,
-each member outside the largest one is compared with all members outside its own component, in blocks. So no link
-between components is lost, and no group is expanded into all its pairs or gathered in one task."""
+central member (the one whose buckets are largest), so a group of copies costs one comparison a member. Where the confirmed
+links leave a bucket with several components, each member outside the largest one is compared with all members outside
+its own component, by sizes and bitmaps in blocks of BLOCK members; only pairs that these allow go on. So no link between
+components is lost and no bucket is gathered in one task. The price is a square: N members of one bucket that have no
+links to each other cost N * N / 2 comparisons of bitmaps and N / BLOCK copies of each member's bitmaps.
+
+Sizes, leaders and largest components of buckets are stored before they are joined back: both sides of such a join are
+then exchanges of its own, which adaptive execution can split at a hot bucket."""
 
 from __future__ import annotations
 
@@ -173,6 +178,7 @@ def _crossing(members: DataFrame, comp: DataFrame, sketches: DataFrame) -> DataF
     each = rows.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("k"))
     mixed = each.groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), F.sum("k").alias("all"), F.max(F.struct("k", "comp")).alias("top")).where("parts > 1")
     mixed = mixed.select("bucket", F.col("top.comp").alias("top"), F.ceil(F.col("top.k") / BLOCK).alias("majors"), F.ceil((F.col("all") - F.col("top.k")) / BLOCK).alias("minors"))
+    mixed = stored(mixed, "mixed")
     rows = rows.join(mixed, "bucket").withColumn("minor", F.expr("comp <> top"))
     at = F.expr("pmod(xxhash64(doc_id), IF(minor, minors, majors))")
     rows = rows.withColumn("at", at)
@@ -190,16 +196,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """docs(doc_id, text, ...) -> doc_id, n_shingles, component_id, kept, class_id; one row per row of docs.
 
     Null or empty texts have no shingles and are linked with nothing. A null doc_id takes no part: its component is
-    null and it is kept. Rows that repeat an id are one node. Other columns of docs are not looked at."""
+    null and it is kept. Rows that repeat an id are one node. Texts of any length are read whole; of equal sizes or weights the
+    least id leads. Other columns of docs are not looked at; without rows the result is empty."""
     found = stored(features(docs), "features")
     some = found.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = stored(some.groupBy("set_key").agg(F.min("doc_id").alias("class_id")), "classes")
     sketches = stored(some.join(classes.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "n_shingles", "bands", "odd", "parity"), "sketches")
     rows = sketches.select("doc_id", F.explode("bands").alias("bucket"))
-    shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    shared = stored(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "sizes")
     members = stored(rows.join(shared, "bucket"), "buckets")
     central = members.groupBy("doc_id").agg(F.sum("size").alias("weight"))
     leaders = members.join(central, "doc_id").groupBy("bucket").agg(F.max(F.struct("weight", (-F.col("doc_id")).alias("minus"))).alias("top")).select("bucket", (-F.col("top.minus")).alias("leader"))
+    leaders = stored(leaders, "leaders")
     stars = members.join(leaders, "bucket").where("doc_id <> leader").select(F.least("leader", "doc_id").alias("a"), F.greatest("leader", "doc_id").alias("b")).distinct()
     links = stored(confirmed(stored(plausible(stars, sketches), "stars"), docs), "links")
     first = stored(components(links), "components")
@@ -232,3 +240,19 @@ def without_near_duplicates(docs: DataFrame) -> DataFrame:
 
 def op3_minhash_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+#: The same by plain set intersection.
+ORACLE = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+      ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i : i + 4], ' ')) END)) AS sh FROM w),
+c AS (SELECT doc_id, len(sh) AS n, CASE WHEN len(sh) > 0 THEN min(doc_id) OVER (PARTITION BY sh) END AS class_id FROM s),
+x AS (SELECT s.doc_id, c.n, unnest(s.sh) AS k FROM s JOIN c ON s.doc_id = c.class_id AND c.doc_id = s.doc_id),
+e0 AS (SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.k = b.k AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+e AS (SELECT a, b FROM e0 UNION SELECT b, a FROM e0),
+r(n, m) AS (SELECT a, a FROM e UNION SELECT r.n, e.b FROM r JOIN e ON r.m = e.a),
+g AS (SELECT n, min(m) AS m FROM r GROUP BY 1)
+SELECT c.doc_id, CAST(c.n AS BIGINT) AS n_shingles, coalesce(g.m, c.class_id, c.doc_id) AS component_id, c.doc_id = coalesce(g.m, c.class_id, c.doc_id) AS kept, c.class_id
+FROM c LEFT JOIN g ON c.class_id = g.n
+"""

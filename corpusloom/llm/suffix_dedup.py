@@ -11,8 +11,9 @@ strings without a suffix array of the whole corpus:
 3. Shards. The contexts of an anchor meet in one shard. Its suffix array is made by induced sorting; permuted common
    prefixes of 200 bytes or more between neighbours tell the strings that repeat.
 
-An anchor with more contexts than a shard should hold (a short passage within a great many different texts) is not
-gathered: its 200-byte strings are counted by their 128-bit hashes, which are dealt evenly and pre-aggregated."""
+Equal contexts, and so exact copies, are settled by step 2 and meet no suffix array. An anchor with more contexts than a
+shard should hold (a short passage within a great many different texts) is not gathered in one shard either: its 200-byte
+strings are dealt by their 128-bit hashes and pre-aggregated. Both ways give the same spans."""
 
 from __future__ import annotations
 
@@ -23,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import batch, mapped, pieces, stored, table
@@ -86,8 +87,9 @@ def anchors(data: np.ndarray, powers: _Powers) -> tuple[np.ndarray, np.ndarray,
     return h[least[first] & _PLACE], first, last + LENGTH
 
 
-def _row_key(data: bytes, doc_id: int | None) -> int:
-    return xxhash.xxh3_64_intdigest(data, seed=doc_id is None) - (1 << 63)
+def _row_key() -> tuple[Column, Column]:
+    """What tells the rows of docs apart: doc_id, 0 for null, and a hash of the text and of whether the id is null."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")), F.xxhash64("text", F.col("doc_id").isNull())
 
 
 _ANCHORS = pa.schema([("f", pa.int64()), ("ctx", pa.int64()), ("did", pa.int64()), ("rk", pa.int64()), ("s", pa.int32()), ("e", pa.int32()), ("more", pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())])))])
@@ -96,7 +98,7 @@ _ANCHORS = pa.schema([("f", pa.int64()), ("ctx", pa.int64()), ("did", pa.int64()
 def _anchor_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     powers = _Powers()
     for given in batches:
-        texts = given.column(1).to_pylist()
+        texts = given.column(0).to_pylist()
         for start, end in pieces(texts):
             found = []
             for t in texts[start:end]:
@@ -132,7 +134,7 @@ def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     powers = _Powers()
     digest = xxhash.xxh3_64_intdigest
     for given in batches:
-        ids, texts = given.column(0).to_pylist(), given.column(1).to_pylist()
+        texts, ids, keys = (given.column(k).to_pylist() for k in range(3))
         for start, end in pieces(texts):
             fs, ctxs, froms, tos, mores, dids, rks, counts = [], [], [], [], [], [], [], []
             for i in range(start, end):
@@ -149,7 +151,7 @@ def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ctxs += mine
                 mores += more
                 fs.append(h), froms.append(s), tos.append(e)
-                dids.append(ids[i] or 0), rks.append(_row_key(data, ids[i])), counts.append(len(h))
+                dids.append(ids[i]), rks.append(keys[i]), counts.append(len(h))
             if fs:
                 yield batch(_ANCHORS, {"f": np.concatenate(fs).view(np.int64), "ctx": np.array(ctxs, np.uint64).view(np.int64), "did": np.repeat(dids, counts), "rk": np.repeat(np.array(rks, np.int64), counts), "s": np.concatenate(froms).astype(np.int32), "e": np.concatenate(tos).astype(np.int32), "more": mores})
 
@@ -158,18 +160,19 @@ _CONTEXTS = pa.schema([("f", pa.int64()), ("many", pa.bool_()), ("did", pa.int64
 
 
 def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(did, text, wanted contexts) -> the contexts' bytes."""
+    """(did, rk, text, wanted contexts) -> the contexts' bytes. Rows that repeat come one after another and are cut once."""
+    last = None
     for given in batches:
-        texts = given.column(1).to_pylist()
+        dids, rks, texts = (given.column(k).to_pylist() for k in range(3))
         for at, end in pieces(texts, 1 << 21):
             out: dict = {f.name: [] for f in _CONTEXTS}
-            for did, is_null, text, wanted in zip(given.column(0).to_pylist()[at:end], given.column(3).to_pylist()[at:end], texts[at:end], given.column(2).slice(at, end - at).to_pylist()):
-                data = (text or "").encode()
-                rk = _row_key(data, None if is_null else did)
+            for k, wanted in zip(range(at, end), given.column(3).slice(at, end - at).to_pylist()):
+                if last == (dids[k], rks[k]):
+                    continue
+                last, data = (dids[k], rks[k]), (texts[k] or "").encode()
                 for x in wanted:
-                    if x["rk"] == rk:
-                        for name, value in (("f", x["f"]), ("many", x["many"]), ("did", did), ("rk", rk), ("start", x["s"]), ("bytes", data[x["s"] : x["e"]])):
-                            out[name].append(value)
+                    for name, value in (("f", x["f"]), ("many", x["many"]), ("did", dids[k]), ("rk", rks[k]), ("start", x["s"]), ("bytes", data[x["s"] : x["e"]])):
+                        out[name].append(value)
             if out["f"]:
                 yield batch(_CONTEXTS, out)
 
@@ -189,10 +192,11 @@ def repeated(parts: list[bytes], many: np.ndarray, text_of: np.ndarray, start_of
     """Contexts -> (context, start, end) of what is repeated, by the suffix array of all of them.
 
     many: contexts that occur several times. text_of, start_of: where each lies; the same place in two contexts isn't
-    a repetition."""
-    data = np.frombuffer(b"\0".join(parts) + b"\0", np.uint8)
+    a repetition. Between contexts stands a symbol that is no byte, so nothing that crosses a border equals what doesn't."""
     sizes = np.array([len(p) for p in parts])
     ends = np.cumsum(sizes + 1) - 1
+    data = np.frombuffer(b"\0".join(parts) + b"\0", np.uint8).astype(np.int16) + 1
+    data[ends] = 0
     sa = suffix_array(data)
     lcp = common_prefixes(data, sa)
     part = np.repeat(np.arange(len(parts)), sizes + 1)
@@ -225,6 +229,9 @@ def _sharded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Contexts ordered by anchor -> repeated spans; anchors that are neighbours share a shard."""
 
     def solved(t: pa.Table) -> pa.RecordBatch:
+        places = np.stack([t[c].to_numpy() for c in ("f", "did", "rk", "start")])
+        if len(once := np.unique(places, axis=1, return_index=True)[1]) < t.num_rows:  # rows that repeat, from different tasks
+            t = t.take(pa.array(np.sort(once)))
         did, rk, start = (t[c].to_numpy() for c in ("did", "rk", "start"))
         text_of = np.unique(np.stack([did, rk]), axis=1, return_inverse=True)[1].ravel()
         owner, s, e = repeated(t["bytes"].to_pylist(), t["many"].to_numpy(), text_of, start.astype(np.int64))
@@ -269,21 +276,22 @@ def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """docs(doc_id, text) -> (did, rk, s, e): byte ranges of each text that are repeated; they may overlap.
 
-    did: doc_id, 0 for null; rk: hash of the text."""
-    texts = docs.select(F.col("doc_id").cast("long"), "text")
-    long = texts.where(F.octet_length("text") >= LENGTH)
-    found = long.transform(mapped, _anchored, "f long, ctx long, did long, rk long, s int, e int, more array<struct<s:int,e:int>>")
-    again = long.transform(mapped, _anchor_hashes, "f long").groupBy("f").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("f")
+    did, rk: what tells rows apart. Anchors that recur, and those with several contexts, are stored before they are joined
+    back, so that adaptive execution can split a hot one."""
+    did, rk = _row_key()
+    texts = docs.select("text", did.alias("did"), rk.alias("rk")).where(F.octet_length("text") >= LENGTH)
+    found = texts.transform(mapped, _anchored, "f long, ctx long, did long, rk long, s int, e int, more array<struct<s:int,e:int>>")
+    again = stored(texts.select("text").transform(mapped, _anchor_hashes, "f long").groupBy("f").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("f"), "again")
     places = stored(found.join(again, "f"), "anchors")
     contexts = stored(places.groupBy("f", "ctx").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("did", "rk", "s", "e")).alias("at")), "contexts")
     whole = places.join(contexts.where("n > 1").select("f", "ctx"), ["f", "ctx"]).select("did", "rk", F.explode(F.concat(F.array(F.struct("s", "e")), F.coalesce("more", F.array().cast("array<struct<s:int,e:int>>")))).alias("span")).select("did", "rk", "span.*")
-    kinds = contexts.groupBy("f").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+    kinds = stored(contexts.groupBy("f").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1"), "kinds")
     wanted = contexts.join(kinds, "f").select("f", "kinds", (F.col("n") > 1).alias("many"), "at.*")
-    by_text = wanted.groupBy("did").agg(F.collect_list(F.struct("rk", "s", "e", "f", (F.col("kinds") > GROUP_MOST).alias("huge"), "many")).alias("wanted"))
-    sides = texts.select(F.coalesce("doc_id", F.lit(0)).alias("did"), "text", F.col("doc_id").isNull().alias("no_id")).join(by_text, "did")
+    by_text = wanted.groupBy("did", "rk").agg(F.collect_list(F.struct("s", "e", "f", (F.col("kinds") > GROUP_MOST).alias("huge"), "many")).alias("wanted"))
+    sides = texts.join(by_text, ["did", "rk"])
     spans = whole
     for huge in (False, True):
-        some = sides.select("did", "text", F.filter("wanted", lambda x: x.huge if huge else ~x.huge).alias("wanted"), "no_id").where(F.size("wanted") > 0)
+        some = sides.select("did", "rk", "text", F.filter("wanted", lambda x: x.huge if huge else ~x.huge).alias("wanted")).where(F.size("wanted") > 0)
         cut = some.transform(mapped, _cut_out, "f long, many boolean, did long, rk long, start int, bytes binary")
         if huge:
             strings = cut.transform(mapped, _strings, "h binary, did long, rk long, s int, many boolean").distinct()
@@ -303,9 +311,8 @@ def _without(text: str | None, spans: list | None) -> tuple[bytes, bytes, int]:
     data = (text or "").encode()
     if not spans:
         return data, data, 0
-    own = {_row_key(data, 0), _row_key(data, None)}
     rest, done, runs, reach = [], 0, 0, -1
-    for s, e in sorted((x["s"], x["e"]) for x in spans if x["rk"] in own):
+    for s, e in sorted((x["s"], x["e"]) for x in spans):
         if s > reach:
             runs += 1
             rest.append(data[done:s])
@@ -327,18 +334,22 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch(_RESULT, out)
 
 
+_DID, _RK, _OF = "_suffix_dedup_did_", "_suffix_dedup_rk_", "_suffix_dedup_spans_"
+
+
 def _with_spans(docs: DataFrame) -> DataFrame:
     """docs with a last column, the repeated spans of each text."""
-    per = repeated_spans(docs).groupBy("did", "rk").agg(F.collect_set(F.struct("s", "e")).alias("of")).groupBy("did").agg(F.flatten(F.collect_list(F.transform("of", lambda x: F.struct(F.col("rk"), x.s.alias("s"), x.e.alias("e"))))).alias("_spans"))
-    per = stored(per, "spans")
-    return docs.join(per, F.coalesce(docs["doc_id"].cast("long"), F.lit(0)) == per["did"], "left").drop(per["did"])
+    per = stored(repeated_spans(docs).groupBy(F.col("did").alias(_DID), F.col("rk").alias(_RK)).agg(F.collect_set(F.struct("s", "e")).alias(_OF)), "spans")
+    did, rk = _row_key()
+    return docs.withColumn(_DID, did).withColumn(_RK, rk).join(per, [_DID, _RK], "left").select(*(F.col(f"`{c}`") for c in docs.columns), _OF)
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """docs(doc_id, text, ...) -> doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the bytes left).
 
-    One row per row of docs. A null text is an empty one; texts below 200 bytes lose nothing. Rows that repeat an id or
-    have none are told apart by their texts; a repeated row repeats all its strings. Other columns are not looked at."""
+    One row per row of docs, without rows the result is empty. A null text is an empty one; texts below 200 bytes lose
+    nothing, longer ones are looked at whole, in slices. Rows that repeat an id or have none are told apart by their texts; a
+    repeated row repeats all its strings. Other columns are not looked at."""
     spans = _with_spans(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     return spans.transform(mapped, _kept, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 

@@ -65,7 +65,8 @@ def filtered(pages: DataFrame, rules: DataFrame, edges: DataFrame | None = None,
 
     edges(a, b): redirects that are known otherwise, as addresses with ://. A null url, or one without ://, has an
     empty host and path and the default verdict. Null ids stay null, rows that repeat are judged each; pages of any
-    length are searched whole for their links; other columns are not looked at."""
+    length are searched whole for their links; other columns are not looked at. Without pages the result is empty; without
+    rules all verdicts are the default. Rows without a host meet no rule, so they are not dealt by it."""
     rows = with_parts(pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), "html"), "url")
     links = link_edges(rows.select("url", "html"))
     if edges is not None:
@@ -78,8 +79,10 @@ def filtered(pages: DataFrame, rules: DataFrame, edges: DataFrame | None = None,
     own = stored(judged(addresses, rules), "judged")
     of = ends.join(own.hint("merge"), ["host", "path"]).groupBy("component").agg(F.max(F.col("verdict") == "allow").alias("allowed"))
     spread = aliases.join(of, "component").select("node", F.when(F.col("allowed"), "allow").otherwise("block").alias("alias_verdict"))
-    out = rows.select("page_id", "host", "path", "node").join(own.hint("merge"), ["host", "path"], "left").join(spread.hint("merge"), "node", "left")
-    return out.select("page_id", "host", "path", "rule", F.coalesce("verdict", "alias_verdict", F.lit(default)).alias("verdict"))
+    some = rows.select("page_id", "host", "path", "node")
+    out = some.where("host <> ''").join(own.hint("merge"), ["host", "path"], "left").join(spread.hint("merge"), "node", "left").select("page_id", "host", "path", "rule", "verdict", "alias_verdict")
+    bare = some.where("host = ''").select("page_id", "host", "path", *(F.lit(None).cast("string").alias(c) for c in ("rule", "verdict", "alias_verdict")))
+    return out.unionByName(bare).select("page_id", "host", "path", "rule", F.coalesce("verdict", "alias_verdict", F.lit(default)).alias("verdict"))
 
 
 def rules_frame(spark, rules=RULES) -> DataFrame:

@@ -186,10 +186,11 @@ def write_archives(pages: DataFrame, folder: str, least: int = 0) -> DataFrame:
 
     Of payloads that are equal and have at least so many bytes, that of the largest page_id is a response, others are
     revisits. A null html is an empty payload. A null page_id is a response of its own. Rows that repeat both id and
-    payload are records each. Other columns are not looked at; without rows nothing is written."""
+    payload are records each. Payloads of any length are written whole. What is known of payloads that recur is stored before it
+    is joined back, so that a hot one can be split. Other columns are not looked at; without rows nothing is written."""
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.coalesce("html", F.lit("")).alias("html")).withColumn("sha", F.sha1("html"))
     known = rows.where((F.octet_length("html") >= least) & F.col("page_id").isNotNull()).select("page_id", "sha")
-    keepers = known.groupBy("sha").agg(F.max("page_id").alias("refers_to"))
+    keepers = stored(known.groupBy("sha").agg(F.max("page_id").alias("refers_to"), F.min("page_id").alias("least")).where("least < refers_to").drop("least"), "keepers")
     revisits = known.distinct().join(keepers, "sha").where("page_id <> refers_to")
     typed = rows.join(revisits, ["page_id", "sha"], "left").select("page_id", "url", "html", "refers_to")
 
@@ -249,3 +250,14 @@ def read_archives(archives: DataFrame, payloads: bool = True) -> DataFrame:
 def op4_warc_round_trip(spark, sf_dir):
     archives = write_archives(table(spark, sf_dir, "pages"), scratch(spark, "warc"))
     return read_archives(archives, payloads=False).drop("url", "payload")
+
+
+#: The same digests and references without an archive.
+ORACLE = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+k AS (SELECT h, max(page_id) AS keeper FROM p GROUP BY h)
+SELECT p.page_id, CAST(strlen(p.html) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((('0x' || substr(p.h, 1 + 5 * CAST(i // 4 AS INT), 5))::BIGINT >> CAST(15 - 5 * (i % 4) AS INT)) & 31 AS INT), 1)), '') AS payload_digest,
+       CASE WHEN k.keeper = p.page_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN k.keeper <> p.page_id THEN k.keeper END AS refers_to
+FROM p JOIN k USING (h)
+"""

@@ -123,6 +123,7 @@ def test_packing(spark, tokenizers):
     by = packed_ok(rows, tokenizers["byte_bpe_50k.json"], texts)
     assert sorted(by) == list(range(len(by)))
     assert sum(r.length for r in rows if r.doc_id == 902) == 4 and sum(r.length for r in rows if r.doc_id == 901) == 1
+    assert sum(packing.LENGTH - sum(n for _, n in parts) for parts in by.values()) < packing.LENGTH * 2  # little padding: but for the last ones, sequences are full
     assert packing.packed(empty(spark)).count() == 0
 
 
@@ -250,6 +251,22 @@ def test_url_filter(spark):
     assert got == {1: ("a.net", "/x", "net/", "block"), 2: ("b.org", "/de/y", None, "block"), 3: ("c.org", "/z", None, "block"), 4: ("c.org", "/w", None, "block"), 5: ("", "", None, "allow"), 6: ("", "", None, "allow"), 7: ("d.org", "/a", None, "allow"), 8: ("d.org", "/a", None, "allow"), 9: ("x.example.net", "/en/1", "example.net/en/", "allow"), None: ("net", "", None, "allow")}
 
 
+def test_url_filter_is_its_sql_on_linked_rows(spark):
+    import duckdb
+
+    link = '<link rel="canonical" href="%s">'
+    rows = [(1, "http://a.com/x", link % "http://b.net/y"), (2, "http://c.com/z", link % "http://a.com/x"), (3, "http://d.org/w", '<meta http-equiv="refresh" content="0; url=http://example.net/en/1">'), (4, "http://e.com/", link % "http://d.org/w"), (5, None, None), (6, "none", link % "http://b.net/y"), (7, "http://lone.com/a#x", ""), (8, "http://q.net/1", link % "http://example.net/en/1")]
+    got = url_filter.filtered(spark.createDataFrame(rows, "page_id long, url string, html string"), url_filter.rules_frame(spark)).select("page_id", "host", "path", "rule", "verdict").collect()
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", rows)
+    want = con.execute(f"SELECT page_id, host, path, rule, verdict FROM ({url_filter.ORACLE})").fetchall()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    assert {r.page_id: r.verdict for r in got} == {1: "block", 2: "block", 3: "allow", 4: "allow", 5: "allow", 6: "allow", 7: "allow", 8: "block"}
+    nothing = spark.createDataFrame([], "page_id long, url string, html string")
+    assert url_filter.filtered(nothing, url_filter.rules_frame(spark)).count() == 0
+
+
 # ---- operator 7
 
 
@@ -287,7 +304,7 @@ def test_repeats_are_the_brute_force_ones(spark, monkeypatch, most):
     shared = prose(1, 60)
     rows = [(i, f"{prose(50 + i, 40)} {shared[i : 260 + i * 3]} é{prose(90 + i, 30)}") for i in range(30)]
     rows += [(100, "ab" * 700), (101, "q" * 900), (102, (prose(3, 30) + "\n") * 3), (103, shared), (103, shared), (104, prose(9, 80)), (None, prose(9, 80)), (105, "é" * 150 + "x"), (106, "y" + "é" * 150)]
-    given = spark.createDataFrame([(i, t, None, None, None) for i, t in rows] + [(901, None, None, None, None)], DOCS).withColumn("s", F.lit(1)).withColumn("did", F.lit(2))
+    given = spark.createDataFrame([(i, t, None, None, None) for i, t in rows] + [(901, None, None, None, None)], DOCS).withColumn("s", F.lit(1)).withColumn("did", F.lit(2)).withColumn("_spans", F.lit(3)).withColumn("rk", F.lit(4))
     got = sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.without_repeats(given).collect())
     want = []
     for (i, t), c in zip([*rows, (901, None)], brute_repeats([*rows, (901, None)])):
@@ -300,6 +317,23 @@ def test_repeats_are_the_brute_force_ones(spark, monkeypatch, most):
     assert suffix_dedup.without_repeats(given.limit(0)).count() == 0
 
 
+def test_bytes_at_the_borders_of_contexts(spark):
+    q = "a" * 100 + "\0" + "b" * 99
+    parts = ["x" * 60 + q + "b1", "m" * 150 + "a" * 100, "b" * 99 + "b2" * 60, "y" * 60 + q + "b3"]
+    rows = list(enumerate(parts))
+    got = {r.doc_id: r.n_removed for r in suffix_dedup.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: int(c[:-1].sum()) for (i, _), c in zip(rows, brute_repeats(rows))} and got[0] == 201
+    owner, start, end = suffix_dedup.repeated([p.encode() for p in parts], np.zeros(4, bool), np.arange(4), np.zeros(4, np.int64))
+    assert list(zip(owner.tolist(), start.tolist(), end.tolist())) == [(0, 60, 261), (3, 60, 261)]
+
+
+def test_many_rows_without_an_id(spark):
+    shared = prose(1, 60)
+    rows = [(None, f"{prose(1000 + k, 12)} {shared if k % 50 == 0 else ''} {prose(5000 + k, 12)}") for k in range(10_000)] + [(7, prose(2, 60))] * 2000
+    got = suffix_dedup.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).groupBy("doc_id", (F.col("n_removed") > 300).alias("cut")).count().collect()
+    assert {(r.doc_id, r.cut): r["count"] for r in got} == {(None, True): 200, (None, False): 9800, (7, True): 2000}
+
+
 # ---- operator 8
 
 
