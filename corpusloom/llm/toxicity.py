@@ -1,12 +1,13 @@
 """Operator 1, toxicity by cumulative-link ordinal regression.
 
-A text's grade of severity is 0 (not toxic), 1 (toxic) or 2 (toxic and of low quality). One weight vector over sparse
-features serves all thresholds: P(grade > k) = sigmoid(score - threshold_k), thresholds rising. The features are the
-shares, among a text's words, of words and of their beginnings and inner parts of 4 to 6 characters; so a word adds the
-weights of its own features, which are summed once for each word met. The expected severity is the sum of P(grade > k).
+A text's grade of severity is 0 (not toxic), 1 (toxic) or 2 (toxic and of low quality: the labels hold no other degree
+of severity than these two marks). One weight vector over sparse features serves all thresholds:
+P(grade > k) = sigmoid(score - threshold_k), thresholds rising. The features are the shares, among a text's words, of
+words and of their beginnings and inner parts of 4 to 6 characters; so a word adds the weights of its own features,
+which an automaton finds, once for each word met. The expected severity is the sum of P(grade > k).
 
-The model is fitted on the driver on a bounded sample of labelled rows (at most SAMPLE), weighted to the classes' shares
-among all labels; every document is scored."""
+The model is fitted on the driver on a bounded sample of labelled documents (at most SAMPLE, one row each), weighted to
+the classes' shares among all labels; every document is scored."""
 
 from __future__ import annotations
 
@@ -14,6 +15,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -52,17 +54,48 @@ class Model:
         return sum(get(f, 0.0) for f in features_of(word))
 
 
+class Features(dict):
+    """Word to the numbers of its features, remembered; emptied when it holds most entries.
+
+    Parts are found by an automaton over all of them; the numbers are places in names."""
+
+    most = 200_000
+
+    def __init__(self, names: list[bytes]) -> None:
+        super().__init__()
+        self.whole: dict[bytes, int] = {}
+        self.parts = ahocorasick.Automaton()
+        for k, f in enumerate(names):
+            if f[:1].isdigit():
+                self.parts.add_word(f[1:].decode(), k)
+            else:
+                self.whole[f] = k
+        self.parts.make_automaton()
+
+    def of(self, word: bytes) -> list[int]:
+        found = {k for _, k in self.parts.iter(word.decode(errors="ignore"))} if len(self.parts) else set()
+        if (k := self.whole.get(word)) is not None:
+            found.add(k)
+        return sorted(found)
+
+    def __missing__(self, word: bytes) -> list[int]:
+        if len(self) >= self.most:
+            self.clear()
+        found = self[word] = self.of(word)
+        return found
+
+
 class _Weights(dict):
     most = 200_000
 
     def __init__(self, model: Model) -> None:
         super().__init__()
-        self.model = model
+        self.features, self.values = Features(list(model.weights)), list(model.weights.values())
 
     def __missing__(self, word: bytes) -> float:
         if len(self) >= self.most:
             self.clear()
-        found = self[word] = self.model.word_weight(word)
+        found = self[word] = sum(self.values[k] for k in self.features.of(word))
         return found
 
 
@@ -70,39 +103,62 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
+class Likelihood:
+    """Penalised mean log-likelihood of sparse rows in the cumulative-link model, and its gradient.
+
+    Parameters: a weight for each feature, the first threshold, and the logarithms of the gaps between thresholds."""
+
+    def __init__(self, rows: np.ndarray, cols: np.ndarray, values: np.ndarray, y: np.ndarray, n_features: int, grades_n: int, ridge: float, weights: np.ndarray | None) -> None:
+        self.rows, self.cols, self.values, self.y, self.k, self.grades, self.ridge = rows, cols, values, y, n_features, grades_n, ridge
+        n = len(y)
+        self.each = np.ones(n) if weights is None else weights * (n / weights.sum())
+
+    def thresholds(self, x: np.ndarray) -> np.ndarray:
+        first, gaps = x[self.k], x[self.k + 1 :]
+        return np.concatenate([[first], first + np.cumsum(np.exp(gaps))])
+
+    def __call__(self, x: np.ndarray) -> tuple[float, np.ndarray]:
+        y, n, w = self.y, len(self.y), x[: self.k]
+        at = np.arange(n)
+        score = np.bincount(self.rows, self.values * w[self.cols], n)
+        p = _sigmoid(score[:, None] - self.thresholds(x))  # P(grade > k)
+        edge = np.concatenate([np.ones((n, 1)), p, np.zeros((n, 1))], 1)
+        mass = np.maximum(1e-12, edge[at, y] - edge[at, y + 1])
+        slope = np.concatenate([np.zeros((n, 1)), p * (1 - p), np.zeros((n, 1))], 1)
+        upper, lower = self.each * slope[at, y] / mass, self.each * slope[at, y + 1] / mass  # d log mass / d score = upper - lower
+        g_score = -(upper - lower) / n
+        g_theta = np.array([(upper[y == k + 1].sum() - lower[y == k].sum()) / n for k in range(self.grades - 1)])
+        tail = np.cumsum(g_theta[::-1])[::-1]
+        grad = np.concatenate([np.bincount(self.cols, self.values * g_score[self.rows], self.k) + self.ridge * w, [tail[0]], tail[1:] * np.exp(x[self.k + 1 :])])
+        return -(self.each * np.log(mass)).mean() + self.ridge / 2 * (w @ w), grad
+
+
+#: Fitting ends when ten rounds lower the loss by less than this share of it.
+SETTLED = 1e-4
+
+
 def fit(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, y: np.ndarray, names: list[bytes], grades_n: int = GRADES, rounds: int = 300, ridge: float = 3e-4, weights: np.ndarray | None = None) -> Model:
     """Cumulative-link fit of sparse rows by full-batch Adam with a ridge penalty; the same input gives the same model.
-    weights: how many rows each row stands for, all alike if not given.
+    weights: how many rows each row stands for, all alike if not given. Ends when it has SETTLED, after rounds at most.
 
     Without rows, or with one grade only, the model rejects nothing."""
-    n = len(y)
-    if n == 0 or y.min() == y.max():
+    if len(y) == 0 or y.min() == y.max():
         return Model({}, [10.0 + k for k in range(grades_n - 1)], 0.5)
-    each = np.ones(n) if weights is None else weights * (n / weights.sum())
-    w, first, gaps = np.zeros(len(names)), 1.0, np.zeros(grades_n - 2)
-    above = y[:, None] > np.arange(grades_n - 1)
-    state = [np.zeros(len(names) + grades_n - 1) for _ in range(2)]
+    loss = Likelihood(rows, cols, values, y, len(names), grades_n, ridge, weights)
+    x = np.zeros(len(names) + grades_n - 1)
+    x[len(names)] = 1.0
+    mean, square = np.zeros(len(x)), np.zeros(len(x))
+    before = np.inf
     for t in range(1, rounds + 1):
-        theta = np.concatenate([[first], first + np.cumsum(np.exp(gaps))])
-        score = np.bincount(rows, values * w[cols], n)
-        p = _sigmoid(score[:, None] - theta)  # P(grade > k)
-        edge = np.concatenate([np.ones((n, 1)), p, np.zeros((n, 1))], 1)
-        mass = np.maximum(1e-12, edge[np.arange(n), y] - edge[np.arange(n), y + 1])
-        slope = np.concatenate([np.zeros((n, 1)), p * (1 - p), np.zeros((n, 1))], 1)
-        upper, lower = each * slope[np.arange(n), y] / mass, each * slope[np.arange(n), y + 1] / mass  # d log mass / d score = upper - lower
-        g_score = -(upper - lower) / n
-        g_theta = np.zeros(grades_n - 1)
-        for k in range(grades_n - 1):
-            g_theta[k] = (upper[y == k + 1].sum() - lower[y == k].sum()) / n
-        g_w = np.bincount(cols, values * g_score[rows], len(names)) + ridge * w
-        tail = np.cumsum(g_theta[::-1])[::-1]
-        grad = np.concatenate([g_w, [tail[0]], tail[1:] * np.exp(gaps)])
-        state[0] = 0.9 * state[0] + 0.1 * grad
-        state[1] = 0.99 * state[1] + 0.01 * grad**2
-        step = 0.05 * (state[0] / (1 - 0.9**t)) / (np.sqrt(state[1] / (1 - 0.99**t)) + 1e-8)
-        w, first, gaps = w - step[: len(names)], first - step[len(names)], gaps - step[len(names) + 1 :]
-    theta = np.concatenate([[first], first + np.cumsum(np.exp(gaps))])
-    return Model({f: float(v) for f, v in zip(names, w) if abs(v) > 1e-9}, theta.tolist(), 0.5)
+        now, grad = loss(x)
+        if t % 10 == 0:
+            if before - now < SETTLED * now:
+                break
+            before = now
+        mean = 0.9 * mean + 0.1 * grad
+        square = 0.99 * square + 0.01 * grad**2
+        x -= 0.05 * (mean / (1 - 0.9**t)) / (np.sqrt(square / (1 - 0.99**t)) + 1e-8)
+    return Model({f: float(v) for f, v in zip(names, x) if abs(v) > 1e-9}, loss.thresholds(x).tolist(), 0.5)
 
 
 def _grades(labels: DataFrame) -> DataFrame:
@@ -119,25 +175,30 @@ def class_weights(labels: DataFrame, sample: int = SAMPLE) -> tuple[float, float
 def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """doc_id, text, grade of at most so many labelled documents: half of them toxic, if there are enough, chosen by hash.
 
-    Labels with null columns are left out; of labels that repeat an id the most severe counts."""
+    Labels with null columns are left out; of labels that repeat an id the most severe counts, of rows of docs that repeat
+    one the least text, so the sample is bounded whatever repeats."""
     grades = _grades(labels)
     order = [F.xxhash64("doc_id"), "doc_id"]
     some = grades.where("grade > 0").orderBy(*order).limit(sample // 2).unionAll(grades.where("grade = 0").orderBy(*order).limit(sample - sample // 2))
-    return docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(some), "doc_id")  # bounded by sample
+    rows = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(some), "doc_id")  # bounded by sample
+    return rows.groupBy("doc_id", "grade").agg(F.min("text").alias("text")).select("doc_id", "text", "grade")
 
 
 def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Features, the texts that they are in, and the toxic ones of these; the features of a word are made once for a batch."""
     for given in batches:
         texts, grades = given.column(1).to_pylist(), given.column(2).to_pylist()
-        for a, b in pieces(texts, 1 << 19):
-            seen, hot = Counter(), Counter()
+        for a, b in pieces(texts, 1 << 21):
+            numbers: dict[bytes, int] = {}
+            known: dict[bytes, np.ndarray] = {}
+            found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for t, g in zip(texts[a:b], grades[a:b]):
-                found = set().union(*map(features_of, set(words(t))))
-                seen.update(found)
-                if g > 0:
-                    hot.update(found)
-            names = list(seen)
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array([seen[f] for f in names], pa.int64()), pa.array([hot[f] for f in names], pa.int64())], names=["feature", "texts", "hot"])
+                own = {*words(t)}
+                for w in own - known.keys():
+                    known[w] = np.array([numbers.setdefault(f, len(numbers)) for f in features_of(w)])
+                found[g > 0].append(np.unique(np.concatenate([np.zeros(0, np.int64), *(known[w] for w in own)])))
+            cold, hot = (np.bincount(np.concatenate(x).astype(np.int64), minlength=len(numbers)) for x in found)
+            yield pa.RecordBatch.from_arrays([pa.array(list(numbers), pa.binary()), pa.array(cold + hot, pa.int64()), pa.array(hot, pa.int64())], names=["feature", "texts", "hot"])
 
 
 def telling_features(sample: DataFrame, most: int = FEATURES) -> list[bytes]:
@@ -158,18 +219,18 @@ def fitted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     sample's vectors over them."""
     some = stored(labelled_sample(docs, labels, sample), "sample")
     names = telling_features(some)
-    sent = docs.sparkSession.sparkContext.broadcast({f: k for k, f in enumerate(names)})
+    sent = docs.sparkSession.sparkContext.broadcast(names)  # bounded by FEATURES
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = sent.value
+        index = Features(sent.value)
         for given in batches:
             cols, values = [], []
             for t in given.column(1).to_pylist():
                 ws = words(t)
                 x: Counter = Counter()
                 for w, c in Counter(ws).items():
-                    for f in features_of(w) & index.keys():
-                        x[index[f]] += c
+                    for k in index[w]:
+                        x[k] += c
                 cols.append(sorted(x)), values.append([100 * x[k] / len(ws) for k in sorted(x)])
             yield pa.RecordBatch.from_arrays([given.column(0), given.column(2), pa.array(cols, pa.list_(pa.int64())), pa.array(values, pa.list_(pa.float64()))], names=["doc_id", "grade", "cols", "vals"])
 
@@ -204,8 +265,8 @@ def _graded(df: DataFrame, thresholds: list[float], reject: float) -> DataFrame:
 def severity(docs: DataFrame, model: Model) -> DataFrame:
     """docs(doc_id, text, ...) -> doc_id, p_toxic, expected_severity, grade, toxic; one row per row of docs.
 
-    A null or empty text scores zero. Null ids stay null, rows that repeat are scored each, very long texts whole,
-    other columns are not looked at."""
+    A null or empty text scores zero. Null ids stay null, rows that repeat are scored each, very long texts whole; a
+    probability that equals the threshold is over it; other columns are not looked at; without rows the result is empty."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by FEATURES
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

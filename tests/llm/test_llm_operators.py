@@ -72,6 +72,41 @@ def test_thresholds_rise_and_share_weights():
     assert model.thresholds[0] < model.thresholds[1] and model.weights[b"f"] > 0
 
 
+def test_likelihood_and_its_gradient():
+    rng = np.random.default_rng(9)
+    rows, cols, values, y = np.repeat(np.arange(30), 4), rng.integers(0, 7, 120), rng.random(120), rng.integers(0, 3, 30)
+    loss = toxicity.Likelihood(rows, cols, values, y, 7, 3, 1e-2, rng.random(30) + 0.5)
+    x = rng.standard_normal(9)
+    value, grad = loss(x)
+    for k in range(9):
+        step = np.zeros(9)
+        step[k] = 1e-6
+        assert abs((loss(x + step)[0] - loss(x - step)[0]) / 2e-6 - grad[k]) < 1e-6
+    low, high = loss.thresholds(x)
+    dense = np.zeros((30, 7))
+    np.add.at(dense, (rows, cols), values)
+    over = [1 / (1 + np.exp(-(dense @ x[:7] - t))) for t in (low, high)]
+    mass = np.stack([1 - over[0], over[0] - over[1], over[1]])[y, np.arange(30)]
+    assert abs(value - (-(loss.each * np.log(mass)).mean() + 5e-3 * (x[:7] @ x[:7]))) < 1e-9
+
+
+def test_a_score_is_the_sum_of_its_features(spark):
+    model = toxicity.Model({b"vileword": 2.0, b"4vile": 0.5, b"5words": 1.0, b"6rd\xc3\xa9xyz": 3.0}, [1.0, 2.5], 0.5)
+    texts = [(1, "Vileword plain, vile-vile!"), (2, None), (3, "rd\u00e9xyz " * 100_000), (4, "12 34"), (5, "vilevile")]
+    got = {r.doc_id: r for r in toxicity.severity(spark.createDataFrame(texts, "doc_id long, text string").withColumn("grade", F.lit(9)), model).collect()}
+    scores = {1: 100 * (2.5 + 0.5 + 0.5) / 4, 2: 0.0, 3: 300.0, 4: 0.0, 5: 50.0}
+    for i, score in scores.items():
+        p = [1 / (1 + np.exp(-(score - t))) for t in model.thresholds]
+        assert abs(got[i].p_toxic - p[0]) < 1e-12 and abs(got[i].expected_severity - sum(p)) < 1e-12 and got[i].grade == sum(x >= 0.5 for x in p)
+        assert abs(model.word_weight(b"vilevile") - 0.5) < 1e-12
+
+
+def test_repeated_rows_of_a_labelled_document_are_one(spark):
+    docs = spark.createDataFrame([(1, "b"), (1, "a")] * 500 + [(2, "c")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0, 1), (2, 1, 0)], "doc_id long, quality int, toxic int")
+    assert sorted(map(tuple, toxicity.labelled_sample(docs, labels).collect())) == [(1, "a", 2), (2, "c", 0)]
+
+
 # ---- operator 2 and 6
 
 
