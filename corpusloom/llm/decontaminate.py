@@ -29,6 +29,7 @@ import re
 from bisect import bisect_left, bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -73,16 +74,19 @@ class Words(dict):
         if len(self) >= self.most:
             self.clear()
         core = word.strip(_OUTER)
+        flags = _ENDS_SENTENCE * (len(core) < len(word) and word.rstrip(b"\"')]}").endswith(_ENDS))
         lower = core.lower()
-        flags = _ENDS_SENTENCE * word.rstrip(b"\"')]}").endswith(_ENDS)
-        if not core:
+        if core.isalpha():  # ASCII letters only
+            flags |= _IS_NAME * (len(core) > 1 and core.istitle()) | _IS_UNIT * (lower in _UNITS)
+        elif not core:
             flags |= _IS_EMPTY
         elif (m := _NUMBER.fullmatch(lower)) and (not m[1] or m[1] == b"%" or m[1] in _UNITS):
             flags |= _IS_NUMBER
         else:
-            letters = core.decode(errors="ignore")
-            flags |= _IS_NAME * (len(letters) > 1 and letters[0].isupper() and letters[1:].islower()) | _IS_UNIT * (lower in _UNITS)
-        found = self[word] = xxhash.xxh3_64_intdigest(lower.decode(errors="replace").lower().encode()) & ~31 | flags
+            letters = core.decode(errors="replace")
+            flags |= _IS_NAME * (len(letters) > 1 and letters[0].isupper() and letters[1:].islower())
+            lower = letters.lower().encode()
+        found = self[word] = xxhash.xxh3_64_intdigest(lower) & ~31 | flags
         return found
 
 
@@ -99,7 +103,7 @@ def template(texts: list[list[bytes]], seen: Words) -> tuple[np.ndarray, np.ndar
     names), whether each is a slot, its place among the words of its text, and its text; bare punctuation is left out."""
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     n = int(sizes.sum())
-    h = np.fromiter((seen[w] for ws in texts for w in ws), np.uint64, n)
+    h = np.fromiter(map(seen.__getitem__, chain.from_iterable(texts)), np.uint64, n)
     of = np.repeat(np.arange(len(texts)), sizes)
     place = np.arange(n) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     at = np.flatnonzero((h & np.uint64(_IS_EMPTY)) == 0)

@@ -14,6 +14,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -189,16 +190,19 @@ def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for given in batches:
         texts, grades = given.column(1).to_pylist(), given.column(2).to_pylist()
         for a, b in pieces(texts, 1 << 21):
-            numbers: dict[bytes, int] = {}
-            known: dict[bytes, np.ndarray] = {}
+            numbers: dict[str | bytes, int] = {}  # parts as str, whole words as bytes
+            known: dict[bytes, list[int]] = {}
             found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for t, g in zip(texts[a:b], grades[a:b]):
                 own = {*words(t)}
-                for w in own - known.keys():
-                    known[w] = np.array([numbers.setdefault(f, len(numbers)) for f in features_of(w)])
-                found[g > 0].append(np.unique(np.concatenate([np.zeros(0, np.int64), *(known[w] for w in own)])))
+                for w in [w for w in own if w not in known]:
+                    x = w.decode(errors="ignore")
+                    known[w] = [numbers.setdefault(f, len(numbers)) for n in PARTS for f in [x[s : s + n] for s in range(len(x) - n + 1)]]
+                    known[w].append(numbers.setdefault(w, len(numbers)))
+                found[g > 0].append(np.unique(np.fromiter(chain.from_iterable(map(known.__getitem__, own)), np.int64)))
             cold, hot = (np.bincount(np.concatenate(x).astype(np.int64), minlength=len(numbers)) for x in found)
-            yield pa.RecordBatch.from_arrays([pa.array(list(numbers), pa.binary()), pa.array(cold + hot, pa.int64()), pa.array(hot, pa.int64())], names=["feature", "texts", "hot"])
+            names = [f if isinstance(f, bytes) else f"{len(f)}{f}".encode() for f in numbers]
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(cold + hot, pa.int64()), pa.array(hot, pa.int64())], names=["feature", "texts", "hot"])
 
 
 def telling_features(sample: DataFrame, most: int = FEATURES) -> list[bytes]:
