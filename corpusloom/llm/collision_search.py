@@ -1,16 +1,22 @@
 """Operator 8, nearest neighbours by collision-counting hashing.
 
 Vectors get one more component, so that all have the norm of the largest in their block and the largest inner product is
-the least distance. Each of PROJECTIONS random directions has a sorted array of the block's projections. Around a
-query's projection a window grows, from radius to radius (virtual rehashing: no array is built again), and each vector
-that enters it gains a collision. Vectors with COLLISIONS or more are candidates; when there are enough for the block,
-they are verified by their exact inner products, in double precision.
-
-Rows that repeat an id are folded first. They are dealt to blocks of about BLOCK vectors and the queries to chunks of about CHUNK; each block meets each chunk in
-one task of bounded size, which hands on its nearest only. All rows are indexed, none is dropped for a full bucket."""
+the least distance. Each axis of a random rotation has a sorted array of the block's projections. Around a query's
+projection a window grows, from radius to radius (virtual rehashing: no array is built again), and each vector that
+enters it gains a collision. Vectors with COLLISIONS or more, as a share of the projections, are verified by their exact
+inner products, in double precision. The window stops growing when a vector as near as the k-th best that is verified
+would have had as many collisions with a probability of CERTAIN, taking projections of the difference as normal; nearer
+ones are more certain. Nothing else ends the search, whatever the number of vectors: how many are verified follows from
+the data, and is a large share where neighbours are hardly nearer than the rest.
+
+Rows that repeat an id are folded first. They are dealt to blocks of about BLOCK vectors and the queries to chunks of
+about CHUNK; each block meets each chunk in one task of bounded size, which builds the block's arrays once and hands on
+its nearest only. So a block is sent once for every CHUNK queries. All rows are indexed, none is dropped for a full bucket."""
 
 from __future__ import annotations
 
+from statistics import NormalDist
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -20,18 +26,27 @@ from .common import batch, table
 
 NEAREST, EVERY = 20, 20
 #: Collisions that make a candidate, as a share of the projections; first radius, in deviations of the projections, and
-#: its growth.
-COLLISIONS, FIRST, GROWTH = 0.78, 1.2, 1.12
-#: Share of a block that is verified at least, beside the nearest asked for, and the least number.
-VERIFIED, LEAST = 0.2, 1024
-BLOCK, CHUNK = 8192, 4096
+#: its growth; steps that it takes at once at most.
+COLLISIONS, FIRST, GROWTH, JUMP = 0.88, 1.2, 1.04, 4
+#: Probability that a neighbour at the distance of the k-th best is verified.
+CERTAIN = 0.8
+BLOCK, CHUNK = 1 << 14, 1 << 16
+
+
+def certain_radius(projections: int, share: float = COLLISIONS, certain: float = CERTAIN) -> float:
+    """Radius, for a vector at distance 1, at which it has so large a share of collisions with that probability."""
+    z, low, high = NormalDist().inv_cdf(certain), share, 1.0
+    for _ in range(50):
+        p = (low + high) / 2
+        low, high = (p, high) if p - z * (p * (1 - p) / projections) ** 0.5 < share else (low, p)
+    return NormalDist().inv_cdf((1 + min(low, 1 - 1e-9)) / 2) / projections**0.5
 
 _FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 _FOUND_DDL = "query_id long, vec_id long, score double"
 
 
 class Block:
-    """Sorted projections of a block of vectors, on the axes of a random rotation."""
+    """Sorted projections of a block of vectors with distinct ids, on the axes of a random rotation."""
 
     def __init__(self, ids: np.ndarray, x: np.ndarray, seed: int = 11) -> None:
         self.ids, self.x = ids, x
@@ -45,55 +60,47 @@ class Block:
         self.sorted = np.take_along_axis(p, self.order, 1)
         self.step = max(float(np.median(p.std(1))) * FIRST, 1e-300)
 
-    def candidates(self, queries: np.ndarray, least: int):
-        """For each query the places of the vectors with enough collisions, at the first radius that gives so many."""
+    def nearest(self, query_ids: list[int], queries: np.ndarray, k: int):
+        """(ids, scores) of each query's k nearest among the vectors that are verified, and how many these are."""
         n, m = len(self.ids), len(self.sorted)
-        if n <= least:
-            yield from (np.arange(n) for _ in queries)
-            return
-        wide = np.concatenate([queries * (self.norm / np.sqrt((queries * queries).sum(1)))[:, None], np.zeros((len(queries), 1))], 1)
-        at = (wide @ self.directions).T
-        windows: list[tuple[list, list]] = []
-
-        def window(level: int) -> tuple[list, list]:
-            while len(windows) <= level:
-                r = self.step * GROWTH ** len(windows)
-                ends = [np.stack([np.searchsorted(s, a + d, side) for s, a in zip(self.sorted, at)], 1) for d, side in ((-r, "left"), (r, "right"))]
-                windows.append(tuple(ends))
+        lengths = np.sqrt((queries * queries).sum(1))
+        at = (np.concatenate([queries * (self.norm / lengths)[:, None], np.zeros((len(queries), 1))], 1) @ self.directions).T
+        missable, sure = m - int(np.ceil(COLLISIONS * m)), certain_radius(m)
+        windows: dict[int, list] = {}
+
+        def window(level: int) -> list:
+            if level not in windows:
+                r = self.step * GROWTH**level
+                windows[level] = [np.stack([np.searchsorted(s, a + d, side) for s, a in zip(self.sorted, at)], 1) for d, side in ((-r, "left"), (r, "right"))]
             return windows[level]
 
-        need = int(np.ceil(COLLISIONS * m))
-        for k in range(len(queries)):
-            low, high = (e[k].tolist() for e in window(0))
-            outside = [o[:a] for o, a in zip(self.order, low)] + [o[b:] for o, b in zip(self.order, high)]
-            missed = np.bincount(np.concatenate(outside), minlength=n)
-            level = 0
+        for i, (query_id, q) in enumerate(zip(query_ids, queries)):
+            low, high = (e[i].tolist() for e in window(0))
+            missed = np.bincount(np.concatenate([o[:a] for o, a in zip(self.order, low)] + [o[b:] for o, b in zip(self.order, high)]), minlength=n)
+            verified, rough, level = np.zeros(n, bool), np.full(n, -np.inf), 0
             while True:
-                found = np.flatnonzero(missed <= m - need)
-                if len(found) >= least or len(found) == n:
+                new = np.flatnonzero((missed <= missable) & ~verified)
+                verified[new] = True
+                rough[new] = self.x[new] @ q
+                rough[new[self.ids[new] == query_id]] = -np.inf
+                if verified.all():
+                    break
+                kth = np.partition(rough, n - k)[n - k] if n > k else -np.inf
+                apart = 2 * self.norm * max(0.0, self.norm - kth / lengths[i])  # squared distance of the k-th
+                need = sure * np.sqrt(apart) if n > k and kth > -np.inf else np.inf
+                ahead = next((j for j in range(JUMP) if self.step * GROWTH ** (level + j) >= need), JUMP)
+                if not ahead:
                     break
-                level += 1
-                new_low, new_high = (e[k].tolist() for e in window(level))
+                level += ahead
+                new_low, new_high = (e[i].tolist() for e in window(level))
                 entered = [o[a:b] for o, a, b in zip(self.order, new_low, low)] + [o[a:b] for o, a, b in zip(self.order, high, new_high)]
                 missed -= np.bincount(np.concatenate(entered), minlength=n)
                 low, high = new_low, new_high
-            yield found
-
-    def nearest(self, query_ids: list[int], queries: np.ndarray, k: int):
-        """(ids, scores) of each query's k nearest among the candidates."""
-        least = k + 1 + max(LEAST, int(VERIFIED * len(self.ids)))
-        for query_id, q, found in zip(query_ids, queries, self.candidates(queries, least)):
-            found = found[self.ids[found] != query_id]
-            rough = self.x[found] @ q
-            if len(found) > 4 * k:  # ties with the last of them included
-                edge = np.partition(rough, len(rough) - 2 * k)[len(rough) - 2 * k]
-                found = found[rough >= edge - 1e-9 * self.norm * np.sqrt(q @ q)]
-            scores = (self.x[found] * q).sum(1)
-            ids = self.ids[found]
-            order = np.lexsort((ids, -scores))
-            ids, scores = ids[order], scores[order]
-            first = np.sort(np.unique(ids, return_index=True)[1])[:k]  # a repeated id counts once
-            yield ids[first], scores[first]
+            edge = max(np.partition(rough, n - 2 * k)[n - 2 * k] if n > 2 * k else -np.inf, -np.finfo(float).max)
+            found = np.flatnonzero(rough >= edge - 1e-9 * self.norm * lengths[i])  # ties with the last of them included
+            scores, ids = (self.x[found] * q).sum(1), self.ids[found]
+            order = np.lexsort((ids, -scores))[:k]
+            yield ids[order], scores[order], int(verified.sum())
 
 
 def usable(c: str | Column, size: int) -> Column:
@@ -111,7 +118,7 @@ def _met(t: pa.Table, k: int) -> pa.Table:
     if is_query.any() and not is_query.all():
         block = Block(ids[~is_query], x[~is_query])
         queries, first = np.unique(ids[is_query], return_index=True)
-        for qid, (found, scores) in zip(queries.tolist(), block.nearest(queries.tolist(), x[is_query][first], k)):
+        for qid, (found, scores, _) in zip(queries.tolist(), block.nearest(queries.tolist(), x[is_query][first], k)):
             out[0].append(np.full(len(found), qid)), out[1].append(found), out[2].append(scores)
     columns = {n: np.concatenate(c) if c else [] for n, c in zip(_FOUND.names, out)}
     return pa.Table.from_batches([batch(_FOUND, columns)])

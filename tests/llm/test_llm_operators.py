@@ -396,6 +396,23 @@ def test_search_recall_and_cases(spark):
     assert few.count() == 4
 
 
+def test_search_of_a_hundred_thousand_vectors():
+    """Recall and share verified of queries divisible by 50, on vectors without any clusters: the hardest to tell apart."""
+    rng = np.random.default_rng(10)
+    x = rng.standard_normal((100_000, 64))
+    x /= np.sqrt((x * x).sum(1))[:, None]
+    ids = np.arange(len(x))
+    queries = ids[ids % 50 == 0][:: len(x) // 2000]
+    found = {int(q): [] for q in queries}
+    verified = 0
+    for part in np.array_split(rng.permutation(ids), -(-len(x) // collision_search.BLOCK)):
+        for q, (near, scores, n) in zip(queries.tolist(), collision_search.Block(ids[part], x[part]).nearest(queries.tolist(), x[queries], 20)):
+            found[q] += zip((-scores).tolist(), near.tolist())
+            verified += n
+    hits = sum(len({i for _, i in sorted(v)[:20]} & {i for i in np.argsort(-(x @ x[q]))[:21].tolist() if i != q}) for q, v in found.items())
+    assert hits / 20 / len(found) >= 0.95 and verified / len(x) / len(found) < 0.12
+
+
 # ---- operator 9
 
 
