@@ -226,7 +226,7 @@ def without_near_duplicates(docs: DataFrame) -> DataFrame:
     node = F.xxhash64(F.col("doc_id").cast("long"), "text").bitwiseAND(F.lit((1 << 63) - 1))
     found = near_duplicates(docs.select(node.alias("doc_id"), "text")).select(F.col("doc_id").alias("node"), "component_id")
     found = stored(found.groupBy("node").agg(F.first("component_id").alias("component"), F.count(F.lit(1)).alias("n")), "nodes")
-    groups = found.groupBy("component").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("component")
+    groups = stored(found.groupBy("component").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("component"), "groups")
     some = found.select("node", "component").join(groups, "component", "left_semi")
     ids = docs.select(node.alias("node"), F.col("doc_id").cast("long").alias("id"))
     best = some.join(ids, "node").groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node")).alias("first"))
