@@ -11,7 +11,7 @@ from .text import strip
 KEYS = ("markdown", "ocr_markdown", "text", "content")
 COMMENTARY = (
     r"The user wants\b", r"Let me\b", r"I can see\b", r"I see\b", r"The page appears\b", r"The document appears\b", r"The document is\b", r"The rest of the page\b",
-    r"Starting from\b", r"Body text starts\b", r"Header:", r"Document number:", r"Title:", r"Signature area\b", r"Page number:", r"At the (?:top|bottom),", r"And the page number\b",
+    r"Starting from\b", r"Body text starts\b", r"Header:", r"Document number:", r"Title:", r"Signature area\b", r"Page number:", r"At the (?:top|bottom),\b", r"And the page number\b",
     r"I'll mark\b", "我看到", "让我", "下面是", "以下是.*转写",
 )
 BLANK = "[blank page]"

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import html
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Unicode white space, as the reference semantics ask for; Spark's \\s is ASCII only.
 WS = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
+_SPACES = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 #: What counts as page noise, as a chapter line and as an error text of a provider.
 PAGE_NOISE = rf"(?i)^{WS}*(#{{1,6}}{WS}*)?((page{WS}+\d+({WS}+of{WS}+\d+)?)|(\d+{WS}*/{WS}*\d+)|([-_]{{3,}})){WS}*$"
 CHAPTER = rf"(?i)^((Chapter|Section|Article){WS}+\d+([.\-]\d+)*|第.{{1,12}}[章节条款]|[一二三四五六七八九十]+[、.]){WS}*(.{{2,120}})$"
@@ -14,15 +20,19 @@ HEADING = rf"^(#{{1,6}}){WS}+(.+?){WS}*$"
 PROVIDER_ERRORS = ("<think>", "invalid api key", "sensitive image", "server error")
 COMMENT = r"(?s)<!--.*?-->"
 COMPACTED = rf"[#*|:`_\-\s\x0b\x1c-\x1f\x85\p{{Z}}]"
+#: What a cell's relaxed form leaves out, beside white space, and what its number does.
+RELAXED = rf"""(?:{WS}|[,，.。;；:：!！?？()（）\[\]【】<>《》"'“”‘’、/\\|-])+"""
+NUMBER_MARKS = "[,，%￥¥]"
+NUMBER = r"^[-+]?\d+(\.\d+)?$"
 SEPARATOR_CELL = rf"^{WS}*:?-{{3,}}:?{WS}*$"
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"^{WS}+|{WS}+$", "")
+    return F.btrim(c, F.lit(_SPACES))
 
 
 def rstrip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"{WS}+$", "")
+    return F.rtrim(c, F.lit(_SPACES))
 
 
 def newlines(c: Column) -> Column:
@@ -56,8 +66,9 @@ def compact(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(c, COMMENT, ""), COMPACTED, "")
 
 
-def is_noise(line: Column) -> Column:
-    return line.rlike(PAGE_NOISE)
+def is_noise(s: Column) -> Column:
+    """Of a stripped line. Only lines that begin like noise are matched."""
+    return F.when(F.substring(s, 1, 1).isin(*"#pP-_0123456789"), s.rlike(PAGE_NOISE)).otherwise(False)
 
 
 def is_chapter(s: Column) -> Column:
@@ -72,18 +83,56 @@ def promoted(line: Column) -> Column:
 
 
 def relaxed(c: Column) -> Column:
-    """A cell for comparison: lower-cased, without white space and punctuation."""
-    return F.regexp_replace(F.lower(c), rf"[\s\x0b\x1c-\x1f\x85\p{{Z}}\p{{P}}]", "")
+    """A cell for comparison: without white space and punctuation, lower-cased."""
+    return F.lower(F.regexp_replace(c, RELAXED, ""))
 
 
 def numeric(c: Column) -> Column:
-    """A cell as a number, where separators, percent and currency signs are left out; else null."""
-    return F.regexp_replace(c, "[,，%￥¥ ]", "").try_cast("double")
+    """A cell as a number, where separators, percent and currency signs are left out; null unless digits with a sign and a fraction at most."""
+    plain = F.regexp_replace(strip(c), NUMBER_MARKS, "")
+    return F.when(plain.rlike(NUMBER), plain.cast("double"))
+
+
+def same_cell(a: Column, b: Column) -> Column:
+    """Cells of two engines agree: as numbers if one is a number, else in their relaxed forms."""
+    x, y = numeric(a), numeric(b)
+    return F.when(x.isNotNull() | y.isNotNull(), F.coalesce(F.abs(x - y) <= 1e-9, F.lit(False))).otherwise(relaxed(a) == relaxed(b))
+
+
+def alphanumeric(text: str | None) -> str:
+    """Letters and digits of the text's NFKC form; case is kept."""
+    return "".join(filter(str.isalnum, unicodedata.normalize("NFKC", text or "")))
+
+
+@F.pandas_udf(StringType())
+def alphanumeric_key(texts: pd.Series) -> pd.Series:
+    """alphanumeric() by Arrow batches, as Spark has no NFKC."""
+    return texts.map(alphanumeric)
+
+
+@F.pandas_udf(StringType())
+def unescaped(texts: pd.Series) -> pd.Series:
+    """Character references decoded, by Arrow batches, as Spark has no table of their names; null stays null."""
+    return texts.map(html.unescape, na_action="ignore")
+
+
+def decoded(c: Column) -> Column:
+    """Only texts with an & leave the JVM."""
+    return F.coalesce(unescaped(F.when(c.contains("&"), c)), c)
 
 
 def page_numbers(c: Column) -> Column:
     """Sorted distinct page numbers of a list with commas, semicolons of both widths and spaces."""
-    parts = F.filter(F.split(c, r"[,;，；\s]+"), lambda x: x.rlike(r"^\d+$"))
+    return _numbers(F.split(c, r"[,;，；\s]+"))
+
+
+def page_numbers_by_comma(c: Column) -> Column:
+    """The same for lists with commas only: a part that holds anything else is no number."""
+    return _numbers(F.transform(F.split(c, ","), strip))
+
+
+def _numbers(parts: Column) -> Column:
+    parts = F.filter(parts, lambda x: x.rlike(r"^\d+$"))
     return F.array_sort(F.array_distinct(F.transform(parts, lambda x: x.cast("long"))))
 
 
@@ -95,12 +144,12 @@ def sample_indexes(pages: Column, most: Column) -> Column:
 
 
 def html_fragments(c: Column) -> Column:
-    """HTML fragments within Markdown: fences, headings, breaks, paragraphs, other tags; comments stay."""
+    """HTML fragments within Markdown: fences, headings, breaks, paragraphs, other tags, character references; comments stay."""
     c = F.regexp_replace(c, r"(?is)```html\s*(.*?)\s*```", "$1")
     c = F.regexp_replace(c, r"(?im)^```html\s*$", "")
     for level in range(1, 7):
         c = F.regexp_replace(c, rf"(?is)<h{level}[^>]*>\s*((?:(?!</h{level}>).)*?)\s*</h{level}>", "\n" + "#" * min(level + 1, 6) + " $1\n")
     c = F.regexp_replace(c, r"(?i)<br\s*/?>|</p\s*>", "\n")
     c = F.regexp_replace(c, r"(?i)</?(p|div|body|html)[^>]*>", "")
-    c = F.regexp_replace(c, r"<(?!!--)[^>]+>", "")
+    c = decoded(F.regexp_replace(c, r"<(?!!--)[^>]+>", ""))
     return F.regexp_replace(c, r"[ \t]+\n", "\n")

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from ..functions import text as T
 
@@ -41,12 +45,20 @@ def page_issues(pages: DataFrame) -> DataFrame:
     return each.select("doc_id", "n_pages", (F.col("d") != F.col("n_pages")).alias("duplicate_markers"), ((F.col("lo") != 1) | (F.col("hi") != F.col("d"))).alias("non_contiguous"), (F.col("chars") < F.greatest(F.lit(30), F.col("n_pages") * 12)).alias("sparse"), ((F.col("n_pages") >= 3) & (F.col("blank") / F.col("n_pages") > 0.5)).alias("mostly_blank"))
 
 
+@F.pandas_udf(DoubleType())
+def recall_of(source: pd.Series, target: pd.Series) -> pd.Series:
+    """Share of the source's letters and digits, as a multiset, that the target has; 1.0 for none. Counted within the row."""
+
+    def one(a: str | None, b: str | None) -> float:
+        want, have = Counter(T.alphanumeric(a)), Counter(T.alphanumeric(b))
+        return (want & have).total() / want.total() if want else 1.0
+
+    return pd.Series([one(a, b) for a, b in zip(source, target)], dtype="float64")
+
+
 def char_recall(pairs: DataFrame, source: str, target: str, key: str) -> DataFrame:
-    """key, recall: share of the source's characters, as a multiset of letters and digits, that the target has; 1.0 for none."""
-    keep = r"[^\p{L}\p{N}]"
-    of = lambda c, n: pairs.select(key, F.explode(F.split(F.regexp_replace(c, keep, ""), "")).alias("ch")).where("ch <> ''").groupBy(key, "ch").agg(F.count(F.lit(1)).alias(n))
-    both = of(source, "a").join(of(target, "b"), [key, "ch"], "left").groupBy(key).agg((F.sum(F.least("a", F.coalesce("b", F.lit(0)))) / F.sum("a")).alias("r"))
-    return pairs.select(key).distinct().join(both, key, "left").select(key, F.round(F.coalesce("r", F.lit(1.0)), 6).alias("recall"))
+    """key, recall: one row per row of pairs; nothing is shuffled."""
+    return pairs.select(key, F.round(recall_of(source, target), 6).alias("recall"))
 
 
 def attested(rows: DataFrame, attestations: DataFrame) -> DataFrame:
@@ -69,9 +81,18 @@ def latest(log: DataFrame, key: list[str], order: list[str], value: str) -> Data
     return log.groupBy(*key).agg(F.max(F.struct(*order, value)).alias("last")).select(*key, *(F.col(f"last.{c}").alias(c) for c in (*order, value)))
 
 
-def within_budget(rows: DataFrame, key: str, size: str, budget: int) -> DataFrame:
-    """Rows in the order of key while the running sum of size is within budget."""
-    return rows.withColumn("running", F.sum(size).over(Window.orderBy(key).rowsBetween(Window.unboundedPreceding, 0))).where(F.col("running") <= budget)
+def within_budget(rows: DataFrame, key: str, size: str, budget: int, parts: int = 64) -> DataFrame:
+    """Rows in the order of key, a whole number, while the running sum of size, which isn't negative, is within budget.
+
+    Keys are cut into ranges; sums before a range come from one row per range, sums within it from its own rows."""
+    lo, hi = rows.agg(F.min(key), F.max(key)).first()
+    if lo is None:
+        return rows.withColumn("running", F.lit(None).cast("long"))
+    ranged = rows.withColumn("_range", F.floor((F.col(key) - lo) / F.lit(max(1, -(-(hi - lo + 1) // parts)))))
+    before = ranged.groupBy("_range").agg(F.sum(size).alias("_sum"))
+    before = before.select("_range", (F.sum("_sum").over(Window.orderBy("_range")) - F.col("_sum")).alias("_before")).where(F.col("_before") <= budget)  # parts rows at most
+    within = F.sum(size).over(Window.partitionBy("_range").orderBy(key).rowsBetween(Window.unboundedPreceding, 0))
+    return ranged.join(F.broadcast(before), "_range").withColumn("running", F.col("_before") + within).where(F.col("running") <= budget).drop("_range", "_before")
 
 
 def coverage(documents: DataFrame, chunks: DataFrame) -> DataFrame:
@@ -80,11 +101,17 @@ def coverage(documents: DataFrame, chunks: DataFrame) -> DataFrame:
     return d.join(c, "doc_id", "left_anti").withColumn("side", F.lit("without_chunks")).unionByName(c.join(d, "doc_id", "left_anti").withColumn("side", F.lit("without_document")))
 
 
+@F.pandas_udf(StructType([StructField("cells", LongType()), StructField("rate", DoubleType())]))
+def _cells_found(cells: pd.Series, text: pd.Series) -> pd.DataFrame:
+    def one(given, t: str | None) -> tuple[int, float]:
+        wanted, target = [x for x in map(T.alphanumeric, given if given is not None else ()) if x], T.alphanumeric(t)
+        return len(wanted), sum(x in target for x in wanted) / len(wanted) if wanted else 1.0
+
+    return pd.DataFrame([one(c, t) for c, t in zip(cells, text)], columns=["cells", "rate"])
+
+
 def exact_cell_rate(cells: DataFrame, targets: DataFrame, key: str) -> DataFrame:
     """cells(key, cell), targets(key, text) -> key, cells, exact_cell_rate: share of cells whose letters and digits the
-    target holds, after normalisation; 1.0 for none. Short cells match almost anywhere: this isn't cell-exact."""
-    plain = lambda c: F.regexp_replace(c, r"[^\p{L}\p{N}]", "")
-    wanted = cells.select(key, plain(F.col("cell")).alias("c")).where("c <> ''")
-    both = targets.select(key, plain(F.col("text")).alias("t")).join(wanted, key, "left")
-    each = both.groupBy(key).agg(F.count("c").alias("cells"), F.avg(F.contains("t", "c").cast("int")).alias("r"))
-    return each.select(key, "cells", F.round(F.coalesce("r", F.lit(1.0)), 6).alias("exact_cell_rate"))
+    target holds, after NFKC; 1.0 for none. Short cells match almost anywhere: this isn't cell-exact."""
+    both = targets.select(key, "text").join(cells.groupBy(key).agg(F.collect_list("cell").alias("_cells")), key, "left").withColumn("_found", _cells_found("_cells", "text"))
+    return both.select(key, F.col("_found.cells").alias("cells"), F.round("_found.rate", 6).alias("exact_cell_rate"))

@@ -17,6 +17,11 @@ def cell_text(c: Column) -> Column:
     return F.replace(F.regexp_replace(T.strip(F.coalesce(c, F.lit(""))), r"\r\n?|\n", "<br>"), F.lit("|"), F.lit("\\|"))
 
 
+def flat_cell(c: Column) -> Column:
+    """A cell for comparison of engines: newlines and runs of blanks become one space."""
+    return T.strip(F.regexp_replace(F.regexp_replace(F.regexp_replace(F.coalesce(c, F.lit("")), r"\r\n?", "\n"), r"[ \t\u3000]+", " "), r"\n+", " "))
+
+
 def rendered(rows: DataFrame, keys: list[str], order: str, cells: str = "cells") -> DataFrame:
     """keys, order, cells: array -> keys, markdown: a pipe table whose first row is the header; short rows are padded."""
     each = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(order, cells))).alias("rs"), F.max(F.size(cells)).alias("width"))
@@ -85,12 +90,57 @@ def normalized(docs: DataFrame, key: str = "doc_id", body: str = "body") -> Data
     return out.select(key, F.dense_rank().over(Window.partitionBy(key).orderBy("block")).cast("long").alias("block"), order.cast("long").alias("line_no"), F.col("p.row").alias("row"))
 
 
-def compared(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
-    """Tables of two engines (keys, rows, cols, digest) -> keys, status: missing on a side, shape_conflict, cell_conflict or agree."""
-    both = a.select(*keys, F.struct("rows", "cols", "digest").alias("a")).join(b.select(*keys, F.struct("rows", "cols", "digest").alias("b")), keys, "full_outer")
-    shape = (F.col("a.rows") != F.col("b.rows")) | (F.col("a.cols") != F.col("b.cols"))
-    status = F.when(F.col("b").isNull(), "missing_b").when(F.col("a").isNull(), "missing_a").when(shape, "shape_conflict").when(F.col("a.digest") != F.col("b.digest"), "cell_conflict").otherwise("agree")
-    return both.select(*keys, status.alias("status"))
+#: Audit reasons that make a page a candidate by themselves; those of the document come without a page.
+HARD_REASONS = ("mostly_blank_header", "too_many_empty_cells", "table_too_small_or_parse_failed", "table_count_mismatch", "missing_table_pages", "missing_repaired_markdown")
+DOCUMENT_REASONS = ("table_count_mismatch", "missing_table_pages", "missing_repaired_markdown")
+MISMATCHES = 3
+
+
+def _gathered(rows: DataFrame, keys: list[str], order: str, cells: str) -> DataFrame:
+    """One row per table: its rows in order, cells flattened; rows without content at the end go."""
+    each = rows.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.transform(cells, flat_cell).alias("c")))), lambda r: r["c"]).alias("t"))
+    filled = F.transform("t", lambda r, i: F.when(F.exists(r, lambda c: c != ""), i + 1).otherwise(0))
+    return each.select(*keys, F.slice("t", F.lit(1), F.array_max(filled)).alias("t")).where(F.size("t") > 0)
+
+
+def compared(a: DataFrame, b: DataFrame, keys: list[str], order: str = "row_no", cells: str = "cells") -> DataFrame:
+    """Rows of the tables of two engines (keys, order, cells) -> keys, confidence (high, conflict), reason.
+
+    Shapes first, then cells, as numbers or in their relaxed forms; counting ends at MISMATCHES. Values of reason are fixed."""
+    side = lambda d, n: _gathered(d, keys, order, cells).withColumnRenamed("t", n)
+    both = side(a, "x").join(side(b, "y"), keys, "full_outer")
+    width = lambda t: F.array_max(F.transform(t, F.size))
+    shape = lambda t: F.concat(F.size(t).cast("string"), F.lit("x"), width(t).cast("string"))
+    both = both.withColumn("sx", shape("x")).withColumn("sy", shape("y"))
+    blank = lambda c: F.coalesce(c, F.lit(""))
+    off = lambda p, q: F.size(F.filter(F.zip_with(p, q, lambda u, v: T.same_cell(blank(u), blank(v))), lambda ok: ~ok))
+    count = F.aggregate(F.zip_with("x", "y", off), F.lit(0), lambda n, k: F.least(n + k, F.lit(MISMATCHES)))
+    both = both.withColumn("n", F.when(F.col("sx") == F.col("sy"), count))
+    reason = (
+        F.when(F.col("x").isNull(), "pdfplumber_missing_table").when(F.col("y").isNull(), "camelot_missing_table")
+        .when(F.col("sx") != F.col("sy"), F.concat(F.lit("shape_mismatch:"), "sx", F.lit("!="), "sy"))
+        .when(F.col("n") >= MISMATCHES, f"cell_mismatch:{MISMATCHES}_or_more").when(F.col("n") > 0, F.concat(F.lit("cell_mismatch:"), F.col("n").cast("string")))
+        .otherwise("engines_agree_structure_and_cells")
+    )
+    return both.select(*keys, F.when(F.col("n") == 0, "high").otherwise("conflict").alias("confidence"), reason.alias("reason"))
+
+
+def conflicts(found: DataFrame, key: str, page: str, reason: str) -> DataFrame:
+    """key, page, page_reason, file_reason: the first five reasons of each page and eight of each file, in order."""
+    text = lambda most, over: F.concat(F.lit("dual_engine_conflict:"), F.array_join(F.slice(F.array_sort(over), 1, most), ";"))
+    once = found.select(key, page, reason).distinct()
+    return once.groupBy(key, page).agg(text(5, F.collect_set(reason)).alias("page_reason")).join(once.groupBy(key).agg(text(8, F.collect_set(reason)).alias("file_reason")), key)
+
+
+def hard_reasons(reasons: Column, page: Column) -> Column:
+    """Of a document's audit reasons, joined by semicolons, those that make this page a candidate."""
+    parts = F.split(reasons, ";")
+
+    def found(name: str) -> Column:
+        here = F.exists(parts, lambda x: x.rlike(rf"^p\d+t\d+:{name}$") & (F.regexp_extract(x, r"^p(\d+)", 1) == page.cast("string")))
+        return reasons.contains(name) if name in DOCUMENT_REASONS else here
+
+    return F.array_compact(F.array(*(F.when(found(n), n) for n in HARD_REASONS)))
 
 
 def outside_boxes(texts: DataFrame, boxes: DataFrame, page: list[str], most: float = OVERLAP) -> DataFrame:

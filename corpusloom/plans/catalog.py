@@ -111,11 +111,16 @@ def compact_length(spark, sf_dir):
     return audit.inspected(load(spark, sf_dir, "documents")).select("doc_id", "compact_chars", "near_empty")
 
 
-@query(r"SELECT p_partkey, regexp_replace(lower(p_name || ' - ' || p_brand || '.'), '[\s\x0b\x1c-\x1f\x85\p{Z}\p{P}]', '', 'g') AS relaxed, try_cast(regexp_replace(CASE WHEN p_partkey % 2 = 0 THEN p_size || '%' ELSE p_brand END, '[,，%￥¥ ]', '', 'g') AS DOUBLE) AS numeric FROM part")
+_ODD_CELL = "CASE p_partkey % 11 WHEN 0 THEN p_size || '%' WHEN 1 THEN '1e5' WHEN 2 THEN 'NaN' WHEN 3 THEN '1 2' WHEN 4 THEN ' ￥1,23' || p_size || '.5 ' WHEN 5 THEN 'Infinity' WHEN 6 THEN '-' || p_size WHEN 7 THEN '.5' WHEN 8 THEN '+7.' WHEN 9 THEN '（' || p_brand || '）—x_y' ELSE p_brand END"
+_RELAX = lambda x: f"lower(regexp_replace({x}, '[\\s\\x0b\\x1c-\\x1f\\x85\\p{{Z}},，.。;；:：!！?？()（）\\[\\]【】<>《》\"''“”‘’、/\\\\|-]+', '', 'g'))"
+_PLAIN_NUMBER = lambda x: f"regexp_replace({_STRIP(x)}, '[,，%￥¥]', '', 'g')"
+_NUM = lambda x: f"CASE WHEN regexp_full_match({_PLAIN_NUMBER(x)}, '[-+]?[0-9]+(\\.[0-9]+)?') THEN CAST({_PLAIN_NUMBER(x)} AS DOUBLE) END"
+
+
+@query(f"WITH c AS (SELECT p_partkey, {_ODD_CELL} AS cell, p_name || ' - ' || p_brand || '.' AS name FROM part) SELECT p_partkey, {_RELAX('name')} AS relaxed, {_RELAX('cell')} AS relaxed_cell, {_NUM('cell')} AS numeric FROM c")
 def relaxed_cells(spark, sf_dir):
-    part = load(spark, sf_dir, "part")
-    cell = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.col("p_size").cast("string"), F.lit("%"))).otherwise(F.col("p_brand"))
-    return part.select("p_partkey", T.relaxed(F.concat("p_name", F.lit(" - "), "p_brand", F.lit("."))).alias("relaxed"), T.numeric(cell).alias("numeric"))
+    part = load(spark, sf_dir, "part").selectExpr("p_partkey", f"{_ODD_CELL} AS cell", "p_name || ' - ' || p_brand || '.' AS name")
+    return part.select("p_partkey", T.relaxed(F.col("name")).alias("relaxed"), T.relaxed(F.col("cell")).alias("relaxed_cell"), T.numeric(F.col("cell")).alias("numeric"))
 
 
 @query(r"""WITH l AS (SELECT o_orderkey, list_sort(list_distinct(list_transform(list_filter(string_split_regex(o_orderkey % 50 || ', ' || o_custkey % 9 || ';' || o_orderstatus || ' ' || o_orderkey % 50, '[,;，；\s]+'), lambda x: regexp_full_match(x, '\d+')), lambda x: CAST(x AS BIGINT)))) AS p FROM orders)
@@ -132,15 +137,27 @@ def sample_indexes(spark, sf_dir):
     return p.select("pages", "most", F.array_join(T.sample_indexes(F.col("pages"), F.col("most")).cast("array<string>"), ",").alias("sampled"))
 
 
-@query(r"""SELECT page_id, regexp_extract(html, '(?is)<h1[^>]*>\s*(.*?)\s*</h1>', 1) AS heading, sha1(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<h1[^>]*>\s*(.*?)\s*</h1>', chr(10) || '## \1' || chr(10), 'g'), '(?i)<br\s*/?>|</p\s*>', chr(10), 'g'), '(?i)</?(p|div|body|html)[^>]*>', '', 'g'), '<[^!>][^>]*>|<![^-][^>]*>', '', 'g'), '[ \t]+\n', chr(10), 'g')) AS fragment_sha1 FROM pages""")
+_ENTITIES = [("&copy;", "©"), ("&middot;", "·"), ("&nbsp;", "\u00a0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "\u0027\u0027"), ("&eacute;", "é"), ("&#x41;", "A"), ("&amp;", "&")]
+_FRAGMENT = """'intro' || chr(10) || '```html' || chr(10) || '<h2 class=x>Cost &lt; 5&nbsp;&eacute;</h2>' || chr(10) || '```' || chr(10) || '<H6>deep</H6><p>' || replace(replace(text, '&', '&amp;'), '<', '&lt;') || '</p><br/>a<div>b</div> &quot;q&quot; <!-- keep &#x41; --> <b>bold</b>  ' || chr(10) || 'end'"""
+
+
+def _unescaped_sql(x: str) -> str:
+    for name, value in _ENTITIES:
+        x = f"replace({x}, '{name}', '{value}')"
+    return x
+
+
+@query(f"""WITH f AS (SELECT doc_id, {_FRAGMENT} AS t FROM documents), a AS (SELECT doc_id, regexp_replace(regexp_replace(t, '(?is)```html\\s*(.*?)\\s*```', '\\1', 'g'), '(?i)<h2[^>]*>\\s*([^<]*?)\\s*</h2>', chr(10) || '### \\1' || chr(10), 'g') AS t FROM f),
+b AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(a.t, '(?i)<h6[^>]*>\\s*([^<]*?)\\s*</h6>', chr(10) || '###### \\1' || chr(10), 'g'), '(?i)<br\\s*/?>|</p\\s*>', chr(10), 'g'), '(?i)</?(p|div|body|html|b)[^>]*>', '', 'g') AS t FROM a)
+SELECT doc_id, sha1(regexp_replace({_unescaped_sql('t')}, '[ \\t]+\\n', chr(10), 'g')) AS fragment_sha1 FROM b""")
 def html_fragments(spark, sf_dir):
-    pages = load(spark, sf_dir, "pages")
-    return pages.select("page_id", F.regexp_extract("html", r"(?is)<h1[^>]*>\s*(.*?)\s*</h1>", 1).alias("heading"), F.sha1(T.html_fragments(F.col("html"))).alias("fragment_sha1"))
+    docs = load(spark, sf_dir, "documents").selectExpr("doc_id", f"{_FRAGMENT} AS t")
+    return docs.select("doc_id", F.sha1(T.html_fragments(F.col("t"))).alias("fragment_sha1"))
 
 
 # ---- routing and manifest
 
-_ROUTED = f"f AS (SELECT {PATHS} AS path, p_size AS bytes FROM part), e AS (SELECT path, lower(regexp_extract(path, '(\\.[^./]+)$', 1)) AS extension, CAST(bytes AS BIGINT) AS bytes FROM f WHERE NOT regexp_matches(path, '(^|/)\\.[^/]') AND NOT regexp_matches(path, '(^|/)~\\$[^/]*$')), b(x, y) AS (VALUES {', '.join(f'({k!r}, {v!r})' for k, v in route.BUCKETS.items())}), r AS (SELECT path, extension, bytes, coalesce(y, 'unsupported') AS bucket FROM e LEFT JOIN b ON x = extension)"
+_ROUTED = f"f AS (SELECT {PATHS} AS path, p_size AS bytes FROM part), e AS (SELECT path, lower(regexp_extract(path, '(\\.[^./]+)$', 1)) AS extension, CAST(bytes AS BIGINT) AS bytes FROM f WHERE NOT regexp_matches(path, '(^|/)\\.[^/]') AND NOT regexp_matches(path, '(^|/)~\\$[^/]*$')), r AS (SELECT path, extension, bytes, CASE WHEN extension IN ('.csv', '.docx', '.htm', '.html', '.json', '.md', '.pptx', '.txt', '.xlsx', '.xml') THEN 'simple_direct' WHEN extension IN ('.doc', '.ppt', '.xls') THEN 'legacy_office' WHEN extension IN ('.bmp', '.jpeg', '.jpg', '.png', '.tif', '.tiff', '.webp') THEN 'needs_ocr' WHEN extension IN ('.rar', '.zip') THEN 'archive' WHEN extension = '.pdf' THEN 'pdf_text' ELSE 'unsupported' END AS bucket FROM e)"
 
 
 def _files(spark, sf_dir):
@@ -149,7 +166,7 @@ def _files(spark, sf_dir):
 
 @query(f"WITH {_ROUTED} SELECT * FROM r")
 def route_entries(spark, sf_dir):
-    return route.routed(_files(spark, sf_dir))
+    return route.routed(_files(spark, sf_dir)).orderBy(F.lower("path"))
 
 
 @query(f"WITH {_ROUTED} SELECT bucket, count(*) AS n, CAST(sum(bytes) AS BIGINT) AS bytes FROM r GROUP BY bucket")
@@ -161,8 +178,7 @@ def route_counts(spark, sf_dir):
 SELECT path, pages, average_text_chars, CAST(low_text_pages AS BIGINT) AS low_text_pages, CAST(image_pages AS BIGINT) AS image_pages, CAST(table_pages AS BIGINT) AS table_pages,
 CASE WHEN table_pages > 0 THEN 'pdf_table' WHEN low_text_pages / pages >= 0.7 AND image_pages / pages >= 0.5 THEN 'needs_ocr' WHEN low_text_pages = pages OR NOT ok THEN 'manual_review' ELSE 'pdf_text' END AS bucket FROM g""")
 def pdf_route(spark, sf_dir):
-    load(spark, sf_dir, "conversations").createOrReplaceTempView("conversations")
-    return route.pdf_route(spark.sql(PDF_PAGES).withColumnRenamed("ok", "table_detection_ok"))
+    return route.pdf_route(spark.sql(PDF_PAGES.replace("FROM conversations", "FROM {c}"), c=load(spark, sf_dir, "conversations")).withColumnRenamed("ok", "table_detection_ok"))
 
 
 @query("SELECT source, CASE WHEN avg(n_chars) < 180 THEN 'needs_review' ELSE 'text_ok' END AS ocr_status, count(*) AS n, round(avg(n_chars), 1) AS average_chars FROM documents GROUP BY source")
@@ -228,15 +244,18 @@ def audit_summary(spark, sf_dir):
 
 # ---- source recall
 
-_PAIRS = "pr AS (SELECT item_id, text AS a, CASE WHEN item_id % 3 = 0 THEN reverse(text) WHEN item_id % 3 = 1 THEN substr(text, 1, CAST(length(text) // 2 AS INT)) ELSE '' END AS b FROM benchmark)"
+_WIDE, _NARROW = "ＡＢＣＤＥＦＧＨａｂｃｄｅｆｇｈ０１２３４５６７８９", "ABCDEFGHabcdefgh0123456789"
+_SOURCE = f"CASE WHEN item_id % 5 = 0 THEN translate(text, '{_NARROW}', '{_WIDE}') ELSE text END"
+_TARGET = "CASE WHEN item_id % 3 = 0 THEN reverse(text) WHEN item_id % 3 = 1 THEN substr(text, 1, CAST(floor(length(text) / 2) AS INT)) ELSE '' END"
+_PAIRS = f"pr AS (SELECT item_id, translate({_SOURCE}, '{_WIDE}', '{_NARROW}') AS a, {_TARGET} AS b FROM benchmark)"
 
 
 def _pairs(spark, sf_dir):
-    return load(spark, sf_dir, "benchmark").selectExpr("item_id", "text AS a", "CASE WHEN item_id % 3 = 0 THEN reverse(text) WHEN item_id % 3 = 1 THEN substr(text, 1, CAST(length(text) DIV 2 AS INT)) ELSE '' END AS b")
+    return load(spark, sf_dir, "benchmark").selectExpr("item_id", f"{_SOURCE} AS a", f"{_TARGET} AS b")
 
 
-_RECALL = f"""{_PAIRS}, x AS (SELECT item_id, c, count(*) AS n FROM (SELECT item_id, unnest(string_split(regexp_replace(a, '[^\\p{{L}}\\p{{N}}]', '', 'g'), '')) AS c FROM pr) WHERE c <> '' GROUP BY 1, 2),
-y AS (SELECT item_id, c, count(*) AS n FROM (SELECT item_id, unnest(string_split(regexp_replace(b, '[^\\p{{L}}\\p{{N}}]', '', 'g'), '')) AS c FROM pr) WHERE c <> '' GROUP BY 1, 2),
+_CHARACTERS = lambda c, n: f"(SELECT item_id, c, count(*) AS n FROM (SELECT item_id, unnest(string_split(regexp_replace({c}, '[^\\p{{L}}\\p{{N}}]', '', 'g'), '')) AS c FROM pr) WHERE c <> '' GROUP BY 1, 2)"
+_RECALL = f"""{_PAIRS}, x AS {_CHARACTERS('a', 'n')}, y AS {_CHARACTERS('b', 'n')},
 rc AS (SELECT pr.item_id, round(coalesce(sum(least(x.n, coalesce(y.n, 0))) / sum(x.n), 1.0), 6) AS recall FROM pr LEFT JOIN x USING (item_id) LEFT JOIN y ON x.item_id = y.item_id AND x.c = y.c GROUP BY 1)"""
 
 
@@ -310,28 +329,32 @@ def normalize_tables(spark, sf_dir):
     return tables.normalized(md_documents(spark, sf_dir))
 
 
-_SIDES = f"""{_CELLS}, ta AS (SELECT doc_id, count(*) AS rows, 3 AS cols, sha1(string_agg(c1, ',' ORDER BY row_no)) AS digest FROM tr WHERE doc_id % 11 <> 0 GROUP BY 1),
-tb AS (SELECT doc_id, count(*) AS rows, 3 AS cols, sha1(string_agg(CASE WHEN doc_id % 4 = 1 THEN c1 || 'x' ELSE c1 END, ',' ORDER BY row_no)) AS digest FROM tr WHERE doc_id % 13 <> 0 AND (doc_id % 9 <> 2 OR row_no > 1) GROUP BY 1),
-cmp AS (SELECT coalesce(ta.doc_id, tb.doc_id) AS doc_id, CASE WHEN tb.doc_id IS NULL THEN 'missing_b' WHEN ta.doc_id IS NULL THEN 'missing_a' WHEN ta.rows <> tb.rows OR ta.cols <> tb.cols THEN 'shape_conflict' WHEN ta.digest <> tb.digest THEN 'cell_conflict' ELSE 'agree' END AS status FROM ta FULL JOIN tb ON ta.doc_id = tb.doc_id)"""
+_CHANGED = "CASE WHEN doc_id % 4 = 1 AND row_no <= doc_id % 6 THEN c1 || 'x' WHEN doc_id % 4 = 2 THEN '(' || c1 || '）' WHEN doc_id % 4 = 3 AND row_no > 1 THEN c1 || '.0%' ELSE c1 END"
+_SIDES = f"""{_CELLS}, ta AS (SELECT * FROM tr WHERE doc_id % 11 <> 0), tb AS (SELECT doc_id, row_no, {_CHANGED} AS c1, upper(c2) AS c2, c3 FROM tr WHERE doc_id % 13 <> 0 AND (doc_id % 9 <> 2 OR row_no > 1)),
+na AS (SELECT doc_id, count(*) AS n, row_number() OVER () FROM ta GROUP BY doc_id), nb AS (SELECT doc_id, count(*) AS n FROM tb GROUP BY doc_id),
+oa AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY row_no) AS k, c1, c2, c3 FROM ta), ob AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY row_no) AS k, c1, c2, c3 FROM tb),
+ce AS (SELECT doc_id, {_STRIP("regexp_replace(unnest([oa.c1, oa.c2, oa.c3]), '[ \\t]+', ' ', 'g')")} AS u, {_STRIP("regexp_replace(unnest([ob.c1, ob.c2, ob.c3]), '[ \\t]+', ' ', 'g')")} AS v FROM oa JOIN ob USING (doc_id, k)),
+nu AS (SELECT doc_id, u, v, {_NUM('u')} AS x, {_NUM('v')} AS y FROM ce),
+mm AS (SELECT doc_id, count_if(CASE WHEN x IS NOT NULL OR y IS NOT NULL THEN NOT coalesce(abs(x - y) <= 1e-9, false) ELSE {_RELAX('u')} <> {_RELAX('v')} END) AS n FROM nu GROUP BY 1),
+cmp AS (SELECT coalesce(na.doc_id, nb.doc_id) AS doc_id, CASE WHEN na.n = nb.n AND mm.n = 0 THEN 'high' ELSE 'conflict' END AS confidence, CASE WHEN na.n IS NULL THEN 'pdfplumber_missing_table' WHEN nb.n IS NULL THEN 'camelot_missing_table' WHEN na.n <> nb.n THEN 'shape_mismatch:' || na.n || 'x3!=' || nb.n || 'x3'
+ WHEN mm.n >= 3 THEN 'cell_mismatch:3_or_more' WHEN mm.n > 0 THEN 'cell_mismatch:' || mm.n ELSE 'engines_agree_structure_and_cells' END AS reason FROM na FULL JOIN nb ON na.doc_id = nb.doc_id LEFT JOIN mm ON mm.doc_id = coalesce(na.doc_id, nb.doc_id))"""
 
 
 def _compared(spark, sf_dir):
-    rows = table_rows(spark, sf_dir).withColumn("c1", F.col("cells")[0])
-    digest = lambda d, c: d.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.lit(3).alias("cols"), F.sha1(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("row_no", c.alias("v")))), lambda x: x["v"]), ",")).alias("digest"))
-    a = digest(rows.where("doc_id % 11 <> 0"), F.col("c1"))
-    b = digest(rows.where("doc_id % 13 <> 0 AND (doc_id % 9 <> 2 OR row_no > 1)"), F.when(F.col("doc_id") % 4 == 1, F.concat("c1", F.lit("x"))).otherwise(F.col("c1")))
-    return tables.compared(a, b, ["doc_id"])
+    rows = table_rows(spark, sf_dir).selectExpr("doc_id", "row_no", "cells[0] AS c1", "cells[1] AS c2", "cells[2] AS c3")
+    b = rows.where("doc_id % 13 <> 0 AND (doc_id % 9 <> 2 OR row_no > 1)").selectExpr("doc_id", "row_no", f"array({_CHANGED}, upper(c2), c3) AS cells")
+    return tables.compared(rows.where("doc_id % 11 <> 0").selectExpr("doc_id", "row_no", "array(c1, c2, c3) AS cells"), b, ["doc_id"])
 
 
-@query(f"WITH {_SIDES} SELECT doc_id, status FROM cmp")
+@query(f"WITH {_SIDES} SELECT * FROM cmp")
 def engine_compare(spark, sf_dir):
     return _compared(spark, sf_dir)
 
 
-@query(f"WITH {_SIDES}, c AS (SELECT doc_id % 100 AS file_no, doc_id, row_number() OVER (PARTITION BY doc_id % 100 ORDER BY doc_id) AS k FROM cmp WHERE status <> 'agree') SELECT file_no, string_agg(doc_id, ',' ORDER BY doc_id) FILTER (k <= 8) AS conflicts, count(*) AS n FROM c GROUP BY 1")
+@query(f"WITH {_SIDES}, c AS (SELECT DISTINCT doc_id % 100 AS file_no, CAST(doc_id % 7 AS INT) AS page, reason FROM cmp WHERE confidence <> 'high'), p AS (SELECT file_no, page, 'dual_engine_conflict:' || array_to_string(list_sort(list(reason))[1:5], ';') AS page_reason FROM c GROUP BY ALL), f AS (SELECT file_no, 'dual_engine_conflict:' || array_to_string(list_sort(list(DISTINCT reason))[1:8], ';') AS file_reason FROM c GROUP BY ALL) SELECT * FROM p JOIN f USING (file_no)")
 def conflict_candidates(spark, sf_dir):
-    c = _compared(spark, sf_dir).where("status <> 'agree'").withColumn("file_no", F.col("doc_id") % 100)
-    return c.groupBy("file_no").agg(F.array_join(F.slice(F.array_sort(F.collect_set("doc_id")), 1, 8).cast("array<string>"), ",").alias("conflicts"), F.count(F.lit(1)).alias("n"))
+    c = _compared(spark, sf_dir).where("confidence <> 'high'").select((F.col("doc_id") % 100).alias("file_no"), (F.col("doc_id") % 7).cast("int").alias("page"), "reason")
+    return tables.conflicts(c, "file_no", "page", "reason")
 
 
 _BOX = "SELECT l_orderkey AS doc_id, l_linenumber AS n, CAST(l_quantity AS DOUBLE) AS x0, CAST(l_partkey % 90 AS DOUBLE) AS y0, CAST(l_quantity + 20 AS DOUBLE) AS x1, CAST(l_partkey % 90 + 15 AS DOUBLE) AS y1 FROM lineitem"
@@ -339,8 +362,7 @@ _BOX = "SELECT l_orderkey AS doc_id, l_linenumber AS n, CAST(l_quantity AS DOUBL
 
 @query(f"""WITH a AS ({_BOX}) SELECT t.doc_id, CAST(t.n AS BIGINT) AS n FROM a t WHERE t.n % 2 = 0 AND NOT EXISTS (SELECT 1 FROM a b WHERE b.n % 2 = 1 AND b.doc_id = t.doc_id AND greatest(0.0, least(t.x1, b.x1) - greatest(t.x0, b.x0)) * greatest(0.0, least(t.y1, b.y1) - greatest(t.y0, b.y0)) / greatest(1.0, (t.x1 - t.x0) * (t.y1 - t.y0)) > 0.18)""")
 def overlap_antijoin(spark, sf_dir):
-    load(spark, sf_dir, "lineitem").createOrReplaceTempView("lineitem")
-    boxes = spark.sql(_BOX)
+    boxes = spark.sql(_BOX.replace("FROM lineitem", "FROM {lineitem}"), lineitem=load(spark, sf_dir, "lineitem"))
     return tables.outside_boxes(boxes.where("n % 2 = 0"), boxes.where("n % 2 = 1"), ["doc_id"]).select("doc_id", *_long("n"))
 
 

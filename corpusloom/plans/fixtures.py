@@ -13,7 +13,7 @@ MD = """CASE doc_id % 6
  WHEN 4 THEN text || chr(10) || '| H1 | H2 |' || chr(10) || '| --- | :---: |' || chr(10) || '| a | b |' || chr(10) || chr(10) || chr(10) || 'after'
  ELSE text END"""
 PATHS = """CASE p_partkey % 9 WHEN 0 THEN 'in/.cache/' WHEN 1 THEN 'in/a/~$' ELSE 'in/b/' END || p_partkey || CASE p_partkey % 11 WHEN 0 THEN '.pdf' WHEN 1 THEN '.DOCX' WHEN 2 THEN '.doc' WHEN 3 THEN '.html'
- WHEN 4 THEN '.csv' WHEN 5 THEN '.png' WHEN 6 THEN '.zip' WHEN 7 THEN '.rar' WHEN 8 THEN '.xyz' WHEN 9 THEN '.txt' ELSE '' END"""
+ WHEN 4 THEN '.csv' WHEN 5 THEN '.png' WHEN 6 THEN '.zip' WHEN 7 THEN '.rar' WHEN 8 THEN '.xyz' WHEN 9 THEN CASE p_partkey % 5 WHEN 0 THEN '.txt' WHEN 1 THEN '.TIFF' WHEN 2 THEN '.webp' WHEN 3 THEN '.pptx' ELSE '.gif' END ELSE '' END"""
 PDF_PAGES = """SELECT 'c' || conv_id AS path, turn + 1 AS page, CASE WHEN conv_id % 4 = 1 THEN length(text) % 30 ELSE length(text) END AS n_text_chars, CASE WHEN conv_id % 4 = 1 THEN 1 ELSE turn % 2 END AS n_images,
  CASE WHEN conv_id % 5 = 2 AND turn = 1 THEN 1 ELSE 0 END AS n_tables, conv_id % 7 <> 3 AS ok FROM conversations"""
 #: A table for each order: a header, then a row for each line item, with blanks and long cells by key.
@@ -31,5 +31,4 @@ def md_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    load(spark, sf_dir, "lineitem").createOrReplaceTempView("lineitem")
-    return spark.sql(CELLS).selectExpr("doc_id", "row_no", "array(c1, c2, c3) AS cells")
+    return spark.sql(CELLS.replace("FROM lineitem", "FROM {lineitem}"), lineitem=load(spark, sf_dir, "lineitem")).selectExpr("doc_id", "row_no", "array(c1, c2, c3) AS cells")

@@ -55,16 +55,22 @@ def pdf_text_density(spark, sf_dir):
     return manifest.sampled_density(load(spark, sf_dir, "conversations").selectExpr("conv_id", "turn + 1 AS page", "text"), "conv_id")
 
 
-@query("SELECT p_partkey, CASE WHEN p_partkey % 4 = 0 THEN upper(p_brand) ELSE p_brand END AS p_brand, p_size FROM part")
+@query("SELECT p_partkey, CASE WHEN p_partkey % 4 = 0 THEN upper(p_brand) || CASE WHEN p_partkey % 8 = 0 THEN ' again' ELSE '' END ELSE p_brand END AS p_brand, p_size FROM part")
 def manifest_update(spark, sf_dir):
     part = load(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size")
-    return manifest.upserted(part, part.where("p_partkey % 4 = 0").select("p_partkey", F.upper("p_brand").alias("p_brand")), ["p_partkey"])
+    updates = part.where("p_partkey % 4 = 0").selectExpr("p_partkey", "1 AS nth", "upper(p_brand) AS p_brand")
+    return manifest.upserted(part, updates.unionAll(updates.where("p_partkey % 8 = 0").selectExpr("p_partkey", "2", "p_brand || ' again'")), ["p_partkey"], "nth")
 
 
-@query(r"""SELECT conv_id, turn, CASE turn % 4 WHEN 3 THEN '[blank page]' ELSE trim(text, chr(10) || chr(13) || chr(9) || ' ') END AS answer FROM conversations WHERE NOT regexp_matches(text, '[\n\r"\\{}`]') AND NOT regexp_matches(text, '(?i)^\s*(the |let me|i |header|title|at the)')""")
+_COMMENTARY = "(?i)^[ \\t\\x0b\\x0c\\x1c-\\x1f\\x85\\p{Z}]*(The user wants\\b|Let me\\b|I can see\\b|I see\\b|The page appears\\b|The document appears\\b|The document is\\b|The rest of the page\\b|Starting from\\b|Body text starts\\b|Header:|Document number:|Title:|Signature area\\b|Page number:|At the (top|bottom),\\b|And the page number\\b|I''ll mark\\b|我看到|让我|下面是|以下是.*转写)"
+
+
+@query(f"""WITH g AS (SELECT conv_id, turn, unnest(string_split(regexp_replace(text || CASE WHEN turn % 4 = 1 THEN chr(10) || 'At the top,x' || chr(10) || 'At the top, y' ELSE '' END, '\\r\\n?', chr(10), 'g'), chr(10))) AS line, generate_subscripts(string_split(regexp_replace(text || CASE WHEN turn % 4 = 1 THEN chr(10) || 'At the top,x' || chr(10) || 'At the top, y' ELSE '' END, '\\r\\n?', chr(10), 'g'), chr(10)), 1) AS n FROM conversations WHERE turn % 4 <> 3),
+j AS (SELECT conv_id, turn, {_STRIP("string_agg(line, chr(10) ORDER BY n)")} AS t FROM g WHERE NOT regexp_matches(line, '{_COMMENTARY}') GROUP BY 1, 2)
+SELECT c.conv_id, c.turn, CASE WHEN coalesce(t, '') = '' THEN '[blank page]' ELSE t END AS answer FROM conversations c LEFT JOIN j ON c.conv_id = j.conv_id AND c.turn = j.turn""")
 def ocr_clean_response(spark, sf_dir):
-    rows = load(spark, sf_dir, "conversations").where(~F.col("text").rlike(r'[\n\r"\\{}`]') & ~F.col("text").rlike(r"(?i)^\s*(the |let me|i |header|title|at the)"))
-    given = rows.selectExpr("conv_id", "turn", """CASE turn % 4 WHEN 0 THEN '```markdown\n' || text || '\n```' WHEN 1 THEN '{"content": "x", "text": "' || text || '"}' WHEN 2 THEN 'Let me see.\n' || text || '\nI can see a page' ELSE '  ' END AS given""")
+    rows = load(spark, sf_dir, "conversations")
+    given = rows.selectExpr("conv_id", "turn", """CASE turn % 4 WHEN 0 THEN '```markdown\n' || text || '\n```' WHEN 1 THEN to_json(named_struct('content', 'x', 'text', text || '\nAt the top,x\nAt the top, y')) WHEN 2 THEN 'Let me see.\n' || text || '\nI can see a page' ELSE '  ' END AS given""")
     return given.select("conv_id", "turn", ocr.answer(F.col("given")).alias("answer"))
 
 
@@ -136,10 +142,17 @@ def md_to_html(spark, sf_dir):
     return publish.md_to_html(md_documents(spark, sf_dir))
 
 
-@query("SELECT doc_id, text FROM documents WHERE NOT regexp_matches(text, '&[#a-zA-Z]')")
+@query("SELECT doc_id, sha1(text || ' <b> A é ' || chr(160) || '& &nosuch; x') AS text_sha1 FROM documents")
 def entity_decode(spark, sf_dir):
-    d = load(spark, sf_dir, "documents").select("doc_id", "text").where(~F.col("text").rlike("&[#a-zA-Z]"))
-    return publish.decoded(d.withColumn("text", F.replace(F.col("text"), F.lit("&"), F.lit("&amp;"))), "text")
+    d = load(spark, sf_dir, "documents").selectExpr("doc_id", "replace(text, '&', '&amp;') || ' &lt;b&gt; &#65; &eacute; &nbsp;&amp; &nosuch; x' AS t")
+    return d.select("doc_id", F.sha1(T.decoded(F.col("t"))).alias("text_sha1"))
+
+
+@query("SELECT 'in/' || p_partkey || '.zip' AS archive, unnest(CASE WHEN p_partkey % 3 = 0 THEN ['top/a.txt', 'top/sub/b.txt'] WHEN p_partkey % 3 = 1 THEN ['a.txt', 'top/b.txt'] ELSE [NULL] END) AS member, unnest(CASE WHEN p_partkey % 3 = 0 THEN ['a.txt', 'sub/b.txt'] WHEN p_partkey % 3 = 1 THEN ['a.txt', 'top/b.txt'] ELSE [NULL] END) AS target, unnest(CASE WHEN p_partkey % 3 = 2 THEN [NULL] ELSE [sha1(p_name), sha1(p_brand)] END) AS bytes_sha1, p_partkey % 3 = 2 AS failed FROM part")
+def archive_members(spark, sf_dir):
+    part = load(spark, sf_dir, "part").selectExpr("p_partkey", "'in/' || p_partkey || '.zip' AS path", "CASE p_partkey % 3 WHEN 0 THEN array('top/a.txt', 'top/sub/b.txt') WHEN 1 THEN array('a.txt', 'top/b.txt') END AS names", "array(p_name, p_brand) AS texts")
+    found = readers.archive_members(part.select("path", readers.zipped("names", "texts").alias("content")))
+    return found.select("archive", "member", "target", F.sha1("bytes").alias("bytes_sha1"), F.col("error").isNotNull().alias("failed"))
 
 
 @query(f"WITH f AS (SELECT p_partkey, {PATHS} AS path FROM part) SELECT path, count(*) AS n FROM f WHERE regexp_matches(path, '\\.(zip|rar)$') GROUP BY path")

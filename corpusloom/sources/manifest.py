@@ -9,7 +9,7 @@ from ..functions.text import strip
 
 # Status sets and image extensions.
 UNRESOLVED = {"conversion_status": ("failed", "unsupported", "archive_failed"), "quality_status": ("unresolved", "needs_review"), "ocr_status": ("needs_ocr", "needs_review")}
-IMAGES = (".png", ".jpg", ".jpeg", ".bmp", ".tif", ".tiff", ".webp", ".gif")
+IMAGES = (".png", ".jpg", ".jpeg", ".bmp", ".tif", ".tiff", ".webp")
 SHORT = 80
 
 
@@ -43,9 +43,11 @@ def sliced(rows: DataFrame, order: list[str], start: int, limit: int) -> DataFra
     return rows.orderBy(*order).offset(start - 1).limit(limit)
 
 
-def upserted(rows: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
-    """rows with the columns of updates where these have the key."""
-    columns = [c for c in updates.columns if c not in keys]
-    side = updates.select(*keys, *(F.col(c).alias(f"_{c}") for c in columns), F.lit(True).alias("_hit"))
-    out = rows.join(side, keys, "left")
-    return out.select(*(F.when(F.col("_hit"), F.col(f"_{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in rows.columns))
+def upserted(rows: DataFrame, updates: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """rows with the columns of updates where these have the key; of updates that repeat a key the last by order counts.
+    Null keys equal each other."""
+    columns = [c for c in updates.columns if c not in (*keys, order)]
+    last = updates.groupBy(*keys).agg(F.max(F.struct(order, *columns)).alias("_last")).select(*(F.col(k).alias(f"_{k}") for k in keys), "_last")
+    on = [rows[k].eqNullSafe(last[f"_{k}"]) for k in keys]
+    out = rows.join(last, on, "left")
+    return out.select(*(F.when(F.col("_last").isNotNull(), F.col(f"_last.{c}")).otherwise(rows[c]).alias(c) if c in columns else rows[c] for c in rows.columns))

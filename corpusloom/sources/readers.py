@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from .route import hidden
 
@@ -73,6 +74,22 @@ def _expanded(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame(rows, columns=["archive", "member", "target", "bytes", "error"])
 
 
+@F.pandas_udf(BinaryType())
+def zipped(names: pd.Series, texts: pd.Series) -> pd.Series:
+    """Archives of so many texts under their names; a null list of names gives bytes that are no archive."""
+
+    def one(ns, ts) -> bytes:
+        if ns is None:
+            return b"none"
+        data = io.BytesIO()
+        with zipfile.ZipFile(data, "w") as z:
+            for n, t in zip(ns, ts):
+                z.writestr(n, t)
+        return data.getvalue()
+
+    return pd.Series([one(n, t) for n, t in zip(names, texts)])
+
+
 def archive_members(archives: DataFrame) -> DataFrame:
     """archives(path, content) -> archive, member, target, bytes, error. A folder that holds all members is left out of
     target; members that would leave the folder aren't read; a broken archive is one row with its error."""

@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Extension to bucket, bucket to worker, and the status sets of unresolved rows.
-BUCKETS = {
-    ".pdf": "pdf_text", ".docx": "office", ".doc": "legacy_office", ".pptx": "office", ".ppt": "legacy_office", ".xlsx": "office", ".xls": "legacy_office",
-    ".html": "markup", ".htm": "markup", ".xml": "markup", ".json": "plain", ".csv": "plain", ".txt": "plain", ".md": "plain",
-    ".png": "image", ".jpg": "image", ".jpeg": "image", ".zip": "archive", ".rar": "archive",
-}
+# Extensions of the buckets; the order that buckets are worked off in.
+EXTENSIONS = {
+    "simple_direct": (".csv", ".docx", ".htm", ".html", ".json", ".md", ".pptx", ".txt", ".xlsx", ".xml"),
+    "legacy_office": (".doc", ".ppt", ".xls"),
+    "needs_ocr": (".bmp", ".jpeg", ".jpg", ".png", ".tif", ".tiff", ".webp"),
+    "archive": (".rar", ".zip"),
+    "pdf_text": (".pdf",),
+}
+BUCKETS = {e: b for b, es in EXTENSIONS.items() for e in es}
 LOW_TEXT, NEEDS_OCR_SHARE, IMAGE_SHARE = 40, 0.7, 0.5
 
 
@@ -29,7 +32,7 @@ def hidden(path: Column) -> Column:
 
 
 def routed(files: DataFrame) -> DataFrame:
-    """files(path, bytes) -> path, extension, bytes, bucket; hidden ones are left out."""
+    """files(path, bytes) -> path, extension, bytes, bucket; hidden ones are left out. What a PDF's pages say (pdf_route) comes later."""
     return files.where(~hidden(F.col("path"))).select("path", extension(F.col("path")).alias("extension"), "bytes", bucket(extension(F.col("path"))).alias("bucket"))
 
 
