@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
+from ..functions import labels
 from ..functions import text as T
 
 # Thresholds of the checks.
@@ -115,3 +116,50 @@ def exact_cell_rate(cells: DataFrame, targets: DataFrame, key: str) -> DataFrame
     target holds, after NFKC; 1.0 for none. Short cells match almost anywhere: this isn't cell-exact."""
     both = targets.select(key, "text").join(cells.groupBy(key).agg(F.collect_list("cell").alias("_cells")), key, "left").withColumn("_found", _cells_found("_cells", "text"))
     return both.select(key, F.col("_found.cells").alias("cells"), F.round("_found.rate", 6).alias("exact_cell_rate"))
+
+
+def issues_of(docs: DataFrame, body: str) -> DataFrame:
+    """docs with issues, an array in the order of the checks, after inspected()."""
+    checks = (("replacement_character", "replacement_char"), ("provider_error", "provider_error"), ("garbled_or_fragmented", "fragmented"))
+    return inspected(docs, body).withColumn("issues", F.array_compact(F.array(*(F.when(F.col(c), n) for n, c in checks))))
+
+
+def readiness(docs: DataFrame, body: str = "body") -> DataFrame:
+    """docs(ocr_status, quality_status, body) -> one row of counts and ready. Spot checks don't stand in the way."""
+    d = issues_of(docs, body)
+    counts = {"unresolved_ocr": F.col("ocr_status").isin(*labels.UNRESOLVED_OCR), "near_empty": F.col("near_empty"), "suspicious": F.size("issues") > 0, "needs_spotcheck": F.col("quality_status").isin(*labels.REVIEW)}
+    out = d.agg(F.count(F.lit(1)).alias("documents"), *(F.count_if(c).alias(n) for n, c in counts.items()))
+    return out.withColumn("ready", (F.col("unresolved_ocr") == 0) & (F.col("near_empty") == 0) & (F.col("suspicious") == 0))
+
+
+def document_issues(docs: DataFrame, inventory: DataFrame) -> DataFrame:
+    """docs(path, raw binary, doc_id, source_path, body), inventory(path) -> path, doc_id, source_path, body_chars, issues: encoding
+    first, then the text's, then ids and paths that are missing."""
+    there = inventory.select(F.col("path").alias("source_path"), F.lit(True).alias("_there")).distinct()
+    d = issues_of(docs.join(there, "source_path", "left"), "body")
+    blank = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
+    checks = [("utf8_bom", F.hex(F.substring("raw", 1, 3)) == "EFBBBF"), ("invalid_utf8", ~F.is_valid_utf8(F.col("raw").cast("string")))]
+    after = [("missing_doc_id", blank("doc_id")), ("missing_source_path", blank("source_path")), ("source_path_not_found", ~blank("source_path") & F.col("_there").isNull())]
+    some = lambda cs: F.array_compact(F.array(*(F.when(c, n) for n, c in cs)))
+    return d.select("path", "doc_id", "source_path", F.col("compact_chars").alias("body_chars"), F.array_distinct(F.concat(some(checks), F.col("issues"), some(after))).alias("issues"))
+
+
+def final_audit(docs: DataFrame, chunks: DataFrame, inventory: DataFrame, expected: int | None = None) -> DataFrame:
+    """Issues of documents as document_issues() gives them, with member; chunks(chunk_id, doc_id, markdown_path,
+    source_path, bad_line) -> one row: counts, global_issues in their order, clean."""
+    keyed = F.when(F.coalesce(F.col("source_path"), F.lit("")) != "", F.concat_ws("::", "source_path", F.when(F.col("member") != "", F.col("member"))))
+    twice = lambda d, c: d.where(F.coalesce(c, F.lit("")) != "").groupBy(c.alias("k")).count().where("count > 1").agg(F.count(F.lit(1)).alias("n"))
+    known = inventory.select("path").distinct()
+    lost = lambda c: chunks.where("bad_line IS NULL").join(known, chunks[c] == known["path"], "left_anti").agg(F.count(F.lit(1)).alias("n"))
+    ids = lambda d: d.where("coalesce(doc_id, '') <> ''").select("doc_id").distinct()
+    sides = ids(docs).withColumn("d", F.lit(1)).join(ids(chunks).withColumn("c", F.lit(1)), "doc_id", "full_outer").agg(F.count_if(F.col("d").isNull() | F.col("c").isNull()).alias("apart"), F.count("d").alias("unique_doc_ids"), F.count("c").alias("unique_chunk_doc_ids"))
+    out = docs.agg(F.count(F.lit(1)).alias("documents"), F.count_if(F.size("issues") > 0).alias("failed_documents"), F.count_distinct(keyed).alias("unique_source_paths"))
+    out = out.join(sides).join(twice(docs, F.col("doc_id")).withColumnRenamed("n", "_ids")).join(twice(docs, keyed).withColumnRenamed("n", "_sources")).join(twice(chunks, F.col("chunk_id")).withColumnRenamed("n", "_chunks"))
+    out = out.join(lost("markdown_path").withColumnRenamed("n", "_markdown")).join(lost("source_path").withColumnRenamed("n", "_source")).join(chunks.agg(F.count_if(F.col("bad_line").isNull()).alias("chunks"), F.array_sort(F.collect_set("bad_line")).alias("_bad")))  # one row each
+    counted = lambda n, c: F.array_compact(F.array(F.when(F.col(c) > 0, F.concat(F.lit(f"{n}:"), F.col(c).cast("string")))))
+    count = F.array_compact(F.array(F.when(F.col("documents") != expected, F.concat(F.lit("document_count_mismatch:"), F.col("documents").cast("string"), F.lit(f"!={expected}"))))) if expected is not None else F.array().cast("array<string>")
+    bad = F.transform("_bad", lambda x: F.concat(F.lit("invalid_chunk_json_line:"), x.cast("string")))
+    cover = F.array_compact(F.array(F.when(F.col("apart") > 0, "chunk_document_coverage_mismatch")))
+    found = F.concat(count, counted("duplicate_doc_ids", "_ids"), counted("duplicate_source_paths", "_sources"), counted("duplicate_chunk_ids", "_chunks"), bad, counted("missing_chunk_markdown_paths", "_markdown"), counted("missing_chunk_source_paths", "_source"), cover)
+    out = out.withColumn("global_issues", found).withColumn("clean", (F.col("failed_documents") == 0) & (F.size("global_issues") == 0))
+    return out.select("documents", "failed_documents", "unique_doc_ids", "unique_source_paths", "chunks", "unique_chunk_doc_ids", "global_issues", "clean")

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
+from itertools import groupby, pairwise
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
+from ..functions import frontmatter
 from ..functions import text as T
 
 #: A line of at most so many characters that occurs so often is a running header or footer.
@@ -24,7 +28,7 @@ def with_lines(docs: DataFrame, body: str = "body") -> DataFrame:
 
     Each line is stripped and matched once; later steps read the array."""
     text = T.without_controls(T.newlines(F.col(body)))
-    docs = docs.withColumn("rows", F.transform(F.split(text, "\n"), lambda x: F.struct(T.rstrip(x).alias("line"), T.strip(x).alias("s"))))
+    docs = docs.withColumn("rows", F.transform(F.split(text, "[\n\x85\u2028\u2029]"), lambda x: F.struct(T.rstrip(x).alias("line"), T.strip(x).alias("s"))))
     docs = docs.withColumn("rows", F.transform("rows", lambda r: F.struct(r["line"].alias("line"), r["s"].alias("s"), T.is_noise(r["s"]).alias("noise"))))
     short = F.filter("rows", lambda r: (F.length(r["s"]) > 0) & (F.length(r["s"]) <= SHORT) & ~r["noise"])
     return docs.withColumn("short", F.array_sort(F.transform(short, lambda r: r["s"])))
@@ -39,6 +43,52 @@ def clean_lines(docs: DataFrame, body: str = "body") -> DataFrame:
     return docs.withColumn("cleaned", F.regexp_replace(joined, r"\n{3,}", "\n\n")).drop("rows", "short", "repeats")
 
 
+_CELL_END, _RULE = re.compile(r"(?<!\\)\|"), re.compile(r"\s*:?-{3,}:?\s*")
+
+
+def _is_row(line: str) -> bool:
+    s = line.strip()
+    return s.startswith("|") and s.endswith("|")
+
+
+def evened(text: str | None) -> str | None:
+    """Pipe blocks with rows of equal width and a rule; cells stay as they are."""
+    out: list[str] = []
+    for is_row, lines in groupby((text or "").split("\n"), _is_row):
+        if not is_row:
+            out += lines
+            continue
+        rows = [_CELL_END.split(x.strip()[1:-1]) for x in lines]
+        width = max(map(len, rows))
+        rows = [r + [""] * (width - len(r)) for r in rows]
+        rule = [" --- "] * width
+        rows = [rule if all(map(_RULE.fullmatch, r)) else r for r in rows]
+        if rule not in rows:
+            rows.insert(1, rule)
+        out += ("|" + "|".join(r) + "|" for r in rows)
+    return None if text is None else "\n".join(out)
+
+
+@F.pandas_udf(StringType())
+def evened_tables(texts: pd.Series) -> pd.Series:
+    return texts.map(evened)
+
+
+def clean_markdown(docs: DataFrame, body: str = "body", meta: Column | None = None) -> DataFrame:
+    """docs with cleaned: frontmatter, merged with meta, which comes first; and the body without HTML fragments, references,
+    control characters, noise, running heads and blank runs, its chapters as headings, its tables evened.
+
+    Only bodies with a pipe or an & leave the JVM; nothing is shuffled."""
+    docs = docs.withColumn("_meta", frontmatter.parsed(F.col(body))).withColumn("_text", T.html_fragments(T.newlines(frontmatter.body(F.col(body)))))
+    docs = clean_lines(docs, "_text")
+    even = F.coalesce(evened_tables(F.when(F.contains("cleaned", F.lit("|")), F.col("cleaned"))), F.col("cleaned"))
+    known = F.coalesce("_meta", F.create_map().cast("map<string,string>"))
+    if meta is not None:
+        known = F.map_concat(F.map_filter(known, lambda k, v: ~F.map_contains_key(meta, k)), meta)
+    head = F.when(F.size(known) > 0, frontmatter.encoded(known)).otherwise("")
+    return docs.withColumn("cleaned", F.concat(head, even)).drop("_meta", "_text")
+
+
 def parts_of(text: str | None) -> list[str]:
     """Text cut into parts of at most CHUNK characters, at the last newline after LEAST_CUT if there is one."""
     rest, out, at = (text or "").strip(), [], 0
@@ -66,6 +116,31 @@ def chunk(docs: DataFrame, key: str = "doc_id", body: str = "text") -> DataFrame
     return docs.select(key, chunks_of(F.col(body)).alias("parts")).select(key, F.posexplode("parts").alias("seq", "chunk")).withColumn("seq", F.col("seq").cast("long") + 1)
 
 
+_HEADING_LINE = re.compile(r"(?m)^#{1,6}[^\S\n]+(\S.*?)[^\S\n]*$")
+
+
+def sectioned(text: str | None, title: str | None) -> list[tuple[str | None, str]]:
+    """(section, part): a heading opens a section, what comes before the first one bears the title."""
+    text = text or ""
+    heads = [(0, title), *((m.start(), m[1]) for m in _HEADING_LINE.finditer(text)), (len(text), None)]
+    return [(name, part) for (at, name), (end, _) in pairwise(heads) for part in parts_of(text[at:end])]
+
+
+@F.pandas_udf(ArrayType(StructType([StructField("section", StringType()), StructField("text", StringType())])))
+def sections_of(texts: pd.Series, titles: pd.Series) -> pd.Series:
+    return pd.Series([[{"section": s, "text": t} for s, t in sectioned(x, y)] for x, y in zip(texts, titles)])
+
+
+def section_chunks(docs: DataFrame) -> DataFrame:
+    """docs(doc_id string, doc_title, source_path, markdown_path, body) -> chunk_id, doc_id, doc_title, section_title,
+    citation, markdown_path, source_path, text. Chunks are numbered within their row, so nothing is shuffled."""
+    each = docs.select("doc_id", "doc_title", "source_path", "markdown_path", F.posexplode(sections_of("body", "doc_title")).alias("n", "x"))
+    n = (F.col("n") + 1).cast("string")
+    number = F.when(F.length(n) < 4, F.lpad(n, 4, "0")).otherwise(n)
+    citation = F.concat("doc_title", F.lit(" > "), "x.section")
+    return each.select(F.concat("doc_id", F.lit("-"), number).alias("chunk_id"), "doc_id", "doc_title", F.col("x.section").alias("section_title"), citation.alias("citation"), "markdown_path", "source_path", F.col("x.text").alias("text"))
+
+
 def sections(docs: DataFrame, key: str = "doc_id", body: str = "body") -> DataFrame:
     """key, line_no, line, section (0 before the first heading), is_heading: lines numbered within their document."""
     rows = docs.select(key, F.posexplode(T.lines(F.col(body))).alias("line_no", "line")).withColumn("is_heading", F.col("line").rlike(T.HEADING))

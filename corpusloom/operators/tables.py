@@ -132,6 +132,11 @@ def conflicts(found: DataFrame, key: str, page: str, reason: str) -> DataFrame:
     return once.groupBy(key, page).agg(text(5, F.collect_set(reason)).alias("page_reason")).join(once.groupBy(key).agg(text(8, F.collect_set(reason)).alias("file_reason")), key)
 
 
+def candidates(rows: DataFrame, levels: tuple[str, ...], priorities: tuple[str, ...]) -> DataFrame:
+    """rows(level, priority, pages) of these levels and priorities, in any case, that name a page at least."""
+    return rows.where(F.lower("level").isin(*levels) & F.lower("priority").isin(*priorities) & (F.size(T.page_numbers(F.col("pages"))) > 0))
+
+
 def hard_reasons(reasons: Column, page: Column) -> Column:
     """Of a document's audit reasons, joined by semicolons, those that make this page a candidate."""
     parts = F.split(reasons, ";")
@@ -174,3 +179,26 @@ def repaired(original: DataFrame, enhanced: DataFrame, keys: list[str]) -> DataF
     side = ranked(enhanced).select(*keys, "k", F.col("rows").alias("enhanced_rows"))
     both = ranked(original).join(side, [*keys, "k"], "left")
     return both.select(*keys, "table_no", F.when(F.col("enhanced_rows").isNull(), "kept_missing_enhanced_table").otherwise("replaced").alias("status"), F.col("rows").alias("original_rows"), F.coalesce("enhanced_rows", F.lit(0)).alias("enhanced_rows"))
+
+
+def file_reasons(files: DataFrame, found: DataFrame) -> DataFrame:
+    """files(key, expected_tables, expected_pages, has_markdown, markers), found(key, page, table_no, level, reasons array) ->
+    key, level, reasons: what is wrong with a file's tables, in the order of the checks. Values of reasons are fixed."""
+    rank = F.when(F.col("level") == "red", 2).when(F.col("level") == "yellow", 1).otherwise(0)
+    own = F.transform("reasons", lambda r: F.concat(F.lit("p"), F.col("page").cast("string"), F.lit("t"), F.col("table_no").cast("string"), F.lit(":"), r))
+    pages = found.groupBy("key", "page").agg(F.count(F.lit(1)).alias("n"), F.max(rank).alias("w"), F.collect_list(F.struct("table_no", own.alias("own"))).alias("own"))
+    each = pages.groupBy("key").agg(F.sum("n").alias("n"), F.max("n").alias("crowd"), F.max("w").alias("w"), F.collect_set("page").alias("pages"), F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("page", F.array_sort("own").alias("own")))), lambda p: F.flatten(F.transform(p["own"], lambda t: t["own"])))).alias("own"))
+    d = files.join(each, "key", "left").withColumn("n", F.coalesce("n", F.lit(0))).withColumn("pages", F.coalesce("pages", F.array().cast("array<long>"))).withColumn("own", F.coalesce("own", F.array().cast("array<string>")))
+    d = d.withColumn("lost", F.array_sort(F.array_except("expected_pages", "pages")))
+    has = F.col("has_markdown")
+    gap = (F.size("markers") > 0) & (F.array_sort(F.array_distinct("markers")) != F.sequence(F.lit(1).cast("long"), F.array_max("markers")))
+    why = [
+        (~has, F.lit("missing_repaired_markdown"), 2), (has & (F.col("expected_tables") != F.col("n")), F.concat(F.lit("table_count_mismatch:"), F.col("expected_tables").cast("string"), F.lit("!="), F.col("n").cast("string")), 2),
+        (has & (F.size("lost") > 0), F.concat(F.lit("missing_table_pages:"), F.array_join(F.col("lost").cast("array<string>"), ",")), 2), (has & gap, F.lit("non_contiguous_page_markers"), 1),
+    ]
+    late = [(has & (F.col("crowd") > 1), F.lit("multiple_tables_on_page"), 1), (has & (F.col("expected_tables") >= 10), F.lit("many_tables_in_document"), 1)]
+    text = lambda cs: F.array_compact(F.array(*(F.when(c, t) for c, t, _ in cs)))
+    worst = F.greatest(F.coalesce(F.when(has, F.col("w")), F.lit(0)), *(F.when(c, n).otherwise(0) for c, _, n in why + late))
+    none = F.col("expected_tables") == 0
+    reasons = F.when(none, F.array(F.lit("no_detected_tables"))).otherwise(F.array_distinct(F.concat(text(why), F.when(has, F.col("own")).otherwise(F.array().cast("array<string>")), text(late))))
+    return d.select("key", F.when(none, "green").otherwise(F.element_at(F.array(*map(F.lit, ("green", "yellow", "red"))), worst + 1)).alias("level"), F.array_join(reasons, ";").alias("reasons"))

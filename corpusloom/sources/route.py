@@ -54,3 +54,20 @@ def text_status(chars: Column) -> Column:
 def resume(todo: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     """What is still to do: rows whose keys are not finished."""
     return todo.join(done.select(*keys).distinct(), keys, "left_anti")
+
+
+#: The order in which buckets are recommended; those that a run takes by default.
+ORDER = ("simple_direct", "pdf_text", "pdf_table", "legacy_office", "archive", "needs_ocr", "manual_review", "unsupported")
+CHEAP = ("simple_direct", "pdf_text", "pdf_table")
+
+
+def plan(entries: DataFrame) -> DataFrame:
+    """entries(path, bytes, bucket) -> bucket, n, paths in order; buckets without entries are left out."""
+    return entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list(F.struct(F.lower("path").alias("low"), "path"))).alias("es")).select("bucket", "n", F.transform("es", lambda e: e["path"]).alias("paths"))
+
+
+def selected(planned: DataFrame, buckets: tuple[str, ...] = CHEAP) -> DataFrame:
+    """planned(bucket, paths) -> distinct path of the buckets asked for; an absent bucket is empty, an unknown one an error."""
+    if unknown := [b for b in buckets if b not in ORDER]:
+        raise ValueError(f"no such bucket: {', '.join(unknown)}")
+    return planned.where(F.col("bucket").isin(*buckets)).select(F.explode("paths").alias("path")).distinct()
