@@ -34,8 +34,9 @@ def marked_pages(pages: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 def ocr_body(pages: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(key, page, text) -> key, body: pages under their headings, in order."""
-    return _joined(pages, key, lambda x: T.strip(F.concat(F.lit("## Page "), x["page"].cast("string"), F.lit("\n\n"), x["text"])))
+    """(key, page, text) -> key, body: pages under their headings, in order, closed by a newline."""
+    out = _joined(pages, key, lambda x: T.strip(F.concat(F.lit("## Page "), x["page"].cast("string"), F.lit("\n\n"), x["text"])))
+    return out.withColumn("body", F.concat("body", F.lit("\n")))
 
 
 def _joined(pages: DataFrame, key: str, part) -> DataFrame:
