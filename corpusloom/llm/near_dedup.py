@@ -245,12 +245,12 @@ def op3_minhash_near_dedup(spark, sf_dir):
 #: The same by plain set intersection.
 ORACLE = r"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
-s AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+s AS MATERIALIZED (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
       ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i : i + 4], ' ')) END)) AS sh FROM w),
-c AS (SELECT doc_id, len(sh) AS n, CASE WHEN len(sh) > 0 THEN min(doc_id) OVER (PARTITION BY sh) END AS class_id FROM s),
-x AS (SELECT s.doc_id, c.n, unnest(s.sh) AS k FROM s JOIN c ON s.doc_id = c.class_id AND c.doc_id = s.doc_id),
-e0 AS (SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.k = b.k AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
-e AS (SELECT a, b FROM e0 UNION SELECT b, a FROM e0),
+c AS MATERIALIZED (SELECT doc_id, len(sh) AS n, CASE WHEN len(sh) > 0 THEN min(doc_id) OVER (PARTITION BY sh) END AS class_id FROM s),
+x AS MATERIALIZED (SELECT s.doc_id, c.n, unnest(s.sh) AS k FROM s JOIN c ON s.doc_id = c.class_id AND c.doc_id = s.doc_id),
+e0 AS MATERIALIZED (SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.k = b.k AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+e AS MATERIALIZED (SELECT a, b FROM e0 UNION SELECT b, a FROM e0),
 r(n, m) AS (SELECT a, a FROM e UNION SELECT r.n, e.b FROM r JOIN e ON r.m = e.a),
 g AS (SELECT n, min(m) AS m FROM r GROUP BY 1)
 SELECT c.doc_id, CAST(c.n AS BIGINT) AS n_shingles, coalesce(g.m, c.class_id, c.doc_id) AS component_id, c.doc_id = coalesce(g.m, c.class_id, c.doc_id) AS kept, c.class_id
