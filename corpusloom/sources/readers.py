@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import io
 import zipfile
 from collections.abc import Callable, Iterator
@@ -11,16 +12,77 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
+from ..operators.publish import markdown_of
 from .route import hidden
 
 MEMBERS = "archive string, member string, target string, bytes binary, error string"
 
 
-def files(spark: SparkSession, path: str, pattern: str | None = None, with_hidden: bool = False) -> DataFrame:
-    """path, content, length of all files below path, found by Spark's own reader."""
+def files(spark: SparkSession, path: str, pattern: str | None = None, with_hidden: bool = False, without: str | None = None, excluded: tuple[str, ...] = ()) -> DataFrame:
+    """path, content, length of all files below path, found by Spark's own reader, in the order of their lower-cased paths.
+
+    without: a folder, of output for example, that is left out with all below it. excluded: parts of names that are left out."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     found = (reader.option("pathGlobFilter", pattern) if pattern else reader).load(path).select("path", "content", "length")
-    return found if with_hidden else found.where(~hidden(F.regexp_replace("path", "^[a-z]+:/*", "")))
+    bare = F.regexp_replace("path", "^[a-z]+:/*", "/")
+    found = found if with_hidden else found.where(~hidden(F.regexp_replace(bare, "^/", "")))
+    if without:
+        found = found.where(~F.startswith(bare, F.lit(without.rstrip("/") + "/")))
+    for part in excluded:
+        found = found.where(~F.contains(F.regexp_extract("path", "([^/]*)$", 1), F.lit(part)))
+    return found.orderBy(F.lower("path"))
+
+
+def json_document(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """One row per document: an object, or each object of an array, over any number of lines."""
+    reader = spark.read.option("multiLine", "true")
+    return (reader.schema(schema) if schema else reader).json(path)
+
+
+def write_json_document(df: DataFrame, path: str) -> None:
+    """Each row as an indented object in a file of its own; for documents of a few rows, such as plans and summaries."""
+    df.select(F.to_json(F.struct(*df.columns), {"pretty": "true", "ignoreNullFields": "false"}).alias("value")).write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
+
+
+def _table_of(rows: list[list[str]]) -> str:
+    width = max(map(len, rows), default=0)
+    lines = ["| " + " | ".join([c.replace("|", "\\|").replace("\n", "<br>") for c in r] + [""] * (width - len(r))) + " |" for r in rows]
+    return "\n".join([*lines[:1], "| " + " | ".join(["---"] * width) + " |", *lines[1:]]) if width else ""
+
+
+def _converted(path: str, content: bytes | None) -> tuple[str | None, str | None]:
+    kind, text = path.rsplit(".", 1)[-1].lower(), (content or b"").decode("utf-8-sig", errors="replace")
+    if kind in ("txt", "md"):
+        return text, None
+    if kind == "csv":
+        return _table_of(list(csv.reader(io.StringIO(text)))), None
+    if kind in ("html", "htm"):
+        return markdown_of(text), None
+    if kind in ("json", "xml"):
+        return f"```{kind}\n{text.strip()}\n```", None
+    return None, f"unsupported: .{kind}"
+
+
+def converted(found: DataFrame) -> DataFrame:
+    """(path, content) -> path, markdown, error: text, Markdown, CSV, JSON, XML and HTML natively; a row of another kind has
+    its error, and goes to an engine by adapted()."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            yield pd.DataFrame([(p, *_converted(p, c)) for p, c in zip(f["path"], f["content"])], columns=["path", "markdown", "error"])
+
+    return found.select("path", "content").mapInPandas(run, "path string, markdown string, error string")
+
+
+def report(title: str, counts: DataFrame, items: DataFrame | None = None, most: int = 100) -> DataFrame:
+    """counts(name, value) and items(line) -> markdown, one row: a heading, a line per count by name, the first items by
+    their text. The cut of the list is the feature of a report; the rows themselves are what the queries give."""
+    lines = counts.agg(F.array_sort(F.collect_list(F.concat(F.lit("- "), "name", F.lit(": "), F.col("value").cast("string")))).alias("c"))
+    whole = F.concat(F.lit(f"# {title}\n\n"), F.array_join("c", "\n"))
+    if items is None:
+        return lines.select(whole.alias("markdown"))
+    top = items.orderBy("line").limit(most).agg(F.array_sort(F.collect_list(F.concat(F.lit("- "), "line"))).alias("i"))
+    return lines.join(top).select(F.concat(whole, F.when(F.size("i") > 0, F.concat(F.lit("\n\n"), F.array_join("i", "\n"))).otherwise("")).alias("markdown"))
 
 
 def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -32,6 +94,14 @@ def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return lines.select("path", number.alias("line_no"), "row", F.when(F.col("row._bad").isNotNull() | ~F.trim("line").startswith("{"), F.concat(F.lit("invalid_chunk_json_line:"), number)).alias("issue"))
 
 
+def json_lines_or_missing(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """json_lines(), or where there is no such file one row that says so."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+        return json_lines(spark, path, schema)
+    return spark.createDataFrame([(path, None, None, "chunks_file_missing")], f"path string, line_no long, row struct<{schema}, _bad string>, issue string")
+
+
 def write_json_lines(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 

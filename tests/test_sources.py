@@ -83,3 +83,36 @@ def test_publishing():
     assert "<h1>T</h1>" in html and "<strong>b</strong>" in html and "&lt;x&gt;" in html and '<img src="p.png">' in html and "<td>2</td>" in html
     assert publish.markdown_of("<nav>m</nav><h2>A &amp; b</h2><p>x<br>y<p><b>z</b><script>s</script>") == "## A & b\n\nx\ny\n\n**z**\n"
     assert publish.html_of("") == "" and publish.blocks_of(None) == []
+
+
+def test_scan_order_and_exclusions(spark, tmp_path):
+    for name in ("B.md", "a.md", "out/c.md", ".x/d.md", "a draft.md"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(name)
+    found = readers.files(spark, str(tmp_path), "*.md", without=str(tmp_path / "out"), excluded=("draft",))
+    assert [bytes(r.content).decode() for r in found.collect()] == ["a.md", "B.md"]
+
+
+def test_json_documents(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1, None), ("b", 2, "x")], "name string, n int, note string")
+    readers.write_json_document(df, str(tmp_path / "j"))
+    assert sorted(map(tuple, readers.json_document(spark, str(tmp_path / "j"), "name string, n int, note string").collect())) == [("a", 1, None), ("b", 2, "x")]
+    assert "\n" in next(p for p in (tmp_path / "j").glob("part-*") if p.stat().st_size).read_text().strip()
+
+
+def test_missing_chunks_file(spark, tmp_path):
+    assert [r.issue for r in readers.json_lines_or_missing(spark, str(tmp_path / "none.jsonl"), "chunk_id string").collect()] == ["chunks_file_missing"]
+
+
+def test_native_conversion(spark):
+    given = [("a.txt", b"\xef\xbb\xbfplain"), ("a.CSV", b'x,"y|z"\n1,2\n3'), ("a.html", b"<h1>T</h1><p>b &amp; c</p>"), ("a.json", b'{"a": 1}'), ("a.docx", b"PK"), ("b.md", None)]
+    got = {r.path: (r.markdown, r.error) for r in readers.converted(spark.createDataFrame(given, "path string, content binary")).collect()}
+    assert got["a.txt"] == ("plain", None) and got["b.md"] == ("", None) and got["a.docx"] == (None, "unsupported: .docx")
+    assert got["a.CSV"][0] == "| x | y\\|z |\n| --- | --- |\n| 1 | 2 |\n| 3 |  |" and got["a.json"][0] == '```json\n{"a": 1}\n```' and got["a.html"][0] == "# T\n\nb & c\n"
+
+
+def test_report(spark):
+    counts = spark.createDataFrame([("red", 2), ("green", 1)], "name string, value long")
+    items = spark.createDataFrame([("z",), ("a",), ("m",)], "line string")
+    assert readers.report("Audit", counts, items, 2).first().markdown == "# Audit\n\n- green: 1\n- red: 2\n\n- a\n- m"
+    assert readers.report("Audit", counts).first().markdown == "# Audit\n\n- green: 1\n- red: 2"
