@@ -1,7 +1,10 @@
 """The corpus pipeline: documents in, packed training sequences out.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the next
-stage's docs. All stages but the last return the columns of documents."""
+stage's docs. All stages but the last return the columns of documents, also of names that the operators use themselves.
+
+In every stage a null text counts as an empty one and stays null, null ids stay null, and rows that repeat are judged
+each, but for near copies, of which one row stays. Without rows a stage returns none; texts of any length are read whole."""
 
 from __future__ import annotations
 
