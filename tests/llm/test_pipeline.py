@@ -2,10 +2,12 @@
 
 import pytest
 from conftest import SF
+from test_llm_operators import packed_ok
+from tokenizers import Tokenizer
 
 import __spark_entry__
 import corpus_pipeline
-from corpusloom.llm import near_dedup, suffix_dedup, toxicity
+from corpusloom.llm import near_dedup, pretokens, suffix_dedup, toxicity
 
 
 def test_stages(spark, tmp_path):
@@ -27,6 +29,17 @@ def test_stages(spark, tmp_path):
             kept = {r.doc_id: bytes(r.kept).decode(errors="ignore") for r in suffix_dedup.without_repeats(before).collect()}
             assert {r.doc_id: r.text for r in docs.collect()} == kept
             assert all(r.n_chars == len(r.text) for r in docs.collect())
+        elif name == "decontamination":
+            items = [r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+            kept = {r.doc_id for r in docs.collect()}
+            for r in before.collect():
+                if r.doc_id in kept:
+                    assert not any(x in r.text for x in items)
+                else:
+                    held = {*r.text.lower().split()}
+                    assert any(sum(w in held for w in x.lower().split()) >= 0.5 * len(x.split()) for x in items)
+        elif name == "packing":
+            packed_ok(docs.collect(), Tokenizer.from_file(pretokens.vocabulary_path("byte_bpe_50k.json")), {r.doc_id: r.text for r in texts})
         if n < 4:
             assert docs.columns == columns
             texts = docs.collect()
@@ -53,3 +66,15 @@ def test_query_is_its_sql(spark, name):
     columns = sorted(got.columns)
     want = con.execute(f"SELECT {', '.join(columns)} FROM ({__spark_entry__.oracle_sql()[name]})").fetchall()
     assert sorted(map(str, map(tuple, got.select(*columns).collect()))) == sorted(map(str, want))
+
+
+def test_stages_on_nulls_repeats_and_nothing(spark):
+    rows = [(None, None, None, None, None), (None, "", "en", "s", 0), (1, "one text", "en", "s", 8), (1, "one text", "en", "s", 8), (2, "word " * 50_000, "en", "s", 250_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").selectExpr("*", "1 AS _spans", "2 AS component_id", "3 AS share")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns
+        got = [(r.doc_id, r.text is None) for r in out.collect()]
+        assert (None, True) in got and (None, False) in got and (1, False) in got and (2, False) in got
+        assert stage(spark, docs.limit(0), SF).count() == 0
+    assert corpus_pipeline.pack(spark, docs, SF).where("doc_id IS NULL").count() == 2
