@@ -18,6 +18,12 @@ SHORT, OFTEN = 80, 4
 CHUNK, LEAST_CUT = 2200, 800
 
 
+def bound(docs: DataFrame, name: str, value: Column) -> DataFrame:
+    """docs with a column that is evaluated once a row: the optimizer would copy a plain one into each place that reads it,
+    also into functions that run for every line. No row is added or lost and nothing is shuffled."""
+    return docs.select(*(F.col(f"`{c}`") for c in docs.columns if c != name), F.explode(F.array(value)).alias(name))
+
+
 def repeated_short(sorted_short: str) -> Column:
     """The distinct lines that occur OFTEN times: in sorted_short, each stands OFTEN - 1 places before its equal."""
     return F.array_distinct(F.filter(sorted_short, lambda x, i: F.get(F.col(sorted_short), i + OFTEN - 1) == x))
@@ -36,7 +42,7 @@ def with_lines(docs: DataFrame, body: str = "body") -> DataFrame:
 
 def clean_lines(docs: DataFrame, body: str = "body") -> DataFrame:
     """docs with cleaned: noise and repeated short lines go, chapter lines become headings, blank runs collapse."""
-    docs = with_lines(docs, body).withColumn("repeats", repeated_short("short"))
+    docs = bound(with_lines(docs, body), "repeats", repeated_short("short"))
     kept = F.filter("rows", lambda r: ~r["noise"] & ~F.array_contains("repeats", r["s"]))
     lines = F.transform(kept, lambda r: F.when(T.is_chapter(r["s"]), F.concat(F.lit("## "), r["s"])).otherwise(r["line"]))
     joined = F.concat(T.strip(F.array_join(lines, "\n")), F.lit("\n"))
@@ -79,8 +85,10 @@ def clean_markdown(docs: DataFrame, body: str = "body", meta: Column | None = No
     control characters, noise, running heads and blank runs, its chapters as headings, its tables evened.
 
     Only bodies with a pipe or an & leave the JVM; nothing is shuffled."""
-    docs = docs.withColumn("_meta", frontmatter.parsed(F.col(body))).withColumn("_text", T.html_fragments(T.newlines(frontmatter.body(F.col(body)))))
+    docs = docs.withColumn("_meta", frontmatter.parsed(F.col(body)))
+    docs = bound(docs, "_text", T.html_fragments(T.newlines(frontmatter.body(F.col(body)))))
     docs = clean_lines(docs, "_text")
+    docs = bound(docs, "cleaned", F.col("cleaned"))
     even = F.coalesce(evened_tables(F.when(F.contains("cleaned", F.lit("|")), F.col("cleaned"))), F.col("cleaned"))
     known = F.coalesce("_meta", F.create_map().cast("map<string,string>"))
     if meta is not None:
