@@ -143,13 +143,21 @@ def sample_indexes(pages: Column, most: Column) -> Column:
     return F.when(n <= 0, F.array().cast("array<long>")).otherwise(F.array_distinct(even))
 
 
-def html_fragments(c: Column) -> Column:
-    """HTML fragments within Markdown: fences, headings, breaks, paragraphs, other tags, character references; comments stay."""
+def without_tags(c: Column) -> Column:
+    """HTML fragments within Markdown: fences, headings, breaks, paragraphs, other tags; comments stay."""
     c = F.regexp_replace(c, r"(?is)```html\s*(.*?)\s*```", "$1")
     c = F.regexp_replace(c, r"(?im)^```html\s*$", "")
     for level in range(1, 7):
         c = F.regexp_replace(c, rf"(?is)<h{level}[^>]*>\s*((?:(?!</h{level}>).)*?)\s*</h{level}>", "\n" + "#" * min(level + 1, 6) + " $1\n")
     c = F.regexp_replace(c, r"(?i)<br\s*/?>|</p\s*>", "\n")
     c = F.regexp_replace(c, r"(?i)</?(p|div|body|html)[^>]*>", "")
-    c = decoded(F.regexp_replace(c, r"<(?!!--)[^>]+>", ""))
-    return F.regexp_replace(c, r"[ \t]+\n", "\n")
+    return F.regexp_replace(c, r"<(?!!--)[^>]+>", "")
+
+
+def with_references_decoded(c: Column) -> Column:
+    """What follows without_tags(): character references, then blanks before line ends. It reads c three times."""
+    return F.regexp_replace(decoded(c), r"[ \t]+\n", "\n")
+
+
+def html_fragments(c: Column) -> Column:
+    return with_references_decoded(without_tags(c))

@@ -86,7 +86,8 @@ def clean_markdown(docs: DataFrame, body: str = "body", meta: Column | None = No
 
     Only bodies with a pipe or an & leave the JVM; nothing is shuffled."""
     docs = docs.withColumn("_meta", frontmatter.parsed(F.col(body)))
-    docs = bound(docs, "_text", T.html_fragments(T.newlines(frontmatter.body(F.col(body)))))
+    docs = bound(docs, "_text", T.without_tags(T.newlines(frontmatter.body(F.col(body)))))
+    docs = bound(docs, "_text", T.with_references_decoded(F.col("_text")))
     docs = clean_lines(docs, "_text")
     docs = bound(docs, "cleaned", F.col("cleaned"))
     even = F.coalesce(evened_tables(F.when(F.contains("cleaned", F.lit("|")), F.col("cleaned"))), F.col("cleaned"))
