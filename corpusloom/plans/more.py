@@ -148,13 +148,25 @@ def entity_decode(spark, sf_dir):
     return d.select("doc_id", F.sha1(T.decoded(F.col("t"))).alias("text_sha1"))
 
 
-@query("SELECT 'in/' || p_partkey || '.zip' AS archive, unnest(CASE WHEN p_partkey % 3 = 0 THEN ['top/a.txt', 'top/sub/b.txt'] WHEN p_partkey % 3 = 1 THEN ['a.txt', 'top/b.txt'] ELSE [NULL] END) AS member, unnest(CASE WHEN p_partkey % 3 = 0 THEN ['a.txt', 'sub/b.txt'] WHEN p_partkey % 3 = 1 THEN ['a.txt', 'top/b.txt'] ELSE [NULL] END) AS target, unnest(CASE WHEN p_partkey % 3 = 2 THEN [NULL] ELSE [sha1(p_name), sha1(p_brand)] END) AS bytes_sha1, p_partkey % 3 = 2 AS failed FROM part")
+_INNER = "SELECT 'in/' || p_partkey || '.zip' AS archive, unnest(CASE WHEN p_partkey % 3 = 0 THEN ['top/a.txt', 'top/sub/b.txt'] WHEN p_partkey % 3 = 1 THEN ['a.txt', 'top/b.txt'] ELSE [NULL] END) AS member, unnest(CASE WHEN p_partkey % 3 = 0 THEN ['a.txt', 'sub/b.txt'] WHEN p_partkey % 3 = 1 THEN ['a.txt', 'top/b.txt'] ELSE [NULL] END) AS target, unnest(CASE WHEN p_partkey % 3 = 2 THEN [NULL] ELSE [sha1(p_name), sha1(p_brand)] END) AS bytes_sha1, p_partkey % 3 = 2 AS failed FROM part"
+
+
+@query(_INNER)
 def archive_members(spark, sf_dir):
     part = load(spark, sf_dir, "part").selectExpr("p_partkey", "'in/' || p_partkey || '.zip' AS path", "CASE p_partkey % 3 WHEN 0 THEN array('top/a.txt', 'top/sub/b.txt') WHEN 1 THEN array('a.txt', 'top/b.txt') END AS names", "array(p_name, p_brand) AS texts")
     found = readers.archive_members(part.select("path", readers.zipped("names", "texts").alias("content")))
     return found.select("archive", "member", "target", F.sha1("bytes").alias("bytes_sha1"), F.col("error").isNotNull().alias("failed"))
 
 
+@query(f"SELECT 'top/inner.zip' AS via, * FROM ({_INNER}) UNION ALL SELECT '', 'in/' || p_partkey || '.zip', 'top/note.txt', 'note.txt', sha1(p_name), false FROM part")
+def nested_archives(spark, sf_dir):
+    part = load(spark, sf_dir, "part").selectExpr("p_name", "'in/' || p_partkey || '.zip' AS path", "CASE p_partkey % 3 WHEN 0 THEN array('top/a.txt', 'top/sub/b.txt') WHEN 1 THEN array('a.txt', 'top/b.txt') END AS names", "array(p_name, p_brand) AS texts")
+    inner = F.array(readers.zipped("names", "texts"), F.col("p_name").cast("binary"))
+    whole = part.select("path", readers.zipped(F.array(F.lit("top/inner.zip"), F.lit("top/note.txt")), inner).alias("content"))
+    found = readers.nested_members(whole)
+    return found.select("archive", F.array_join("via", "!").alias("via"), "member", "target", F.sha1("bytes").alias("bytes_sha1"), F.col("error").isNotNull().alias("failed"))
+
+
 @query(f"WITH f AS (SELECT p_partkey, {PATHS} AS path FROM part) SELECT path, count(*) AS n FROM f WHERE regexp_matches(path, '\\.(zip|rar)$') GROUP BY path")
 def archive_inventory(spark, sf_dir):
     paths = load(spark, sf_dir, "part").selectExpr(f"{PATHS} AS path").where(F.col("path").rlike(r"\.(zip|rar)$"))

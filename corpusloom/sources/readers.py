@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import csv
 import io
+import lzma
 import zipfile
+import zlib
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -15,7 +17,12 @@ from pyspark.sql.types import BinaryType
 from ..operators.publish import markdown_of
 from .route import hidden
 
-MEMBERS = "archive string, member string, target string, bytes binary, error string"
+MEMBERS = "archive string, via array<string>, member string, target string, bytes binary, error string"
+_MEMBER_NAMES = ["archive", "via", "member", "target", "bytes", "error"]
+#: What reading a broken, encrypted or unknown archive raises.
+_BROKEN = (zipfile.BadZipFile, NotImplementedError, RuntimeError, OSError, EOFError, ValueError, zlib.error, lzma.LZMAError)
+#: Members are handed on in frames of so many bytes or rows; archives within archives are expanded so deep.
+FRAME_BYTES, FRAME_ROWS, DEPTH = 8 << 20, 1000, 16
 
 
 def files(spark: SparkSession, path: str, pattern: str | None = None, with_hidden: bool = False, without: str | None = None, excluded: tuple[str, ...] = ()) -> DataFrame:
@@ -125,23 +132,48 @@ def repaired_name(name: str, is_utf8: bool) -> str:
     return again if any("一" <= c <= "鿿" for c in again) else name
 
 
-def _expanded(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        for path, content in zip(frame["path"], frame["content"]):
-            rows = []
-            try:
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    named = [(repaired_name(i.filename, bool(i.flag_bits & 0x800)).replace("\\", "/"), i) for i in z.infolist() if not i.is_dir()]
-                    tops = {n.split("/", 1)[0] for n, _ in named}
-                    shared = len(tops) == 1 and all("/" in n for n, _ in named)
-                    for n, i in named:
-                        if n.startswith("/") or ".." in n.split("/"):
-                            rows.append((path, n, None, None, "unsafe_member_path"))
-                        else:
-                            rows.append((path, n, n.split("/", 1)[1] if shared else n, z.read(i), None))
-            except (zipfile.BadZipFile, NotImplementedError, RuntimeError) as e:
-                rows = [(path, None, None, None, f"archive_failed: {type(e).__name__}")]
-            yield pd.DataFrame(rows, columns=["archive", "member", "target", "bytes", "error"])
+def _members(content: bytes | None) -> Iterator[tuple[str, str | None, bytes | None, str | None]]:
+    """(name, target, bytes, error) of each member. All are read through once before, so that a broken archive fails as a
+    whole while only one member is held at a time."""
+    with zipfile.ZipFile(io.BytesIO(content)) as z:
+        if (bad := z.testzip()) is not None:
+            raise zipfile.BadZipFile(bad)
+        named = [(repaired_name(i.filename, bool(i.flag_bits & 0x800)).replace("\\", "/"), i) for i in z.infolist() if not i.is_dir()]
+        shared = len({n.split("/", 1)[0] for n, _ in named}) == 1 and all("/" in n for n, _ in named)
+        for n, i in named:
+            if n.startswith("/") or ".." in n.split("/"):
+                yield n, None, None, "unsafe_member_path"
+            else:
+                yield n, n.split("/", 1)[1] if shared else n, z.read(i), None
+
+
+def _within(content: bytes | None, via: tuple[str, ...], depth: int) -> Iterator[tuple]:
+    """(via, name, target, bytes, error), with the members of archives down to that depth in place of these."""
+    try:
+        for name, target, data, error in _members(content):
+            if error is None and depth > 0 and name.lower().endswith(".zip"):
+                yield from _within(data, (*via, name), depth - 1)
+            else:
+                yield via, name, target, data, error
+    except _BROKEN as e:
+        yield via, None, None, None, f"archive_failed: {type(e).__name__}"
+
+
+def _expanded(depth: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, size = [], 0
+        for frame in frames:
+            for path, content in zip(frame["path"], frame["content"]):
+                for via, name, target, data, error in _within(content, (), depth):
+                    held.append((path, list(via), name, target, data, error))
+                    size += len(data or b"")
+                    if size >= FRAME_BYTES or len(held) >= FRAME_ROWS:
+                        yield pd.DataFrame(held, columns=_MEMBER_NAMES)
+                        held, size = [], 0
+        if held:
+            yield pd.DataFrame(held, columns=_MEMBER_NAMES)
+
+    return run
 
 
 @F.pandas_udf(BinaryType())
@@ -163,7 +195,16 @@ def zipped(names: pd.Series, texts: pd.Series) -> pd.Series:
 def archive_members(archives: DataFrame) -> DataFrame:
     """archives(path, content) -> archive, member, target, bytes, error. A folder that holds all members is left out of
     target; members that would leave the folder aren't read; a broken archive is one row with its error."""
-    return archives.select("path", "content").mapInPandas(_expanded, MEMBERS)
+    return archives.select("path", "content").mapInPandas(_expanded(0), MEMBERS).drop("via")
+
+
+def nested_members(archives: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """The same with the members of ZIP archives within archives in place of these, and via, the names of the archives that
+    lead from the outermost one, archive, to the member. A broken inner archive is one row without a member, via its name.
+
+    An archive below depth others, as one that holds itself would be, and one of another kind has an error and its bytes."""
+    unread = F.col("error").isNull() & F.lower("member").rlike(r"\.(zip|rar)$")
+    return archives.select("path", "content").mapInPandas(_expanded(depth), MEMBERS).withColumn("error", F.when(unread, F.lit("archive_failed: not expanded")).otherwise(F.col("error")))
 
 
 def adapted(df: DataFrame, engine: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str) -> DataFrame:

@@ -26,6 +26,28 @@ def test_archive_members_keep_their_path_and_lose_the_shared_root(spark):
     assert got[("c.zip", "root/../../z")] == (None, "unsafe_member_path") and got[("d.zip", None)][1].startswith("archive_failed")
 
 
+def zipped_bytes(members):
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for n, data in members.items():
+            z.writestr(n, data)
+    return out.getvalue()
+
+
+def test_archives_within_archives(spark):
+    deep = zipped_bytes({"r/z.txt": b"Z", "r/b.zip": b"no archive", "r/c.rar": b"rar"})
+    spoilt = bytearray(zipped_bytes({"x.txt": b"0123456789" * 99}))
+    spoilt[40] ^= 0xFF
+    rows = [("a.zip", zipped_bytes({"t/in.ZIP": zipped_bytes({"m.zip": deep, "n.txt": b"N"}), "t/p.txt": b"P"})), ("e.zip", zipped_bytes({})), ("n.zip", None), ("s.zip", bytes(spoilt))]
+    df = spark.createDataFrame(rows, "path string, content binary")
+    got = {(r.archive, tuple(r.via), r.member): (r.target, r.bytes and bytes(r.bytes), r.error) for r in readers.nested_members(df).collect()}
+    errors = {k: v[2].split(":")[0] for k, v in got.items() if v[2]}
+    assert {k: v[:2] for k, v in got.items() if not v[2]} == {("a.zip", (), "t/p.txt"): ("p.txt", b"P"), ("a.zip", ("t/in.ZIP",), "n.txt"): ("n.txt", b"N"), ("a.zip", ("t/in.ZIP", "m.zip"), "r/z.txt"): ("z.txt", b"Z")}
+    assert errors == dict.fromkeys([("a.zip", ("t/in.ZIP", "m.zip", "r/b.zip"), None), ("a.zip", ("t/in.ZIP", "m.zip"), "r/c.rar"), ("n.zip", (), None), ("s.zip", (), None)], "archive_failed")
+    shallow = {(tuple(r.via), r.member): r.error for r in readers.nested_members(df.where("path = 'a.zip'"), depth=1).collect()}
+    assert shallow == {((), "t/p.txt"): None, (("t/in.ZIP",), "n.txt"): None, (("t/in.ZIP",), "m.zip"): "archive_failed: not expanded"}
+
+
 def test_names_in_gbk():
     name = "报告.txt"
     assert readers.repaired_name(name.encode("gbk").decode("cp437"), False) == name
