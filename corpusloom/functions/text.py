@@ -31,6 +31,10 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(_SPACES))
 
 
+def lstrip(c: Column) -> Column:
+    return F.ltrim(c, F.lit(_SPACES))
+
+
 def rstrip(c: Column) -> Column:
     return F.rtrim(c, F.lit(_SPACES))
 
