@@ -1,6 +1,6 @@
 """The queries of the training-data operators."""
 
-from . import collision_search, decontaminate, html_text, near_dedup, packing, phrases, suffix_dedup, token_counts, toxicity, url_filter, warc
+from . import collision_search, decontaminate, html_text, near_dedup, packing, phrases, ranked_search, suffix_dedup, token_counts, toxicity, url_filter, warc
 
 QUERIES = {
     "op1_ordinal_toxicity": toxicity.op1_ordinal_toxicity,
@@ -14,10 +14,12 @@ QUERIES = {
     "op9_main_text": html_text.op9_main_text,
     "op10_template_decontamination": decontaminate.op10_template_decontamination,
     "op11_phrase_collocations": phrases.op11_phrase_collocations,
+    "op13_treap_search": ranked_search.op13_treap_search,
 }
 ORACLES: dict[str, str] = {
     "op3_minhash_near_dedup": near_dedup.ORACLE,
     "op4_warc_round_trip": warc.ORACLE,
     "op5_redirect_equivalence": url_filter.ORACLE,
     "op11_phrase_collocations": phrases.ORACLE,
+    "op13_treap_search": ranked_search.ORACLE,
 }
