@@ -1,6 +1,6 @@
 """The queries of the training-data operators."""
 
-from . import collision_search, decontaminate, html_text, near_dedup, packing, phrases, ranked_search, suffix_dedup, token_counts, toxicity, url_filter, warc
+from . import collision_search, decontaminate, html_text, near_dedup, packing, phrases, ranked_search, ring_sharding, suffix_dedup, token_counts, toxicity, url_filter, warc
 
 QUERIES = {
     "op1_ordinal_toxicity": toxicity.op1_ordinal_toxicity,
@@ -14,6 +14,7 @@ QUERIES = {
     "op9_main_text": html_text.op9_main_text,
     "op10_template_decontamination": decontaminate.op10_template_decontamination,
     "op11_phrase_collocations": phrases.op11_phrase_collocations,
+    "op12_bounded_ring": ring_sharding.op12_bounded_ring,
     "op13_treap_search": ranked_search.op13_treap_search,
 }
 ORACLES: dict[str, str] = {
@@ -21,5 +22,6 @@ ORACLES: dict[str, str] = {
     "op4_warc_round_trip": warc.ORACLE,
     "op5_redirect_equivalence": url_filter.ORACLE,
     "op11_phrase_collocations": phrases.ORACLE,
+    "op12_bounded_ring": ring_sharding.ORACLE,
     "op13_treap_search": ranked_search.ORACLE,
 }
