@@ -163,14 +163,25 @@ def image_files(spark, sf_dir):
     return links.image_files(refs, there, "images")
 
 
-@query(f"WITH {_ROUTED} SELECT bucket, count(*) AS n, sha1(string_agg(path, ',' ORDER BY lower(path), path)) AS paths_sha1 FROM r GROUP BY bucket")
+#: A digest of paths that doesn't depend on their order: nobody gathers a bucket's paths.
+_DIGEST_SQL = "CAST(sum(CAST('0x' || md5(path)[1 : 8] AS BIGINT)) AS BIGINT)"
+
+
+@query(f"""WITH {_ROUTED}, p AS (SELECT unnest([
+    'simple_direct', 'pdf_text', 'legacy_office', 'needs_ocr', 'pdf_table', 'archive', 'manual_review', 'unsupported']) AS bucket, unnest(range(8)) AS place),
+w AS (SELECT bucket, place, CASE WHEN bucket IN ('simple_direct', 'pdf_text', 'legacy_office', 'archive') THEN 'markitdown-document-converter'
+    WHEN bucket = 'needs_ocr' THEN 'markitdown-ocr' WHEN bucket = 'pdf_table' THEN 'markitdown-pdf-table-repair' ELSE 'markitdown-document-router' END AS skill FROM p),
+g AS (SELECT bucket, count(*) AS n, {_DIGEST_SQL} AS paths_digest FROM r GROUP BY bucket)
+SELECT g.*, skill, CAST(row_number() OVER (ORDER BY place) AS INTEGER) AS recommended_order FROM g JOIN w ON w.bucket = g.bucket""")
 def route_plan(spark, sf_dir):
-    return route.plan(route.routed(_files(spark, sf_dir))).select("bucket", "n", F.sha1(F.array_join("paths", ",")).alias("paths_sha1"))
+    plan = route.planned(route.routed(_files(spark, sf_dir)))
+    digests = plan.groupBy("bucket").agg(F.sum(F.conv(F.substring(F.md5("path"), 1, 8), 16, 10).cast("long")).alias("paths_digest"))
+    return route.recommended(plan).join(digests, "bucket")
 
 
-@query(f"WITH {_ROUTED} SELECT DISTINCT path FROM r WHERE bucket IN ('simple_direct', 'pdf_text', 'pdf_table')")
+@query(f"WITH {_ROUTED} SELECT DISTINCT path FROM r WHERE bucket IN ('simple_direct', 'pdf_text', 'legacy_office')")
 def route_selection(spark, sf_dir):
-    return route.selected(route.plan(route.routed(_files(spark, sf_dir))))
+    return route.selected(route.planned(route.routed(_files(spark, sf_dir))))
 
 
 # ---- pages

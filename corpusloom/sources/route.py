@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-# Extensions of the buckets; the order that buckets are worked off in.
+# Extensions of the buckets.
 EXTENSIONS = {
     "simple_direct": (".csv", ".docx", ".htm", ".html", ".json", ".md", ".pptx", ".txt", ".xlsx", ".xml"),
     "legacy_office": (".doc", ".ppt", ".xls"),
@@ -56,18 +57,37 @@ def resume(todo: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     return todo.join(done.select(*keys).distinct(), keys, "left_anti")
 
 
-#: The order in which buckets are recommended; those that a run takes by default.
-ORDER = ("simple_direct", "pdf_text", "pdf_table", "legacy_office", "archive", "needs_ocr", "manual_review", "unsupported")
-CHEAP = ("simple_direct", "pdf_text", "pdf_table")
+# The order in which buckets are recommended, what works each off, and those that a run takes by default.
+ORDER = ("simple_direct", "pdf_text", "legacy_office", "needs_ocr", "pdf_table", "archive", "manual_review", "unsupported")
+WORKERS = {
+    "simple_direct": "markitdown-document-converter",
+    "pdf_text": "markitdown-document-converter",
+    "legacy_office": "markitdown-document-converter",
+    "needs_ocr": "markitdown-ocr",
+    "pdf_table": "markitdown-pdf-table-repair",
+    "archive": "markitdown-document-converter",
+    "manual_review": "markitdown-document-router",
+    "unsupported": "markitdown-document-router",
+}
+CHEAP = ("simple_direct", "pdf_text", "legacy_office")
+
+
+def planned(entries: DataFrame) -> DataFrame:
+    """entries(path, bytes, bucket, ...) with skill and place, the bucket's place in the order of all buckets.
+
+    A plan is a table of entries: its order is that of place and lower-cased path, which whoever writes it out sorts by."""
+    each = lambda kv: F.element_at(F.create_map(*(F.lit(x) for pair in kv for x in pair)), F.col("bucket"))
+    return entries.withColumns({"skill": each(WORKERS.items()), "place": each((b, k + 1) for k, b in enumerate(ORDER))})
 
 
-def plan(entries: DataFrame) -> DataFrame:
-    """entries(path, bytes, bucket) -> bucket, n, paths in order; buckets without entries are left out."""
-    return entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list(F.struct(F.lower("path").alias("low"), "path"))).alias("es")).select("bucket", "n", F.transform("es", lambda e: e["path"]).alias("paths"))
+def recommended(plan: DataFrame) -> DataFrame:
+    """planned(bucket, skill, place) -> bucket, skill, n, recommended_order: from 1, without the buckets that have no entries."""
+    counts = plan.groupBy("bucket", "skill", "place").agg(F.count(F.lit(1)).alias("n"))
+    return counts.select("bucket", "skill", "n", F.row_number().over(Window.orderBy("place")).alias("recommended_order"))
 
 
-def selected(planned: DataFrame, buckets: tuple[str, ...] = CHEAP) -> DataFrame:
-    """planned(bucket, paths) -> distinct path of the buckets asked for; an absent bucket is empty, an unknown one an error."""
+def selected(plan: DataFrame, buckets: tuple[str, ...] = CHEAP) -> DataFrame:
+    """planned(bucket, path) -> distinct path of the buckets asked for; an absent bucket is empty, an unknown one an error."""
     if unknown := [b for b in buckets if b not in ORDER]:
         raise ValueError(f"no such bucket: {', '.join(unknown)}")
-    return planned.where(F.col("bucket").isin(*buckets)).select(F.explode("paths").alias("path")).distinct()
+    return plan.where(F.col("bucket").isin(*buckets)).select("path").distinct()

@@ -3,6 +3,7 @@
 import io
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.functions import frontmatter
@@ -138,3 +139,29 @@ def test_report(spark):
     items = spark.createDataFrame([("z",), ("a",), ("m",)], "line string")
     assert readers.report("Audit", counts, items, 2).first().markdown == "# Audit\n\n- green: 1\n- red: 2\n\n- a\n- m"
     assert readers.report("Audit", counts).first().markdown == "# Audit\n\n- green: 1\n- red: 2"
+
+
+def test_routing_constants():
+    """As the blueprint lists them, word for word."""
+    assert route.CHEAP == ("simple_direct", "pdf_text", "legacy_office")
+    assert route.ORDER == ("simple_direct", "pdf_text", "legacy_office", "needs_ocr", "pdf_table", "archive", "manual_review", "unsupported")
+    assert route.BUCKETS == {
+        **dict.fromkeys([".csv", ".docx", ".htm", ".html", ".json", ".md", ".pptx", ".txt", ".xlsx", ".xml"], "simple_direct"),
+        **dict.fromkeys([".doc", ".ppt", ".xls"], "legacy_office"),
+        **dict.fromkeys([".bmp", ".jpeg", ".jpg", ".png", ".tif", ".tiff", ".webp"], "needs_ocr"),
+        **dict.fromkeys([".rar", ".zip"], "archive"),
+        ".pdf": "pdf_text",
+    }
+    assert (route.LOW_TEXT, route.NEEDS_OCR_SHARE, route.IMAGE_SHARE) == (40, 0.7, 0.5)
+
+
+def test_route_plan_and_selection(spark):
+    paths = [("a.txt", 1), ("B.pdf", 2), ("c.DOC", 3), ("d.zip", 4), ("e.png", 5), ("f.xyz", 6), ("g.md", 7), (".h.txt", 8)]
+    plan = route.planned(route.routed(spark.createDataFrame(paths, "path string, bytes long")))
+    rows = sorted(route.recommended(plan).collect(), key=lambda r: r.recommended_order)
+    assert [(r.bucket, r.n) for r in rows] == [("simple_direct", 2), ("pdf_text", 1), ("legacy_office", 1), ("needs_ocr", 1), ("archive", 1), ("unsupported", 1)]
+    assert [r.recommended_order for r in rows] == [1, 2, 3, 4, 5, 6] and rows[3].skill == "markitdown-ocr"
+    assert sorted(r.path for r in route.selected(plan).collect()) == ["B.pdf", "a.txt", "c.DOC", "g.md"]
+    assert [r.path for r in route.selected(plan, ("archive", "manual_review")).collect()] == ["d.zip"]
+    with pytest.raises(ValueError):
+        route.selected(plan, ("nonsense",))
