@@ -5,67 +5,24 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from html import escape, unescape
-from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.blocks import DEFINITION, Block, blocks_of, md_blocks
+from ..functions.html_markdown import STRIP, markdown_of
 
-BLOCKS = "doc_id long, block_no long, kind string, level int, payload string"
-_SKIPPED = frozenset(("script", "style", "nav", "footer", "head", "noscript"))
-
-
-class _Markdown(HTMLParser):
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.out: list[str] = []
-        self.skip = 0
-
-    def handle_starttag(self, tag, attrs):
-        if tag in _SKIPPED:
-            self.skip += 1
-        elif re.fullmatch("h[1-6]", tag):
-            self.out.append("\n\n" + "#" * int(tag[1]) + " ")
-        elif tag in ("p", "div", "article", "section", "table", "ul", "ol"):
-            self.out.append("\n\n")
-        elif tag in ("br", "tr"):
-            self.out.append("\n")
-        elif tag == "li":
-            self.out.append("\n- ")
-        elif tag in ("b", "strong"):
-            self.out.append("**")
-        elif tag in ("td", "th"):
-            self.out.append(" | ")
-
-    def handle_endtag(self, tag):
-        if tag in _SKIPPED:
-            self.skip = max(0, self.skip - 1)
-        elif tag in ("b", "strong"):
-            self.out.append("**")
-        elif re.fullmatch("h[1-6]|p|div|li", tag):
-            self.out.append("\n")
-
-    def handle_data(self, data):
-        if not self.skip:
-            self.out.append(re.sub(r"\s+", " ", data))
-
-
-def markdown_of(html: str | None) -> str:
-    parser = _Markdown()
-    parser.feed(html or "")
-    parser.close()
-    lines = [line.strip() for line in "".join(parser.out).split("\n")]
-    return re.sub(r"\n{3,}", "\n\n", "\n".join(lines)).strip() + "\n"
-
-
-def html_to_markdown(pages: DataFrame) -> DataFrame:
-    """pages(page_id, html) -> page_id, markdown; scripts, styles, menus and footers are dropped."""
+__all__ = ["blocks_of", "decoded", "html_of", "html_to_markdown", "image_refs", "inline_html", "markdown_of", "md_blocks", "md_to_html", "toc"]
+
+
+def html_to_markdown(pages: DataFrame, strip: tuple[str, ...] = STRIP, bullets: str = "-", heading_style: str = "atx") -> DataFrame:
+    """pages(page_id, html) -> page_id, markdown; see markdown_of() for the options. A null page is an empty line."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            yield pd.DataFrame({"page_id": f["page_id"], "markdown": [markdown_of(h) for h in f["html"]]})
+            yield pd.DataFrame({"page_id": f["page_id"], "markdown": [markdown_of(h, strip, bullets, heading_style) for h in f["html"]]})
 
     return pages.select("page_id", "html").mapInPandas(run, "page_id long, markdown string")
 
@@ -83,75 +40,41 @@ def decoded(docs: DataFrame, column: str) -> DataFrame:
     return docs.where(~has).unionByName(docs.where(has).mapInPandas(run, docs.schema))
 
 
-def blocks_of(body: str | None) -> list[tuple[str, int, str]]:
-    """(kind, level, payload) of each block: hr, heading, code, image, quote, table, ul, ol, p."""
-    out: list[tuple[str, int, str]] = []
-    lines, i = (body or "").splitlines(), 0
-    runs = (("quote", r"\s*>"), ("table", r"\s*\|"), ("ul", r"\s*[-*+]\s+"), ("ol", r"\s*\d+[.)]\s+"))
-    while i < len(lines):
-        line = lines[i].strip()
-        if not line:
-            i += 1
-        elif line.startswith("```"):
-            end = next((k for k in range(i + 1, len(lines)) if lines[k].strip().startswith("```")), len(lines))
-            out.append(("code", 0, "\n".join(lines[i + 1 : end])))
-            i = end + 1
-        elif re.fullmatch(r"([-*_])(\s*\1){2,}", line):
-            out.append(("hr", 0, ""))
-            i += 1
-        elif m := re.fullmatch(r"(#{1,6})\s+(.+?)\s*#*", line):
-            out.append(("heading", len(m[1]), m[2]))
-            i += 1
-        elif m := re.fullmatch(r"!\[([^\]]*)\]\(([^)]+)\)", line):
-            out.append(("image", 0, m[2]))
-            i += 1
-        else:
-            kind, pattern = next(((k, p) for k, p in runs if re.match(p, lines[i])), ("p", None))
-            end = i + 1
-            while end < len(lines) and lines[end].strip() and (re.match(pattern, lines[end]) if pattern else not re.match(r"\s*(#{1,6}\s|```|>|\||[-*+]\s|\d+[.)]\s)", lines[end])):
-                end += 1
-            out.append((kind, 0, "\n".join(x.strip() for x in lines[i:end])))
-            i = end
-    return out
-
-
-def md_blocks(docs: DataFrame, body: str = "body") -> DataFrame:
-    """docs(doc_id, body) -> doc_id, block_no (from 1), kind, level, payload."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            yield pd.DataFrame([(d, n, *b) for d, t in zip(f["doc_id"], f["b"]) for n, b in enumerate(blocks_of(t), 1)], columns=["doc_id", "block_no", "kind", "level", "payload"])
-
-    return docs.select("doc_id", F.col(body).alias("b")).mapInPandas(run, BLOCKS)
-
-
 def inline_html(text: str) -> str:
     """Bold, italic, code and links within a line."""
     s = escape(text, quote=False)
     s = re.sub(r"`([^`]+)`", r"<code>\1</code>", s)
     s = re.sub(r"\*\*(.+?)\*\*", r"<strong>\1</strong>", s)
-    s = re.sub(r"(?<!\*)\*([^*]+)\*(?!\*)", r"<em>\1</em>", s)
+    s = re.sub(r"(?<!\*)\*(?!\s)([^*]+)(?<!\s)\*(?!\*)", r"<em>\1</em>", s)
     return re.sub(r"\[([^\]]+)\]\(([^)]+)\)", r'<a href="\2">\1</a>', s)
 
 
+def _cells(row: str) -> list[str]:
+    return [c.strip().replace("\\|", "|") for c in re.split(r"(?<!\\)\|", re.sub(r"^\s*\||(?<!\\)\|\s*$", "", row))]
+
+
+def _html(b: Block) -> str:
+    lines = [inline_html(x) for x in b.lines]
+    if b.kind == "heading":
+        return f"<h{b.level}>{lines[0]}</h{b.level}>"
+    if b.kind == "code":
+        code = escape("\n".join(b.lines), quote=False)
+        return f'<pre><code class="language-{escape(b.lang)}">{code}</code></pre>'
+    if b.kind in ("ul", "ol"):
+        return f"<{b.kind}>" + "".join(f"<li>{x}</li>" for x in lines) + f"</{b.kind}>"
+    if b.kind == "table":
+        rows = ["".join(f"<{tag}>{inline_html(c)}</{tag}>" for c in _cells(r)) for r, tag in zip(b.lines, ["th"] + ["td"] * len(b.lines))]
+        return "<table>" + "".join(f"<tr>{r}</tr>" for r in rows) + "</table>"
+    if b.kind == "image":
+        caption = f"<figcaption>{escape(b.alt, quote=False)}</figcaption>" if b.alt else ""
+        return f'<figure><img src="{escape(b.target or "")}">{caption}</figure>'
+    if b.kind == "quote":
+        return "<blockquote>" + "<br>".join(lines) + "</blockquote>"
+    return "<hr>" if b.kind == "hr" else f"<p>{lines[0]}</p>"
+
+
 def html_of(body: str | None) -> str:
-    out = []
-    for kind, level, payload in blocks_of(body):
-        lines = payload.split("\n")
-        if kind == "heading":
-            out.append(f"<h{level}>{inline_html(payload)}</h{level}>")
-        elif kind == "code":
-            out.append(f"<pre><code>{escape(payload, quote=False)}</code></pre>")
-        elif kind in ("ul", "ol"):
-            items = "".join(f"<li>{inline_html(re.sub(r'^([-*+]|[0-9]+[.)])\s+', '', x))}</li>" for x in lines)
-            out.append(f"<{kind}>{items}</{kind}>")
-        elif kind == "table":
-            cells = [[c.strip() for c in re.split(r"(?<!\\)\|", x.strip().strip("|"))] for x in lines]
-            rows = [r for r in cells if not all(re.fullmatch(r":?-{3,}:?", c) for c in r)]
-            out.append("<table>" + "".join("<tr>" + "".join(f"<td>{inline_html(c)}</td>" for c in r) + "</tr>" for r in rows) + "</table>")
-        else:
-            out.append({"hr": "<hr>", "image": f'<img src="{escape(payload)}">', "quote": f"<blockquote>{inline_html(re.sub(r'(?m)^>\s?', '', payload))}</blockquote>"}.get(kind) or f"<p>{inline_html(payload)}</p>")
-    return "\n".join(out)
+    return "\n".join(map(_html, blocks_of(body)))
 
 
 def md_to_html(docs: DataFrame, body: str = "body") -> DataFrame:
@@ -170,5 +93,16 @@ def toc(docs: DataFrame, body: str = "body") -> DataFrame:
 
 
 def image_refs(docs: DataFrame, body: str = "body") -> DataFrame:
-    """doc_id, target of the images that a document shows."""
-    return docs.select("doc_id", F.explode(F.regexp_extract_all(F.col(body), F.lit(r"!\[[^\]]*\]\(([^)\s]+)[^)]*\)"), 1)).alias("target"))
+    """doc_id, alt, ref, target of the images that a document shows, inline or by a name that it defines.
+
+    A quoted line `> ![alt][name]` shows the image of that name. Names are defined anywhere, `[name]: target`; the last definition
+    counts, and a name without one has no target. ref is null for inline images. Repeated images are repeated rows."""
+    text, name, bare = F.col(body), r"(?m)^[ \t]*>\s*!\[([^\]]+)\]\[([^\]]+)\]\s*$", r"!\[([^\]]*)\]\(([^)\s\"]+)"
+    all_of = lambda pattern, group: F.regexp_extract_all(text, F.lit(pattern), group)
+    pairs = lambda pattern, a, b: F.arrays_zip(all_of(pattern, a).alias("a"), all_of(pattern, b).alias("b"))
+    defined = docs.withColumns({"_defined": pairs(f"(?m){DEFINITION}", 1, 2), "_named": pairs(name, 1, 2), "_inline": pairs(bare, 1, 2)})
+    image = lambda alt, ref, target: F.struct(alt.alias("alt"), ref.alias("ref"), target.alias("target"))
+    none = F.lit(None).cast("string")
+    target = lambda ref: F.get(F.reverse(F.filter("_defined", lambda d: d["a"] == ref)), F.lit(0))["b"]
+    shown = F.concat(F.transform("_inline", lambda x: image(x["a"], none, x["b"])), F.transform("_named", lambda x: image(x["a"], x["b"], target(x["b"]))))
+    return defined.select("doc_id", F.explode(shown).alias("image")).select("doc_id", "image.*")

@@ -124,7 +124,7 @@ def toc(spark, sf_dir):
 @query("SELECT doc_id, 'img/' || doc_id || '.png' AS target FROM documents UNION ALL SELECT doc_id, 'b.jpg' FROM documents WHERE doc_id % 2 = 0")
 def image_refs(spark, sf_dir):
     d = load(spark, sf_dir, "documents").selectExpr("doc_id", "'![a](img/' || doc_id || '.png) ' || text || CASE WHEN doc_id % 2 = 0 THEN ' ![](b.jpg \"t\")' ELSE '' END AS body")
-    return publish.image_refs(d)
+    return publish.image_refs(d).select("doc_id", "target")
 
 
 @query()
@@ -132,14 +132,53 @@ def html_to_markdown(spark, sf_dir):
     return publish.html_to_markdown(load(spark, sf_dir, "pages"))
 
 
-@query()
+#: Bodies with each kind of block, around what the tables hold. Documents define an image twice, once or never.
+_BODY = """'# Head ' || doc_id || '  ' || chr(10) || chr(10) || ' first of ' || lang || chr(10) || 'and ' || source || ' ' || chr(10) || '- a' || chr(10) || ' -  b | c' || chr(10) || '7. x' || chr(10)
+ || '8. y' || chr(10) || '> q **' || lang || '**' || chr(10) || chr(10) || '> r  ' || chr(10) || chr(10) || 'A | ' || doc_id || chr(10) || ' :-- | --' || chr(10) || '| 1 |' || chr(10) || chr(10)
+ || '---' || chr(10) || '```sql ' || chr(10) || '  SELECT ' || doc_id || chr(10) || chr(10) || '```' || chr(10) || '> ![fig][f1]' || chr(10) || '![](p/' || doc_id || '.png)' || chr(10)
+ || CASE WHEN doc_id % 3 < 2 THEN '[f1]: one.png "t"' || chr(10) ELSE '' END || '* no list' || chr(10) || '* nor this' || chr(10) || CASE WHEN doc_id % 3 = 0 THEN '[f1]: two' || doc_id || '.png' || chr(10) ELSE '' END
+ || '###### six' || chr(10) || '```' || chr(10) || 'open'"""
+_FIG = "CASE doc_id % 3 WHEN 0 THEN 'two' || doc_id || '.png' WHEN 1 THEN 'one.png' END"
+
+
+@query(f"""SELECT doc_id, unnest(range(1, 14))::INTEGER AS block_no, unnest(['heading', 'p', 'ul', 'ol', 'quote', 'table', 'hr', 'code', 'image', 'image', 'p', 'heading', 'code']) AS kind,
+ unnest([1, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 6, NULL])::INTEGER AS level, unnest([NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'sql', NULL, NULL, NULL, NULL, 'text']) AS lang,
+ unnest([NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'fig', '', NULL, NULL, NULL]) AS alt, unnest([NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, {_FIG}, 'p/' || doc_id || '.png', NULL, NULL, NULL]) AS target,
+ unnest([NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'f1', NULL, NULL, NULL, NULL]) AS via,
+ unnest(['Head ' || doc_id, 'first of ' || lang || ' and ' || source, 'a' || chr(10) || 'b | c', 'x' || chr(10) || 'y', 'q **' || lang || '**' || chr(10) || chr(10) || 'r  ', 'A | ' || doc_id || chr(10) || '| 1 |', '',
+ '  SELECT ' || doc_id || chr(10), '', '', '* no list * nor this', 'six', 'open']) AS lines FROM documents""")
 def md_blocks(spark, sf_dir):
-    return publish.md_blocks(md_documents(spark, sf_dir))
+    docs = load(spark, sf_dir, "documents").selectExpr("doc_id", f"{_BODY} AS body")
+    return publish.md_blocks(docs).drop("body").withColumn("lines", F.array_join("lines", "\n"))
 
 
-@query()
+@query("""SELECT doc_id, '<h1>Head ' || doc_id || '</h1>' || chr(10) || '<p>first of ' || lang || ' and ' || source || '</p>' || chr(10) || '<ul><li>a</li><li>b | c</li></ul>' || chr(10)
+ || '<ol><li>x</li><li>y</li></ol>' || chr(10) || '<blockquote>q <strong>' || lang || '</strong><br><br>r  </blockquote>' || chr(10) || '<table><tr><th>A</th><th>' || doc_id || '</th></tr><tr><td>1</td></tr></table>' || chr(10)
+ || '<hr>' || chr(10) || '<pre><code class="language-sql">  SELECT ' || doc_id || chr(10) || '</code></pre>' || chr(10) || '<figure><img src="' || coalesce(""" + _FIG + """, '') || '"><figcaption>fig</figcaption></figure>' || chr(10)
+ || '<figure><img src="p/' || doc_id || '.png"></figure>' || chr(10) || '<p>* no list * nor this</p>' || chr(10) || '<h6>six</h6>' || chr(10) || '<pre><code class="language-text">open</code></pre>' AS html FROM documents""")
 def md_to_html(spark, sf_dir):
-    return publish.md_to_html(md_documents(spark, sf_dir))
+    return publish.md_to_html(load(spark, sf_dir, "documents").selectExpr("doc_id", f"{_BODY} AS body"))
+
+
+@query(f"""SELECT doc_id, NULL AS ref, '' AS alt, 'p/' || doc_id || '.png' AS target FROM documents UNION ALL SELECT doc_id, 'f1', 'fig', {_FIG} FROM documents
+ UNION ALL SELECT doc_id, NULL, 'x', 'in/' || source FROM documents WHERE doc_id % 2 = 0""")
+def image_definitions(spark, sf_dir):
+    more = "CASE WHEN doc_id % 2 = 0 THEN chr(10) || 'text ![x](in/' || source || ' \"t\") text' ELSE '' END"
+    return publish.image_refs(load(spark, sf_dir, "documents").selectExpr("doc_id", f"{_BODY} || {more} AS body"))
+
+
+#: Pages with each construct of the tree, around what the tables hold.
+_TREE = """'<head><title>x</title></head><body><nav>menu ' || page_id || '</nav><h1>Page  ' || page_id || '</h1><p>See <a href="' || url || '">the <b> link</b></a>,<br> <em>' || page_id || '</em>
+ and <code>a*b</code>.<ul><li>one<ul><li>in ' || page_id || '<li>in2</ul><li><p>two</p><p>more</p></ul><ol start="3"><li>c</li><li>d</ol><blockquote><p>q</p><p>' || page_id || '</p></blockquote><pre><code class="language-sql">SELECT 1
+  ' || page_id || '</code></pre><table><caption>cap</caption><tr><th rowspan="2">A<th colspan="2">B|' || page_id || '</tr><tr><td>1<td>2<br>3<tr><td>z</table><img src="' || page_id || '.png" alt="i" title="t"><script>no()</script><footer>foot</footer></body>'"""
+
+
+@query("""SELECT page_id, '# Page ' || page_id || chr(10) || chr(10) || 'See [the **link**](' || url || '),' || chr(10) || '*' || page_id || '* and `a*b`.' || chr(10) || chr(10) || '- one' || chr(10) || '  - in ' || page_id || chr(10)
+ || '  - in2' || chr(10) || '- two' || chr(10) || chr(10) || '  more' || chr(10) || chr(10) || '3. c' || chr(10) || '4. d' || chr(10) || chr(10) || '> q' || chr(10) || '>' || chr(10) || '> ' || page_id || chr(10) || chr(10)
+ || '```sql' || chr(10) || 'SELECT 1' || chr(10) || '  ' || page_id || chr(10) || '```' || chr(10) || chr(10) || 'cap' || chr(10) || chr(10) || '| A | B\\|' || page_id || ' | B\\|' || page_id || ' |' || chr(10)
+ || '| --- | --- | --- |' || chr(10) || '| A | 1 | 2<br>3 |' || chr(10) || '| z |  |  |' || chr(10) || chr(10) || '![i](' || page_id || '.png "t")' || chr(10) AS markdown FROM pages""")
+def html_tree_markdown(spark, sf_dir):
+    return publish.html_to_markdown(load(spark, sf_dir, "pages").selectExpr("page_id", f"{_TREE} AS html"))
 
 
 @query("SELECT doc_id, sha1(text || ' <b> A é ' || chr(160) || '& &nosuch; x') AS text_sha1 FROM documents")
