@@ -108,7 +108,8 @@ def placed(rows: DataFrame, key: Column, content: Column, shards: int = SHARDS,
     before = lambda by, order: F.coalesce(F.sum("_n_").over(Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     cells = groups.groupBy(_ARC, _CELL).agg(F.sum("_n_").alias("_n_")).select(_ARC, _CELL, before([_ARC], [_CELL]).alias("_start_"))
     within = groups.withColumn("_first_", before([_ARC, _CELL], [_MARK, _POS, _PART])).drop("_n_")
-    starts = within.join(cells, [_ARC, _CELL]).select(*same, (F.col("_first_") + F.col("_start_")).alias("_first_"))
+    cells = stored(cells, "cells")
+    starts = stored(within.join(cells, [_ARC, _CELL]).select(*same, (F.col("_first_") + F.col("_start_")).alias("_first_")), "starts")
     copy = F.row_number().over(Window.partitionBy(*same).orderBy(F.lit(0)))
     ranked = at.join(starts, same).withColumn(_RANK, F.col("_first_") + copy - 1)
     plan = list(runs(counts, [s for _, s in places], shards))
