@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
 from ..operators.publish import markdown_of
+from .ooxml import BROKEN, markdown_of_package
 from .route import hidden
 
 MEMBERS = "archive string, via array<string>, member string, target string, bytes binary, error string"
@@ -58,7 +59,13 @@ def _table_of(rows: list[list[str]]) -> str:
 
 
 def _converted(path: str, content: bytes | None) -> tuple[str | None, str | None]:
-    kind, text = path.rsplit(".", 1)[-1].lower(), (content or b"").decode("utf-8-sig", errors="replace")
+    kind = path.rsplit(".", 1)[-1].lower()
+    if kind in ("docx", "xlsx", "pptx"):
+        try:
+            return markdown_of_package(content)[1], None
+        except BROKEN as e:
+            return None, f"package_failed: {type(e).__name__}"
+    text = (content or b"").decode("utf-8-sig", errors="replace")
     if kind in ("txt", "md"):
         return text, None
     if kind == "csv":
@@ -71,8 +78,8 @@ def _converted(path: str, content: bytes | None) -> tuple[str | None, str | None
 
 
 def converted(found: DataFrame) -> DataFrame:
-    """(path, content) -> path, markdown, error: text, Markdown, CSV, JSON, XML and HTML natively; a row of another kind has
-    its error, and goes to an engine by adapted()."""
+    """(path, content) -> path, markdown, error: text, Markdown, CSV, JSON, XML, HTML and Office Open XML natively; a row
+    of another kind has its error, and goes to an engine by adapted()."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
