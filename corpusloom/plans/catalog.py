@@ -372,4 +372,4 @@ def page_budget(spark, sf_dir):
     return audit.within_budget(sizes, "conv_id", "pages", 200)
 
 
-from . import extra, more, office  # noqa: E402, F401  register their queries
+from . import extra, files, more, office  # noqa: E402, F401  register their queries

@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
+from pyspark.sql.window import Window
 
 from ..operators.publish import markdown_of
 from .ooxml import BROKEN, markdown_of_package
@@ -99,13 +100,26 @@ def report(title: str, counts: DataFrame, items: DataFrame | None = None, most:
     return lines.join(top).select(F.concat(whole, F.when(F.size("i") > 0, F.concat(F.lit("\n\n"), F.array_join("i", "\n"))).otherwise("")).alias("markdown"))
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """path, line_no (from 1), line of text files of any size: each file is read in as many splits as Spark makes of it.
+
+    A line's number is its place in its split plus the lines of the file's earlier splits. Only the counts of splits, one row
+    each, are summed up and joined back. Lines end with LF, CR LF or CR; a BOM is left out."""
+    rows = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), F.col("value").alias("line"), F.monotonically_increasing_id().alias("id"))
+    splits = rows.groupBy("path", "start").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    before = splits.select("path", "start", (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first") + 1).alias("from"))
+    numbered = rows.join(before, ["path", "start"]).select("path", (F.col("id") + F.col("from")).alias("line_no"), "line")
+    return numbered.withColumn("line", F.when(F.col("line_no") == 1, F.regexp_replace("line", "^\ufeff", "")).otherwise(F.col("line")))
+
+
 def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """line_no (from 1), row, issue: a line that isn't an object is kept with its number in issue."""
-    text = spark.read.format("binaryFile").load(path).select("path", F.regexp_replace(F.col("content").cast("string"), "^﻿", "").alias("t"))
-    lines = text.select("path", F.posexplode(F.split("t", "\n")).alias("n", "line")).where(F.trim("line") != "")
+    """path, line_no (from 1), row, issue: a line that isn't an object is kept with its number in issue. Blank lines are left out
+    but counted."""
+    lines = numbered_lines(spark, path).where(F.col("line").rlike(r"\S"))
     lines = lines.withColumn("row", F.from_json("line", f"{schema}, _bad string", {"columnNameOfCorruptRecord": "_bad"}))
-    number = F.col("n").cast("long") + 1
-    return lines.select("path", number.alias("line_no"), "row", F.when(F.col("row._bad").isNotNull() | ~F.trim("line").startswith("{"), F.concat(F.lit("invalid_chunk_json_line:"), number)).alias("issue"))
+    bad = F.col("row._bad").isNotNull() | ~F.col("line").rlike(r"^\s*\{")
+    return lines.select("path", "line_no", "row", F.when(bad, F.concat(F.lit("invalid_chunk_json_line:"), "line_no")).alias("issue"))
 
 
 def json_lines_or_missing(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Readers, archives, frontmatter, manifests and publishing on literal rows."""
 
 import io
+import random
 import zipfile
 
 import pytest
@@ -130,7 +131,7 @@ def test_missing_chunks_file(spark, tmp_path):
 def test_native_conversion(spark):
     given = [("a.txt", b"\xef\xbb\xbfplain"), ("a.CSV", b'x,"y|z"\n1,2\n3'), ("a.html", b"<h1>T</h1><p>b &amp; c</p>"), ("a.json", b'{"a": 1}'), ("a.docx", b"PK"), ("b.md", None)]
     got = {r.path: (r.markdown, r.error) for r in readers.converted(spark.createDataFrame(given, "path string, content binary")).collect()}
-    assert got["a.txt"] == ("plain", None) and got["b.md"] == ("", None) and got["a.docx"] == (None, "unsupported: .docx")
+    assert got["a.txt"] == ("plain", None) and got["b.md"] == ("", None) and got["a.docx"] == (None, "package_failed: BadZipFile")
     assert got["a.CSV"][0] == "| x | y\\|z |\n| --- | --- |\n| 1 | 2 |\n| 3 |  |" and got["a.json"][0] == '```json\n{"a": 1}\n```' and got["a.html"][0] == "# T\n\nb & c\n"
 
 
@@ -165,3 +166,30 @@ def test_route_plan_and_selection(spark):
     assert [r.path for r in route.selected(plan, ("archive", "manual_review")).collect()] == ["d.zip"]
     with pytest.raises(ValueError):
         route.selected(plan, ("nonsense",))
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\r"])
+@pytest.mark.parametrize("split", [64, 1000, 1 << 20])
+def test_line_numbers_across_splits(spark, tmp_path, end, split):
+    """Lines of every length, longer than a split too, with blank ones, in large and small files."""
+    rng = random.Random(split)
+    texts = {}
+    for name, n in (("big", 2000), ("one", 1), ("empty", 0), ("small", 30)):
+        texts[name] = [rng.choice(["", "é" * rng.randrange(40), "x" * rng.randrange(300), " "]) + (f"#{i}" if i % 3 else "") for i in range(n)]
+        (tmp_path / f"{name}.jsonl").write_bytes((("﻿" if name == "big" else "") + "".join(x + end for x in texts[name])).encode())
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1)
+    try:
+        rows = readers.numbered_lines(spark, str(tmp_path))
+        assert rows.rdd.getNumPartitions() >= 1
+        got = {}
+        for r in rows.collect():
+            got.setdefault(r.path.rsplit("/", 1)[-1].split(".")[0], []).append((r.line_no, r.line))
+        splits = spark.read.text(str(tmp_path)).rdd.getNumPartitions()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", was[1])
+    assert splits > (50 if split == 1000 else 0)
+    for name, lines in texts.items():
+        assert sorted(got.get(name, [])) == list(enumerate(lines, 1))
