@@ -9,7 +9,7 @@ from ..functions import text as T
 from ..operators import audit, publish, tables
 from ..sources import manifest, readers
 from .catalog import _LINES, _LEVEL, _MD, _STRIP, query
-from .fixtures import PATHS, load, md_documents, table_rows
+from .fixtures import load, md_documents, table_rows
 
 _META = "'---' || chr(10) || 'doc_title: \"T ' || doc_id || ' \\\\\"q\\\\\"\"' || chr(10) || 'doc_id: \"' || doc_id || '\"' || chr(10) || 'zeta: plain' || chr(10) || 'source_path: in/' || source || '.pdf' || chr(10) || '---' || chr(10) || text"
 
@@ -204,10 +204,3 @@ def nested_archives(spark, sf_dir):
     whole = part.select("path", readers.zipped(F.array(F.lit("top/inner.zip"), F.lit("top/note.txt")), inner).alias("content"))
     found = readers.nested_members(whole)
     return found.select("archive", F.array_join("via", "!").alias("via"), "member", "target", F.sha1("bytes").alias("bytes_sha1"), F.col("error").isNotNull().alias("failed"))
-
-
-@query(f"WITH f AS (SELECT p_partkey, {PATHS} AS path FROM part) SELECT path, count(*) AS n FROM f WHERE regexp_matches(path, '\\.(zip|rar)$') GROUP BY path")
-def archive_inventory(spark, sf_dir):
-    paths = load(spark, sf_dir, "part").selectExpr(f"{PATHS} AS path").where(F.col("path").rlike(r"\.(zip|rar)$"))
-    broken = readers.archive_members(paths.withColumn("content", F.lit(b"none").cast("binary")))
-    return broken.where("error IS NOT NULL").groupBy(F.col("archive").alias("path")).agg(F.count(F.lit(1)).alias("n"))
