@@ -2,17 +2,19 @@
 
 A page is a sequence of tags and words. Words score positive and tags negative; one linear scan finds the contiguous
 region with the largest sum, of equal ones the first and shortest. The weights are learned from pages that label themselves, by one article element or
-one main element, as log-odds of words and tags inside against outside:
+one main element, as log-odds of words and tags inside against outside. The label serves to learn: when a page is read, the scan
+knows nothing of it, but that what surrounds the labelling element isn't held against it.
 
 - a word's weight, another one for words of links, and one for each tag;
 - the weight of a surrounding: an element's name or a part of its class, id or role. Words whose surroundings weigh less
-  than OFF (an advert's class, a menu's element) are no article text: they are left out, and cost the scan COST;
-- the weight of words inside and outside the labelling element, on pages that have one.
+  than OFF (an advert's class, a menu's element) are no article text: they cost the scan COST a run, and are left out of
+  the region's text.
 
-What a name means where the pages tell little comes from a prior, in the form of words seen before: PRIOR_NAMES and
-PRIOR_CLASSES have been outside for PRIOR words. Evidence outweighs it. Nothing else is left out of the region.
+PRIOR_NAMES and PRIOR_CLASSES mean menus, adverts, forms, comments and the like wherever they stand, within an article too: a label says
+where the article is, not that all in it is text. So what pages show can't make them content. Other names weigh nothing until
+PAGES pages have shown them.
 
-At most SAMPLE pages, chosen by hash, give the weights; counts are made on the executors, and the driver gets at most KINDS rows."""
+At most SAMPLE pages, chosen by hash, give the weights; counts are made on the executors in one pass, and the driver gets at most KINDS rows."""
 
 from __future__ import annotations
 
@@ -28,11 +30,11 @@ from pyspark.sql import functions as F
 
 from .common import batch, mapped, pieces, table
 
-SAMPLE, KINDS = 2000, 20_000
-#: Surroundings below this weight are no article text; what such an element costs the scan; words that a prior stands for.
+SAMPLE, KINDS, PAGES = 1000, 20_000, 5
+#: Surroundings below this weight are no article text; what a run of them costs the scan; words that a prior stands for.
 OFF, COST, PRIOR = -1.5, 0.5, 60.0
 #: Weights stay between these.
-LEAST_WORD, MOST_WORD, LEAST_TAG, MOST_TAG, INSIDE = 0.25, 1.5, -3.25, -0.02, 5.0
+LEAST_WORD, MOST_WORD, LEAST_TAG, MOST_TAG = 0.25, 1.5, -3.25, -0.02
 
 # HTML element names by their role.
 RAW = frozenset("script style textarea title noscript template iframe noembed noframes xmp".split())
@@ -150,6 +152,7 @@ def read(html: str) -> tuple[list[Item], int]:
     articles = [k for k, (name, what, value) in enumerate(found) if what == "open" and name == "article" and not _is_comment(value)]
     mains = [k for k, (name, what, _) in enumerate(found) if what == "open" and name == "main"]
     labels = {*articles} or {*mains}
+    only = len(labels) == 1
     out: list[Item] = []
     stack: list[tuple[str, frozenset, bool, bool]] = []  # name; surroundings, inside, content up to and with it
     open_ = Counter()
@@ -184,8 +187,9 @@ def read(html: str) -> tuple[list[Item], int]:
         elif name in BLOCKS:
             links = False
         if what == "close":
+            within = off  # an end tag belongs to the element that it ends
             close((name,), name in BLOCKS and name not in ("p", "li", "dt", "dd", "option"))
-            out.append(Item(f"<{name}", name, "", off, inside))
+            out.append(Item(f"<{name}", name, "", within, inside))
             continue
         if name in BLOCKS:
             close(("p",), False)
@@ -196,7 +200,10 @@ def read(html: str) -> tuple[list[Item], int]:
             if off and not inside:  # menus and the like that were never closed
                 while stack and stack[-1][0] not in ("body", "div", "section", "article", "main"):
                     pop()
-        marks = _surroundings(name, value, content)
+        if k in labels and (only or not off):
+            off, marks = _NONE, []
+        else:
+            marks = _surroundings(name, value, content)
         own = bool(value) and name not in ("html", "body") and bool(_OWN & {w.lower() for m in _MARKED.finditer(value) for w in _WORD.findall(m[2] or m[3] or m[4] or "")})
         if name not in VOID and (name in BLOCKS or marks):
             off = off.union(marks) if marks else off
@@ -228,24 +235,23 @@ class Weights:
 
 
 def _log_odds(inside: int, outside: int, name: str) -> float:
-    """Of a surrounding: words inside against outside, with the prior's. Without either it weighs nothing."""
-    prior = PRIOR if name[1:].rstrip(">") in (PRIOR_CLASSES if name[0] == "." else PRIOR_NAMES) else 0.0
-    return math.log((inside + 5.0) / (outside + prior + 5.0))
+    """Of a surrounding: words inside against outside. Those of the prior have been outside for PRIOR words, and never inside."""
+    if name[1:].rstrip(">") in (PRIOR_CLASSES if name[0] == "." else PRIOR_NAMES):
+        return math.log(5.0 / (outside + PRIOR + 5.0))
+    return math.log((inside + 5.0) / (outside + 5.0))
 
 
-def region(found: list[Item], labels: int, weights: Weights) -> tuple[int, int]:
-    """The best contiguous region. A word that is left out costs nothing where the label says that it is inside."""
+def region(found: list[Item], weights: Weights) -> tuple[int, int]:
+    """The best contiguous region."""
     get, other = weights.known.get, weights.known["<"]
-    bonus = (get("inside", 0.0), get("outside", 0.0)) if labels else (0.0, 0.0)
     best, best_at, total, start, before = 0.0, (0, 0), 0.0, 0, False
     for k, x in enumerate(found):
         bad = weights.off(x.off)
         if bad:
-            total -= COST if not before and not (labels and x.inside) else 0.0
+            total -= 0.0 if before else COST
         elif x.text:
-            n = len(x.text.split())
-            total += n * (get(x.kind, 0.0) + bonus[not x.inside]) if n else 0.0
-        elif not (labels and x.inside):
+            total += len(x.text.split()) * get(x.kind, 0.0)
+        else:
             total += get(x.kind, other)
         before = bad
         if total > best:
@@ -255,9 +261,10 @@ def region(found: list[Item], labels: int, weights: Weights) -> tuple[int, int]:
     return best_at
 
 
-def main_text(html: str | None, weights: Weights, scan: bool = True) -> str:
-    """Blocks of the best region, joined by blank lines; with scan=False, of the whole page."""
-    found, labels = read(html or "")
+def main_text(html: str | None, weights: Weights, scan: bool = True, left_out: bool = True) -> str:
+    """Blocks of the best region, joined by blank lines; with scan=False, of the whole page. left_out=False keeps what the
+    surroundings would leave out of them."""
+    found, _ = read(html or "")
     blocks: list[str] = []
     parts: list[str] = []
 
@@ -266,63 +273,59 @@ def main_text(html: str | None, weights: Weights, scan: bool = True) -> str:
             blocks.append(block)
         parts.clear()
 
-    for x in found[slice(*region(found, labels, weights))] if scan else found:
+    for x in found[slice(*region(found, weights))] if scan else found:
         if x.name in BLOCKS:
             close()
-        elif not weights.off(x.off):
+        elif not left_out or not weights.off(x.off):
             parts.append(unescape(x.text) if x.text else " " if x.name == "br" else "")
     close()
     return "\n\n".join(blocks)
 
 
-def _counts(of_kinds):
-    """A map over pages with one label: inside and outside counts of what of_kinds(item, n) yields."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for given in batches:
-            inside, outside = Counter(), Counter()
-            for html in given.column(0).to_pylist():
-                found, labels = read(html or "")
-                if labels != 1:
-                    continue
-                for x in found:
-                    n = len(x.text.split()) if x.text else 1
-                    for kind in of_kinds(x):
-                        (inside if x.inside else outside)[kind] += n
-            kinds = sorted({*inside, *outside})
-            yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array([inside[k] for k in kinds], pa.int64()), pa.array([outside[k] for k in kinds], pa.int64())], names=["kind", "inside", "outside"])
-
-    return run
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of pages with one label: words and tags inside and outside, by kind and by all surroundings in force; and their pages."""
+    for given in batches:
+        inside, outside, seen = Counter(), Counter(), Counter()
+        for html in given.column(0).to_pylist():
+            found, labels = read(html or "")
+            if labels != 1:
+                continue
+            here = set()
+            for x in found:
+                key = x.kind, x.off
+                (inside if x.inside else outside)[key] += len(x.text.split()) if x.text else 1
+                here.add(key)
+            seen.update(here)
+        kinds = list(seen)
+        columns = {"kind": [k for k, _ in kinds], "off": [sorted(off) for _, off in kinds], "i": [inside[k] for k in kinds], "o": [outside[k] for k in kinds], "pages": [seen[k] for k in kinds]}
+        yield batch(_COUNTS, columns)
 
 
-def _counted(pages: DataFrame, of_kinds) -> list:
-    counts = pages.select("html").transform(mapped, _counts(of_kinds), "kind string, inside long, outside long").groupBy("kind").agg(F.sum("inside").alias("i"), F.sum("outside").alias("o"))
-    return counts.orderBy(F.desc(F.col("i") + F.col("o")), "kind").limit(KINDS).collect()
+_COUNTS = pa.schema([("kind", pa.string()), ("off", pa.list_(pa.string())), ("i", pa.int64()), ("o", pa.int64()), ("pages", pa.int64())])
 
 
 def fitted_weights(pages: DataFrame, sample: int = SAMPLE) -> Weights:
     """Weights from at most so many pages; the defaults and priors alone where none labels itself.
 
-    Surroundings are weighed first; tags and words are then counted where no surrounding explains them already."""
+    Surroundings are weighed by the words that they hold, words and tags where no surrounding explains them already."""
     ids = pages.where("page_id IS NOT NULL").select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(sample)
-    some = pages.join(F.broadcast(ids), "page_id")  # bounded by sample
-    around = {r.kind: _log_odds(r.i, r.o, r.kind) for r in _counted(some, lambda x: x.off if x.text else ())}
-    first = Weights(around)
-    known = first.known
-
-    def plain(x: Item) -> tuple:
-        return () if first.off(x.off) else (x.kind,)
-
-    for r in _counted(some, plain):
-        prior = 1 / (1 + math.exp(-known.get(r.kind, known["<"])))
-        odds = math.log((r.i + PRIOR * prior) / (r.o + PRIOR * (1 - prior)))
-        if r.kind == "word":
-            known["word"] = min(MOST_WORD, max(LEAST_WORD, odds))
-            known["inside"], known["outside"] = min(INSIDE, math.log(r.i + 1)), max(-INSIDE, -math.log(r.i + 1))
-        elif r.kind == "linked":
-            known["linked"] = min(MOST_WORD, max(-MOST_WORD, odds))
-        else:
-            known[r.kind] = min(MOST_TAG, max(LEAST_TAG, odds))
+    some = pages.join(F.broadcast(ids), "page_id").select("html")  # bounded by sample
+    counts = some.transform(mapped, _counts, "kind string, off array<string>, i long, o long, pages long").groupBy("kind", "off").agg(F.sum("i").alias("i"), F.sum("o").alias("o"), F.sum("pages").alias("pages"))
+    rows = counts.orderBy(F.desc(F.col("i") + F.col("o")), "kind", "off").limit(KINDS).collect()
+    around: dict[str, Counter] = {}
+    for r in rows:
+        for name in r.off if r.kind in ("word", "linked") else ():
+            around.setdefault(name, Counter()).update(i=r.i, o=r.o, pages=r.pages)
+    first = Weights({name: _log_odds(c["i"], c["o"], name) for name, c in around.items() if c["pages"] >= PAGES})
+    known, plain = first.known, {}
+    for r in rows:
+        if not first.off(frozenset(r.off)):
+            plain.setdefault(r.kind, Counter()).update(i=r.i, o=r.o)
+    for kind, c in plain.items():
+        prior = 1 / (1 + math.exp(-known.get(kind, known["<"])))
+        odds = math.log((c["i"] + PRIOR * prior) / (c["o"] + PRIOR * (1 - prior)))
+        least, most = {"word": (LEAST_WORD, MOST_WORD), "linked": (-MOST_WORD, MOST_WORD)}.get(kind, (LEAST_TAG, MOST_TAG))
+        known[kind] = min(most, max(least, odds))
     return Weights(known)
 
 

@@ -465,11 +465,72 @@ def test_scan_and_weights_decide(spark, learned):
 
 
 def test_surroundings_are_learned(spark):
-    page = "<div class=qq>Words of an unknown kind of part, {} times</div><article><p>The text of page {}, with more words.</p><p class=notice>A notice that belongs to the text.</p></article>"
-    pages = spark.createDataFrame([(k, "u", page.format(k, k)) for k in range(60)] + [(100, "u", "<div><p>A text without a label.</p><div class=qq>Unknown part</div><p class=notice>Its own notice.</p></div>")], "page_id long, url string, html string")
+    """An unknown class that stands outside is left out; one that stands inside stays; a notice is one also within an article."""
+    page = "<div class=qq>Words of an unknown kind of part, {} times</div><article><p>The text of page {}, with more words.</p><p class=hint>A hint that belongs to the text.</p><p class=notice>A notice.</p></article>"
+    pages = spark.createDataFrame([(k, "u", page.format(k, k)) for k in range(60)] + [(100, "u", "<div><p>A text without a label.</p><div class=qq>Unknown part</div><p class=hint>Its own hint.</p><p class=notice>Its notice.</p></div>")], "page_id long, url string, html string")
     got = {r.page_id: r.text for r in html_text.page_texts(pages, html_text.fitted_weights(pages)).collect()}
-    assert got[7] == "The text of page 7, with more words.\n\nA notice that belongs to the text."
-    assert got[100] == "A text without a label.\n\nIts own notice."
+    assert got[7] == "The text of page 7, with more words.\n\nA hint that belongs to the text."
+    assert got[100] == "A text without a label.\n\nIts own hint."
+
+
+PARTS = {
+    "form": "<form><p>Sign up here with your name and your address and more</p></form>",
+    "newsletter": "<div class='newsletter box'>Get our letter every week and read what we write of it</div>",
+    "sponsored": "<div class=sponsored><p>Buy what we sell, it is cheap and it is good as well</p></div>",
+    "aside": "<aside><p>What others read while they should have been reading this text</p></aside>",
+    "comments": "<div class=comments><p>I have read it and I liked it, said one of the many readers</p></div>",
+}
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 5, 20, 100])
+def test_parts_within_articles_stay_out(spark, learned, n):
+    """Pages whose articles hold adverts and forms teach nobody that these are text."""
+    whole = "<article><h1>Head</h1><p>{} words of an article that goes on for a while.</p>{}<p>Its end.</p></article>"
+    rows = [r.html for r in labelled_pages(spark).collect()] + [whole.format(k, part) for k in range(n) for part in PARTS.values()]
+    pages = spark.createDataFrame([(k, "u", h) for k, h in enumerate(rows)], "page_id long, url string, html string")
+    weights = html_text.fitted_weights(pages, 10_000)
+    for part in PARTS.values():
+        for holder in (whole, whole.replace("article>", "div>")):
+            assert html_text.main_text(holder.format("Some", part), weights) == "Head\n\nSome words of an article that goes on for a while.\n\nIts end."
+
+
+def test_the_scan_alone_finds_the_text_of_unseen_pages(spark):
+    """Weights from one half of the pages, text of the other half: without their label, and without leaving anything out of the region."""
+    import re
+
+    pages = labelled_pages(spark)
+    weights = html_text.fitted_weights(pages.where("page_id % 2 = 0"))
+    held = [r.html for r in pages.where("page_id % 2 = 1").collect()]
+    for html in held:
+        bare = re.sub("</?article>", "", html)
+        whole = html_text.main_text(html, weights)
+        assert html_text.main_text(bare, weights) == html_text.main_text(bare, weights, left_out=False) == whole
+        assert html_text.main_text(bare, weights, scan=False, left_out=False) != whole
+
+
+def test_regions_are_the_brute_force_ones():
+    rng = random.Random(9)
+    for _ in range(300):
+        known = {"word": rng.choice([0.25, 0.5, 1.0]), "linked": rng.choice([-1.0, 0.5]), "<": -0.25, "<p": -0.25, "<li": -1.0, ".ad": -9.0}
+        weights = html_text.Weights(known)
+        off = [frozenset(), frozenset(), frozenset([".ad"])]
+        found = [html_text.Item(rng.choice(["word", "linked"]), "", "w " * rng.randrange(4), rng.choice(off), False) if rng.random() < 0.5 else html_text.Item(rng.choice(["<p", "<li", "<b"]), "x", "", rng.choice(off), False) for _ in range(rng.randrange(25))]
+
+        def score(x, before):
+            if weights.off(x.off):
+                return 0.0 if before else -html_text.COST
+            return len(x.text.split()) * known[x.kind] if x.text else known.get(x.kind, known["<"])
+
+        each = [score(x, k > 0 and weights.off(found[k - 1].off)) for k, x in enumerate(found)]
+        sums = {(a, b): sum(each[a:b]) for a in range(len(each)) for b in range(a + 1, len(each) + 1)}
+        best = max([0.0, *sums.values()])
+        a, b = html_text.region(found, weights)
+        assert sum(each[a:b]) == best and (best > 0 or (a, b) == (0, 0))
+
+
+def test_what_surrounds_the_label_is_not_held_against_it(learned):
+    page = "<form class='sidebar ad'><nav>menu</nav><div class=promo><article class=sponsored><p>All of the text of this page is here.</p><div class=ad>Buy</div></article></div><footer>end</footer></form>"
+    assert html_text.main_text(page, learned) == "All of the text of this page is here."
 
 
 def test_main_text_of_no_pages_and_of_long_ones(spark, learned):
