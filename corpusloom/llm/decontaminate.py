@@ -19,9 +19,12 @@ shift differs by a few words.
 Template windows of mostly slots would meet any list of numbers; they don't count, and such passages are found as
 copies. Nothing else is left out.
 
-Items go to the executors in blocks of at most BLOCK_BYTES of text; all of the documents meet each block, by the hashes
-of its windows: first in a bitmap, then in a sorted table. A benchmark of usual size is one block. No document moves,
-and no key is dealt, so a window that a third of all documents hold costs no more than any other."""
+Windows meet in a hash join. Each document gives the hashes of its windows once, those that a bitmap of fixed size may
+hold of the benchmark's; items give theirs, and both are dealt by hash. What a document shares with an item is counted, and
+only pairs that share enough to cover the item go on: a window that many documents or items hold makes no pairs by
+itself. Then each such document's text meets its items, in the order of documents, and is compared place by place. The
+documents are read once for windows and once for the texts of those pairs, however large the benchmark is, and neither
+side passes the driver."""
 
 from __future__ import annotations
 
@@ -37,7 +40,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch, mapped, pieces, rows_where, stored, table
+from .bitmaps import bitmap, holds
+from .common import batch, mapped, pieces, stored, table
 from .shingles import mixed
 
 #: Words in a window; least shares of an item's words that its own words' windows and template windows cover.
@@ -47,8 +51,8 @@ WINDOW, LEAST_COPY, LEAST_TEMPLATE = 8, 0.6, 0.75
 SEEDS = ((23, 3), (47, 4))
 #: Matched words count together within so many times the item's length in the document.
 SPAN = 2
-#: Bytes of items' texts in a block; a larger item is a block of its own.
-BLOCK_BYTES = 4 << 20
+#: Items that a worker keeps prepared.
+KEPT = 5000
 
 #: Units that are replaced by a placeholder when they follow a number.
 UNITS = frozenset("mm cm m km in ft yd mi g kg mg lb oz l ml s sec min h hr hour hours minute minutes second seconds day days week weeks month months year years metre metres meter meters kilometre kilometres kilometer kilometers mile miles gram grams kilogram kilograms litre litres liter liters dollar dollars euro euros cent cents percent".split())
@@ -146,78 +150,65 @@ def window_sizes(n: int, width: int = WINDOW) -> list[int]:
     return [*[z for most, z in SEEDS if n <= most and z < width][:1], width]
 
 
-class Items:
-    """Benchmark items by the hashes of their windows."""
+class Document:
+    """A text's words and the places of its windows, made for the sizes that items ask for."""
 
-    def __init__(self, rows: list[tuple[int, str]], width: int = WINDOW) -> None:
-        seen = Words()
-        self.ids, self.words, self.slots, self.places = [], [], [], []
-        found: dict[int, list] = defaultdict(list)
-        for item, text in rows:
-            ws = words_of(text)
-            out, slot, place, of = template([ws], seen)
-            sizes = window_sizes(len(place), width)
-            if not sizes:
-                continue
-            k = len(self.ids)
-            self.ids.append(item), self.slots.append(slot), self.words.append([ws[p].strip(_OUTER).lower() for p in place])
-            for size, own in template_windows(out, slot, of, sizes):
-                row, q = np.nonzero(own)
-                found[size].append((own[row, q], np.full(len(q), k), q, row))
-        self.lengths = np.array([len(w) for w in self.words], np.int64)
-        self.longest = np.array([window_sizes(n, width)[-1] for n in self.lengths.tolist()], np.int64)
-        self.tables = {}
-        bits = 1 << max(16, int(4 * sum(len(x[0]) for t in found.values() for x in t)).bit_length())
-        self.mask = np.uint64(bits - 1)
-        for size, t in sorted(found.items()):
-            h, k, q, row = (np.concatenate(x) for x in zip(*t))
+    def __init__(self, text: str | None, seen: Words) -> None:
+        self.words = words_of(text)
+        self.out, self.slot, self.place, self.of = template([self.words], seen)
+        self.windows: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+
+    def of_size(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hash, place and row of each window, by hash."""
+        if size not in self.windows:
+            rows = next((x for _, x in template_windows(self.out, self.slot, self.of, [size])), np.zeros((3, 0), np.uint64))
+            row, d = np.nonzero(rows)
+            h = rows[row, d]
             order = np.argsort(h, kind="stable")
-            near = np.zeros(bits, bool)
-            near[(h & self.mask).astype(np.int64)] = True
-            self.tables[size] = (h[order], k[order], q[order], row[order], near)
-
-    def matches(self, texts: list[str | None], seen: Words) -> list[list[tuple[int, float, int, int]]]:
-        """(item, share of its words, slots compared, slots with another value) of each item found, for each text."""
-        ws = [words_of(t) for t in texts]
-        out, slot, place, of = template(ws, seen)
-        first = np.searchsorted(of, np.arange(len(texts)))
+            self.windows[size] = h[order], d[order], row[order]
+        return self.windows[size]
+
+
+class Item:
+    """A benchmark item: its words, slots and windows."""
+
+    def __init__(self, text: str | None, seen: Words, width: int = WINDOW) -> None:
+        ws = words_of(text)
+        out, slot, place, of = template([ws], seen)
+        sizes = window_sizes(len(place), width)
+        self.n, self.longest = len(place), sizes[-1] if sizes else 0
+        self.slots, self.words = slot, [ws[p].strip(_OUTER).lower() for p in place]
+        self.windows: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []
+        for size, own in template_windows(out, slot, of, sizes):
+            row, q = np.nonzero(own)
+            self.windows.append((size, own[row, q], q, row))
+
+    def match(self, document: Document) -> tuple[float, int, int] | None:
+        """(share of its words, slots compared, slots with another value) if the document holds it."""
         hits = []
-        for size, rows in template_windows(out, slot, of, self.tables):
-            keys, items, qs, theirs, near = self.tables[size]
-            row, d = np.nonzero(near[(rows & self.mask).astype(np.int64)] & (rows != 0))
-            h = rows[row, d]
-            lo, hi = np.searchsorted(keys, h, "left"), np.searchsorted(keys, h, "right")
+        for size, own, q, theirs in self.windows:
+            keys, d, row = document.of_size(size)
+            lo, hi = np.searchsorted(keys, own, "left"), np.searchsorted(keys, own, "right")
             n = hi - lo
-            if not n.any():
-                continue
             at = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            d, row = np.repeat(d, n), np.repeat(row, n)
-            hits.append(np.stack([of[d], items[at], d - first[of[d]], qs[at], np.full(len(d), size), np.maximum(row, theirs[at]), theirs[at]]))
-        result: list[list] = [[] for _ in texts]
-        if not hits:
-            return result
-        hits = np.concatenate(hits, 1)
-        hits = hits[:, np.lexsort((hits[2], hits[1], hits[0]))]
-        cuts = np.flatnonzero(np.append(True, (hits[:2, 1:] != hits[:2, :-1]).any(0)))
-        ends = np.append(cuts[1:], hits.shape[1])
+            theirs = np.repeat(theirs, n)
+            hits.append(np.stack([d[at], np.repeat(q, n), np.full(len(at), size), np.maximum(row[at], theirs), theirs]))
+        hits = np.concatenate(hits, 1) if hits else np.zeros((5, 0), np.int64)
         # three rows may give a window thrice; fewer windows than this can't cover LEAST_COPY of the item
-        enough = (ends - cuts) * self.longest[hits[1, cuts]] >= LEAST_COPY * self.lengths[hits[1, cuts]]
-        for s, e in zip(cuts[enough].tolist(), ends[enough].tolist()):
-            t, k = hits[:2, s].tolist()
-            of_text = place[first[t] : first[t + 1] if t + 1 < len(first) else len(place)]
-            if best := self._best(k, list(map(tuple, hits[2:, s:e].T.tolist())), ws[t], of_text):
-                result[t].append((self.ids[k], *best))
-        return result
-
-    def _best(self, k: int, places: list[tuple], ws: list[bytes], at: np.ndarray) -> tuple[float, int, int] | None:
+        if not hits.shape[1] or hits.shape[1] * self.longest < LEAST_COPY * self.n:
+            return None
+        hits = hits[:, np.lexsort(hits[::-1])]
+        return self._best(list(map(tuple, hits.T.tolist())), document.words, document.place)
+
+    def _best(self, places: list[tuple], ws: list[bytes], at: np.ndarray) -> tuple[float, int, int] | None:
         """places: (document word, item word, size, row, the item's row), by document word."""
-        n, longest = int(self.lengths[k]), int(self.longest[k])
+        n, longest = self.n, self.longest
         own = [x for x in places if x[3] == 0]
         if covered := self._passage(n, [x for x in own if x[2] == longest]):
-            return covered / n, int(self.slots[k][1].sum()), 0
+            return covered / n, int(self.slots[1].sum()), 0
         for least, some in ((LEAST_COPY, own), *((LEAST_TEMPLATE, [x for x in places if x[3] <= most]) for most in (1, 2))):  # words that begin sentences are taken for names only if needed
             for covered, stretch in self._diagonals(n, some, least):
-                if compared := self._compared(k, stretch, ws, at):
+                if compared := self._compared(stretch, ws, at):
                     return covered / n, *compared
         return None
 
@@ -262,9 +253,9 @@ class Items:
                 found.append((-covered, first, last))
         return [(-c, order[a : b + 1]) for c, a, b in sorted(found)]
 
-    def _compared(self, k: int, places: list[tuple], ws: list[bytes], at: np.ndarray) -> tuple[int, int] | None:
+    def _compared(self, places: list[tuple], ws: list[bytes], at: np.ndarray) -> tuple[int, int] | None:
         """Slots compared and slots with another value; None unless values stand against each other one to one."""
-        slots, theirs = self.slots[k], self.words[k]
+        slots, theirs = self.slots, self.words
         votes: dict[int, Counter] = defaultdict(Counter)
         for d, q, z, _, row in places:
             use = slots[row or 2]
@@ -289,56 +280,110 @@ class Items:
         return len(against), sum(a != b for a, b in against.items())
 
 
-_MATCHES = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("share", pa.float64()), ("slots", pa.int64()), ("changed_slots", pa.int64())])
-_MATCHES_DDL = "doc_id long, item_id long, share double, slots long, changed_slots long"
+_MATCHES_DDL = "k1 long, k2 long, item_id long, share double, slots long, changed_slots long"
+_MATCHES = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("item_id", pa.int64()), ("share", pa.float64()), ("slots", pa.int64()), ("changed_slots", pa.int64())])
+_ITEM_WINDOWS = pa.schema([("item", pa.int64()), ("n", pa.int64()), ("longest", pa.int64()), ("size", pa.int64()), ("hash", pa.int64()), ("times", pa.int64())])
+_ITEM_WINDOWS_DDL = "item long, n long, longest long, size long, hash long, times long"
+_DOC_WINDOWS = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("size", pa.int64()), ("hash", pa.int64())])
+_DOC_WINDOWS_DDL = "k1 long, k2 long, size long, hash long"
 
 
-def item_blocks(benchmark: DataFrame, most: int = BLOCK_BYTES) -> Iterator[Items]:
-    """The items in blocks of about so many bytes, told by hash; the driver holds one block at a time."""
-    rows = benchmark.select(F.col("item_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).where("item_id IS NOT NULL").dropDuplicates()
-    blocks = -(-(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // most)
-    for k in range(blocks):
-        yield Items(sorted(map(tuple, rows.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == k).collect())))
+def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct hashes of an item's windows, with how many windows have them."""
+    seen = Words()
+    for given in batches:
+        for item, text in zip(given.column(0).to_pylist(), given.column(1).to_pylist(), strict=True):
+            known = Item(text, seen)
+            for size, own, _, _ in known.windows:
+                hashes, times = np.unique(own, return_counts=True)
+                m = len(hashes)
+                yield batch(_ITEM_WINDOWS, {"item": np.full(m, item), "n": np.full(m, known.n), "longest": np.full(m, known.longest), "size": np.full(m, size), "hash": hashes.view(np.int64), "times": times})
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, most: int = BLOCK_BYTES) -> DataFrame:
+def _doc_windows(bits: np.ndarray, sizes: list[int]):
+    """Distinct hashes of a document's windows that the bitmap may hold, by size."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = Words()
+        for given in batches:
+            k1, k2, texts = given.column(0).to_numpy(), given.column(1).to_numpy(), given.column(2).to_pylist()
+            for a, b in pieces(texts, 1 << 19):
+                out, slot, _, of = template([words_of(t) for t in texts[a:b]], seen)
+                for size, rows in template_windows(out, slot, of, sizes):
+                    row, d = np.nonzero(rows)
+                    h = rows[row, d]
+                    some = holds(bits, h)
+                    found = np.unique(np.stack([of[d[some]].astype(np.uint64), h[some]]), axis=1)
+                    at = found[0].astype(np.int64) + a
+                    yield batch(_DOC_WINDOWS, {"k1": k1[at], "k2": k2[at], "size": np.full(len(at), size), "hash": found[1].view(np.int64)})
+
+    return run
+
+
+def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows by (k1, k2, kind): a document's text, then the items that it may hold."""
+    seen, kept = Words(), {}
+    now, document = None, None
+    for given in batches:
+        out = []
+        for row in given.to_pylist():
+            if row["kind"] == 0:
+                now, document = (row["k1"], row["k2"]), Document(row["text"], seen)
+                continue
+            if now != (row["k1"], row["k2"]):
+                raise ValueError("an item without its document")
+            if row["item"] not in kept:
+                if len(kept) >= KEPT:
+                    kept.clear()
+                kept[row["item"]] = Item(row["text"], seen)
+            if found := kept[row["item"]].match(document):
+                out.append((*now, row["item_id"], *found))
+        if out:
+            yield batch(_MATCHES, dict(zip(_MATCHES.names, zip(*out))))
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """docs with two hashes that tell their rows apart by id and text."""
+    id_ = F.col("doc_id").cast("long")
+    return docs.withColumns({_K1: F.xxhash64(id_, "text"), _K2: F.xxhash64("text", id_)})
+
+
+_K1, _K2 = "_leak_key_1_", "_leak_key_2_"
+
+
+def _matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """k1, k2, item_id, share, slots, changed_slots of each distinct document and item that match."""
+    items = benchmark.select(F.col("item_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).where("item_id IS NOT NULL").dropDuplicates()
+    items = stored(items.withColumn("item", F.monotonically_increasing_id()), "items")
+    windows = stored(items.select("item", "text").transform(mapped, _item_windows, _ITEM_WINDOWS_DDL), "windows")
+    sizes = sorted(r.size for r in windows.select("size").distinct().collect())  # WINDOW at most
+    keyed = _keyed(docs.select("doc_id", "text")).select(F.col(_K1).alias("k1"), F.col(_K2).alias("k2"), "text")
+    held = keyed.transform(mapped, _doc_windows(bitmap(windows, F.col("hash")), sizes), _DOC_WINDOWS_DDL).dropDuplicates()
+    shared = held.join(windows, ["size", "hash"]).groupBy("k1", "k2", "item").agg(F.sum("times").alias("times"), F.first("n").alias("n"), F.first("longest").alias("longest"))
+    pairs = stored(shared.where(F.col("times") * F.col("longest") >= LEAST_COPY * F.col("n")).select("k1", "k2", "item"), "pairs")
+    texts = keyed.join(pairs.select("k1", "k2").distinct(), ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
+    none = F.lit(None).cast("long")
+    asked = pairs.join(items, "item").select("k1", "k2", F.lit(1).alias("kind"), "item", "item_id", "text")
+    both = texts.select("k1", "k2", F.lit(0).alias("kind"), none.alias("item"), none.alias("item_id"), "text").unionByName(asked)
+    return both.repartition("k1", "k2").sortWithinPartitions("k1", "k2", "kind").transform(mapped, _verified, _MATCHES_DDL)
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs(doc_id, text, ...), benchmark(item_id, text) -> doc_id, item_id, share, slots, changed_slots of each match.
 
     Null or empty texts match nothing. Rows of docs that repeat give repeated matches; null ids stay null. Items that
     repeat count once, items without an id or a word match nothing. Texts of any length are read whole. Of several
     stretches that hold an item the fullest counts, of equal ones the first. Other columns are not looked at; without
     rows on either side the result is empty."""
-    spark, found = docs.sparkSession, None
-    for known in item_blocks(benchmark, most):
-        sent = spark.sparkContext.broadcast(known)  # bounded by most
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            seen, items = Words(), sent.value
-            for given in batches:
-                ids, texts = given.column(0).to_pylist(), given.column(1).to_pylist()
-                for a, b in pieces(texts, 1 << 19):
-                    out = [(ids[a + i], *m) for i, ms in enumerate(items.matches(texts[a:b], seen)) for m in ms]
-                    if out:
-                        yield batch(_MATCHES, dict(zip(_MATCHES.names, zip(*out))))
+    found = stored(_matches(docs, benchmark), "matches")
+    rows = _keyed(docs.select(F.col("doc_id").cast("long"), "text")).select("doc_id", F.col(_K1).alias("k1"), F.col(_K2).alias("k2"))
+    return rows.join(found, ["k1", "k2"]).select("doc_id", "item_id", "share", "slots", "changed_slots")
 
-        some = docs.select(F.col("doc_id").cast("long"), "text").transform(mapped, run, _MATCHES_DDL)
-        found = some if found is None else stored(found, "matches").unionAll(some)
-    return spark.createDataFrame([], _MATCHES_DDL) if found is None else found
 
-
-def decontaminated(docs: DataFrame, benchmark: DataFrame, most: int = BLOCK_BYTES) -> DataFrame:
+def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs that match no item, all columns as they are."""
-    left, first = docs, True
-    for known in item_blocks(benchmark, most):
-        sent = docs.sparkSession.sparkContext.broadcast(known)  # bounded by most
-
-        def decide(sent=sent):
-            seen, items = Words(), sent.value
-            return lambda texts: [not m for a, b in pieces(texts, 1 << 19) for m in items.matches(texts[a:b], seen)]
-
-        left = rows_where(left if first else stored(left, "left"), decide)
-        first = False
-    return left
+    gone = stored(_matches(docs, benchmark).select(F.col("k1").alias(_K1), F.col("k2").alias(_K2)).distinct(), "gone")
+    return _keyed(docs).join(gone, [_K1, _K2], "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def op10_template_decontamination(spark, sf_dir):

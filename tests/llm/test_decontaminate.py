@@ -1,27 +1,32 @@
-"""Copies of benchmark items that are changed a little, by one block of items and by several; and matching against brute force."""
+"""Copies of benchmark items that are changed a little, with bitmaps that hold the items' windows and with full ones; and matching against brute force."""
 
 import random
 
+import numpy as np
 import pytest
 
-from corpusloom.llm import decontaminate
+from corpusloom.llm import bitmaps, decontaminate
 
 ITEM = "If Alice buys 12 apples at 3 dollars each and gives 5 of them to Bob, how many apples does she have left now in total?"
-BOTH = pytest.mark.parametrize("most", [100_000, 60])
 
 
-def found(spark, docs, items, most):
+@pytest.fixture(params=[False, True], ids=["bitmap", "full bitmap"])
+def most(request, monkeypatch):
+    """Full bitmaps let every window through, as those of a very large benchmark would."""
+    if request.param:
+        monkeypatch.setattr(decontaminate, "bitmap", lambda df, hashed: np.full(bitmaps.BITS // 8, 255, np.uint8))
+
+
+def found(spark, docs, items, most=None):
     docs = spark.createDataFrame(docs, "doc_id long, text string")
     bench = spark.createDataFrame(items, "item_id long, text string")
-    return {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, bench, most).collect()}
+    return {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, bench).collect()}
 
 
-@BOTH
 def test_copies_in_other_case(spark, most):
     assert found(spark, [(4, ITEM.upper()), (5, ITEM.lower())], [(10, ITEM)], most) == {(4, 10), (5, 10)}
 
 
-@BOTH
 def test_one_and_two_changed_words(spark, most):
     docs, items = [], []
     for n in (15, 37):
@@ -33,14 +38,12 @@ def test_one_and_two_changed_words(spark, most):
     assert found(spark, docs, items, most) == {(i, i // 10_000) for i, _ in docs if i % 10_000 != 9999}
 
 
-@BOTH
 def test_items_of_mostly_slots(spark, most):
     items = ["12 + 7 = 19, 30 - 4 = ?", "7 kg", "Anna, Berta, Carla, Dora, Emil, Fritz, Gustav, Hans, Ida, Jan, Karl, Lena"]
     docs = [(k, f"words before {t} and words after") for k, t in enumerate(items)] + [(10, "words 13 + 8 = 21, 31 - 5 = ? and 8 kg"), (11, "the names Anna, Berta, Carla and Dora"), (12, "Olga, Paul, Quirin, Rosa, Sven, Tina, Udo, Vera, Willi, Xaver, Yves, Zoe")]
     assert found(spark, docs, list(enumerate(items)), most) == {(0, 0), (1, 1), (2, 2)}
 
 
-@BOTH
 def test_names_that_begin_sentences(spark, most):
     items = ["Tom has 12 red apples. Tom gives 5 to Ann. How many apples does Tom have left?", "Tom ate 3 pears. Ann ate 4 figs. Bob ate 5 plums. Eve ate 6 nuts. Who ate most?"]
     names = {"Tom": "Sam", "Ann": "Lea", "Bob": "Max", "Eve": "Ina"}
@@ -56,17 +59,15 @@ def test_decides_by_row(spark):
     rows = [(1, ITEM), (1, "a clean text"), (None, ITEM), (None, "another clean text"), (2, ITEM), (2, ITEM), (3, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     bench = spark.createDataFrame([(10, ITEM)], "item_id long, text string")
-    for most in (100_000, 60):
-        got = [(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, bench, most).collect()]
-        assert sorted(got, key=str) == sorted([(1, 10), (None, 10), (2, 10), (2, 10)], key=str)
-        left = decontaminate.decontaminated(docs, bench, most)
-        assert left.columns == docs.columns and {tuple(r) for r in left.collect()} == {(1, "a clean text"), (None, "another clean text"), (3, None)}
+    got = [(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, bench).collect()]
+    assert sorted(got, key=str) == sorted([(1, 10), (None, 10), (2, 10), (2, 10)], key=str)
+    left = decontaminate.decontaminated(docs, bench)
+    assert left.columns == docs.columns and {tuple(r) for r in left.collect()} == {(1, "a clean text"), (None, "another clean text"), (3, None)}
 
 
 BOXES = "Anna packs {a} red boxes and {b} blue boxes for Berlin, then gives {a} labels to Peter and {c} to Anna again before noon."
 
 
-@BOTH
 def test_slots_must_stand_one_to_one(spark, most):
     item = BOXES.format(a=12, b=30, c=7)
     docs = [(1, BOXES.format(a=40, b=51, c=9)), (2, BOXES.format(a=40, b=51, c=9).replace("gives 40", "gives 9")), (3, BOXES.format(a=40, b=40, c=40)), (4, BOXES.format(a=40, b=51, c=9).replace("Peter", "Anna"))]
@@ -74,7 +75,6 @@ def test_slots_must_stand_one_to_one(spark, most):
     assert found(spark, docs, [(0, item)], most) == {(1, 0), (5, 0), (6, 0)}
 
 
-@BOTH
 def test_scripts_without_spaces(spark, most):
     item = "東京から大阪まで新幹線で何時間かかりますか"
     assert found(spark, [(1, f"前の文。{item}。後の文。"), (2, "東京の天気は晴れです"), (3, "a\u00a0b"), (4, "\ud83d\ude00")], [(0, item), (1, "a b")], most) == {(1, 0), (3, 1)}
@@ -107,11 +107,10 @@ def test_copies_are_the_brute_force_ones(spark):
         docs.append((k, " ".join(words[:at] + part + words[at:])))
     want = {(d, i) for d, t in docs for i, x in items if brute(t, x)}
     assert len(want) > 40
-    for most in (100_000, 500):
-        assert found(spark, docs, items, most) == want
+    assert found(spark, docs, items) == want
 
 
 def test_a_long_text_and_a_frequent_window(spark):
     item = "one two three four five six seven eight nine ten eleven twelve"
     texts = [(1, "one two three four five " * 60_000), (2, "x " * 300_000 + item + " y" * 300_000)]
-    assert found(spark, texts, [(0, item)], 1000) == {(2, 0)}
+    assert found(spark, texts, [(0, item)]) == {(2, 0)}
