@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..sources import readers, scratch
+from ..sources import adapter, readers, scratch
 from .catalog import query
 from .fixtures import load
 
@@ -30,3 +30,27 @@ def csv_round_trip(spark, sf_dir):
     docs = load(spark, sf_dir, "documents").select("doc_id", "text", F.concat(F.lit('"q", '), "source").alias("note"))
     readers.write_csv(docs, path)
     return readers.csv_rows(spark, path, "doc_id long, text string, note string").select("doc_id", F.sha1("text").alias("text_sha1"), "note")
+
+
+def _fake_engine():
+    """Fails for some pages once, for some twice, and for some always."""
+    tried: dict[tuple, int] = {}
+
+    def call(row: dict) -> dict:
+        key = row["conv_id"], row["turn"]
+        tried[key] = tried.get(key, 0) + 1
+        if tried[key] <= (0, 1, 2, 9)[(key[0] + key[1]) % 4]:
+            raise ConnectionError("engine is busy")
+        return {"markdown": f"# {row['role']}\n\n{row['text']}", "n": len(row["text"])}
+
+    return call
+
+
+@query("""WITH c AS (SELECT *, (conv_id + turn) % 4 AS bad FROM conversations)
+SELECT conv_id, turn, CASE WHEN bad < 3 THEN sha1('# ' || role || chr(10) || chr(10) || text) END AS markdown_sha1, CASE WHEN bad < 3 THEN length(text) END AS n, CASE WHEN bad < 3 THEN 'ok' ELSE 'failed' END AS status,
+ CASE WHEN bad < 3 THEN bad + 1 ELSE 3 END::INTEGER AS tries, CASE WHEN bad = 3 THEN 'ConnectionError: engine is busy' END AS error FROM c""")
+def engine_calls(spark, sf_dir):
+    todo = load(spark, sf_dir, "conversations")
+    policy = adapter.Policy(step=0.0, most=0.0, rows=500)
+    found = adapter.worked_off(todo, ["conv_id", "turn"], _fake_engine, "markdown string, n long", scratch.folder(spark, "journal"), policy)
+    return found.select("conv_id", "turn", F.sha1("markdown").alias("markdown_sha1"), "n", "status", "tries", "error")
