@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -39,6 +40,11 @@ def rstrip(c: Column) -> Column:
     return F.rtrim(c, F.lit(_SPACES))
 
 
+def once(c: Column, f: Callable[[Column], Column]) -> Column:
+    """f(c), where c is evaluated once however often f reads it."""
+    return F.get(F.transform(F.array(c), f), F.lit(0))
+
+
 def newlines(c: Column) -> Column:
     """CRLF and CR become LF."""
     return F.regexp_replace(c, r"\r\n?", "\n")
@@ -94,13 +100,23 @@ def relaxed(c: Column) -> Column:
 def numeric(c: Column) -> Column:
     """A cell as a number, where separators, percent and currency signs are left out; null unless digits with a sign and a fraction at most."""
     plain = F.regexp_replace(strip(c), NUMBER_MARKS, "")
-    return F.when(plain.rlike(NUMBER), plain.cast("double"))
+    return once(plain, lambda x: F.when(x.rlike(NUMBER), x.cast("double")))
+
+
+def cell_key(c: Column) -> Column:
+    """What a cell is compared by: its number n, or if it is none its relaxed form r."""
+    return once(numeric(c), lambda n: F.struct(n.alias("n"), F.when(n.isNull(), relaxed(c)).alias("r")))
+
+
+def same_key(x: Column, y: Column) -> Column:
+    """Cells of two engines agree: as numbers if one is a number, else in their relaxed forms. A missing cell is a blank one."""
+    blank = lambda k: F.coalesce(k["r"], F.lit(""))
+    numbers = x["n"].isNotNull() | y["n"].isNotNull()
+    return F.when(numbers, F.coalesce(F.abs(x["n"] - y["n"]) <= 1e-9, F.lit(False))).otherwise(blank(x) == blank(y))
 
 
 def same_cell(a: Column, b: Column) -> Column:
-    """Cells of two engines agree: as numbers if one is a number, else in their relaxed forms."""
-    x, y = numeric(a), numeric(b)
-    return F.when(x.isNotNull() | y.isNotNull(), F.coalesce(F.abs(x - y) <= 1e-9, F.lit(False))).otherwise(relaxed(a) == relaxed(b))
+    return once(F.struct(cell_key(a).alias("a"), cell_key(b).alias("b")), lambda k: same_key(k["a"], k["b"]))
 
 
 def alphanumeric(text: str | None) -> str:
@@ -147,17 +163,28 @@ def sample_indexes(pages: Column, most: Column) -> Column:
     return F.when(n <= 0, F.array().cast("array<long>")).otherwise(F.array_distinct(even))
 
 
-def without_tags(c: Column) -> Column:
-    """HTML fragments within Markdown: fences, headings, breaks, paragraphs, other tags; comments stay."""
-    c = F.regexp_replace(c, r"(?is)```html\s*(.*?)\s*```", "$1")
-    c = F.regexp_replace(c, r"(?im)^```html\s*$", "")
+def _headings(level: int) -> Callable[[Column], Column]:
+    """HTML headings of a level; only texts that have some are looked through."""
+    pattern = rf"(?is)<h{level}[^>]*>\s*((?:(?!</h{level}>).)*?)\s*</h{level}>"
+    to = "\n" + "#" * min(level + 1, 6) + " $1\n"
+    return lambda x: F.when(x.contains(f"<h{level}") | x.contains(f"<H{level}"), F.regexp_replace(x, pattern, to)).otherwise(x)
+
+
+def _tags(c: Column) -> Column:
     for level in range(1, 7):
-        c = F.regexp_replace(c, rf"(?is)<h{level}[^>]*>\s*((?:(?!</h{level}>).)*?)\s*</h{level}>", "\n" + "#" * min(level + 1, 6) + " $1\n")
+        c = once(c, _headings(level))
     c = F.regexp_replace(c, r"(?i)<br\s*/?>|</p\s*>", "\n")
     c = F.regexp_replace(c, r"(?i)</?(p|div|body|html)[^>]*>", "")
     return F.regexp_replace(c, r"<(?!!--)[^>]+>", "")
 
 
+def without_tags(c: Column) -> Column:
+    """HTML fragments within Markdown: fences, headings, breaks, paragraphs, other tags; comments stay."""
+    fences = lambda x: F.regexp_replace(F.regexp_replace(x, r"(?is)```html\s*(.*?)\s*```", "$1"), r"(?im)^```html\s*$", "")
+    c = once(c, lambda x: F.when(x.contains("```"), fences(x)).otherwise(x))
+    return once(c, lambda x: F.when(x.contains("<"), _tags(x)).otherwise(x))
+
+
 def with_references_decoded(c: Column) -> Column:
     """What follows without_tags(): character references, then blanks before line ends. It reads c three times."""
     return F.regexp_replace(decoded(c), r"[ \t]+\n", "\n")

@@ -18,18 +18,35 @@ def by_path_or_name(left: DataFrame, right: DataFrame, path: str = "source_path"
     return out.select(*left.columns, F.coalesce("_exact", "_named").alias("match"))
 
 
-def _grams(c: Column, sizes: tuple[int, ...] = (1, 2, 3)) -> Column:
-    at = lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - n + 1, F.lit(1))), lambda i: c.substr(i, F.lit(n)))
-    return F.array_distinct(F.concat(*map(at, sizes)))
+#: Sizes of the pieces by which names are found; the last is for parts that are as long at least.
+GRAMS = (1, 2, 3, 6)
+
+
+def _pieces(c: Column, n: int) -> Column:
+    """All pieces of n characters; none of shorter texts."""
+    at = F.sequence(F.lit(1), F.greatest(F.length(c) - n + 1, F.lit(1)))
+    return F.when(F.length(c) >= n, F.array_distinct(F.transform(at, lambda i: c.substr(i, F.lit(n))))).otherwise(F.array().cast("array<string>"))
 
 
 def containing(left: DataFrame, key: str, part: str, right: DataFrame, whole: str) -> DataFrame:
     """key, whole: the first of the names in right, by order, that contains the row's part; rows without one are left out.
 
-    Not every name meets every part: a name is found by the part's first three characters, then tested."""
-    lookup = left.where(F.col(part) != "").select(key, part, F.substring(part, 1, 3).alias("_g"))
-    names = right.select(whole).distinct().select(whole, F.explode(_grams(F.col(whole))).alias("_g"))
-    return lookup.join(names, "_g").where(F.contains(F.col(whole), F.col(part))).groupBy(key).agg(F.min(whole).alias(whole))
+    Parts and names meet by pieces of names. A part as short as a piece needs only the first name that holds it, which each piece
+    knows. A longer one is looked up by its rarest piece, so that a beginning that all names share brings no names together;
+    the names that hold this piece are then tested. Equal parts are looked up once."""
+    parts = left.where(F.col(part) != "").select(F.col(part).alias("_part")).distinct()
+    size = F.length("_part")
+    which = F.when(size >= GRAMS[-1], _pieces(F.col("_part"), GRAMS[-1])).when(size > 3, _pieces(F.col("_part"), 3)).otherwise(F.array("_part"))
+    asked = parts.select("_part", F.explode(which).alias("_g"))
+    names = right.select(F.col(whole).alias("_whole")).distinct().select("_whole", F.explode(F.concat(*(_pieces(F.col("_whole"), n) for n in GRAMS))).alias("_g"))
+    named = names.join(asked.select("_g").distinct(), "_g", "left_semi")
+    held = named.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"), F.min("_whole").alias("_first"))
+    looked = asked.join(held, "_g")
+    short = looked.where(size <= 3).select("_part", F.col("_first").alias("_whole"))
+    rarest = looked.where(size > 3).groupBy("_part").agg(F.min(F.struct("_n", "_g")).alias("_x")).select("_part", F.col("_x._g").alias("_g"))
+    long = rarest.join(named, "_g").where(F.contains("_whole", F.col("_part"))).groupBy("_part").agg(F.min("_whole").alias("_whole"))
+    found = short.unionByName(long).select(F.col("_part").alias(part), F.col("_whole").alias(whole))
+    return left.select(key, part).join(found, part).groupBy(key).agg(F.min(whole).alias(whole))
 
 
 def markdown_of(repairs: DataFrame, markdown: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import text as T
 
@@ -13,6 +14,7 @@ _PAGE = r"(?s)<!--\s*source_page:\s*(\d+)\s*-->\s*(.*?)(?=<!--\s*source_page:\s*
 _OCR_PAGE = r"(?sm)^## Page (\d+)[^\S\n]*\n(.*?)(?=^## Page \d+[^\S\n]*\n|\z)"
 _TABLE = r"(?sm)^### Source PDF page (\d+) table (\d+)\s*$(.*?)(?=^### Source PDF page \d+ table \d+\s*$|\z)"
 _RUN = r"(?m)((?:^[^\S\n]*\|[^\n]*(?:\n|\z))+)"
+_ENHANCED = r"(?sm)^## Source Page (\d+)\s*$(.*?)(?=^## Source Page \d+\s*$|\z)"
 LEAST_CELLS = 2
 
 
@@ -84,6 +86,29 @@ def headed_tables(docs: DataFrame, key: str = "doc_id", body: str = "body") -> D
     return found.select(key, "page", "table_no", F.posexplode_outer(rows).alias("row_no", "cells")).withColumn("row_no", F.col("row_no").cast("long") + 1)
 
 
+#: Two pipe rows or more, one below the other.
+_TABLE_RUN = r"(?m)((?:^[^\S\n]*\|[^\n]*(?:\n|\z)){2,})"
+
+
+def section_tables(sections: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, page, text) of page sections -> key, page, table_no (from 1), markdown: each run of two pipe rows or more; in a section
+    without one, its HTML tables instead."""
+    runs = F.transform(F.regexp_extract_all(F.col(text), F.lit(_TABLE_RUN), F.lit(1)), lambda r: F.array_join(F.transform(F.split(F.rtrim(r, F.lit("\n")), "\n"), T.rstrip), "\n"))
+    each = sections.select(key, "page", F.col(text).alias("_text"), F.explode(F.array(runs)).alias("_runs"))
+    piped = each.select(key, "page", F.posexplode("_runs").alias("_n", "markdown")).select(key, "page", (F.col("_n") + 1).cast("long").alias("table_no"), "markdown")
+    bare = each.where((F.size("_runs") == 0) & F.lower("_text").contains("<table")).select(F.struct(key, "page").alias("_at"), "_text")
+    return piped.unionByName(html_tables(bare, "_at", "_text").select("_at.*", "table_no", "markdown"))
+
+
+def enhanced_tables(docs: DataFrame, key: str = "doc_id", body: str = "body") -> DataFrame:
+    """(key, body) -> key, page, table_no, markdown: the tables of the sections that page headings open; of two sections of a page
+    the last that has tables counts."""
+    each = docs.select(key, F.posexplode(_sections(F.col(body), _ENHANCED)).alias("_nth", "_x"))
+    found = section_tables(each.select(F.struct(key, "_nth").alias("_at"), "_x.page", "_x.text"), "_at")
+    last = F.max("_at._nth").over(Window.partitionBy(f"_at.{key}", "page"))
+    return found.withColumn("_last", last).where("_at._nth = _last").select(f"_at.{key}", "page", "table_no", "markdown")
+
+
 def html_tables(docs: DataFrame, key: str = "doc_id", html: str = "html") -> DataFrame:
     """key, table_no (from 1), markdown of each table element: the first row is the header, short rows are padded, rows
     without text are left out, as are tables without rows."""

@@ -152,7 +152,9 @@ b AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(a.t, '(?i)<h6[
 SELECT doc_id, sha1(regexp_replace({_unescaped_sql('t')}, '[ \\t]+\\n', chr(10), 'g')) AS fragment_sha1 FROM b""")
 def html_fragments(spark, sf_dir):
     docs = load(spark, sf_dir, "documents").selectExpr("doc_id", f"{_FRAGMENT} AS t")
-    return docs.select("doc_id", F.sha1(T.html_fragments(F.col("t"))).alias("fragment_sha1"))
+    bare = clean.bound(docs, "t", T.without_tags(F.col("t")))
+    whole = clean.bound(bare, "t", T.with_references_decoded(F.col("t")))
+    return whole.select("doc_id", F.sha1("t").alias("fragment_sha1"))
 
 
 # ---- routing and manifest

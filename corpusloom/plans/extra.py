@@ -109,13 +109,17 @@ def final_audit(spark, sf_dir):
 # ---- joins by steps
 
 
-@query("""WITH l AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 4 = 0 THEN 'X/' ELSE 'a/' END || 'F' || p_partkey % 60 || '.pdf' AS sp FROM part), r AS (SELECT p_partkey AS nth, CASE WHEN p_partkey % 3 = 0 THEN 'b/' ELSE 'A/' END || 'f' || p_partkey % 70 || '.PDF' AS sp FROM part WHERE p_partkey <= 90),
-e AS (SELECT lower(sp) AS p, max(nth) AS nth FROM r GROUP BY 1), n AS (SELECT regexp_extract(lower(sp), '([^/]*)$', 1) AS n, min(nth) AS nth FROM r GROUP BY 1 HAVING count(*) = 1)
-SELECT l.k, CAST(coalesce(e.nth, n.nth) AS BIGINT) AS found FROM l LEFT JOIN e ON lower(l.sp) = e.p LEFT JOIN n ON regexp_extract(lower(l.sp), '([^/]*)$', 1) = n.n""")
+_LEFT = "SELECT p_partkey AS k, CASE WHEN p_partkey % 4 = 0 THEN 'X/' ELSE 'a/' END || 'F' || (p_partkey + p_partkey % 3) || '.pdf' AS source_path FROM part"
+#: Of four rows two share a name.
+_RIGHT = "SELECT p_partkey AS nth, CASE WHEN p_partkey % 3 = 0 THEN 'b/' ELSE 'A/' END || 'f' || CASE WHEN p_partkey % 4 < 2 THEN p_partkey ELSE p_partkey - 1 END || '.PDF' AS source_path FROM part"
+
+
+@query(f"""WITH l AS ({_LEFT}), r AS ({_RIGHT}), e AS (SELECT lower(source_path) AS p, max(nth) AS nth FROM r GROUP BY 1),
+n AS (SELECT regexp_extract(lower(source_path), '([^/]*)$', 1) AS n, min(nth) AS nth FROM r GROUP BY 1 HAVING count(*) = 1)
+SELECT l.k, CAST(coalesce(e.nth, n.nth) AS BIGINT) AS found FROM l LEFT JOIN e ON lower(l.source_path) = e.p LEFT JOIN n ON regexp_extract(lower(l.source_path), '([^/]*)$', 1) = n.n""")
 def preflight_repair(spark, sf_dir):
     part = load(spark, sf_dir, "part")
-    left = part.selectExpr("p_partkey AS k", "CASE WHEN p_partkey % 4 = 0 THEN 'X/' ELSE 'a/' END || 'F' || p_partkey % 60 || '.pdf' AS source_path")
-    right = part.where("p_partkey <= 90").selectExpr("p_partkey AS nth", "CASE WHEN p_partkey % 3 = 0 THEN 'b/' ELSE 'A/' END || 'f' || p_partkey % 70 || '.PDF' AS source_path")
+    left, right = (spark.sql(x.replace("FROM part", "FROM {part}"), part=part) for x in (_LEFT, _RIGHT))
     return links.by_path_or_name(left, right).select("k", F.col("match.nth").alias("found"))
 
 
@@ -139,11 +143,12 @@ def choose_source(spark, sf_dir):
     return links.first_existing(rows, ["by_id", "by_name", "by_manifest", "by_front"], inventory, "k")
 
 
-@query("""SELECT o_orderkey % 40 AS document, o_orderkey % 9 - 1 AS page, o_orderkey % 4 AS table_no, CASE WHEN o_orderkey % 9 - 1 < 1 OR o_orderkey % 9 - 1 > o_orderkey % 40 % 6 + 2 THEN 'source_page_out_of_range' WHEN o_orderkey % 4 < 1 OR o_orderkey % 4 > (o_orderkey % 40 + o_orderkey % 9) % 3 THEN 'source_table_not_redetected' ELSE 'checked' END AS status, count(*) AS n FROM orders GROUP BY ALL""")
+@query("""WITH d AS (SELECT c_custkey AS document, c_custkey % 6 + 2 AS pages FROM customer), o AS (SELECT o_custkey AS document, o_orderkey % 9 - 1 AS page, o_orderkey % 4 AS table_no FROM orders)
+SELECT o.document, page, table_no, CASE WHEN page < 1 OR page > coalesce(pages, 0) THEN 'source_page_out_of_range' WHEN page > 9 OR table_no < 1 OR table_no > (o.document + page + 1) % 3 THEN 'source_table_not_redetected' ELSE 'checked' END AS status, count(*) AS n FROM o LEFT JOIN d ON d.document = o.document GROUP BY ALL""")
 def table_markers(spark, sf_dir):
-    markers = load(spark, sf_dir, "orders").selectExpr("o_orderkey % 40 AS document", "o_orderkey % 9 - 1 AS page", "o_orderkey % 4 AS table_no")
-    documents = spark.range(40).selectExpr("id AS document", "id % 6 + 2 AS pages")
-    found = spark.range(40).selectExpr("id AS document", "explode(sequence(1L, 9L)) AS page").selectExpr("document", "page", "explode(sequence(1L, greatest(1L, (document + page + 1) % 3))) AS table_no").where("table_no <= (document + page + 1) % 3")
+    markers = load(spark, sf_dir, "orders").selectExpr("o_custkey AS document", "o_orderkey % 9 - 1 AS page", "o_orderkey % 4 AS table_no")
+    documents = load(spark, sf_dir, "customer").selectExpr("c_custkey AS document", "c_custkey % 6 + 2 AS pages")
+    found = documents.selectExpr("document", "explode(sequence(1L, 9L)) AS page").selectExpr("document", "page", "explode(sequence(1L, greatest(1L, (document + page + 1) % 3))) AS table_no").where("table_no <= (document + page + 1) % 3")
     return links.table_sources(markers, documents, found).groupBy("document", "page", "table_no", "status").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -234,6 +239,25 @@ def headed_tables(spark, sf_dir):
     return pages.headed_tables(docs).withColumn("cells", F.array_join("cells", ";"))
 
 
+_SECTION = """'a' || chr(10) || CASE conv_id % 3 WHEN 0 THEN '  | A | ' || turn || ' |  ' || chr(10) || '| --- |' || chr(10) || '| x |' || chr(10) || 'between' || chr(10) || '| alone |' || chr(10) || chr(10) || '| B |' || chr(10) || '|--|' || chr(10) || '<table><tr><td>not this</table>'
+ WHEN 1 THEN '| one row |' || chr(10) || '<TABLE><tr><td>h<td>' || role || '</tr><tr><td>v</td></tr></TABLE> and <table><tr><th>z</table>' ELSE 'no table | here' || chr(10) || '| one |' END"""
+
+
+@query("""SELECT conv_id AS doc_id, turn + 1 AS page, CAST(unnest([1, 2]) AS BIGINT) AS table_no, unnest(['  | A | ' || turn || ' |' || chr(10) || '| --- |' || chr(10) || '| x |', '| B |' || chr(10) || '|--|']) AS markdown FROM conversations WHERE conv_id % 3 = 0
+UNION ALL SELECT conv_id, turn + 1, unnest([1, 2]), unnest(['| h | ' || role || ' |' || chr(10) || '| --- | --- |' || chr(10) || '| v |  |', '| z |' || chr(10) || '| --- |']) FROM conversations WHERE conv_id % 3 = 1""")
+def section_tables(spark, sf_dir):
+    return pages.section_tables(load(spark, sf_dir, "conversations").selectExpr("conv_id AS doc_id", "turn + 1 AS page", f"{_SECTION} AS text"))
+
+
+_PAGES = """'| not | in a page |' || chr(10) || '| --- | --- |' || chr(10) || '## Source Page 4' || chr(10) || '| old |' || chr(10) || '| --- |' || chr(10) || '## Source Page 4  ' || chr(10) || '| ' || p_brand || ' |' || chr(10) || '| --- |' || chr(10) || '## Source Page 4' || chr(10) || 'none'
+ || chr(10) || '## Source Page 7' || chr(10) || '<table><tr><td>' || p_name || '</table>'"""
+
+
+@query("SELECT p_partkey AS doc_id, CAST(unnest([4, 7]) AS BIGINT) AS page, 1::BIGINT AS table_no, '| ' || unnest([p_brand, p_name]) || ' |' || chr(10) || '| --- |' AS markdown FROM part")
+def enhanced_tables(spark, sf_dir):
+    return pages.enhanced_tables(load(spark, sf_dir, "part").selectExpr("p_partkey AS doc_id", f"{_PAGES} AS body"))
+
+
 _HTML_TABLE = "'<p>x</p><TABLE class=a><tr><th>H&amp;M</th><th> two  words </th></tr><tr><td><b>' || doc_id || '</b><td>a|b</td><td>extra<tr><td> </td></tr></TABLE> text <table></table><table><tr><td>' || source || '</table>'"
 
 
