@@ -374,4 +374,4 @@ def page_budget(spark, sf_dir):
     return audit.within_budget(sizes, "conv_id", "pages", 200)
 
 
-from . import archives, extra, files, more, office  # noqa: E402, F401  register their queries
+from . import archives, extra, files, more, office, pdfs  # noqa: E402, F401  register their queries
