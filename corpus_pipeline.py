@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import decontaminate, near_dedup, packing, suffix_dedup, toxicity
-from corpusloom.llm.common import stored, table
+from corpusloom.llm.common import made, release, stored, table
 
 
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +54,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), made()
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), name)
+        release(spark, before, keep=1)  # the stage's own tables and its input; its output is stored
     return docs

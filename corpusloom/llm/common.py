@@ -31,13 +31,31 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Paths in the shared folder that aren't deleted yet, in the order in which they were made.
+_made: list[str] = []
+
+
 def scratch(spark: SparkSession, tag: str) -> str:
-    """A new path in the shared folder; it is deleted when the driver ends."""
+    """A new path in the shared folder; it is deleted by release() or when the driver ends."""
     path = f"{shared_dir(spark)}/corpusloom-{tag}-{uuid.uuid4().hex}"
-    atexit.register(_delete, spark, path)
+    if not _made:
+        atexit.register(release, spark)
+    _made.append(path)
     return path
 
 
+def release(spark: SparkSession, since: int = 0, keep: int = 0) -> None:
+    """Deletes the tables stored since so many were, but for the last few: for when what was made of them is stored itself."""
+    gone = _made[since : len(_made) - keep]
+    for path in gone:
+        _delete(spark, path)
+    _made[since : len(_made) - keep] = []
+
+
+def made() -> int:
+    return len(_made)
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     try:
         at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -173,6 +173,11 @@ def class_weights(labels: DataFrame, sample: int = SAMPLE) -> tuple[float, float
     return max(1.0, other / (sample - sample // 2)), max(1.0, hot / (sample // 2))
 
 
+def labels_of(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The labels of documents that docs holds, so that a part of a corpus is sampled from what it has."""
+    return stored(labels.select("doc_id", "quality", "toxic").join(docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), "doc_id", "left_semi"), "labels")
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """doc_id, text, grade of at most so many labelled documents: half of them toxic, if there are enough, chosen by hash.
 
@@ -221,6 +226,7 @@ def telling_features(sample: DataFrame, most: int = FEATURES) -> list[bytes]:
 def fitted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Features and vectors of the sample are made on the executors; the driver gets at most FEATURES names and the
     sample's vectors over them."""
+    labels = labels_of(docs, labels)
     some = stored(labelled_sample(docs, labels, sample), "sample")
     names = telling_features(some)
     sent = docs.sparkSession.sparkContext.broadcast(names)  # bounded by FEATURES

@@ -78,3 +78,15 @@ def test_stages_on_nulls_repeats_and_nothing(spark):
         assert (None, True) in got and (None, False) in got and (1, False) in got and (2, False) in got
         assert stage(spark, docs.limit(0), SF).count() == 0
     assert corpus_pipeline.pack(spark, docs, SF).where("doc_id IS NULL").count() == 2
+
+
+def test_run_frees_its_tables(spark):
+    """Of what the stages store only the last output is left."""
+    from corpusloom.llm import common
+
+    before = common.made()
+    out = corpus_pipeline.run(spark, SF)
+    assert common.made() == before + 1 and common._made[-1] in out.inputFiles()[0]
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(common.shared_dir(spark))
+    there = {x.getPath().getName() for x in folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder)}
+    assert not {p.rsplit("/", 1)[-1] for p in common._made[:-1]} - there and out.count() > 0

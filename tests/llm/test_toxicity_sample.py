@@ -1,4 +1,4 @@
-"""A bounded sample gives the class shares of all labels."""
+"""A bounded sample gives the class shares of the labels of the documents that there are."""
 
 import numpy as np
 
@@ -24,3 +24,13 @@ def test_a_sample_is_weighted_to_all_labels(spark):
     assert share(plain) > 0.2 and abs(share(weighted) - share(whole)) < 0.03
     model = toxicity.fitted(docs, labels, 600)
     assert toxicity.severity(docs, model).where("toxic").count() < 0.1 * 3000
+
+
+def test_a_part_of_a_corpus_is_sampled_from_its_own_labels(spark):
+    """Labels of a hundred thousand documents, of which there are a thousand: the sample is drawn from these."""
+    docs = spark.range(0, 100_000, 100).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    labels = spark.range(100_000).selectExpr("id AS doc_id", "1 AS quality", "CAST(id % 1000 = 0 AS INT) AS toxic")
+    own = toxicity.labels_of(docs, labels)
+    assert own.count() == 1000 and toxicity.class_weights(own, 400) == (4.5, 1.0)
+    got = toxicity.labelled_sample(docs, own, 400).groupBy("grade").count().collect()
+    assert {r.grade > 0: r["count"] for r in got} == {False: 200, True: 100}
