@@ -85,11 +85,11 @@ def latest(log: DataFrame, key: list[str], order: list[str], value: str) -> Data
 def within_budget(rows: DataFrame, key: str, size: str, budget: int, parts: int = 64) -> DataFrame:
     """Rows in the order of key, a whole number, while the running sum of size, which isn't negative, is within budget.
 
-    Keys are cut into ranges; sums before a range come from one row per range, sums within it from its own rows."""
-    lo, hi = rows.agg(F.min(key), F.max(key)).first()
-    if lo is None:
-        return rows.withColumn("running", F.lit(None).cast("long"))
-    ranged = rows.withColumn("_range", F.floor((F.col(key) - lo) / F.lit(max(1, -(-(hi - lo + 1) // parts)))))
+    Keys are cut into ranges of about as many rows, whatever their spread; sums before a range come from one row per range, sums within
+    it from its own rows. Rows with equal keys are added one by one, in any order; null keys come first."""
+    cuts = rows.agg(F.percentile_approx(F.col(key).cast("long"), F.array(*(F.lit(k / parts) for k in range(1, parts))))).first()[0]
+    bounds = F.array(*(F.lit(c) for c in sorted({*(cuts or [])}))).cast("array<bigint>")
+    ranged = rows.withColumn("_range", F.size(F.filter(bounds, lambda b: b < F.coalesce(F.col(key), F.lit(-(1 << 63))))))
     before = ranged.groupBy("_range").agg(F.sum(size).alias("_sum"))
     before = before.select("_range", (F.sum("_sum").over(Window.orderBy("_range")) - F.col("_sum")).alias("_before")).where(F.col("_before") <= budget)  # parts rows at most
     within = F.sum(size).over(Window.partitionBy("_range").orderBy(key).rowsBetween(Window.unboundedPreceding, 0))

@@ -90,13 +90,13 @@ def count_reconcile(spark, sf_dir):
     return tables.file_levels(found, expected, "file_no")
 
 
-@query("""WITH o AS (SELECT o_orderkey % 50 AS page, o_orderkey AS table_no, o_custkey % 9 + 1 AS rows, row_number() OVER (PARTITION BY o_orderkey % 50 ORDER BY o_orderkey) AS k FROM orders),
-e AS (SELECT o_orderkey % 50 AS page, o_custkey % 7 + 1 AS rows, row_number() OVER (PARTITION BY o_orderkey % 50 ORDER BY o_orderkey) AS k FROM orders WHERE o_custkey % 3 <> 0)
+@query("""WITH o AS (SELECT o_custkey AS page, o_orderkey AS table_no, o_custkey % 9 + 1 AS rows, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS k FROM orders),
+e AS (SELECT o_custkey AS page, o_custkey % 7 + 1 AS rows, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS k FROM orders WHERE o_orderkey % 3 <> 0)
 SELECT o.page, table_no, CASE WHEN e.rows IS NULL THEN 'kept_missing_enhanced_table' ELSE 'replaced' END AS status, o.rows AS original_rows, coalesce(e.rows, 0) AS enhanced_rows FROM o LEFT JOIN e ON o.page = e.page AND o.k = e.k""")
 def apply_repair(spark, sf_dir):
     orders = load(spark, sf_dir, "orders")
-    original = orders.selectExpr("o_orderkey % 50 AS page", "o_orderkey AS table_no", "o_custkey % 9 + 1 AS rows")
-    enhanced = orders.where("o_custkey % 3 <> 0").selectExpr("o_orderkey % 50 AS page", "o_orderkey AS table_no", "o_custkey % 7 + 1 AS rows")
+    original = orders.selectExpr("o_custkey AS page", "o_orderkey AS table_no", "o_custkey % 9 + 1 AS rows")
+    enhanced = orders.where("o_orderkey % 3 <> 0").selectExpr("o_custkey AS page", "o_orderkey AS table_no", "o_custkey % 7 + 1 AS rows")
     return tables.repaired(original, enhanced, ["page"])
 
 
