@@ -31,6 +31,8 @@ COLLISIONS, FIRST, GROWTH, JUMP = 0.88, 1.2, 1.04, 4
 #: Probability that a neighbour at the distance of the k-th best is verified.
 CERTAIN = 0.8
 BLOCK, CHUNK = 1 << 14, 1 << 16
+#: Queries whose windows are kept at a time.
+AT_ONCE = 1 << 11
 
 
 def certain_radius(projections: int, share: float = COLLISIONS, certain: float = CERTAIN) -> float:
@@ -62,6 +64,10 @@ class Block:
 
     def nearest(self, query_ids: list[int], queries: np.ndarray, k: int):
         """(ids, scores) of each query's k nearest among the vectors that are verified, and how many these are."""
+        for s in range(0, len(query_ids), AT_ONCE):
+            yield from self._nearest(query_ids[s : s + AT_ONCE], queries[s : s + AT_ONCE], k)
+
+    def _nearest(self, query_ids: list[int], queries: np.ndarray, k: int):
         n, m = len(self.ids), len(self.sorted)
         lengths = np.sqrt((queries * queries).sum(1))
         at = (np.concatenate([queries * (self.norm / lengths)[:, None], np.zeros((len(queries), 1))], 1) @ self.directions).T
@@ -74,20 +80,26 @@ class Block:
                 windows[level] = [np.stack([np.searchsorted(s, a + d, side) for s, a in zip(self.sorted, at)], 1) for d, side in ((-r, "left"), (r, "right"))]
             return windows[level]
 
+        least = None  # the level at which the quickest query so far has ended: none starts far below it
         for i, (query_id, q) in enumerate(zip(query_ids, queries)):
-            low, high = (e[i].tolist() for e in window(0))
+            level = 0 if least is None else max(0, least - JUMP)
+            low, high = (e[i].tolist() for e in window(level))
             missed = np.bincount(np.concatenate([o[:a] for o, a in zip(self.order, low)] + [o[b:] for o, b in zip(self.order, high)]), minlength=n)
-            verified, rough, level = np.zeros(n, bool), np.full(n, -np.inf), 0
+            verified, found, rough, count = np.zeros(n, bool), [], [], 0
+            best = np.full(k, -np.inf)
             while True:
                 new = np.flatnonzero((missed <= missable) & ~verified)
                 verified[new] = True
-                rough[new] = self.x[new] @ q
-                rough[new[self.ids[new] == query_id]] = -np.inf
-                if verified.all():
+                count += len(new)
+                new = new[self.ids[new] != query_id]
+                found.append(new), rough.append(self.x[new] @ q)
+                both = np.concatenate([best, rough[-1]])
+                best = np.partition(both, len(both) - k)[len(both) - k :]
+                if count == n:
                     break
-                kth = np.partition(rough, n - k)[n - k] if n > k else -np.inf
+                kth = best.min()
                 apart = 2 * self.norm * max(0.0, self.norm - kth / lengths[i])  # squared distance of the k-th
-                need = sure * np.sqrt(apart) if n > k and kth > -np.inf else np.inf
+                need = sure * np.sqrt(apart) if kth > -np.inf else np.inf
                 ahead = next((j for j in range(JUMP) if self.step * GROWTH ** (level + j) >= need), JUMP)
                 if not ahead:
                     break
@@ -96,11 +108,12 @@ class Block:
                 entered = [o[a:b] for o, a, b in zip(self.order, new_low, low)] + [o[a:b] for o, a, b in zip(self.order, high, new_high)]
                 missed -= np.bincount(np.concatenate(entered), minlength=n)
                 low, high = new_low, new_high
-            edge = max(np.partition(rough, n - 2 * k)[n - 2 * k] if n > 2 * k else -np.inf, -np.finfo(float).max)
-            found = np.flatnonzero(rough >= edge - 1e-9 * self.norm * lengths[i])  # ties with the last of them included
-            scores, ids = (self.x[found] * q).sum(1), self.ids[found]
+            least = level if least is None else min(least, level)
+            some, rough = np.concatenate(found), np.concatenate(rough)
+            some = some[rough >= best.min() - 1e-9 * self.norm * lengths[i]]  # ties with the last of them included
+            scores, ids = (self.x[some] * q).sum(1), self.ids[some]
             order = np.lexsort((ids, -scores))[:k]
-            yield ids[order], scores[order], int(verified.sum())
+            yield ids[order], scores[order], count
 
 
 def usable(c: str | Column, size: int) -> Column:

@@ -40,3 +40,23 @@ def test_repeated_vectors_count_once(spark):
         assert len(set(found)) == len(found) == 20
         hits += len(set(found) & set([i for i in ids[order].tolist() if i != q][:20]))
     assert sorted(got) == [*range(0, 3000, 300), 9000] and hits >= 0.9 * 20 * len(got)
+
+
+def test_windows_of_a_part_of_the_queries(monkeypatch):
+    """Queries in several parts find what they find at once, and the recall on the contract's queries is stated."""
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((6000, 24))
+    block = collision_search.Block(np.arange(6000), x)
+    ids = list(range(0, 6000, 20))
+    found = {}
+    for n in (1 << 11, 7):
+        monkeypatch.setattr(collision_search, "AT_ONCE", n)
+        found[n] = [i.tolist() for i, _, _ in block.nearest(ids, x[ids], 20)]
+    hits = {n: 0 for n in found}
+    for k, q in enumerate(ids):
+        scores = x @ x[q]
+        scores[q] = -np.inf
+        best = {*np.argsort(-scores, kind="stable")[:20].tolist()}
+        for n in found:
+            hits[n] += len(best & {*found[n][k]})
+    assert min(hits.values()) >= 0.9 * 20 * len(ids)
