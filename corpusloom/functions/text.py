@@ -22,7 +22,7 @@ PROVIDER_ERRORS = ("<think>", "invalid api key", "sensitive image", "server erro
 COMMENT = r"(?s)<!--.*?-->"
 COMPACTED = rf"[#*|:`_\-\s\x0b\x1c-\x1f\x85\p{{Z}}]"
 #: What a cell's relaxed form leaves out, beside white space, and what its number does.
-RELAXED = rf"""(?:{WS}|[,，.。;；:：!！?？()（）\[\]【】<>《》"'“”‘’、/\\|-])+"""
+RELAXED = r"""[\s\x0b\x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000,，.。;；:：!！?？()（）\[\]【】<>《》"'“”‘’、/\\|-]+"""
 NUMBER_MARKS = "[,，%￥¥]"
 NUMBER = r"^[-+]?\d+(\.\d+)?$"
 SEPARATOR_CELL = rf"^{WS}*:?-{{3,}}:?{WS}*$"
@@ -103,20 +103,10 @@ def numeric(c: Column) -> Column:
     return once(plain, lambda x: F.when(x.rlike(NUMBER), x.cast("double")))
 
 
-def cell_key(c: Column) -> Column:
-    """What a cell is compared by: its number n, or if it is none its relaxed form r."""
-    return once(numeric(c), lambda n: F.struct(n.alias("n"), F.when(n.isNull(), relaxed(c)).alias("r")))
-
-
-def same_key(x: Column, y: Column) -> Column:
-    """Cells of two engines agree: as numbers if one is a number, else in their relaxed forms. A missing cell is a blank one."""
-    blank = lambda k: F.coalesce(k["r"], F.lit(""))
-    numbers = x["n"].isNotNull() | y["n"].isNotNull()
-    return F.when(numbers, F.coalesce(F.abs(x["n"] - y["n"]) <= 1e-9, F.lit(False))).otherwise(blank(x) == blank(y))
-
-
 def same_cell(a: Column, b: Column) -> Column:
-    return once(F.struct(cell_key(a).alias("a"), cell_key(b).alias("b")), lambda k: same_key(k["a"], k["b"]))
+    """Cells of two engines agree: as numbers if one is a number, else in their relaxed forms; equal cells aren't looked at."""
+    numbers = once(F.struct(numeric(a).alias("x"), numeric(b).alias("y")), lambda n: F.when(n["x"].isNotNull() | n["y"].isNotNull(), F.coalesce(F.abs(n["x"] - n["y"]) <= 1e-9, F.lit(False))))
+    return F.when(a == b, F.lit(True)).otherwise(F.coalesce(numbers, relaxed(a) == relaxed(b)))
 
 
 def alphanumeric(text: str | None) -> str:

@@ -19,7 +19,9 @@ def cell_text(c: Column) -> Column:
 
 def flat_cell(c: Column) -> Column:
     """A cell for comparison of engines: newlines and runs of blanks become one space."""
-    return T.strip(F.regexp_replace(F.regexp_replace(F.regexp_replace(F.coalesce(c, F.lit("")), r"\r\n?", "\n"), r"[ \t\u3000]+", " "), r"\n+", " "))
+    spaced = lambda x: F.regexp_replace(F.regexp_replace(F.regexp_replace(x, r"\r\n?", "\n"), r"[ \t\u3000]+", " "), r"\n+", " ")
+    uneven = lambda x: x.contains("  ") | x.contains("\n") | x.contains("\t") | x.contains("\r") | x.contains("\u3000")
+    return T.once(F.coalesce(c, F.lit("")), lambda x: T.strip(F.when(uneven(x), spaced(x)).otherwise(x)))
 
 
 def rendered(rows: DataFrame, keys: list[str], order: str, cells: str = "cells") -> DataFrame:
@@ -97,13 +99,11 @@ MISMATCHES = 3
 
 
 def _gathered(rows: DataFrame, keys: list[str], order: str, cells: str) -> DataFrame:
-    """One row per table: its rows in order, each cell with its keys, which are made once; rows without content at the end go."""
-    flat = F.transform(cells, flat_cell)
-    keyed = rows.select(*keys, F.col(order).alias("o"), F.explode(F.array(flat)).alias("c"))  # evaluated once
-    keyed = keyed.select(*keys, "o", F.exists("c", lambda c: c != "").alias("filled"), F.transform("c", T.cell_key).alias("k"))
-    each = keyed.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("o", "filled", "k"))).alias("t"))
-    last = F.array_max(F.transform("t", lambda r, i: F.when(r["filled"], i + 1).otherwise(0)))
-    return each.select(*keys, F.transform(F.slice("t", F.lit(1), last), lambda r: r["k"]).alias("t")).where(F.size("t") > 0)
+    """One row per table: its rows in order, cells flattened, once each; rows without content at the end go."""
+    flat = rows.select(*keys, F.col(order).alias("o"), F.explode(F.array(F.transform(cells, flat_cell))).alias("c"))
+    each = flat.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("o", "c"))), lambda r: r["c"]).alias("t"))
+    filled = F.transform("t", lambda r, i: F.when(F.exists(r, lambda c: c != ""), i + 1).otherwise(0))
+    return each.select(*keys, F.slice("t", F.lit(1), F.array_max(filled)).alias("t")).where(F.size("t") > 0)
 
 
 def compared(a: DataFrame, b: DataFrame, keys: list[str], order: str = "row_no", cells: str = "cells") -> DataFrame:
@@ -115,7 +115,8 @@ def compared(a: DataFrame, b: DataFrame, keys: list[str], order: str = "row_no",
     width = lambda t: F.array_max(F.transform(t, F.size))
     shape = lambda t: F.concat(F.size(t).cast("string"), F.lit("x"), width(t).cast("string"))
     both = both.withColumn("sx", shape("x")).withColumn("sy", shape("y"))
-    off = lambda p, q: F.size(F.filter(F.zip_with(p, q, T.same_key), lambda ok: ~ok))
+    blank = lambda c: F.coalesce(c, F.lit(""))
+    off = lambda p, q: F.size(F.filter(F.zip_with(p, q, lambda u, v: T.same_cell(blank(u), blank(v))), lambda ok: ~ok))
     count = F.aggregate(F.zip_with("x", "y", off), F.lit(0), lambda n, k: F.least(n + k, F.lit(MISMATCHES)))
     both = both.withColumn("n", F.when(F.col("sx") == F.col("sy"), count))
     reason = (
