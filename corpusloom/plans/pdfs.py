@@ -133,7 +133,7 @@ def page_markdown(found: DataFrame) -> DataFrame:
     texts = tables.outside_boxes(found.where("kind = 'text'").select(*keys, *box, "text"), places, keys).select(*keys, F.lit("text").alias("kind"), F.col("x0").alias("x"), F.col("y0").alias("y"), "text")
     drawn = tables.rendered(rows, [*keys, "table_no", "x0", "y0"], "row_no")
     head = F.concat(F.lit("### Source PDF page "), F.col("page").cast("string"), F.lit(" table "), F.col("table_no").cast("string"), F.lit("\n\n"), "markdown")
-    return pages.interleaved(texts.unionByName(drawn.select(*keys, F.lit("table").alias("kind"), F.col("x0").alias("x"), F.col("y0").alias("y"), head.alias("text"))), keys)
+    return pages.interleaved(texts.unionByName(drawn.select(*keys, F.lit("table").alias("kind"), F.col("x0").alias("x"), F.col("y0").alias("y"), head.alias("text"))), ["path"])
 
 
 @query("""WITH t AS (SELECT CAST(p_partkey AS VARCHAR) AS path, p_partkey % 5 AS k, p_name || ' is the name' || chr(10) || 'of ' || p_brand || ' (all of it) and more text of it' AS words,
