@@ -144,22 +144,67 @@ def document_issues(docs: DataFrame, inventory: DataFrame) -> DataFrame:
     return d.select("path", "doc_id", "source_path", F.col("compact_chars").alias("body_chars"), F.array_distinct(F.concat(some(checks), F.col("issues"), some(after))).alias("issues"))
 
 
+def _found(docs: DataFrame, chunks: DataFrame, inventory: DataFrame) -> DataFrame:
+    """One row of counts over documents and chunks; each part of it is one row as well."""
+    member = F.when(F.col("member") != "", F.col("member"))
+    keyed = F.when(F.coalesce(F.col("source_path"), F.lit("")) != "", F.concat_ws("::", "source_path", member))
+    known = inventory.select("path").distinct()
+    good = chunks.where("bad_line IS NULL")
+
+    def twice(d: DataFrame, c: Column, name: str) -> DataFrame:
+        some = d.where(F.coalesce(c, F.lit("")) != "").groupBy(c.alias("k")).count().where("count > 1")
+        return some.agg(F.count(F.lit(1)).alias(name))
+
+    def lost(c: str, name: str) -> DataFrame:
+        return good.join(known, good[c] == known["path"], "left_anti").agg(F.count(F.lit(1)).alias(name))
+
+    ids = lambda d, name: d.where("coalesce(doc_id, '') <> ''").select("doc_id").distinct().withColumn(name, F.lit(1))
+    apart = F.count_if(F.col("d").isNull() | F.col("c").isNull()).alias("apart")
+    parts = [
+        docs.agg(F.count(F.lit(1)).alias("documents"), F.count_if(F.size("issues") > 0).alias("failed_documents"), F.count_distinct(keyed).alias("unique_source_paths")),
+        ids(docs, "d").join(ids(chunks, "c"), "doc_id", "full_outer").agg(apart, F.count("d").alias("unique_doc_ids"), F.count("c").alias("unique_chunk_doc_ids")),
+        twice(docs, F.col("doc_id"), "same_ids"),
+        twice(docs, keyed, "same_sources"),
+        twice(chunks, F.col("chunk_id"), "same_chunks"),
+        lost("markdown_path", "lost_markdown"),
+        lost("source_path", "lost_sources"),
+        chunks.agg(F.count_if(F.col("bad_line").isNull()).alias("chunks"), F.count_distinct("bad_line").alias("bad_lines")),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.join(part)  # a row on either side
+    return out
+
+
+def _named(expected: int | None) -> list[Column]:
+    """The issues of the row of counts, in their order, null where there is none; bad lines come between the third and the fourth."""
+    count = lambda name, c: F.when(F.col(c) > 0, F.concat(F.lit(f"{name}:"), F.col(c).cast("string")))
+    mismatch = F.concat(F.lit("document_count_mismatch:"), F.col("documents").cast("string"), F.lit(f"!={expected}"))
+    return [
+        F.when(F.col("documents") != expected, mismatch) if expected is not None else F.lit(None).cast("string"),
+        count("duplicate_doc_ids", "same_ids"),
+        count("duplicate_source_paths", "same_sources"),
+        count("duplicate_chunk_ids", "same_chunks"),
+        F.lit(None).cast("string"),
+        count("missing_chunk_markdown_paths", "lost_markdown"),
+        count("missing_chunk_source_paths", "lost_sources"),
+        F.when(F.col("apart") > 0, "chunk_document_coverage_mismatch"),
+    ]
+
+
+def final_issues(docs: DataFrame, chunks: DataFrame, inventory: DataFrame, expected: int | None = None) -> DataFrame:
+    """The global issues that final_audit() counts, a row each -> nth, issue, in the order of nth; each bad line is one."""
+    counts = _found(docs, chunks, inventory)
+    plain = counts.select(F.posexplode(F.array(*_named(expected))).alias("k", "issue")).where("issue IS NOT NULL")
+    bad = chunks.where("bad_line IS NOT NULL").select(F.col("bad_line").cast("long").alias("line")).distinct()
+    lines = bad.select((F.lit(4 << 40) + F.col("line")).alias("nth"), F.concat(F.lit("invalid_chunk_json_line:"), F.col("line").cast("string")).alias("issue"))
+    return plain.select((F.col("k").cast("long") * F.lit(1 << 40)).alias("nth"), "issue").unionByName(lines)
+
+
 def final_audit(docs: DataFrame, chunks: DataFrame, inventory: DataFrame, expected: int | None = None) -> DataFrame:
     """Issues of documents as document_issues() gives them, with member; chunks(chunk_id, doc_id, markdown_path,
-    source_path, bad_line) -> one row: counts, global_issues in their order, clean."""
-    keyed = F.when(F.coalesce(F.col("source_path"), F.lit("")) != "", F.concat_ws("::", "source_path", F.when(F.col("member") != "", F.col("member"))))
-    twice = lambda d, c: d.where(F.coalesce(c, F.lit("")) != "").groupBy(c.alias("k")).count().where("count > 1").agg(F.count(F.lit(1)).alias("n"))
-    known = inventory.select("path").distinct()
-    lost = lambda c: chunks.where("bad_line IS NULL").join(known, chunks[c] == known["path"], "left_anti").agg(F.count(F.lit(1)).alias("n"))
-    ids = lambda d: d.where("coalesce(doc_id, '') <> ''").select("doc_id").distinct()
-    sides = ids(docs).withColumn("d", F.lit(1)).join(ids(chunks).withColumn("c", F.lit(1)), "doc_id", "full_outer").agg(F.count_if(F.col("d").isNull() | F.col("c").isNull()).alias("apart"), F.count("d").alias("unique_doc_ids"), F.count("c").alias("unique_chunk_doc_ids"))
-    out = docs.agg(F.count(F.lit(1)).alias("documents"), F.count_if(F.size("issues") > 0).alias("failed_documents"), F.count_distinct(keyed).alias("unique_source_paths"))
-    out = out.join(sides).join(twice(docs, F.col("doc_id")).withColumnRenamed("n", "_ids")).join(twice(docs, keyed).withColumnRenamed("n", "_sources")).join(twice(chunks, F.col("chunk_id")).withColumnRenamed("n", "_chunks"))
-    out = out.join(lost("markdown_path").withColumnRenamed("n", "_markdown")).join(lost("source_path").withColumnRenamed("n", "_source")).join(chunks.agg(F.count_if(F.col("bad_line").isNull()).alias("chunks"), F.array_sort(F.collect_set("bad_line")).alias("_bad")))  # one row each
-    counted = lambda n, c: F.array_compact(F.array(F.when(F.col(c) > 0, F.concat(F.lit(f"{n}:"), F.col(c).cast("string")))))
-    count = F.array_compact(F.array(F.when(F.col("documents") != expected, F.concat(F.lit("document_count_mismatch:"), F.col("documents").cast("string"), F.lit(f"!={expected}"))))) if expected is not None else F.array().cast("array<string>")
-    bad = F.transform("_bad", lambda x: F.concat(F.lit("invalid_chunk_json_line:"), x.cast("string")))
-    cover = F.array_compact(F.array(F.when(F.col("apart") > 0, "chunk_document_coverage_mismatch")))
-    found = F.concat(count, counted("duplicate_doc_ids", "_ids"), counted("duplicate_source_paths", "_sources"), counted("duplicate_chunk_ids", "_chunks"), bad, counted("missing_chunk_markdown_paths", "_markdown"), counted("missing_chunk_source_paths", "_source"), cover)
-    out = out.withColumn("global_issues", found).withColumn("clean", (F.col("failed_documents") == 0) & (F.size("global_issues") == 0))
+    source_path, bad_line) -> one row: counts, global_issues (how many final_issues() names), clean."""
+    some = F.size(F.array_compact(F.array(*_named(expected)))).cast("long")
+    out = _found(docs, chunks, inventory).withColumn("global_issues", some + F.col("bad_lines"))
+    out = out.withColumn("clean", (F.col("failed_documents") == 0) & (F.col("global_issues") == 0))
     return out.select("documents", "failed_documents", "unique_doc_ids", "unique_source_paths", "chunks", "unique_chunk_doc_ids", "global_issues", "clean")

@@ -368,12 +368,10 @@ def source_content(rows: DataFrame, threshold: float = 0.9) -> DataFrame:
     return report_lines("source_content", counts, {"below": rows.where(low).withColumn("recall", _percent(F.col("char_recall"), 2)), "review": rows.where(~checked & ~attested)})
 
 
-def final(result: DataFrame, issues: DataFrame) -> DataFrame:
-    """What final_audit() gives, one row, and document_issues()."""
-    counts = result.withColumns({"clean": F.col("clean").cast("string"), "global_issues": F.size("global_issues")})
-    named = result.select(F.posexplode("global_issues").alias("nth", "issue"))
+def final(result: DataFrame, named: DataFrame, issues: DataFrame) -> DataFrame:
+    """What final_audit() gives, one row, final_issues() and document_issues()."""
     failed = issues.where(F.size("issues") > 0).withColumn("issues", F.array_join("issues", ", "))
-    return report_lines("final", counts, {"global_issues": named, "failed": failed})
+    return report_lines("final", result.withColumn("clean", F.col("clean").cast("string")), {"global_issues": named, "failed": failed})
 
 
 def _judged(docs: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:

@@ -89,21 +89,34 @@ def document_issues(spark, sf_dir):
     return audit.document_issues(docs, inventory).select("path", "doc_id", "source_path", "body_chars", F.array_join("issues", ",").alias("issues"))
 
 
-@query(f"""WITH {_AUDITED}, h AS (SELECT DISTINCT source_path AS p FROM ds WHERE k % 20 <> 7 UNION SELECT path FROM ds WHERE k % 10 <> 1), ch AS (SELECT CASE WHEN k % 50 = 0 THEN 'c' ELSE 'c' || k END AS chunk_id, doc_id, path AS markdown_path, source_path FROM ds WHERE k % 9 <> 4),
+#: Every fiftieth line of the chunks' file is cut off, by number.
+_COUNTED = f"""WITH {_AUDITED}, h AS (SELECT DISTINCT source_path AS p FROM ds WHERE k % 20 <> 7 UNION SELECT path FROM ds WHERE k % 10 <> 1), ch AS (SELECT CASE WHEN k % 50 = 0 THEN 'c' ELSE 'c' || k END AS chunk_id, doc_id, path AS markdown_path, source_path FROM ds WHERE k % 9 <> 4),
 f AS (SELECT count_if(CASE WHEN k % 20 = 7 AND source_path IN (SELECT p FROM h) THEN replace(replace(issues, ',source_path_not_found', ''), 'source_path_not_found', '') ELSE issues END <> '') AS failed FROM iss), key AS (SELECT source_path || CASE WHEN member <> '' THEN '::' || member ELSE '' END AS s FROM ds WHERE source_path <> ''),
 v AS (SELECT (SELECT count(*) FROM ds) AS documents, (SELECT failed FROM f) AS failed_documents, (SELECT count(DISTINCT doc_id) FROM ds WHERE doc_id <> '') AS unique_doc_ids, (SELECT count(DISTINCT s) FROM key) AS unique_source_paths, (SELECT count(*) FROM ch) AS chunks, (SELECT count(DISTINCT doc_id) FROM ch WHERE doc_id <> '') AS unique_chunk_doc_ids,
- (SELECT count(*) FROM (SELECT doc_id FROM ds WHERE doc_id <> '' GROUP BY 1 HAVING count(*) > 1)) AS a, (SELECT count(*) FROM (SELECT s FROM key GROUP BY 1 HAVING count(*) > 1)) AS b, (SELECT count(*) FROM (SELECT chunk_id FROM ch GROUP BY 1 HAVING count(*) > 1)) AS c, (SELECT count(*) FROM ch WHERE markdown_path NOT IN (SELECT p FROM h)) AS m, (SELECT count(*) FROM ch WHERE source_path NOT IN (SELECT p FROM h)) AS n)
-SELECT documents, CAST(failed_documents AS BIGINT) AS failed_documents, unique_doc_ids, unique_source_paths, chunks, unique_chunk_doc_ids, concat_ws(',', CASE WHEN documents <> 12 THEN 'document_count_mismatch:' || documents || '!=12' END, CASE WHEN a > 0 THEN 'duplicate_doc_ids:' || a END, CASE WHEN b > 0 THEN 'duplicate_source_paths:' || b END, CASE WHEN c > 0 THEN 'duplicate_chunk_ids:' || c END, 'invalid_chunk_json_line:3', 'invalid_chunk_json_line:11',
- CASE WHEN m > 0 THEN 'missing_chunk_markdown_paths:' || m END, CASE WHEN n > 0 THEN 'missing_chunk_source_paths:' || n END, 'chunk_document_coverage_mismatch') AS global_issues, false AS clean FROM v""")
-def final_audit(spark, sf_dir):
+ (SELECT count(*) FROM (SELECT doc_id FROM ds WHERE doc_id <> '' GROUP BY 1 HAVING count(*) > 1)) AS a, (SELECT count(*) FROM (SELECT s FROM key GROUP BY 1 HAVING count(*) > 1)) AS b, (SELECT count(*) FROM (SELECT chunk_id FROM ch GROUP BY 1 HAVING count(*) > 1)) AS c, (SELECT count(*) FROM ch WHERE markdown_path NOT IN (SELECT p FROM h)) AS m, (SELECT count(*) FROM ch WHERE source_path NOT IN (SELECT p FROM h)) AS n),
+i AS (SELECT 0 AS kind, 0 AS line, CASE WHEN documents <> 12 THEN 'document_count_mismatch:' || documents || '!=12' END AS issue FROM v UNION ALL SELECT 1, 0, CASE WHEN a > 0 THEN 'duplicate_doc_ids:' || a END FROM v
+ UNION ALL SELECT 2, 0, CASE WHEN b > 0 THEN 'duplicate_source_paths:' || b END FROM v UNION ALL SELECT 3, 0, CASE WHEN c > 0 THEN 'duplicate_chunk_ids:' || c END FROM v UNION ALL SELECT 4, k, 'invalid_chunk_json_line:' || k FROM ds WHERE k % 50 = 3
+ UNION ALL SELECT 5, 0, CASE WHEN m > 0 THEN 'missing_chunk_markdown_paths:' || m END FROM v UNION ALL SELECT 6, 0, CASE WHEN n > 0 THEN 'missing_chunk_source_paths:' || n END FROM v UNION ALL SELECT 7, 0, 'chunk_document_coverage_mismatch')"""
+
+
+def _final(spark, sf_dir):
     docs, inventory = _audited(spark, sf_dir)
     nth = F.regexp_extract("path", r"(\d+)", 1).try_cast("long")
     inventory = inventory.unionAll(docs.where(nth % 10 != 1).select("path"))
     found = audit.document_issues(docs, inventory).join(docs.select("path", "member"), "path")
     chunks = docs.where(nth % 9 != 4).select(F.when(nth % 50 == 0, "c").otherwise(F.concat(F.lit("c"), nth.cast("string"))).alias("chunk_id"), "doc_id", F.col("path").alias("markdown_path"), "source_path", F.lit(None).cast("int").alias("bad_line"))
-    bad = spark.range(2).select(*(F.lit(None).cast("string").alias(c) for c in ("chunk_id", "doc_id", "markdown_path", "source_path")), (F.col("id") * 8 + 3).cast("int").alias("bad_line"))
-    out = audit.final_audit(found, chunks.unionAll(bad), inventory, 12)
-    return out.withColumn("global_issues", F.array_join("global_issues", ","))
+    bad = docs.where(nth % 50 == 3).select(*(F.lit(None).cast("string").alias(c) for c in ("chunk_id", "doc_id", "markdown_path", "source_path")), nth.cast("int").alias("bad_line"))
+    return found, chunks.unionAll(bad), inventory, 12
+
+
+@query(f"{_COUNTED} SELECT documents, CAST(failed_documents AS BIGINT) AS failed_documents, unique_doc_ids, unique_source_paths, chunks, unique_chunk_doc_ids, (SELECT count(issue) FROM i) AS global_issues, false AS clean FROM v")
+def final_audit(spark, sf_dir):
+    return audit.final_audit(*_final(spark, sf_dir))
+
+
+@query(f"{_COUNTED} SELECT CAST(kind * 1099511627776 + line AS BIGINT) AS nth, issue FROM i WHERE issue IS NOT NULL")
+def final_issues(spark, sf_dir):
+    return audit.final_issues(*_final(spark, sf_dir))
 
 
 # ---- joins by steps

@@ -70,9 +70,10 @@ def test_source_content(spark):
 
 
 def test_final(spark):
-    result = spark.createDataFrame([(3, 1, 3, 2, 5, 3, ["b:1", "a"], False)], "documents long, failed_documents long, unique_doc_ids long, unique_source_paths long, chunks long, unique_chunk_doc_ids long, global_issues array<string>, clean boolean")
+    result = spark.createDataFrame([(3, 1, 3, 2, 5, 3, 2, False)], "documents long, failed_documents long, unique_doc_ids long, unique_source_paths long, chunks long, unique_chunk_doc_ids long, global_issues long, clean boolean")
+    named = frame(spark, [(7, "a"), (2, "b:1")], "nth long, issue string")
     issues = frame(spark, [("z.md", ["x", "y"]), ("a.md", []), ("b.md", ["q"])], "path string, issues array<string>")
-    got = text(reports.final(result, issues))
+    got = text(reports.final(result, named, issues))
     assert got == ["# Final Corpus Audit", "", "- Documents: 3", "- Failed documents: 1", "- Unique doc IDs: 3", "- Unique source paths: 2", "- Chunks: 5", "- Chunk document coverage: 3", "- Global issues: 2", "- Clean: `false`", "", "## Global Issues", "", "- b:1", "- a", "", "## Failed Documents", "", "- `b.md`: q", "- `z.md`: x, y"]
 
 
