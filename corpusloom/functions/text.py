@@ -47,7 +47,7 @@ def once(c: Column, f: Callable[[Column], Column]) -> Column:
 
 def newlines(c: Column) -> Column:
     """CRLF and CR become LF."""
-    return F.regexp_replace(c, r"\r\n?", "\n")
+    return F.replace(F.replace(c, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
 
 
 def lines(c: Column) -> Column:
@@ -56,7 +56,7 @@ def lines(c: Column) -> Column:
 
 def without_controls(c: Column) -> Column:
     """Control characters but tab and LF go; no-break spaces become spaces."""
-    return F.translate(F.regexp_replace(c, r"[\x00-\x08\x0b\x0c\x0e-\x1f]", ""), "\u00a0", " ")
+    return F.replace(F.regexp_replace(c, r"[\x00-\x08\x0b\x0c\x0e-\x1f]", ""), F.lit("\u00a0"), F.lit(" "))
 
 
 def slug(c: Column, most: int = 90) -> Column:
@@ -83,7 +83,8 @@ def is_noise(s: Column) -> Column:
 
 def is_chapter(s: Column) -> Column:
     """A stripped line that reads like a chapter's title."""
-    return (F.length(s) > 0) & ~s.startswith("#") & ~s.contains("|") & (F.length(s) <= 140) & s.rlike(CHAPTER)
+    begins = F.substring(s, 1, 1).isin(*"cCsSaA第一二三四五六七八九十")
+    return F.when(begins & (F.length(s) <= 140), ~s.contains("|") & s.rlike(CHAPTER)).otherwise(False)
 
 
 def promoted(line: Column) -> Column:

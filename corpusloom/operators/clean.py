@@ -34,7 +34,9 @@ def with_lines(docs: DataFrame, body: str = "body") -> DataFrame:
 
     Each line is stripped and matched once; later steps read the array."""
     text = T.without_controls(T.newlines(F.col(body)))
-    lines = F.transform(F.split(text, "[\n\x85\u2028\u2029]"), T.rstrip)  # trimming at the right is the dear half: once a line
+    for end in "\x85\u2028\u2029":
+        text = F.replace(text, F.lit(end), F.lit("\n"))
+    lines = F.transform(F.split(text, "\n"), T.rstrip)  # trimming at the right is the dear half: once a line
     docs = docs.withColumn("rows", F.transform(lines, lambda x: F.struct(x.alias("line"), T.lstrip(x).alias("s"))))
     docs = docs.withColumn("rows", F.transform("rows", lambda r: F.struct(r["line"].alias("line"), r["s"].alias("s"), T.is_noise(r["s"]).alias("noise"))))
     short = F.filter("rows", lambda r: (F.length(r["s"]) > 0) & (F.length(r["s"]) <= SHORT) & ~r["noise"])
