@@ -187,8 +187,8 @@ _DIGEST_SQL = "CAST(sum(CAST('0x' || md5(path)[1 : 8] AS BIGINT)) AS BIGINT)"
 
 @query(f"""WITH {_ROUTED}, p AS (SELECT unnest([
     'simple_direct', 'pdf_text', 'legacy_office', 'needs_ocr', 'pdf_table', 'archive', 'manual_review', 'unsupported']) AS bucket, unnest(range(8)) AS place),
-w AS (SELECT bucket, place, CASE WHEN bucket IN ('simple_direct', 'pdf_text', 'legacy_office', 'archive') THEN 'markitdown-document-converter'
-    WHEN bucket = 'needs_ocr' THEN 'markitdown-ocr' WHEN bucket = 'pdf_table' THEN 'markitdown-pdf-table-repair' ELSE 'markitdown-document-router' END AS skill FROM p),
+w AS (SELECT bucket, place, CASE WHEN bucket IN ('simple_direct', 'pdf_text', 'legacy_office', 'archive') THEN 'converter'
+    WHEN bucket = 'needs_ocr' THEN 'ocr' WHEN bucket = 'pdf_table' THEN 'table_repair' ELSE 'router' END AS skill FROM p),
 g AS (SELECT bucket, count(*) AS n, {_DIGEST_SQL} AS paths_digest FROM r GROUP BY bucket)
 SELECT g.*, skill, CAST(row_number() OVER (ORDER BY place) AS INTEGER) AS recommended_order FROM g JOIN w ON w.bucket = g.bucket""")
 def route_plan(spark, sf_dir):

@@ -57,27 +57,30 @@ def resume(todo: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     return todo.join(done.select(*keys).distinct(), keys, "left_anti")
 
 
-# The order in which buckets are recommended, what works each off, and those that a run takes by default.
+# The order in which buckets are recommended, and those that a run takes by default.
 ORDER = ("simple_direct", "pdf_text", "legacy_office", "needs_ocr", "pdf_table", "archive", "manual_review", "unsupported")
+CHEAP = ("simple_direct", "pdf_text", "legacy_office")
+
+
+#: What works a bucket off, by names of our own; planned() takes others.
 WORKERS = {
-    "simple_direct": "markitdown-document-converter",
-    "pdf_text": "markitdown-document-converter",
-    "legacy_office": "markitdown-document-converter",
-    "needs_ocr": "markitdown-ocr",
-    "pdf_table": "markitdown-pdf-table-repair",
-    "archive": "markitdown-document-converter",
-    "manual_review": "markitdown-document-router",
-    "unsupported": "markitdown-document-router",
+    "simple_direct": "converter",
+    "pdf_text": "converter",
+    "legacy_office": "converter",
+    "needs_ocr": "ocr",
+    "pdf_table": "table_repair",
+    "archive": "converter",
+    "manual_review": "router",
+    "unsupported": "router",
 }
-CHEAP = ("simple_direct", "pdf_text", "legacy_office")
 
 
-def planned(entries: DataFrame) -> DataFrame:
-    """entries(path, bytes, bucket, ...) with skill and place, the bucket's place in the order of all buckets.
+def planned(entries: DataFrame, workers: dict[str, str] = WORKERS) -> DataFrame:
+    """entries(path, bytes, bucket, ...) with skill and place, the bucket's worker and its place in the order of all buckets.
 
     A plan is a table of entries: its order is that of place and lower-cased path, which whoever writes it out sorts by."""
     each = lambda kv: F.element_at(F.create_map(*(F.lit(x) for pair in kv for x in pair)), F.col("bucket"))
-    return entries.withColumns({"skill": each(WORKERS.items()), "place": each((b, k + 1) for k, b in enumerate(ORDER))})
+    return entries.withColumns({"skill": each(workers.items()), "place": each((b, k + 1) for k, b in enumerate(ORDER))})
 
 
 def recommended(plan: DataFrame) -> DataFrame:

@@ -161,7 +161,7 @@ def test_route_plan_and_selection(spark):
     plan = route.planned(route.routed(spark.createDataFrame(paths, "path string, bytes long")))
     rows = sorted(route.recommended(plan).collect(), key=lambda r: r.recommended_order)
     assert [(r.bucket, r.n) for r in rows] == [("simple_direct", 2), ("pdf_text", 1), ("legacy_office", 1), ("needs_ocr", 1), ("archive", 1), ("unsupported", 1)]
-    assert [r.recommended_order for r in rows] == [1, 2, 3, 4, 5, 6] and rows[3].skill == "markitdown-ocr"
+    assert [r.recommended_order for r in rows] == [1, 2, 3, 4, 5, 6] and rows[3].skill == "ocr"
     assert sorted(r.path for r in route.selected(plan).collect()) == ["B.pdf", "a.txt", "c.DOC", "g.md"]
     assert [r.path for r in route.selected(plan, ("archive", "manual_review")).collect()] == ["d.zip"]
     with pytest.raises(ValueError):
