@@ -22,10 +22,20 @@ CELLS = f"""SELECT l_orderkey AS doc_id, CAST(row_no AS INT) AS row_no, CASE WHE
  CASE WHEN l_orderkey % 5 = 0 AND row_no > 1 THEN '' ELSE l_returnflag || '|' || l_linestatus END AS c2, CASE WHEN l_orderkey % 3 = 0 THEN '' ELSE repeat('z', CAST(l_partkey % 140 AS INT)) END AS c3 FROM {LINES}"""
 
 
+#: Tasks for each core where a table is dealt.
+SHARES = 4
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table dealt to all cores by its key, for files that are made of its rows: a table of short rows is a small file, which
+    Spark reads in one task or a few, however long the work on each row. Tasks aren't merged again, as their sizes say nothing."""
+    return load(spark, sf_dir, name).repartition(SHARES * spark.sparkContext.defaultParallelism, key)
+
+
 def md_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "documents").selectExpr("doc_id", f"{MD} AS body")
 

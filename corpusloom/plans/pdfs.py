@@ -12,7 +12,7 @@ from pyspark.sql.types import BinaryType
 from ..operators import pages, tables
 from ..sources import pdf, route
 from .catalog import query
-from .fixtures import load
+from .fixtures import dealt
 
 
 def _stream(data: bytes, about: bytes = b"") -> bytes:
@@ -106,7 +106,7 @@ def _pdfs(kinds: pd.Series, names: pd.Series, brands: pd.Series) -> pd.Series:
 
 
 def _read(spark, sf_dir) -> DataFrame:
-    part = load(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("path"), _pdfs(F.expr("p_partkey % 5"), "p_name", "p_brand").alias("content"))
+    part = dealt(spark, sf_dir, "part", "p_partkey").select(F.col("p_partkey").cast("string").alias("path"), _pdfs(F.expr("p_partkey % 5"), "p_name", "p_brand").alias("content"))
     return pdf.items(part)
 
 
