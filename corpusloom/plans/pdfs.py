@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
 from ..operators import pages, tables
-from ..sources import pdf, route
+from ..sources import pdf, route, scratch
 from .catalog import query
 from .fixtures import dealt
 
@@ -141,4 +141,7 @@ def page_markdown(found: DataFrame) -> DataFrame:
 SELECT path, 1 AS page, '<!-- source_page: 1 -->' || chr(10) || chr(10) || words AS markdown FROM t WHERE k IN (0, 3)
 UNION ALL SELECT path, CASE k WHEN 2 THEN 1 ELSE 3 END, '<!-- source_page: ' || CASE k WHEN 2 THEN 1 ELSE 3 END || ' -->' || chr(10) || chr(10) || 'Before it' || chr(10) || chr(10) || '### Source PDF page ' || CASE k WHEN 2 THEN 1 ELSE 3 END || ' table 1' || chr(10) || chr(10) || grid FROM t WHERE k IN (2, 3)""")
 def pdf_page_markdown(spark, sf_dir):
-    return page_markdown(_read(spark, sf_dir))
+    path = scratch.folder(spark, "pdf")
+    found = _read(spark, sf_dir)
+    found.write.parquet(path)  # read four times, and the files only once
+    return page_markdown(spark.read.schema(found.schema).parquet(path))

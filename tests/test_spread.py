@@ -16,3 +16,7 @@ def test_pdf_files_are_dealt(spark, name):
 
     assert tasks(pdfs._read(spark, SF)) >= 2 * spark.sparkContext.defaultParallelism
     assert "hashpartitioning(p_partkey" in QUERIES[name](spark, SF)._jdf.queryExecution().toString()
+
+
+def test_pdf_files_are_read_once(spark):
+    assert QUERIES["pdf_page_markdown"](spark, SF)._jdf.queryExecution().toString().count("MapInPandas") == 0
