@@ -10,7 +10,7 @@ def tasks(df):
     return df.rdd.getNumPartitions()
 
 
-@pytest.mark.parametrize("name", ["pdf_file_routes"])
+@pytest.mark.parametrize("name", ["pdf_tables", "pdf_file_routes"])
 def test_pdf_files_are_dealt(spark, name):
     from corpusloom.plans import pdfs
 
