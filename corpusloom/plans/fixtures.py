@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions import batches
+
 #: documents as Markdown: headings, chapter lines, page noise, rules, tables and blank runs by doc_id.
 MD = """CASE doc_id % 6
  WHEN 0 THEN '# Title ' || doc_id || chr(10) || text || chr(10) || '---' || chr(10) || '## Part two' || chr(10) || text
@@ -33,7 +35,7 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def dealt(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
     """A table dealt to all cores by its key, for files that are made of its rows: a table of short rows is a small file, which
     Spark reads in one task or a few, however long the work on each row. Tasks aren't merged again, as their sizes say nothing."""
-    return load(spark, sf_dir, name).repartition(SHARES * spark.sparkContext.defaultParallelism, key)
+    return batches.small(load(spark, sf_dir, name)).repartition(SHARES * spark.sparkContext.defaultParallelism, key)
 
 
 def md_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql.types import BinaryType
 from ..sources import ooxml, readers
 from ..sources.docx_sink import docx_of
 from .catalog import query
-from .fixtures import load
+from .fixtures import dealt
 
 _NS = "http://schemas.openxmlformats.org"
 _RELATION = f"{_NS}/officeDocument/2006/relationships"
@@ -54,7 +54,7 @@ SELECT path, 'docx' AS kind, part_no::INTEGER AS part_no, row_no::INTEGER AS row
 UNION ALL SELECT path, NULL, NULL, NULL, NULL, NULL, NULL, 'package_failed: BadZipFile' FROM p WHERE p_partkey % 10 = 9""")
 def word_cells(spark, sf_dir):
     parts = {"_rels/.rels": _quoted(_relations(("a", "officeDocument", "doc/main.xml"))), "doc/main.xml": _quoted(_DOCUMENT)}
-    return ooxml.office_cells(_packages(load(spark, sf_dir, "part"), parts)).drop("name")
+    return ooxml.office_cells(_packages(dealt(spark, sf_dir, "part", "p_partkey"), parts)).drop("name")
 
 
 _SHEET = f"{_NS}/spreadsheetml/2006/main"
@@ -77,7 +77,7 @@ SELECT path, 'xlsx' AS kind, unnest([1, 1, 1, 1, 1, 1, 1, 2])::INTEGER AS part_n
  unnest([2, 4, 28, 1, 2, 3, 4, 1])::INTEGER AS col_no, unnest([p_name, 'rich', p_size::VARCHAR, 'TRUE', p_brand, day, day || ' 06:00:00', p_partkey::VARCHAR]) AS text,
  unnest([true, false, false, false, false, false, false, false]) AS merged FROM p WHERE p_partkey % 10 <> 9""")
 def workbook_cells(spark, sf_dir):
-    return ooxml.office_cells(_packages(load(spark, sf_dir, "part"), _BOOK)).where("error IS NULL").drop("error")
+    return ooxml.office_cells(_packages(dealt(spark, sf_dir, "part", "p_partkey"), _BOOK)).where("error IS NULL").drop("error")
 
 
 _DRAWING, _SLIDES = f"{_NS}/drawingml/2006/main", f"{_NS}/presentationml/2006/main"
@@ -101,7 +101,7 @@ _SHOW = {
  || '<!-- Slide number: 2 -->' || chr(10) || chr(10) || '| ' || p_brand || ' | ' || p_brand || ' |' || chr(10) || '| --- | --- |' || chr(10) || '| x\\|y | ' || p_size || ' |' || chr(10) || chr(10) || '### Notes:' || chr(10) || chr(10) || 'say ' || p_partkey || chr(10) END AS markdown,
  CASE WHEN p_partkey % 10 = 9 THEN 'package_failed: BadZipFile' END AS error FROM part""")
 def slide_markdown(spark, sf_dir):
-    return ooxml.office_markdown(_packages(load(spark, sf_dir, "part"), _SHOW))
+    return ooxml.office_markdown(_packages(dealt(spark, sf_dir, "part", "p_partkey"), _SHOW))
 
 
 @F.pandas_udf(BinaryType())
@@ -115,5 +115,5 @@ _MARKDOWN = """'# Head ' || doc_id || chr(10) || chr(10) || 'see **' || lang ||
 
 @query(f"SELECT CAST(doc_id AS VARCHAR) AS path, 'docx' AS kind, {_MARKDOWN} || chr(10) AS markdown FROM documents")
 def docx_round_trip(spark, sf_dir):
-    docs = load(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), _docx(F.expr(_MARKDOWN.replace("\\", "\\\\"))).alias("content"))
+    docs = dealt(spark, sf_dir, "documents", "doc_id").select(F.col("doc_id").cast("string").alias("path"), _docx(F.expr(_MARKDOWN.replace("\\", "\\\\"))).alias("content"))
     return ooxml.office_markdown(docs).drop("error")

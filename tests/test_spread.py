@@ -4,6 +4,7 @@ import pytest
 from conftest import SF
 
 from corpusloom.plans.catalog import QUERIES
+from corpusloom.sources import ooxml
 
 
 def tasks(df):
@@ -20,3 +21,22 @@ def test_pdf_files_are_dealt(spark, name):
 
 def test_pdf_files_are_read_once(spark):
     assert QUERIES["pdf_page_markdown"](spark, SF)._jdf.queryExecution().toString().count("MapInPandas") == 0
+
+
+@pytest.mark.parametrize("name", ["workbook_cells"])
+def test_packages_are_dealt(spark, name):
+    assert tasks(QUERIES[name](spark, SF)) >= 2 * spark.sparkContext.defaultParallelism
+
+
+def test_parts_are_read_once(spark, monkeypatch):
+    from corpusloom.plans import office
+    from corpusloom.plans.fixtures import load
+
+    content = office._packages(load(spark, SF, "part").where("p_partkey = 1"), office._BOOK).first()["content"]
+    opened = []
+    plain = ooxml.Package.open
+    monkeypatch.setattr(ooxml.Package, "open", lambda self, part: (opened.append(part), plain(self, part))[1])
+    found = [*ooxml.cells_of(content)]
+    assert len(opened) == len({*opened}) == 7
+    monkeypatch.setattr(ooxml, "SMALL", 0)
+    assert [*ooxml.cells_of(content)] == found
