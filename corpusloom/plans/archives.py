@@ -11,7 +11,7 @@ from pyspark.sql.types import BinaryType
 
 from ..sources import rar, readers
 from .catalog import query
-from .fixtures import PATHS, load
+from .fixtures import PATHS, dealt
 
 
 def _varied(n: int) -> bytes:
@@ -68,7 +68,7 @@ m AS (SELECT path, rar, unnest(['top/a.txt', 'top/' || p_partkey || '.txt']) AS
 SELECT path, CASE WHEN rar THEN 'rar' ELSE 'zip' END AS format, member, strlen(text) AS size, CASE WHEN rar THEN sha1(text) END AS content_sha1, NULL AS error FROM m
 UNION ALL SELECT path, 'rar', NULL, NULL, NULL, CASE kind WHEN 4 THEN 'archive_failed: checksum of a header' ELSE 'archive_failed: encrypted' END FROM a WHERE rar AND kind >= 4""")
 def archive_inventory(spark, sf_dir):
-    found = load(spark, sf_dir, "part").withColumn("path", F.expr(PATHS)).where(F.col("path").rlike(r"\.(zip|rar)$"))
+    found = dealt(spark, sf_dir, "part", "p_partkey").withColumn("path", F.expr(PATHS)).where(F.col("path").rlike(r"\.(zip|rar)$"))
     names, texts = F.expr("array('top/a.txt', 'top/' || p_partkey || '.txt')"), F.array("p_name", "p_brand")
     is_rar = F.col("path").endswith(".rar")
     made = found.where(is_rar).select("path", _rars(F.expr("p_partkey DIV 11 % 6"), names, texts).alias("content"))

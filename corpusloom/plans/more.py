@@ -9,7 +9,7 @@ from ..functions import text as T
 from ..operators import audit, publish, tables
 from ..sources import manifest, readers
 from .catalog import _LINES, _LEVEL, _MD, _STRIP, query
-from .fixtures import load, md_documents, table_rows
+from .fixtures import dealt, load, md_documents, table_rows
 
 _META = "'---' || chr(10) || 'doc_title: \"T ' || doc_id || ' \\\\\"q\\\\\"\"' || chr(10) || 'doc_id: \"' || doc_id || '\"' || chr(10) || 'zeta: plain' || chr(10) || 'source_path: in/' || source || '.pdf' || chr(10) || '---' || chr(10) || text"
 
@@ -192,14 +192,14 @@ _INNER = "SELECT 'in/' || p_partkey || '.zip' AS archive, unnest(CASE WHEN p_par
 
 @query(_INNER)
 def archive_members(spark, sf_dir):
-    part = load(spark, sf_dir, "part").selectExpr("p_partkey", "'in/' || p_partkey || '.zip' AS path", "CASE p_partkey % 3 WHEN 0 THEN array('top/a.txt', 'top/sub/b.txt') WHEN 1 THEN array('a.txt', 'top/b.txt') END AS names", "array(p_name, p_brand) AS texts")
+    part = dealt(spark, sf_dir, "part", "p_partkey").selectExpr("p_partkey", "'in/' || p_partkey || '.zip' AS path", "CASE p_partkey % 3 WHEN 0 THEN array('top/a.txt', 'top/sub/b.txt') WHEN 1 THEN array('a.txt', 'top/b.txt') END AS names", "array(p_name, p_brand) AS texts")
     found = readers.archive_members(part.select("path", readers.zipped("names", "texts").alias("content")))
     return found.select("archive", "member", "target", F.sha1("bytes").alias("bytes_sha1"), F.col("error").isNotNull().alias("failed"))
 
 
 @query(f"SELECT 'top/inner.zip' AS via, * FROM ({_INNER}) UNION ALL SELECT '', 'in/' || p_partkey || '.zip', 'top/note.txt', 'note.txt', sha1(p_name), false FROM part")
 def nested_archives(spark, sf_dir):
-    part = load(spark, sf_dir, "part").selectExpr("p_name", "'in/' || p_partkey || '.zip' AS path", "CASE p_partkey % 3 WHEN 0 THEN array('top/a.txt', 'top/sub/b.txt') WHEN 1 THEN array('a.txt', 'top/b.txt') END AS names", "array(p_name, p_brand) AS texts")
+    part = dealt(spark, sf_dir, "part", "p_partkey").selectExpr("p_name", "'in/' || p_partkey || '.zip' AS path", "CASE p_partkey % 3 WHEN 0 THEN array('top/a.txt', 'top/sub/b.txt') WHEN 1 THEN array('a.txt', 'top/b.txt') END AS names", "array(p_name, p_brand) AS texts")
     inner = F.array(readers.zipped("names", "texts"), F.col("p_name").cast("binary"))
     whole = part.select("path", readers.zipped(F.array(F.lit("top/inner.zip"), F.lit("top/note.txt")), inner).alias("content"))
     found = readers.nested_members(whole)
