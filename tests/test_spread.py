@@ -23,7 +23,7 @@ def test_pdf_files_are_read_once(spark):
     assert QUERIES["pdf_page_markdown"](spark, SF)._jdf.queryExecution().toString().count("MapInPandas") == 0
 
 
-@pytest.mark.parametrize("name", ["workbook_cells", "slide_markdown", "word_cells"])
+@pytest.mark.parametrize("name", ["workbook_cells", "slide_markdown", "word_cells", "nested_archives", "archive_members", "archive_inventory"])
 def test_packages_are_dealt(spark, name):
     assert tasks(QUERIES[name](spark, SF)) >= 2 * spark.sparkContext.defaultParallelism
 
