@@ -194,17 +194,33 @@ def _named(expected: int | None) -> list[Column]:
 
 def final_issues(docs: DataFrame, chunks: DataFrame, inventory: DataFrame, expected: int | None = None) -> DataFrame:
     """The global issues that final_audit() counts, a row each -> nth, issue, in the order of nth; each bad line is one."""
-    counts = _found(docs, chunks, inventory)
-    plain = counts.select(F.posexplode(F.array(*_named(expected))).alias("k", "issue")).where("issue IS NOT NULL")
-    bad = chunks.where("bad_line IS NOT NULL").select(F.col("bad_line").cast("long").alias("line")).distinct()
-    lines = bad.select((F.lit(4 << 40) + F.col("line")).alias("nth"), F.concat(F.lit("invalid_chunk_json_line:"), F.col("line").cast("string")).alias("issue"))
-    return plain.select((F.col("k").cast("long") * F.lit(1 << 40)).alias("nth"), "issue").unionByName(lines)
+    return audited_issues(docs, chunks, inventory, expected).where("issue IS NOT NULL").select("nth", "issue")
+
+
+def audited_issues(docs: DataFrame, chunks: DataFrame, inventory: DataFrame, expected: int | None = None) -> DataFrame:
+    """The row of final_audit() for each global issue, with nth and issue; once, with nulls in these, if there is none."""
+    counts = _audited(docs, chunks, inventory, expected)
+    bad = chunks.where("bad_line IS NOT NULL").select(F.lit(4).cast("long").alias("k"), F.col("bad_line").cast("long").alias("line")).distinct()
+    places = docs.sparkSession.range(len(_named(expected))).select(F.col("id").alias("k"), F.lit(None).cast("long").alias("line"))
+    each = places.unionByName(bad).crossJoin(F.broadcast(counts))  # one row of counts
+    named = F.concat(F.lit("invalid_chunk_json_line:"), F.col("line").cast("string"))
+    each = each.withColumn("issue", F.coalesce(named, F.get("named", F.col("k").cast("int"))))
+    each = each.where("issue IS NOT NULL OR global_issues = 0 AND k = 0")
+    nth = F.when(F.col("issue").isNotNull(), F.col("k") * F.lit(1 << 40) + F.coalesce("line", F.lit(0)))
+    return each.select(*_COUNTS, nth.alias("nth"), "issue")
 
 
 def final_audit(docs: DataFrame, chunks: DataFrame, inventory: DataFrame, expected: int | None = None) -> DataFrame:
     """Issues of documents as document_issues() gives them, with member; chunks(chunk_id, doc_id, markdown_path,
     source_path, bad_line) -> one row: counts, global_issues (how many final_issues() names), clean."""
-    some = F.size(F.array_compact(F.array(*_named(expected)))).cast("long")
-    out = _found(docs, chunks, inventory).withColumn("global_issues", some + F.col("bad_lines"))
-    out = out.withColumn("clean", (F.col("failed_documents") == 0) & (F.col("global_issues") == 0))
-    return out.select("documents", "failed_documents", "unique_doc_ids", "unique_source_paths", "chunks", "unique_chunk_doc_ids", "global_issues", "clean")
+    return _audited(docs, chunks, inventory, expected).select(*_COUNTS)
+
+
+_COUNTS = ["documents", "failed_documents", "unique_doc_ids", "unique_source_paths", "chunks", "unique_chunk_doc_ids", "global_issues", "clean"]
+
+
+def _audited(docs: DataFrame, chunks: DataFrame, inventory: DataFrame, expected: int | None) -> DataFrame:
+    """One row of counts, with named, what the issues beside bad lines are called."""
+    out = _found(docs, chunks, inventory).withColumn("named", F.array(*_named(expected)))
+    out = out.withColumn("global_issues", F.size(F.array_compact("named")).cast("long") + F.col("bad_lines"))
+    return out.withColumn("clean", (F.col("failed_documents") == 0) & (F.col("global_issues") == 0))

@@ -109,9 +109,9 @@ def _final(spark, sf_dir):
     return found, chunks.unionAll(bad), inventory, 12
 
 
-@query(f"{_COUNTED} SELECT documents, CAST(failed_documents AS BIGINT) AS failed_documents, unique_doc_ids, unique_source_paths, chunks, unique_chunk_doc_ids, (SELECT count(issue) FROM i) AS global_issues, false AS clean FROM v")
+@query(f"{_COUNTED} SELECT documents, CAST(failed_documents AS BIGINT) AS failed_documents, unique_doc_ids, unique_source_paths, chunks, unique_chunk_doc_ids, (SELECT count(issue) FROM i) AS global_issues, false AS clean, CAST(kind * 1099511627776 + line AS BIGINT) AS nth, issue FROM v, i WHERE issue IS NOT NULL")
 def final_audit(spark, sf_dir):
-    return audit.final_audit(*_final(spark, sf_dir))
+    return audit.audited_issues(*_final(spark, sf_dir))
 
 
 @query(f"{_COUNTED} SELECT CAST(kind * 1099511627776 + line AS BIGINT) AS nth, issue FROM i WHERE issue IS NOT NULL")
