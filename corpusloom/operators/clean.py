@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
-from ..functions import frontmatter
+from ..functions import batches, frontmatter
 from ..functions import text as T
 
 #: A line of at most so many characters that occurs so often is a running header or footer.
@@ -88,7 +88,7 @@ def clean_markdown(docs: DataFrame, body: str = "body", meta: Column | None = No
     control characters, noise, running heads and blank runs, its chapters as headings, its tables evened.
 
     Only bodies with a pipe or an & leave the JVM; nothing is shuffled."""
-    docs = docs.withColumn("_meta", frontmatter.parsed(F.col(body)))
+    docs = batches.small(docs).withColumn("_meta", frontmatter.parsed(F.col(body)))
     docs = bound(docs, "_text", T.without_tags(T.newlines(frontmatter.body(F.col(body)))))
     docs = bound(docs, "_text", T.with_references_decoded(F.col("_text")))
     docs = clean_lines(docs, "_text")

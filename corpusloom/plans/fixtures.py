@@ -29,13 +29,13 @@ SHARES = 4
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return batches.small(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def dealt(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
     """A table dealt to all cores by its key, for files that are made of its rows: a table of short rows is a small file, which
     Spark reads in one task or a few, however long the work on each row. Tasks aren't merged again, as their sizes say nothing."""
-    return batches.small(load(spark, sf_dir, name)).repartition(SHARES * spark.sparkContext.defaultParallelism, key)
+    return load(spark, sf_dir, name).repartition(SHARES * spark.sparkContext.defaultParallelism, key)
 
 
 def md_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
