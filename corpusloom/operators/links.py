@@ -70,7 +70,11 @@ def first_existing(rows: DataFrame, candidates: list[str], inventory: DataFrame,
 
 def table_sources(markers: DataFrame, documents: DataFrame, tables: DataFrame) -> DataFrame:
     """markers(document, page, table_no) ⟕ documents(document, pages) and tables(document, page, table_no) -> status."""
-    out = markers.join(documents, "document", "left").join(tables.select("document", "page", "table_no", F.lit(True).alias("_hit")).distinct(), ["document", "page", "table_no"], "left")
+    keys = ["document", "page", "table_no"]
+    conf, cores = markers.sparkSession.conf, markers.sparkSession.sparkContext.defaultParallelism
+    n = max(int(conf.get("spark.sql.shuffle.partitions")), 4 * cores)  # a fixed number, so that tasks aren't merged to a few large ones
+    hits = tables.select(*keys).repartition(n, *keys).distinct().withColumn("_hit", F.lit(True))  # dealt first: no task holds all keys of its input
+    out = markers.join(documents, "document", "left").repartition(n, *keys).join(hits, keys, "left")
     status = F.when((F.col("page") < 1) | (F.col("page") > F.coalesce("pages", F.lit(0))), "source_page_out_of_range").when(F.col("_hit").isNull(), "source_table_not_redetected").otherwise("checked")
     return out.select("document", "page", "table_no", status.alias("status"))
 

@@ -1,9 +1,9 @@
-"""Python workers are given small batches."""
+"""Python workers are given small batches, and no task all keys of a table."""
 
 import pytest
 
 from corpusloom.functions import batches
-from corpusloom.operators import clean
+from corpusloom.operators import clean, links
 from corpusloom.sources import ooxml
 
 RUNS = {
@@ -26,3 +26,11 @@ def test_batches_are_small(spark, name):
     finally:
         for key, value in given.items():
             spark.conf.set(key, value)
+
+
+def test_table_sources_are_dealt(spark):
+    markers = spark.createDataFrame([(1, 1, 1), (1, 2, 1), (2, 1, 1)], "document long, page long, table_no long")
+    documents = spark.createDataFrame([(1, 2)], "document long, pages long")
+    found = links.table_sources(markers, documents, markers.limit(1))
+    assert found.rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
+    assert sorted(r["status"] for r in found.collect()) == ["checked", "source_page_out_of_range", "source_table_not_redetected"]
