@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import batches
 from ..functions import text as T
 from ..functions.blocks import DEFINITION, Block, blocks_of, md_blocks
 from ..functions.html_markdown import STRIP, markdown_of
@@ -24,7 +25,7 @@ def html_to_markdown(pages: DataFrame, strip: tuple[str, ...] = STRIP, bullets:
         for f in frames:
             yield pd.DataFrame({"page_id": f["page_id"], "markdown": [markdown_of(h, strip, bullets, heading_style) for h in f["html"]]})
 
-    return pages.select("page_id", "html").mapInPandas(run, "page_id long, markdown string")
+    return batches.small(pages).select("page_id", "html").mapInPandas(run, "page_id long, markdown string")
 
 
 def decoded(docs: DataFrame, column: str) -> DataFrame:
@@ -82,7 +83,7 @@ def md_to_html(docs: DataFrame, body: str = "body") -> DataFrame:
         for f in frames:
             yield pd.DataFrame({"doc_id": f["doc_id"], "html": [html_of(t) for t in f["b"]]})
 
-    return docs.select("doc_id", F.col(body).alias("b")).mapInPandas(run, "doc_id long, html string")
+    return batches.small(docs).select("doc_id", F.col(body).alias("b")).mapInPandas(run, "doc_id long, html string")
 
 
 def toc(docs: DataFrame, body: str = "body") -> DataFrame:

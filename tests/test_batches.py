@@ -3,12 +3,13 @@
 import pytest
 
 from corpusloom.functions import batches
-from corpusloom.operators import clean, links
+from corpusloom.operators import clean, links, publish
 from corpusloom.sources import ooxml
 
 RUNS = {
     "clean_markdown": lambda spark: clean.clean_markdown(spark.createDataFrame([(1, "a")], "doc_id long, body string")),
     "docx_round_trip": lambda spark: ooxml.office_markdown(spark.createDataFrame([("a", b"")], "path string, content binary")),
+    "html_to_markdown": lambda spark: publish.html_to_markdown(spark.createDataFrame([(1, "a")], "page_id long, html string")),
 }
 
 
