@@ -1,9 +1,10 @@
 """Suffix arrays by induced sorting, and permuted common prefixes.
 
 A suffix is S-type if it is smaller than the next one, else L-type; an S after an L is leftmost-smaller (LMS). The LMS
-substrings are sorted by one induction and named; where names repeat, the string of names is sorted by recursion. A
-second induction from the sorted LMS suffixes gives all suffixes. Over bytes a bucket's entries are induced together,
-as arrays; over names, whose buckets are tiny, one by one. Both are linear."""
+substrings are sorted by one induction and named; where names repeat, the suffixes of the string of names, a third as
+long, are sorted by ranks that are doubled. A second induction from the sorted LMS suffixes gives all suffixes. A bucket's
+entries are induced together, as arrays. Induction is linear; doubling takes a round for each power of two up to the
+longest common prefix in names, and looks at what is still tied only."""
 
 from __future__ import annotations
 
@@ -69,34 +70,30 @@ def _induced(t: np.ndarray, s: np.ndarray, lms: np.ndarray, sizes: np.ndarray) -
     return sa
 
 
-def _induced_singly(t: list[int], s: list[bool], lms: list[int], k: int) -> list[int]:
-    n = len(t)
-    sizes = [0] * k
-    for c in t:
-        sizes[c] += 1
-    starts, ends, total = [0] * k, [0] * k, 0
-    for c in range(k):
-        starts[c] = total
-        total += sizes[c]
-        ends[c] = total
-    sa, tails = [-1] * n, ends[:]
-    for p in reversed(lms):
-        c = t[p]
-        tails[c] -= 1
-        sa[tails[c]] = p
-    for i in range(n):
-        p = sa[i] - 1
-        if p >= 0 and not s[p]:
-            c = t[p]
-            sa[starts[c]] = p
-            starts[c] += 1
-    for i in range(n - 1, -1, -1):
-        p = sa[i] - 1
-        if p >= 0 and s[p]:
-            c = t[p]
-            ends[c] -= 1
-            sa[ends[c]] = p
-    return sa
+def _by_ranks(names: np.ndarray) -> np.ndarray:
+    """Suffix array of names: ranks by one name, then by twice as many each time; only what still shares a rank is sorted again."""
+    n = len(names)
+    left = np.argsort(names, kind="stable")
+    key, rank, reach = names[left], np.zeros(n, np.int64), 0
+    while len(left):
+        fresh = np.append(True, key[1:] != key[:-1])
+        first = np.flatnonzero(fresh)
+        if reach:
+            group = rank[left]
+            group_first = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+            sizes = np.diff(group_first, append=len(left))
+            rank[left] = group - np.repeat(group_first, sizes) + np.repeat(first, np.diff(first, append=len(left)))
+        else:
+            rank[left] = np.repeat(first, np.diff(first, append=n))
+        left = left[~(fresh & np.append(fresh[1:], True))]
+        reach = 2 * reach or 1
+        after = left + reach
+        key = rank[left] << 32 | np.where(after < n, rank[np.minimum(after, n - 1)] + 1, 0)
+        order = np.argsort(key, kind="stable")
+        left, key = left[order], key[order]
+    out = np.empty(n, np.int32)
+    out[rank] = np.arange(n, dtype=np.int32)
+    return out
 
 
 def _names(t: np.ndarray, lms: np.ndarray, sorted_lms: np.ndarray) -> tuple[np.ndarray, int]:
@@ -129,18 +126,13 @@ def _sorted(t: np.ndarray, k: int) -> np.ndarray:
         return np.arange(n - 1, -1, -1, dtype=np.int32)
     s = _types(t)
     lms = (np.flatnonzero(s[1:] & ~s[:-1]) + 1).astype(np.int32)
-    if k <= 300:
-        sizes = np.bincount(t, minlength=k)
-        induce = lambda given: _induced(t, s, given, sizes)
-    else:
-        tl, sl = t.tolist(), s.tolist()
-        induce = lambda given: np.array(_induced_singly(tl, sl, given.tolist(), k), np.int32)
-    first = induce(lms)
+    sizes = np.bincount(t, minlength=k)
+    first = _induced(t, s, lms, sizes)
     is_lms = np.zeros(n, bool)
     is_lms[lms] = True
     named, most = _names(t, lms, first[is_lms[first]])
-    order = _sorted(named, most) if most < len(lms) else np.argsort(named).astype(np.int32)
-    return induce(lms[order])
+    order = _by_ranks(named) if most < len(lms) else np.argsort(named).astype(np.int32)
+    return _induced(t, s, lms[order], sizes)
 
 
 def suffix_array(data: np.ndarray) -> np.ndarray:

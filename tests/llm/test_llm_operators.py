@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import sys
 import zlib
 
 import numpy as np
@@ -319,6 +320,25 @@ def test_suffix_arrays():
             assert lcp[i] == next((n for n, (p, q) in enumerate(zip(x, y)) if p != q), min(len(x), len(y)))
 
 
+def test_suffix_arrays_take_few_python_steps():
+    """Names that repeat are sorted on arrays as well: a step of Python for each would be most of an operator's time."""
+    data = np.frombuffer(prose(8, 8000).encode(), np.uint8)
+    steps = 0
+
+    def count(frame, event, arg):
+        nonlocal steps
+        steps += 1
+        return count
+
+    before = sys.gettrace()
+    sys.settrace(count)
+    try:
+        sa = suffix_array(data)
+    finally:
+        sys.settrace(before)
+    assert sorted(sa.tolist()) == list(range(len(data))) and steps < len(data) // 2
+
+
 def brute_repeats(rows):
     seen: dict = {}
     for n, (_, t) in enumerate(rows):
