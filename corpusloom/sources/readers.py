@@ -10,7 +10,7 @@ import zlib
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 from pyspark.sql.window import Window
@@ -25,6 +25,8 @@ _MEMBER_NAMES = ["archive", "via", "member", "target", "bytes", "error"]
 _BROKEN = (zipfile.BadZipFile, NotImplementedError, RuntimeError, OSError, EOFError, ValueError, zlib.error, lzma.LZMAError)
 #: Members are handed on in frames of so many bytes or rows; archives within archives are expanded so deep.
 FRAME_BYTES, FRAME_ROWS, DEPTH = 8 << 20, 1000, 16
+#: What Spark's CSV reader takes for null, else it takes "" for it. A text of this sign alone, once or more, has one more in the file.
+_NULL = "\ue000"
 
 
 def files(spark: SparkSession, path: str, pattern: str | None = None, with_hidden: bool = False, without: str | None = None, excluded: tuple[str, ...] = ()) -> DataFrame:
@@ -134,12 +136,22 @@ def write_json_lines(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def _texts(df: DataFrame, f: Callable[[Column], Column]) -> DataFrame:
+    names = ["`" + n.replace("`", "``") + "`" for n in df.columns]
+    return df.select(*[f(F.col(q)).alias(n) if kind == "string" else F.col(q) for q, (n, kind) in zip(names, df.dtypes)])
+
+
 def csv_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.csv(path, header=True, schema=schema, encoding="UTF-8", multiLine=True)
+    """Values as the file holds them, with blanks and line ends; a quoted empty text is a text, nothing at all is null."""
+    found = spark.read.csv(path, header=True, schema=schema, encoding="UTF-8", multiLine=True, nullValue=_NULL, emptyValue="")
+    return _texts(found, lambda c: F.when(c.rlike(rf"^{_NULL}{{2,}}\z"), F.substr(c, F.lit(2))).otherwise(c))
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").csv(path, header=True)
+    """Nothing is trimmed from the ends of texts; null and empty texts stay apart: csv_rows() gives the same rows again. Null is
+    written as nothing, or in a file of one column, whose blank lines are skipped by readers, as the sign for it."""
+    marked = _texts(df, lambda c: F.when(c.rlike(rf"^{_NULL}+\z"), F.concat(c, F.lit(_NULL))).otherwise(c))
+    marked.write.mode("overwrite").csv(path, header=True, nullValue=_NULL if len(df.columns) == 1 else "", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def repaired_name(name: str, is_utf8: bool) -> str:

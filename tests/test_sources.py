@@ -4,11 +4,13 @@ import io
 import random
 import zipfile
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.functions import frontmatter
 from corpusloom.operators import publish, tables
+from corpusloom.plans.catalog import ORACLES, QUERIES
 from corpusloom.sources import manifest, readers, route
 
 
@@ -74,6 +76,27 @@ def test_files_and_csv(spark, tmp_path):
     assert spark.read.schema("n long, s string").json(str(tmp_path / "json")).collect() == df.collect()
 
 
+#: Blanks at the ends, line ends, quotes and backslashes, NUL; the sign that is read for null, alone and with others.
+ODD = [None, "", " ", "\t", "\n", "\r\n", " a", "a ", "\ta\t", "a\n", "\na", "a\r", "a\r\nb", "\u00a0a\u3000", "\x00a", "a\x00", "\x1fa\x0b", '"', '"a', 'a"\n', "\\", "a\\", '\\"', 'a,\\"\n', "#a", "null", "\\N", "\ufeffa", "\ue000", "\ue000\ue000", "\ue000\n", "a\ue000"]
+
+
+def test_csv_keeps_texts_as_they_are(spark, tmp_path):
+    for columns in ("n long, s string, `t.u` string", "s string"):
+        rows = [(i, t, ODD[-i]) if "," in columns else (t,) for i, t in enumerate(ODD)]
+        df = spark.createDataFrame(rows, columns).coalesce(1)
+        readers.write_csv(df, str(tmp_path / "csv"))
+        assert list(map(tuple, readers.csv_rows(spark, str(tmp_path / "csv"), columns).collect())) == rows
+
+
+def test_csv_round_trip_of_odd_texts_is_that_of_sql(spark, tmp_path):
+    rows = [(i, t, "en", s, 1) for i, (t, s) in enumerate(zip(ODD, ["src", "src ", "", None, 'a"\n'] * 7))]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.execute(ORACLES["csv_round_trip"] + " ORDER BY doc_id").fetchall()
+    assert list(map(tuple, QUERIES["csv_round_trip"](spark, str(tmp_path)).orderBy("doc_id").collect())) == want
+
+
 def test_frontmatter(spark):
     whole = '---\nzeta: "last"\ndoc_id: "1"\ndoc_title: "a \\"b\\": c"\nsource_path: "C:\\\\\\\\x"\nzeta: "won"\n---\nbody\n'
     r = spark.createDataFrame([(whole,)], "w string").select(frontmatter.parsed(F.col("w")).alias("m"), frontmatter.body(F.col("w")).alias("b")).first()
